@@ -80,8 +80,16 @@ def to_bytes(text: Column) -> Column:
     return F.when(text.rlike(_HEX), F.unhex(text))
 
 
+def is_json(text: Column) -> Column:
+    """True for exactly one JSON value. Spark's parsers ignore what follows the first value; inside an array and an
+    object nothing can follow: the first bracket too many is wrong in one of the two, and a comma makes two elements."""
+    in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.coalesce((in_array == 1) & in_object.isNotNull(), F.lit(False))
+
+
 def to_json_text(text: Column) -> Column:
-    return F.when(F.try_parse_json(text).isNotNull(), text)
+    return F.when(is_json(text), text)
 
 
 def logical_type(field: T.StructField) -> str:
@@ -115,7 +123,7 @@ def parse_text(text: Column, field: T.StructField) -> Column:
     if isinstance(type_, T.BinaryType):
         return to_bytes(text)
     if isinstance(type_, T.VariantType):
-        return F.try_parse_json(text)
+        return F.try_parse_json(to_json_text(text))
     if isinstance(type_, getattr(T, "TimeType", ())):
         return to_time_text(text).try_cast(type_)
     raise UnsupportedTypeError(f"column '{field.name}' has type {type_.simpleString()}, which cannot be loaded")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions.casts import annotate_casts
 from feedloom.functions.text import name_column
-from feedloom.operators.dedup import dedup_first, mark_missing_key
+from feedloom.operators.dedup import dedup_first, mark_missing_key, number_rows
 from feedloom.operators.fanout import project_to_target, table_rows, target_fields
 from feedloom.operators.reports import file_counts, run_summary, table_counts
 from feedloom.operators.validate import annotate
@@ -55,26 +55,35 @@ def typed_rows(rows: DataFrame, mapping: Mapping, table: TableId, target: T.Stru
     return annotate_casts(projected, fields, [SOURCE, POSITION], keep_text=True)
 
 
-def unique_rows(typed: DataFrame, mapping: Mapping, table: TableId, target: T.StructType) -> DataFrame:
-    """One row per key: the first of equal key texts, the last of texts that mean one typed key; a later file wins."""
+def unique_rows(
+    typed: DataFrame, mapping: Mapping, table: TableId, target: T.StructType, winner: str = "first"
+) -> DataFrame:
+    """One row per key: the first of equal key texts, the last of texts that mean one typed key; a later file wins.
+
+    With ``winner='batch'`` a later batch (of the mapping's ``batch_size`` rows of one file) wins over an earlier one,
+    as when batches are written one after the other; this costs a numbering of the rows of each file.
+    """
+    if winner not in ("first", "batch"):
+        raise ValueError(f"winner must be 'first' or 'batch', got {winner!r}")
     by_lower = {field.name.lower(): field for field in target.fields}
     keys = [by_lower[key.lower()].name for key in mapping.db[table].unique_columns]
     names = [field.name for field in target_fields(target, mapping.target_columns(table))]
     if not keys:
         return typed.select(*map(name_column, names))
-    # Within a source the first row counts, of sources the last: descending order of sources is had by "last".
-    rows = typed.select(SOURCE, POSITION, *map(name_column, names), F.col("_text"))
     key_texts = [f"_key{i}" for i in range(len(keys))]
     texts = [F.col("_text").getField(key).alias(name) for key, name in zip(keys, key_texts, strict=True)]
-    rows = rows.select(SOURCE, POSITION, *map(name_column, names), *texts)
-    late_first = F.struct(
-        F.col(SOURCE), -F.col(POSITION).getField("block"), -F.col(POSITION).getField("index")
-    )
-    others = [name for name in names if name not in keys]
-    by_text = dedup_first(rows, key_texts, [late_first], keep="last")
+    rows = typed.select(SOURCE, POSITION, *map(name_column, names), *texts)
+    block, index = F.col(POSITION).getField("block"), F.col(POSITION).getField("index")
+    if winner == "batch":
+        rows = number_rows(rows, SOURCE, [block, index])
+        batch = F.floor(F.col("_sequence") / mapping.db[table].batch_size)
+        order = F.struct(F.col(SOURCE), batch, -F.col("_sequence"))
+    else:
+        order = F.struct(F.col(SOURCE), -block, -index)
+    unique = dedup_first(rows, key_texts, [order], keep="last")
     if not all(isinstance(by_lower[key.lower()].dataType, T.StringType) for key in keys):
-        by_text = dedup_first(by_text, keys, [F.col(SOURCE), F.col(POSITION)], keep="last")
-    return by_text.select(*map(name_column, [n for n in names if n in keys or n in others]))
+        unique = dedup_first(unique, keys, [F.col(SOURCE), F.col(POSITION)], keep="last")
+    return unique.select(*map(name_column, names))
 
 
 def _as_rejected(frame: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
@@ -93,6 +102,7 @@ def load_records(
     work_dir: str,
     *,
     on_error: str = "quarantine",
+    winner: str = "first",
     token: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Loads the records of one mapping; returns (file counts, table counts, rejected rows)."""
@@ -125,7 +135,7 @@ def load_records(
         if first is not None:
             raise LoadError(f"{first.source}: {first.table_name or 'document'}: {first.reason}")
     for table, typed in staged.items():
-        loadable = unique_rows(typed.where(F.col(REASON).isNull()), mapping, table, targets[table])
+        loadable = unique_rows(typed.where(F.col(REASON).isNull()), mapping, table, targets[table], winner)
         location = f"{work_dir}/unique/{table}"
         loadable.write.parquet(location)
         by_lower = {field.name.lower(): field.name for field in targets[table].fields}
@@ -144,6 +154,7 @@ def run(
     *,
     scan: str = "document",
     on_error: str = "quarantine",
+    winner: str = "first",
     encoding: str | None = None,
     archives: bool = True,
     max_member_bytes: int = DEFAULT_MAX_MEMBER_BYTES,
@@ -179,7 +190,14 @@ def run(
         chosen = mapping_index(source_name(F.col("_metadata.file_name")), mappings) == index
         records = read_records(spark, paths, mappings[index].xml, scan=scan, encoding=encoding, files=chosen)
         parts = load_records(
-            spark, records, mappings[index], store, targets, f"{work_dir}/mapping{index}", on_error=on_error
+            spark,
+            records,
+            mappings[index],
+            store,
+            targets,
+            f"{work_dir}/mapping{index}",
+            on_error=on_error,
+            winner=winner,
         )
         for collected, part in zip((counts, tables, rejected), parts, strict=True):
             collected.append(part)

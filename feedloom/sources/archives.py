@@ -276,7 +276,7 @@ def _write_member(out_dir: str, archive: str, member: str, content: bytes) -> st
     name = member.replace("\\", "/").rpartition("/")[2]
     system.create_dir(directory, recursive=True)
     unfinished = f"{directory}/_{uuid.uuid4().hex}"
-    with system.open_output_stream(unfinished) as out:
+    with system.open_output_stream(unfinished, compression=None) as out:
         out.write(content)
     system.move(unfinished, f"{directory}/{name}")
     return f"{out_dir.rstrip('/')}/{folder}/{name}"

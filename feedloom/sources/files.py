@@ -20,11 +20,11 @@ def list_files(spark: SparkSession, path: str | Sequence[str], glob: str = XML_G
         .option("pathGlobFilter", glob)
         .load(path if isinstance(path, str) else list(path))
     )
-    return files.where(F.col("length") > 0).select(
-        F.col("path").alias("file_path"),
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
-        F.col("length").alias("file_size"),
-        F.col("modificationTime").alias("modified"),
+    return files.where(F.col("_metadata.file_size") > 0).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,12 +58,16 @@ def run_stream(
     )
     wanted = mapping_index(source_name(F.col("_metadata.file_name")), [mapping]) == 0
 
+    # Batch numbers are unique within one checkpoint only.
+    stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         records = records_of_raw(batch.where(wanted), mapping.xml, scan, "PERMISSIVE")
-        folder = f"{work_dir}/batch{batch_id}"
+        # A repeated batch must not meet the files of its first attempt.
+        folder = f"{work_dir}/batch{batch_id}-{uuid.uuid4().hex}"
         _, _, rejected = load_records(
-            session, records, mapping, store, targets, _fresh(folder), on_error=on_error, token=f"batch{batch_id}"
+            session, records, mapping, store, targets, folder, on_error=on_error, token=f"{stream_id}-{batch_id}"
         )
         rejected.write.mode("append").parquet(f"{work_dir}/rejected")
 
@@ -69,9 +76,3 @@ def run_stream(
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
-
-def _fresh(folder: str) -> str:
-    """A repeated batch must not meet the files of its first attempt."""
-    import uuid
-
-    return f"{folder}-{uuid.uuid4().hex}"
