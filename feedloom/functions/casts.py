@@ -6,16 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.functions.text import name_column
+from feedloom.functions.text import name_column, strip
 from feedloom.operators.validate import apply_error_policy
 from feedloom.plans.columns import REASON
 
 # Texts that mean true, in lower case. Everything else is false.
 TRUE_TEXTS = ("1", "true", "t", "yes", "y")
 
-_INTEGER = r"^[+-]?[0-9]+$"
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_DATE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})"
+_SPECIAL = r"^[+-]?(NaN|Infinity|[0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?[fFdD]?|\.[0-9]+([eE][+-]?[0-9]+)?[fFdD]?)$"
 _TIME = r"^([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})$"
 _CLOCK = r"[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?"
 _DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
@@ -33,28 +31,40 @@ def to_boolean(text: Column) -> Column:
     return F.lower(text).isin(*TRUE_TEXTS)
 
 
+def _unpadded(text: Column) -> Column:
+    """SQL casts skip surrounding space, which is an error here."""
+    return strip(text) == text
+
+
 def to_integer(text: Column, type_: T.DataType) -> Column:
-    return F.when(text.rlike(_INTEGER), text.try_cast(type_))
+    return F.when(_unpadded(text), text.try_cast(type_))
 
 
 def to_floating(text: Column, type_: T.DataType) -> Column:
-    """Decimal comma allowed; ``NaN``, ``Infinity`` and a type suffix as the JVM writes them."""
-    number = F.regexp_replace(F.replace(text, F.lit(","), F.lit(".")), "([0-9.])[fFdD]$", "$1")
-    special = number.rlike("^[+-]?(NaN|Infinity)$")
-    value = F.when(number.rlike(_NUMBER), number.try_cast("double")).when(
-        special, F.regexp_replace(number, "^[+-](?=NaN)", "").try_cast("double")
-    )
-    return value.cast(type_)
+    """Decimal comma allowed. Of the special values only ``NaN`` and ``Infinity`` in exactly this case."""
+    number = F.replace(text, F.lit(","), F.lit("."))
+    value = number.try_cast("double")
+    finite = F.abs(value) < float("inf")  # NaN is greater than infinity here
+    return F.when(finite | number.rlike(_SPECIAL), value).cast(type_)
 
 
 def to_decimal(text: Column, type_: T.DecimalType) -> Column:
-    number = F.replace(text, F.lit(","), F.lit("."))
-    return F.when(number.rlike(_NUMBER), number.try_cast(type_))
+    """Decimal comma allowed. Rounded half up to the scale; too many digits before the point do not fit."""
+    return F.when(_unpadded(text), F.replace(text, F.lit(","), F.lit(".")).try_cast(type_))
+
+
+def _char(text: Column, position: int) -> Column:
+    return F.substring(text, position, 1)
+
+
+def _has_day(text: Column) -> Column:
+    """Dashes where ``YYYY-MM-DD`` has them; the cast itself looks at the digits."""
+    return (_char(text, 5) == "-") & (_char(text, 8) == "-")
 
 
 def to_date(text: Column) -> Column:
     """The leading ``YYYY-MM-DD``; what follows is ignored."""
-    return F.regexp_extract(text, _DATE, 1).try_cast("date")
+    return F.when(_has_day(text) & (F.length(text) >= 10), F.substring(text, 1, 10).try_cast("date"))
 
 
 def to_time_text(text: Column) -> Column:
@@ -64,16 +74,23 @@ def to_time_text(text: Column) -> Column:
     return F.when(valid, F.format_string("%02d:%02d:%02d", *parts))
 
 
+def _is_plain_moment(text: Column, separators: str) -> Column:
+    """``YYYY-MM-DD?HH:mm:ss``, the usual shape, told without a regular expression."""
+    marks = (F.length(text) == 19) & _has_day(text) & (_char(text, 14) == ":") & (_char(text, 17) == ":")
+    return marks & _char(text, 11).isin(*separators) & _char(text, 19).between("0", "9")
+
+
 def to_local_timestamp(text: Column) -> Column:
     """Zoned text is moved to the session time zone; local text and a bare date are taken as they are."""
     zoned = text.rlike(f"^{_DAY}T{_CLOCK}{_OFFSET}$")
-    local = text.rlike(f"^{_DAY}([T ]{_CLOCK})?$")
-    return F.when(zoned, text.try_cast("timestamp").cast("timestamp_ntz")).when(local, text.try_cast("timestamp_ntz"))
+    local = _is_plain_moment(text, "T ") | text.rlike(f"^{_DAY}([T ]{_CLOCK})?$")
+    return F.when(local, text.try_cast("timestamp_ntz")).when(zoned, text.try_cast("timestamp").cast("timestamp_ntz"))
 
 
 def to_zoned_timestamp(text: Column) -> Column:
     """Zoned text, or local text in the session time zone. A bare date is not accepted."""
-    return F.when(text.rlike(f"^{_DAY}T{_CLOCK}{_OFFSET}?$"), text.try_cast("timestamp"))
+    fits = _is_plain_moment(text, "T") | text.rlike(f"^{_DAY}T{_CLOCK}{_OFFSET}?$")
+    return F.when(fits, text.try_cast("timestamp"))
 
 
 def to_bytes(text: Column) -> Column:
@@ -154,27 +171,37 @@ def resolve_null(text: Column, field: T.StructField) -> Column:
     return text if field.nullable or default is None else F.coalesce(text, F.lit(default))
 
 
+def cast_reason(text: Column, value: Column, field: T.StructField) -> Column:
+    """Why a text is not accepted for a target field, given what it was read as; NULL when it is."""
+    defaulted = not field.nullable and default_text(field) is not None
+    given = F.lit(True) if defaulted else text.isNotNull()
+    reason = F.when(given & value.isNull(), F.lit(f"cast:{field.name}:{field.dataType.simpleString()}"))
+    if not field.nullable and not defaulted:
+        reason = F.coalesce(F.when(text.isNull(), F.lit(f"not_null:{field.name}")), reason)
+    return reason
+
+
 def cast_value(text: Column, field: T.StructField) -> tuple[Column, Column]:
     """(typed value, reject reason or NULL) of a text for a target field."""
-    resolved = resolve_null(text, field)
-    value = parse_text(resolved, field)
-    reason = F.when(resolved.isNotNull() & value.isNull(), F.lit(f"cast:{field.name}:{field.dataType.simpleString()}"))
-    if not field.nullable:
-        reason = F.coalesce(F.when(resolved.isNull(), F.lit(f"not_null:{field.name}")), reason)
-    return value, reason
+    value = parse_text(resolve_null(text, field), field)
+    return value, cast_reason(text, value, field)
 
 
 def annotate_casts(
     rows: DataFrame, fields: list[T.StructField], carried: list[str] | tuple[str, ...] = (), keep_text: bool = False
 ) -> DataFrame:
-    """Typed columns plus ``_reject_reason``; ``keep_text`` adds the original texts as one struct ``_text``."""
-    pairs = [cast_value(name_column(field.name), field) for field in fields]
-    columns = [value.alias(field.name) for field, (value, _) in zip(fields, pairs, strict=True)]
-    reasons = [reason for _, reason in pairs]
-    if REASON in rows.columns:
-        reasons.insert(0, F.col(REASON))
-    extra = [F.struct(*[name_column(f.name) for f in fields]).alias("_text")] if keep_text else []
-    return rows.select(*carried, *columns, *extra, F.coalesce(*reasons).alias(REASON))
+    """Typed columns plus ``_reject_reason``; ``keep_text`` adds the original texts as one struct ``_text``.
+
+    Two projections: values first, then the reasons, which look at the values and so cast nothing a second time.
+    """
+    has_reason = REASON in rows.columns
+    texts = F.struct(*[name_column(field.name) for field in fields]).alias("_text")
+    values = [parse_text(resolve_null(name_column(f.name), f), f).alias(f.name) for f in fields]
+    typed = rows.select(*carried, *values, texts, *([REASON] if has_reason else []))
+    reasons = [F.col(REASON)] if has_reason else []
+    reasons += [cast_reason(F.col("_text").getField(f.name), name_column(f.name), f) for f in fields]
+    kept = [*carried, *[f.name for f in fields], *(["_text"] if keep_text else [])]
+    return typed.select(*map(name_column, kept), F.coalesce(*reasons).alias(REASON))
 
 
 def cast_to(

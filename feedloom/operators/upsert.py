@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from feedloom.functions.casts import default_value
 from feedloom.functions.text import name_column
 
-# On-disk size up to which a materialised source is sent to all executors.
-BROADCAST_BYTES = 32 * 1024 * 1024
+# On-disk size up to which a written source is sent to all executors; decoded it is several times larger.
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def upsert(

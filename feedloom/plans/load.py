@@ -1,17 +1,19 @@
 """Whole runs: files (and archives) -> records -> table rows -> upsert, with reports and quarantined rows.
 
-Between the steps that need a shuffle the data is written to the work folder. Every file is parsed once whatever the
-number of tables, the size of what is to be upserted is known before the join is planned, and a lost executor costs a
-re-read of a Parquet file and not a re-parse of XML.
+Records are written to the work folder once they are parsed and checked. So every file is parsed once whatever the
+number of tables, a bound for the size of what is to be upserted is known before the join is planned, and a lost
+executor costs a re-read of a Parquet file and not a re-parse of XML.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,14 +22,20 @@ from feedloom.functions.text import name_column
 from feedloom.operators.dedup import dedup_first, mark_missing_key, number_rows
 from feedloom.operators.fanout import project_to_target, table_rows, target_fields
 from feedloom.operators.reports import file_counts, run_summary, table_counts
-from feedloom.operators.validate import annotate
+from feedloom.operators.validate import MALFORMED_DOCUMENT, annotate
 from feedloom.plans.columns import MALFORMED, POSITION, REASON, SOURCE, SOURCE_NAME
 from feedloom.plans.mapping import Mapping, TableId, load_mappings
 from feedloom.sinks.tables import directory_bytes, scratch_dir
-from feedloom.sources.archives import DEFAULT_MAX_MEMBER_BYTES, extract_archives
+from feedloom.sources.archives import (
+    ARCHIVE_GLOB,
+    DEFAULT_MAX_MEMBER_BYTES,
+    extract_archives,
+    is_compressed_xml,
+)
 from feedloom.sources.files import list_files, mapping_index, route, source_name
 from feedloom.sources.xml import read_records
 
+PARALLEL_TABLES = 4
 REJECTED = "source string, table_name string, reason string, row string"
 
 
@@ -55,13 +63,29 @@ def typed_rows(rows: DataFrame, mapping: Mapping, table: TableId, target: T.Stru
     return annotate_casts(projected, fields, [SOURCE, POSITION], keep_text=True)
 
 
+def variant_texts(mapping: Mapping, table: TableId, target: T.StructType) -> Column:
+    """Whether a key of a typed row is written in another way than its value, such as 01 for 1."""
+    by_lower = {field.name.lower(): field for field in target.fields}
+    odd = F.lit(False)
+    for key in (by_lower[name.lower()] for name in mapping.db[table].unique_columns):
+        if not isinstance(key.dataType, T.StringType):
+            odd = odd | (F.col("_text").getField(key.name) != name_column(key.name).cast("string"))
+    return odd
+
+
 def unique_rows(
-    typed: DataFrame, mapping: Mapping, table: TableId, target: T.StructType, winner: str = "first"
+    typed: DataFrame,
+    mapping: Mapping,
+    table: TableId,
+    target: T.StructType,
+    winner: str = "first",
+    has_variants: bool = True,
 ) -> DataFrame:
     """One row per key: the first of equal key texts, the last of texts that mean one typed key; a later file wins.
 
     With ``winner='batch'`` a later batch (of the mapping's ``batch_size`` rows of one file) wins over an earlier one,
     as when batches are written one after the other; this costs a numbering of the rows of each file.
+    ``has_variants=False`` says that no key is written in two ways, and one pass does.
     """
     if winner not in ("first", "batch"):
         raise ValueError(f"winner must be 'first' or 'batch', got {winner!r}")
@@ -70,24 +94,26 @@ def unique_rows(
     names = [field.name for field in target_fields(target, mapping.target_columns(table))]
     if not keys:
         return typed.select(*map(name_column, names))
-    key_texts = [f"_key{i}" for i in range(len(keys))]
-    texts = [F.col("_text").getField(key).alias(name) for key, name in zip(keys, key_texts, strict=True)]
-    rows = typed.select(SOURCE, POSITION, *map(name_column, names), *texts)
     block, index = F.col(POSITION).getField("block"), F.col(POSITION).getField("index")
+    rows = typed
     if winner == "batch":
         rows = number_rows(rows, SOURCE, [block, index])
         batch = F.floor(F.col("_sequence") / mapping.db[table].batch_size)
         order = F.struct(F.col(SOURCE), batch, -F.col("_sequence"))
     else:
         order = F.struct(F.col(SOURCE), -block, -index)
-    unique = dedup_first(rows, key_texts, [order], keep="last")
-    if not all(isinstance(by_lower[key.lower()].dataType, T.StringType) for key in keys):
-        unique = dedup_first(unique, keys, [F.col(SOURCE), F.col(POSITION)], keep="last")
-    return unique.select(*map(name_column, names))
+    columns = list(map(name_column, names))
+    if not has_variants:
+        return dedup_first(rows.select(*columns, order.alias("_order")), keys, ["_order"], keep="last").drop("_order")
+    key_texts = [f"_key{i}" for i in range(len(keys))]
+    texts = [F.col("_text").getField(key).alias(name) for key, name in zip(keys, key_texts, strict=True)]
+    by_text = dedup_first(
+        rows.select(SOURCE, POSITION, *columns, *texts, order.alias("_order")), key_texts, ["_order"], keep="last"
+    )
+    return dedup_first(by_text, keys, [SOURCE, POSITION], keep="last").select(*columns)
 
 
-def _as_rejected(frame: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    row = F.to_json(F.struct(*map(name_column, columns)))
+def _rejected_rows(frame: DataFrame, table: str, row) -> DataFrame:
     return frame.where(F.col(REASON).isNotNull()).select(
         F.col(SOURCE).alias("source"), F.lit(table).alias("table_name"), F.col(REASON).alias("reason"), row.alias("row")
     )
@@ -105,44 +131,51 @@ def load_records(
     winner: str = "first",
     token: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Loads the records of one mapping; returns (file counts, table counts, rejected rows)."""
-    annotated = annotate(records, mapping.xml)
-    annotated.write.parquet(f"{work_dir}/records")
-    annotated = spark.read.parquet(f"{work_dir}/records")
+    """Loads the records of one mapping; returns (file counts, table counts, rejected rows).
+
+    Records are written once as text columns; casts are cheap enough to be done again by each reader of them.
+    """
+    if on_error not in ("quarantine", "fail"):
+        raise ValueError(f"on_error must be 'quarantine' or 'fail', got {on_error!r}")
+    staged = f"{work_dir}/records"
+    annotate(records, mapping.xml).write.parquet(staged)
+    annotated = spark.read.parquet(staged)
     valid = annotated.where(F.col(REASON).isNull()).drop(REASON, MALFORMED)
-    counts = file_counts(annotated)
-    rejected = [_as_rejected(annotated, "", list(mapping.xml.values))]
-    staged: dict[TableId, DataFrame] = {}
-    for table in mapping.loaded_tables:
-        typed = typed_rows(table_rows(valid, mapping, table), mapping, table, targets[table])
-        location = f"{work_dir}/rows/{table}"
-        typed.write.parquet(location)
-        staged[table] = spark.read.parquet(location)
-        rejected.append(
-            staged[table]
-            .where(F.col(REASON).isNotNull())
-            .select(
-                F.col(SOURCE).alias("source"),
-                F.lit(str(table)).alias("table_name"),
-                F.col(REASON).alias("reason"),
-                F.to_json("_text").alias("row"),
-            )
-        )
-    all_rejected = reduce(DataFrame.unionByName, rejected)
+    rows = {table: table_rows(valid, mapping, table) for table in mapping.loaded_tables}
+    typed = {table: typed_rows(frame, mapping, table, targets[table]) for table, frame in rows.items()}
+
+    all_values = F.to_json(F.struct(*map(name_column, mapping.xml.values)))
+    parts = [_rejected_rows(annotated, "", all_values)]
+    seen = {table: Observation() for table in typed}
+    for table, frame in typed.items():
+        # The pass that looks for rejects also tells how keys are written.
+        odd = F.bool_or(variant_texts(mapping, table, targets[table])).alias("odd")
+        parts.append(_rejected_rows(frame.observe(seen[table], odd), str(table), F.to_json("_text")))
+    reduce(DataFrame.unionByName, parts).write.parquet(f"{work_dir}/rejected")
+    rejected = spark.read.parquet(f"{work_dir}/rejected")
     if on_error == "fail":
-        errors = all_rejected.where((F.col("table_name") != "") | (F.col("reason") == "malformed_document"))
-        first = errors.first()
+        first = rejected.where((F.col("table_name") != "") | (F.col("reason") == MALFORMED_DOCUMENT)).first()
         if first is not None:
             raise LoadError(f"{first.source}: {first.table_name or 'document'}: {first.reason}")
-    for table, typed in staged.items():
-        loadable = unique_rows(typed.where(F.col(REASON).isNull()), mapping, table, targets[table], winner)
-        location = f"{work_dir}/unique/{table}"
-        loadable.write.parquet(location)
+
+    staged_bytes = directory_bytes(spark, staged)
+
+    def load(table: TableId) -> None:
+        # Counting is also a fence: a filter below the casts would do them twice.
+        counted = typed[table].observe(f"rows of {table}", F.count("*").alias("rows"))
+        loadable = counted.where(F.col(REASON).isNull())
         by_lower = {field.name.lower(): field.name for field in targets[table].fields}
         keys = [by_lower[key.lower()] for key in mapping.db[table].unique_columns]
-        store.load(table, spark.read.parquet(location), keys, token, directory_bytes(spark, location))
-    batch_sizes = {table: mapping.db[table].batch_size for table in staged}
-    return counts, table_counts(staged, batch_sizes), all_rejected
+        unique = unique_rows(loadable, mapping, table, targets[table], winner, bool(seen[table].get["odd"]))
+        # The rows of a table are at most as large as all records.
+        store.load(table, unique, keys, token, staged_bytes)
+
+    # Tables are independent jobs over the same staged records.
+    with ThreadPoolExecutor(max_workers=PARALLEL_TABLES) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(load), table) for table in rows]:
+            done.result()
+    batch_sizes = {table: mapping.db[table].batch_size for table in rows}
+    return file_counts(annotated), table_counts(rows, batch_sizes), rejected
 
 
 def run(
@@ -169,10 +202,17 @@ def run(
     work_dir = work_dir or scratch_dir(spark, "run")
     paths = [path] if isinstance(path, str) else list(path)
     archive_errors = None
-    if archives:
+    if archives and not list_files(spark, paths, ARCHIVE_GLOB).where(~is_compressed_xml(F.col("file_name"))).isEmpty():
         masks = list(dict.fromkeys(p for m in mappings for p in m.xml.files))
         manifest = extract_archives(
-            spark, paths, f"{work_dir}/extracted", masks, max_member_bytes, xml_only=True, on_error=on_error
+            spark,
+            paths,
+            f"{work_dir}/extracted",
+            masks,
+            max_member_bytes,
+            xml_only=True,
+            on_error=on_error,
+            compressed_xml=False,
         )
         manifest.write.parquet(f"{work_dir}/manifest")
         manifest = spark.read.parquet(f"{work_dir}/manifest")

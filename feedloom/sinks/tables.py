@@ -82,10 +82,13 @@ class ParquetTables:
         token: str | None = None,
         source_bytes: int | None = None,
     ) -> None:
-        """Upsert unique rows (append without keys)."""
+        """Upsert unique rows (append without keys). ``source_bytes`` is an upper bound of their size on disk."""
         if token and self.is_loaded(table, token):
             return
-        merged = upsert(self.read(table), rows, keys, self.targets[table], source_bytes)
+        target = self.read(table)
+        if not self._versions(table):
+            keys = []  # nothing to meet: unique rows are only completed with defaults
+        merged = upsert(target, rows, keys, self.targets[table], source_bytes)
         self.replace(table, merged, token)
 
     def drop_old_versions(self, table: TableId, keep: int = 2) -> None:

@@ -10,15 +10,20 @@ from __future__ import annotations
 
 import bz2
 import gzip
+import sys
 import tarfile
 import zipfile
 from collections.abc import Iterator, Sequence
 from contextlib import ExitStack
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Executors get these functions with the task and need no installation of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DEFAULT_MAX_MEMBER_BYTES = 1024**3
 ARCHIVE_GLOB = "*.{[zZ][iI][pP],[tT][aA][rR],[tT][gG][zZ],[tT][bB][zZ]2,[gG][zZ],[bB][zZ]2}"
 
@@ -46,6 +51,11 @@ def archive_kind(path: Column) -> Column:
     return kind
 
 
+def is_compressed_xml(name: Column) -> Column:
+    """``x.xml.gz`` and ``x.xml.bz2`` need no expansion: Spark's reader takes them as they are."""
+    return name.rlike(r"(?i)\.xml\.(gz|bz2)$")
+
+
 def _open(path: str, stack: ExitStack):
     """Open for seeking reads: a local path by Python, any other scheme by Arrow's file systems."""
     if path.startswith("file:") or "://" not in path:
@@ -98,7 +108,7 @@ def _list_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(rows, columns=names)
 
 
-def list_members(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def list_members(spark: SparkSession, path: str | Sequence[str], compressed_xml: bool = True) -> DataFrame:
     """(archive_path, kind, member, ordinal, declared_size, is_file); an unreadable archive is one ``error:`` row."""
     archives = (
         spark.read.format("binaryFile")
@@ -108,6 +118,8 @@ def list_members(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         .select(F.col("path").alias("archive_path"), archive_kind(F.col("path")).alias("kind"))
         .where(F.col("kind").isNotNull())
     )
+    if not compressed_xml:
+        archives = archives.where(~is_compressed_xml(F.col("archive_path")))
     # Listing reads whole compressed tars, so archives are spread first; only their paths move.
     return archives.repartition("archive_path").mapInPandas(_list_archives, _LISTED)
 
@@ -241,13 +253,15 @@ def extract_archives(
     max_member_bytes: int = DEFAULT_MAX_MEMBER_BYTES,
     xml_only: bool = False,
     on_error: str = "quarantine",
+    compressed_xml: bool = True,
 ) -> DataFrame:
     """Writes members as files below ``out_dir``, a folder all executors share, for scans that stream large files.
 
     Returns (archive_path, member, size, extracted_path, error). A file appears under its name only when complete, and
     a repeated task writes the same file again, so lost executors do no harm. Member paths never leave ``out_dir``.
     """
-    chosen = _spread(select_members(list_members(spark, path), masks, max_member_bytes, xml_only))
+    listed = list_members(spark, path, compressed_xml)
+    chosen = _spread(select_members(listed, masks, max_member_bytes, xml_only))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for archive, member, content, error in _each_member(batches, max_member_bytes):

@@ -6,14 +6,20 @@ error are good and have to be kept.
 
 from __future__ import annotations
 
+import sys
 from xml.parsers import expat
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Executors get these functions with the task and need no installation of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def complete_elements(document: str, path: tuple[str, ...]) -> list[str]:
     """Markup of the elements at exactly ``path`` that end before the first error. Prefixes are removed from names."""
     found: list[str] = []

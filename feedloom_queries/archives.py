@@ -5,12 +5,14 @@ from __future__ import annotations
 import bz2
 import gzip
 import io
+import sys
 import tarfile
 import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ from feedloom.sources.archives import decode_content, expand_archives, extract_a
 from feedloom.sources.xml import parse_column, read_records
 from feedloom_queries.common import as_type, attribute, content, element, table, text_of
 
+# Executors get these functions with the task and need no installation of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CUSTOMERS = XmlSpec(("customers", "customer"), {"c_custkey": attribute("id"), "c_name": content("name")})
 _FORMATS = (".zip", ".tar", ".tar.gz", ".tar.bz2", ".tgz", ".tbz2")
 
