@@ -98,11 +98,12 @@ def to_bytes(text: Column) -> Column:
 
 
 def is_json(text: Column) -> Column:
-    """True for exactly one JSON value. Spark's parsers ignore what follows the first value; inside an array and an
+    """True for exactly one JSON value. The strict parser ignores what follows the first value; inside an array and an
     object nothing can follow: the first bracket too many is wrong in one of the two, and a comma makes two elements."""
     in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.coalesce((in_array == 1) & in_object.isNotNull(), F.lit(False))
+    strict = F.try_parse_json(text).isNotNull()
+    return F.coalesce(strict & (in_array == 1) & in_object.isNotNull(), F.lit(False))
 
 
 def to_json_text(text: Column) -> Column:

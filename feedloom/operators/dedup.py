@@ -58,12 +58,12 @@ def number_rows(
     group = [name_column(source), *map(F.col, range_names)]
     counts = cut.groupBy(*group).agg(F.count("*").alias("_n"))
     before = W.partitionBy(name_column(source)).orderBy(*range_names).rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(*group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    matches = [cut[n].eqNullSafe(offsets[n]) for n in (source, *range_names)]
-    condition = matches[0]
-    for match in matches[1:]:
-        condition = condition & match
-    joined = cut.join(offsets, condition).drop(*[offsets[n] for n in (source, *range_names)])
+    sums = F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+    offsets = counts.select(*[name_column(n).alias(f"_in_{i}") for i, n in enumerate((source, *range_names))], sums)
+    condition = F.lit(True)
+    for i, name_ in enumerate((source, *range_names)):
+        condition = condition & name_column(name_).eqNullSafe(F.col(f"_in_{i}"))
+    joined = cut.join(offsets, condition).select(*map(name_column, cut.columns), "_before")
     within = W.partitionBy(*group).orderBy("_at")
     numbered = joined.withColumn(name, F.col("_before") + F.row_number().over(within) - 1)
     return numbered.drop("_before", "_at", *range_names)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.functions.casts import default_text, parse_text
 from feedloom.functions.text import name_column
 from feedloom.plans.columns import POSITION, SOURCE, SOURCE_NAME
 from feedloom.plans.mapping import Mapping, MappingError, TableId
@@ -64,6 +65,24 @@ def target_fields(target: T.StructType, columns: list[str], unique: list[str] |
     return [field for field in target.fields if field.name.lower() in mapped]
 
 
+def check_target(mapping: Mapping, table: TableId, target: T.StructType) -> None:
+    """Errors that a load would meet in every row: unique columns without values, NOT NULL columns left out."""
+    columns, unique = mapping.target_columns(table), mapping.db[table].unique_columns
+    target_fields(target, columns, unique)
+    loaded = {name.lower() for name in columns}
+    never = [name for name in unique if name.lower() not in loaded]
+    if never:
+        raise MappingError(f"unique columns of {table} that get no value: {never}")
+    for field in target.fields:
+        if field.name.lower() in loaded:
+            parse_text(F.lit(None).cast("string"), field)  # raises for a type that cannot be loaded
+    left_out = [
+        f.name for f in target.fields if not f.nullable and f.name.lower() not in loaded and default_text(f) is None
+    ]
+    if left_out:
+        raise MappingError(f"NOT NULL columns of {table} without value and default: {left_out}")
+
+
 def project_to_target(
     rows: DataFrame, target: T.StructType, columns: list[str], carried: list[str] | tuple[str, ...] = ()
 ) -> DataFrame:

@@ -55,8 +55,10 @@ def _on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str
 def _merge(target, marked, keys, key_set, schema, names, how) -> DataFrame:
     by_name = {field.name: field for field in schema.fields}
     old = target.withColumn("_known", F.lit(True))
-    # Rows with a NULL key never match, and all hash alike: a salt spreads them.
-    nullable = [name_column(key).isNull() for key in keys if target.schema[_actual(target, key)].nullable]
+    # Rows with a NULL key never match, and all hash alike: a salt spreads them. Keys declared NOT NULL need none, and
+    # a source that is already partitioned by the keys is then not shuffled again.
+    declared = {field.name.lower(): field.nullable for field in schema.fields}
+    nullable = [name_column(key).isNull() for key in keys if declared.get(key.lower(), True)]
     if how == "full_outer" and nullable:
         no_key = nullable[0]
         for condition in nullable[1:]:
@@ -81,10 +83,6 @@ def _merge(target, marked, keys, key_set, schema, names, how) -> DataFrame:
     return joined.select(*columns)
 
 
-def _actual(df: DataFrame, name: str) -> str:
-    return next(c for c in df.columns if c.lower() == name.lower())
-
-
 def _unknown(source: DataFrame, target: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Source rows whose key the target does not have; reads the key columns of the target only."""
     known = target.select(*[name_column(key).alias(f"_known_{key.lower()}") for key in keys])

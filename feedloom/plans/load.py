@@ -20,11 +20,11 @@ from pyspark.sql import types as T
 from feedloom.functions.casts import annotate_casts
 from feedloom.functions.text import name_column
 from feedloom.operators.dedup import dedup_first, mark_missing_key, number_rows
-from feedloom.operators.fanout import project_to_target, table_rows, target_fields
+from feedloom.operators.fanout import check_target, project_to_target, table_rows, target_fields
 from feedloom.operators.reports import file_counts, run_summary, table_counts
 from feedloom.operators.validate import MALFORMED_DOCUMENT, annotate
 from feedloom.plans.columns import MALFORMED, POSITION, REASON, SOURCE, SOURCE_NAME
-from feedloom.plans.mapping import Mapping, TableId, load_mappings
+from feedloom.plans.mapping import Mapping, MappingError, TableId, load_mappings
 from feedloom.sinks.tables import directory_bytes, scratch_dir
 from feedloom.sources.archives import (
     ARCHIVE_GLOB,
@@ -33,7 +33,7 @@ from feedloom.sources.archives import (
     is_compressed_xml,
 )
 from feedloom.sources.files import list_files, mapping_index, route, source_name
-from feedloom.sources.xml import read_records
+from feedloom.sources.xml import read_decoded, read_records
 
 PARALLEL_TABLES = 4
 REJECTED = "source string, table_name string, reason string, row string"
@@ -130,16 +130,25 @@ def load_records(
     on_error: str = "quarantine",
     winner: str = "first",
     token: str | None = None,
+    expected: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Loads the records of one mapping; returns (file counts, table counts, rejected rows).
 
     Records are written once as text columns; casts are cheap enough to be done again by each reader of them.
+    ``expected`` (file_path, file_name) names the files the records are from: those that gave none are read once more,
+    decoded with replacement of wrong bytes. Most of them are just empty.
     """
     if on_error not in ("quarantine", "fail"):
         raise ValueError(f"on_error must be 'quarantine' or 'fail', got {on_error!r}")
     staged = f"{work_dir}/records"
     annotate(records, mapping.xml).write.parquet(staged)
     annotated = spark.read.parquet(staged)
+    if expected is not None:
+        silent = expected.join(annotated.select(SOURCE).distinct(), F.col("file_path") == F.col(SOURCE), "left_anti")
+        if not silent.isEmpty():
+            # The frame reads the staged folder as it was listed before this append.
+            annotate(read_decoded(silent, mapping.xml), mapping.xml).write.mode("append").parquet(staged)
+            annotated = spark.read.parquet(staged)
     valid = annotated.where(F.col(REASON).isNull()).drop(REASON, MALFORMED)
     rows = {table: table_rows(valid, mapping, table) for table in mapping.loaded_tables}
     typed = {table: typed_rows(frame, mapping, table, targets[table]) for table, frame in rows.items()}
@@ -198,7 +207,9 @@ def run(
         mappings = load_mappings(mappings)
     for mapping in mappings:
         for table in mapping.loaded_tables:
-            target_fields(targets[table], mapping.target_columns(table), mapping.db[table].unique_columns)
+            if table not in targets:
+                raise MappingError(f"no target schema for table {table}")
+            check_target(mapping, table, targets[table])
     work_dir = work_dir or scratch_dir(spark, "run")
     paths = [path] if isinstance(path, str) else list(path)
     archive_errors = None
@@ -228,7 +239,10 @@ def run(
     counts, tables, rejected = [], [], []
     for index in used:
         chosen = mapping_index(source_name(F.col("_metadata.file_name")), mappings) == index
-        records = read_records(spark, paths, mappings[index].xml, scan=scan, encoding=encoding, files=chosen)
+        whole = scan == "document" and encoding is None
+        records = read_records(
+            spark, paths, mappings[index].xml, scan=scan, encoding=encoding, files=chosen, skip_unreadable=whole
+        )
         parts = load_records(
             spark,
             records,
@@ -238,6 +252,7 @@ def run(
             f"{work_dir}/mapping{index}",
             on_error=on_error,
             winner=winner,
+            expected=routed.where(F.col("mapping_index") == index).select("file_path", "file_name") if whole else None,
         )
         for collected, part in zip((counts, tables, rejected), parts, strict=True):
             collected.append(part)

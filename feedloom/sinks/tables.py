@@ -1,4 +1,4 @@
-"""Where table rows end up: versioned Parquet tables, or a relational database over JDBC."""
+"""Where table rows end up: versioned Parquet tables, mergeable catalog tables, or a database over JDBC."""
 
 from __future__ import annotations
 
@@ -136,6 +136,39 @@ def spark_merge_statement(target: str, source: str, columns: Sequence[str], keys
     )
 
 
+class MergeTables:
+    """Upsert into catalog tables of a format with row-level changes. The format decides which files are rewritten, so
+    that a small load into a huge table stays small; ``ParquetTables`` writes a table anew with every load.
+
+    ``names`` gives the catalog name of each table, by default ``schema.table``.
+    """
+
+    def __init__(self, spark: SparkSession, names: dict[TableId, str] | None = None) -> None:
+        self.spark, self.names = spark, names or {}
+
+    def statement(self, table: TableId, source: str, columns: Sequence[str], keys: Sequence[str]) -> str:
+        target = self.names.get(table) or f"`{table.schema}`.`{table.name}`"
+        if keys:
+            return spark_merge_statement(target, source, columns, keys)
+        listed = ", ".join(f"`{column}`" for column in columns)
+        return f"INSERT INTO {target} ({listed}) SELECT {listed} FROM {source}"
+
+    def load(
+        self,
+        table: TableId,
+        rows: DataFrame,
+        keys: Sequence[str],
+        token: str | None = None,
+        source_bytes: int | None = None,
+    ) -> None:
+        view = f"load_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        try:
+            self.spark.sql(self.statement(table, view, rows.columns, keys))
+        finally:
+            self.spark.catalog.dropTempView(view)
+
+
 class JdbcTables:
     """Upsert into a database: parallel write to a staging table, then one statement there, so readers see all or none.
 

@@ -8,8 +8,6 @@ between listing and reading; members they refuse are not read.
 
 from __future__ import annotations
 
-import bz2
-import gzip
 import sys
 import tarfile
 import zipfile
@@ -21,6 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.sources.documents import decompressor, open_file
+
 # Executors get these functions with the task and need no installation of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -56,21 +56,6 @@ def is_compressed_xml(name: Column) -> Column:
     return name.rlike(r"(?i)\.xml\.(gz|bz2)$")
 
 
-def _open(path: str, stack: ExitStack):
-    """Open for seeking reads: a local path by Python, any other scheme by Arrow's file systems."""
-    if path.startswith("file:") or "://" not in path:
-        local = path.removeprefix("file:")
-        return stack.enter_context(open("/" + local.lstrip("/") if path.startswith("file:") else local, "rb"))
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path)
-    return stack.enter_context(system.open_input_file(inner))
-
-
-def _decompressor(path: str, raw):
-    return bz2.open(raw) if path.lower().endswith("bz2") else gzip.open(raw)
-
-
 def _single_name(path: str) -> str:
     name = path.rpartition("/")[2]
     return name[: name.rindex(".")]
@@ -78,14 +63,14 @@ def _single_name(path: str) -> str:
 
 def _list_one(path: str, kind: str) -> Iterator[tuple]:
     with ExitStack() as stack:
-        raw = _open(path, stack)
+        raw = open_file(path, stack)
         if kind == "zip":
             for i, info in enumerate(zipfile.ZipFile(raw).infolist()):
                 yield path, kind, info.filename, i, info.file_size, not info.is_dir()
         elif kind == "single":
             yield path, kind, _single_name(path), 0, None, True
         else:
-            stream = raw if kind == "tar" else stack.enter_context(_decompressor(path, raw))
+            stream = raw if kind == "tar" else stack.enter_context(decompressor(path, raw))
             with tarfile.open(fileobj=stream, mode="r:" if kind == "tar" else "r|") as tar:
                 for i, info in enumerate(tar):
                     tar.members = []  # the listing of a huge archive is not kept in memory
@@ -114,8 +99,8 @@ def list_members(spark: SparkSession, path: str | Sequence[str], compressed_xml:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path if isinstance(path, str) else list(path))
-        .where(F.col("length") > 0)
-        .select(F.col("path").alias("archive_path"), archive_kind(F.col("path")).alias("kind"))
+        .where(F.col("_metadata.file_size") > 0)
+        .select(F.col("_metadata.file_path").alias("archive_path"), archive_kind(F.col("_metadata.file_name")).alias("kind"))
         .where(F.col("kind").isNotNull())
     )
     if not compressed_xml:
@@ -168,13 +153,13 @@ class _Reader:
     def _switch(self, path: str, kind: str) -> None:
         self.close()
         self.path = path
-        raw = _open(path, self.stack)
+        raw = open_file(path, self.stack)
         if kind == "zip":
             self.archive = self.stack.enter_context(zipfile.ZipFile(raw))
         elif kind == "single":
-            self.archive = self.stack.enter_context(_decompressor(path, raw))
+            self.archive = self.stack.enter_context(decompressor(path, raw))
         else:
-            stream = raw if kind == "tar" else self.stack.enter_context(_decompressor(path, raw))
+            stream = raw if kind == "tar" else self.stack.enter_context(decompressor(path, raw))
             self.archive = self.stack.enter_context(tarfile.open(fileobj=stream, mode="r:" if kind == "tar" else "r|"))
             self.entries = enumerate(self.archive)
 
@@ -295,37 +280,3 @@ def _write_member(out_dir: str, archive: str, member: str, content: bytes) -> st
     system.move(unfinished, f"{directory}/{name}")
     return f"{out_dir.rstrip('/')}/{folder}/{name}"
 
-
-def decode_content(content: Column) -> Column:
-    """Text of XML bytes: by byte order mark, else by the XML declaration, else UTF-8."""
-
-    @F.pandas_udf("string")
-    def decode(contents: pd.Series) -> pd.Series:
-        return contents.map(_decode_xml)
-
-    return decode(content)
-
-
-# Byte order marks and the encodings they stand for, longest first.
-_MARKS = (
-    (b"\x00\x00\xfe\xff", "utf-32-be"),
-    (b"\xff\xfe\x00\x00", "utf-32-le"),
-    (b"\xef\xbb\xbf", "utf-8"),
-    (b"\xfe\xff", "utf-16-be"),
-    (b"\xff\xfe", "utf-16-le"),
-)
-
-
-def _decode_xml(content: bytes | None) -> str | None:
-    import re
-
-    if content is None:
-        return None
-    for mark, encoding in _MARKS:
-        if content.startswith(mark):
-            return content[len(mark) :].decode(encoding, errors="replace")
-    declared = re.search(rb"""<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._:-]+)["']""", content[:1024])
-    try:
-        return content.decode(declared.group(1).decode("ascii") if declared else "utf-8", errors="replace")
-    except LookupError:
-        return content.decode("utf-8", errors="replace")

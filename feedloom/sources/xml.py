@@ -32,6 +32,7 @@ from feedloom.plans.compiler import (
     record_schema,
 )
 from feedloom.plans.mapping import MappingError, XmlSpec
+from feedloom.sources.documents import read_documents
 from feedloom.sources.files import XML_GLOB, source_name
 from feedloom.sources.recover import recovered_records
 
@@ -73,7 +74,7 @@ def _check(spec: XmlSpec, scan: str, mode: str) -> None:
 
 
 def configure_reader(
-    reader, spark: SparkSession, spec: XmlSpec, scan: str, mode: str, encoding: str | None, glob: str | None
+    reader, spark: SparkSession, spec: XmlSpec, scan: str, mode: str, glob: str | None
 ):
     """Set up a batch or stream reader for the ``document`` or ``record`` scan of a spec."""
     case_sensitive = _is_case_sensitive(spark)
@@ -89,8 +90,6 @@ def configure_reader(
     )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if encoding:
-        reader = reader.option("encoding", encoding)
     return reader
 
 
@@ -130,21 +129,32 @@ def read_records(
     glob: str | None = XML_GLOB,
     large_file_bytes: int = LARGE_FILE_BYTES,
     split_tag: str | None = None,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """One row per record: the values of ``spec`` as text columns, and ``_source _source_name _position _malformed``.
 
     ``files`` is a condition on ``_metadata`` (name, path, size); files it refuses are not opened. ``mode`` decides on
     malformed documents: PERMISSIVE keeps the records before the error and adds one marker row, DROPMALFORMED leaves
     the marker out, FAILFAST ends the job.
+
+    Encodings are found by Spark. One given by ``encoding`` overrides what a file says; such files are read as whole
+    documents whatever the scan. Bytes that are wrong in a file's encoding end the job: ``skip_unreadable`` leaves such
+    files out of a ``document`` scan, to be read by ``read_decoded``.
     """
     _check(spec, scan, mode)
     paths = path if isinstance(path, str) else list(path)
     wanted = F.col("_metadata.file_size") > 0
     if files is not None:
         wanted = wanted & files
+    if encoding:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if glob:
+            listed = listed.option("pathGlobFilter", glob)
+        found = listed.load(paths).where(wanted).select("_metadata.file_path", "_metadata.file_name")
+        return read_decoded(found, spec, mode=mode, encoding=encoding, on_repeat=on_repeat)
     if scan == "auto":
         size = F.col("_metadata.file_size")
-        common = dict(mode=mode, encoding=encoding, on_repeat=on_repeat, glob=glob)
+        common = dict(mode=mode, on_repeat=on_repeat, glob=glob)
         small = read_records(
             spark, path, spec, scan="document", files=wanted & (size <= large_file_bytes), **common
         )
@@ -152,7 +162,11 @@ def read_records(
         return small.unionByName(large)
     if scan == "split":
         return _read_split(spark, paths, spec, wanted, glob, mode, on_repeat, split_tag or spec.root_path[-1])
-    reader = configure_reader(spark.read, spark, spec, scan, mode, encoding, glob)
+    reader = configure_reader(spark.read, spark, spec, scan, mode, glob)
+    if skip_unreadable:
+        if scan != "document":
+            raise ValueError("other scans would keep the first part of an unreadable file")
+        reader = reader.option("ignoreCorruptFiles", "true")
     return records_of_raw(reader.load(paths).where(wanted), spec, scan, mode, on_repeat)
 
 
@@ -163,7 +177,6 @@ def stream_records(
     *,
     scan: str = "document",
     mode: str = "PERMISSIVE",
-    encoding: str | None = None,
     glob: str | None = XML_GLOB,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -171,7 +184,7 @@ def stream_records(
     _check(spec, scan, mode)
     if scan not in ("document", "record"):
         raise ValueError("a stream scans by 'document' or 'record'")
-    reader: DataStreamReader = configure_reader(spark.readStream, spark, spec, scan, mode, encoding, glob)
+    reader: DataStreamReader = configure_reader(spark.readStream, spark, spec, scan, mode, glob)
     raw = reader.options(**(options or {})).load(path)
     # Metadata columns do not survive into foreachBatch, so they are taken along here.
     return raw.select("*", F.col("_metadata"))
@@ -192,25 +205,43 @@ def parse_column(
     ``source_column`` names the document (a file name or an id) and becomes ``_source`` and ``_source_name``.
     """
     _check(spec, "document", mode)
-    schema = document_schema(spec, _is_case_sensitive(df.sparkSession))
-    options = {**_PARSER_OPTIONS, "mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"}
     source = F.col(source_column).cast("string") if source_column else F.lit(None).cast("string")
-    parsed = df.select(
-        *keep,
-        source.alias(SOURCE),
-        source.alias(SOURCE_NAME),
-        (F.regexp_extract(xml_column, _ROOT_NAME, 1) == spec.root_path[0]).alias("root_fits"),
-        F.from_xml(xml_column, _with_corrupt(schema), options).alias("parsed"),
+    documents = df.select(
+        *keep, source.alias(SOURCE), source.alias(SOURCE_NAME), F.col(xml_column).alias("document"), F.lit(None).alias("error")
+    )
+    return _parse_documents(documents, spec, mode, on_repeat, [*keep, SOURCE, SOURCE_NAME])
+
+
+def read_decoded(
+    files: DataFrame, spec: XmlSpec, *, mode: str = "PERMISSIVE", encoding: str | None = None, on_repeat: str = "first"
+) -> DataFrame:
+    """Records of the files in a frame (file_path, file_name), decoded before they are parsed. A file that cannot be
+    opened gives a marker row like a malformed one."""
+    _check(spec, "document", mode)
+    documents = read_documents(files, encoding).select(
+        F.col("file_path").alias(SOURCE), source_name(F.col("file_name")).alias(SOURCE_NAME), "document", "error"
+    )
+    return _parse_documents(documents, spec, mode, on_repeat, [SOURCE, SOURCE_NAME])
+
+
+def _parse_documents(
+    documents: DataFrame, spec: XmlSpec, mode: str, on_repeat: str, carried: Sequence[str]
+) -> DataFrame:
+    schema = document_schema(spec, _is_case_sensitive(documents.sparkSession))
+    options = {**_PARSER_OPTIONS, "mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"}
+    parsed = documents.select(
+        *carried,
+        (F.regexp_extract("document", _ROOT_NAME, 1) == spec.root_path[0]).alias("root_fits"),
+        F.from_xml("document", _with_corrupt(schema), options).alias("parsed"),
+        "error",
     )
     node = F.struct(*[F.col("parsed").getField(name).alias(name) for name in schema.fieldNames()])
-    documents = parsed.select(
-        *keep,
-        SOURCE,
-        SOURCE_NAME,
+    nodes = parsed.select(
+        *carried,
         F.when(F.col("root_fits"), node).alias("node"),
-        F.col("parsed").getField(_CORRUPT).alias("corrupt"),
+        F.coalesce(F.col("parsed").getField(_CORRUPT), F.when(F.col("error").isNotNull(), F.lit(""))).alias("corrupt"),
     )
-    return _explode_documents(documents, spec, mode, on_repeat, [*keep, SOURCE, SOURCE_NAME])
+    return _explode_documents(nodes, spec, mode, on_repeat, carried)
 
 
 def _explode_documents(

@@ -42,7 +42,6 @@ def run_stream(
     checkpoint: str,
     *,
     scan: str = "document",
-    encoding: str | None = None,
     on_error: str = "quarantine",
     clean_up: str = "off",
     archive_dir: str | None = None,
@@ -54,7 +53,7 @@ def run_stream(
     for the tables that already have it, so that appends are not doubled either."""
     work_dir = work_dir or scratch_dir(spark, "stream")
     raw = stream_records(
-        spark, path, mapping.xml, scan=scan, encoding=encoding, options=source_options(clean_up, archive_dir, max_files)
+        spark, path, mapping.xml, scan=scan, options=source_options(clean_up, archive_dir, max_files)
     )
     wanted = mapping_index(source_name(F.col("_metadata.file_name")), [mapping]) == 0
 

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from feedloom.plans.mapping import XmlSpec
 from feedloom.sinks.tables import scratch_dir
-from feedloom.sources.archives import decode_content, expand_archives, extract_archives
+from feedloom.sources.archives import expand_archives, extract_archives
+from feedloom.sources.documents import decode_content
 from feedloom.sources.xml import parse_column, read_records
 from feedloom_queries.common import as_type, attribute, content, element, table, text_of
 
