@@ -33,7 +33,7 @@ from feedloom.sources.archives import (
     is_compressed_xml,
 )
 from feedloom.sources.files import list_files, mapping_index, route, source_name
-from feedloom.sources.xml import read_decoded, read_records
+from feedloom.sources.xml import LARGE_FILE_BYTES, read_decoded, read_records
 
 PARALLEL_TABLES = 4
 REJECTED = "source string, table_name string, reason string, row string"
@@ -194,12 +194,13 @@ def run(
     store,
     targets: dict[TableId, T.StructType],
     *,
-    scan: str = "document",
+    scan: str = "auto",
     on_error: str = "quarantine",
     winner: str = "first",
     encoding: str | None = None,
     archives: bool = True,
     max_member_bytes: int = DEFAULT_MAX_MEMBER_BYTES,
+    large_file_bytes: int = LARGE_FILE_BYTES,
     work_dir: str | None = None,
 ) -> LoadReport:
     """Load everything below ``path`` into the tables of the mappings."""
@@ -239,9 +240,16 @@ def run(
     counts, tables, rejected = [], [], []
     for index in used:
         chosen = mapping_index(source_name(F.col("_metadata.file_name")), mappings) == index
-        whole = scan == "document" and encoding is None
+        whole = scan in ("document", "auto") and encoding is None
         records = read_records(
-            spark, paths, mappings[index].xml, scan=scan, encoding=encoding, files=chosen, skip_unreadable=whole
+            spark,
+            paths,
+            mappings[index].xml,
+            scan=scan,
+            encoding=encoding,
+            files=chosen,
+            skip_unreadable=whole,
+            large_file_bytes=large_file_bytes,
         )
         parts = load_records(
             spark,

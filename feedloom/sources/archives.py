@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.documents import decompressor, open_file
+from feedloom.sources.documents import decompressor, open_file, spread_tasks
 
 # Executors get these functions with the task and need no installation of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -106,7 +106,7 @@ def list_members(spark: SparkSession, path: str | Sequence[str], compressed_xml:
     if not compressed_xml:
         archives = archives.where(~is_compressed_xml(F.col("archive_path")))
     # Listing reads whole compressed tars, so archives are spread first; only their paths move.
-    return archives.repartition("archive_path").mapInPandas(_list_archives, _LISTED)
+    return archives.repartition(spread_tasks(spark), "archive_path").mapInPandas(_list_archives, _LISTED)
 
 
 def select_members(
@@ -129,7 +129,8 @@ def select_members(
 def _spread(members: DataFrame) -> DataFrame:
     """Seekable members anywhere, the members of one compressed tar together and in order."""
     alone = F.when(F.col("kind") == "tar_compressed", F.lit("")).otherwise(F.col("member"))
-    return members.repartition("archive_path", alone).sortWithinPartitions("archive_path", "ordinal")
+    spread = members.repartition(spread_tasks(members.sparkSession), "archive_path", alone)
+    return spread.sortWithinPartitions("archive_path", "ordinal")
 
 
 def _read_limited(stream, limit: int) -> bytes:

@@ -16,7 +16,7 @@ from urllib.parse import unquote
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Executors get these functions with the task and need no installation of the package.
@@ -34,6 +34,12 @@ _DECLARED = re.compile(rb"""<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._:-]+)["'
 _DECLARATION_BYTES = 1024
 
 
+def spread_tasks(spark: SparkSession) -> int:
+    """Tasks for rows that are only names, while the work behind them is large. The number is always given to
+    ``repartition``: without one adaptive execution would see tiny partitions and put them all into one task."""
+    return 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def open_file(path: str, stack: ExitStack):
     """Open for seeking reads: a local path by Python, any other scheme by Arrow's file systems.
 
@@ -95,5 +101,5 @@ def read_documents(files: DataFrame, encoding: str | None = None) -> DataFrame:
                     {"file_path": [path], "file_name": [name], "document": [document], "error": [error]}
                 )
 
-    listed = files.select("file_path", "file_name").repartition("file_path")
+    listed = files.select("file_path", "file_name").repartition(spread_tasks(files.sparkSession), "file_path")
     return listed.mapInPandas(read, "file_path string, file_name string, document string, error string")

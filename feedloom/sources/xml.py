@@ -8,7 +8,8 @@ Three ways to scan files, all giving the same columns:
               memory; right when the tag occurs at the root path only (``tag_report`` tells).
 ``split``     As ``record``, and a large file is cut at record starts into many tasks. UTF-8 only; the tag must not be
               a prefix of a tag inside the record. A record cut wrongly is reported as malformed, never lost silently.
-``auto``      ``document`` up to ``large_file_bytes``, ``record`` beyond.
+``auto``      ``document``, but ``split`` for files above ``large_file_bytes`` if a look at their tags proves that it
+              gives the same records (``splits_exactly``). Right for every document, like ``document``.
 """
 
 from __future__ import annotations
@@ -38,7 +39,9 @@ from feedloom.sources.recover import recovered_records
 
 SCANS = ("document", "record", "split", "auto")
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
-LARGE_FILE_BYTES = 256 * 1024 * 1024
+LARGE_FILE_BYTES = 64 * 1024 * 1024
+# Longest piece the look at the tags takes up; a file that is one long piece is not read for it.
+LONGEST_PIECE = 256 * 1024 * 1024
 
 _CORRUPT = "_corrupt_document"
 _PARSER_OPTIONS = {
@@ -48,11 +51,12 @@ _PARSER_OPTIONS = {
     "ignoreSurroundingSpaces": "true",
     "columnNameOfCorruptRecord": _CORRUPT,
 }
-# Name of the first element, after byte order mark, declaration, comments, instructions and document type.
-_ROOT_NAME = (
-    r"^\x{FEFF}?(?:\s+|<\?(?s:.*?)\?>|<!--(?s:.*?)-->|<!DOCTYPE[^\[>]*(?:\[(?s:.*?)\]\s*)?>)*+"
-    r"<(?:[^\s/<>:]+:)*([^\s/<>:]+)"
-)
+# Byte order mark, declaration, comments, instructions and document type.
+_PROLOG = r"^\x{FEFF}?(?:\s+|<\?(?s:.*?)\?>|<!--(?s:.*?)-->|<!DOCTYPE[^\[>]*(?:\[(?s:.*?)\]\s*)?>)*+"
+_PREFIX = r"(?:[^\s/<>:]+:)*"
+_ROOT_NAME = rf"{_PROLOG}<{_PREFIX}([^\s/<>:]+)"
+_ATTRIBUTES = r"(?:\s+[^\s=<>/]+\s*=\s*(?:\"[^\"<]*\"|'[^'<]*'))*+\s*"
+_OTHER_ENCODING = r"^\x{FEFF}?<\?xml[^>]*encoding\s*=\s*[\"'](?!(?i:utf-8|us-ascii)[\"'])"
 
 
 def _is_case_sensitive(spark: SparkSession) -> bool:
@@ -154,18 +158,23 @@ def read_records(
         return read_decoded(found, spec, mode=mode, encoding=encoding, on_repeat=on_repeat)
     if scan == "auto":
         size = F.col("_metadata.file_size")
+        is_large = wanted & (size > large_file_bytes)
         common = dict(mode=mode, on_repeat=on_repeat, glob=glob)
+        if not splits_exactly(spark, path, spec, files=is_large, glob=glob, split_tag=split_tag):
+            return read_records(
+                spark, path, spec, scan="document", files=wanted, skip_unreadable=skip_unreadable, **common
+            )
         small = read_records(
-            spark, path, spec, scan="document", files=wanted & (size <= large_file_bytes), **common
+            spark, path, spec, scan="document", files=~is_large, skip_unreadable=skip_unreadable, **common
         )
-        large = read_records(spark, path, spec, scan="record", files=wanted & (size > large_file_bytes), **common)
+        large = read_records(spark, path, spec, scan="split", files=is_large, split_tag=split_tag, **common)
         return small.unionByName(large)
     if scan == "split":
         return _read_split(spark, paths, spec, wanted, glob, mode, on_repeat, split_tag or spec.root_path[-1])
     reader = configure_reader(spark.read, spark, spec, scan, mode, glob)
     if skip_unreadable:
         if scan != "document":
-            raise ValueError("other scans would keep the first part of an unreadable file")
+            raise ValueError("a record scan would keep the first part of an unreadable file")
         reader = reader.option("ignoreCorruptFiles", "true")
     return records_of_raw(reader.load(paths).where(wanted), spec, scan, mode, on_repeat)
 
@@ -279,24 +288,8 @@ def _read_split(
     tag: str,
 ) -> DataFrame:
     schema = record_schema(spec, _is_case_sensitive(spark))
-    reader = spark.read.option("lineSep", "<" + tag).option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    quoted = re.escape(tag)
-    start = r"(?:\s+[^\s=<>/]+\s*=\s*(?:\"[^\"<]*\"|'[^'<]*'))*+\s*"
-    body = F.col("value")
-    # A piece that does not go on like a start tag is text before the first record or another tag with this prefix.
-    pieces = reader.text(paths).where(wanted).where(body.rlike(r"^(?:\s+[^\s<]|\s*/?>)"))
-    empty_tag = F.regexp_extract(body, f"^{start}/>", 0)
-    record = F.concat(
-        F.lit("<" + tag),
-        F.when(empty_tag != "", empty_tag).otherwise(
-            F.concat(
-                F.split(body, rf"</{quoted}\s*>", 2).getItem(0),
-                F.when(body.rlike(rf"</{quoted}\s*>"), F.lit(f"</{tag}>")).otherwise(F.lit("")),
-            )
-        ),
-    )
+    pieces = _pieces(spark, paths, wanted, glob, tag).where(_starts_record(F.col("value")))
+    record, _ = _cut(F.col("value"), tag)
     options = {**_PARSER_OPTIONS, "mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"}
     parsed = pieces.select(
         F.col("_metadata.file_path").alias(SOURCE),
@@ -307,6 +300,89 @@ def _read_split(
     return _extract_values(parsed, spec, mode, on_repeat, [SOURCE, SOURCE_NAME])
 
 
+def _pieces(
+    spark: SparkSession, paths: str | list[str], wanted: Column, glob: str | None, tag: str, **options: str
+) -> DataFrame:
+    """Text of files cut before each ``<tag``; a splittable scan that gives pieces of one file to many tasks."""
+    reader = spark.read.options(lineSep="<" + tag, recursiveFileLookup="true", **options)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.text(paths).where(wanted)
+
+
+def _starts_record(piece: Column) -> Column:
+    """Goes on like a start tag; else it is text before the first record or another tag that begins alike."""
+    return piece.rlike(r"^(?:\s+[^\s<]|\s*/?>)")
+
+
+def _cut(piece: Column, tag: str) -> tuple[Column, Column]:
+    """(markup of the record, text after it); the text after is NULL when the record has no end."""
+    end = rf"</{re.escape(tag)}\s*>"
+    empty_tag = F.regexp_extract(piece, f"^{_ATTRIBUTES}/>", 0)
+    is_empty = empty_tag != ""
+    halves = F.split(piece, end, 2)
+    closing = F.when(F.size(halves) == 2, F.lit(f"</{tag}>")).otherwise(F.lit(""))
+    record = F.concat(F.lit("<" + tag), F.when(is_empty, empty_tag).otherwise(F.concat(halves.getItem(0), closing)))
+    after = F.when(is_empty, F.substring(piece, F.length(empty_tag) + 1, F.length(piece))).otherwise(F.get(halves, F.lit(1)))
+    return record, after
+
+
+def splits_exactly(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    spec: XmlSpec,
+    *,
+    files: Column | None = None,
+    glob: str | None = XML_GLOB,
+    split_tag: str | None = None,
+) -> bool:
+    """Whether there are files and the ``split`` scan gives exactly the records at the root path for all of them.
+
+    It does if each file is: start tags of the parents once, records with nothing but space between them, end tags of
+    the parents once. That is told piece by piece and counted per file, without parsing.
+    """
+    tag = split_tag or spec.root_path[-1]
+    parents = spec.root_path[:-1]
+    if tag in parents:
+        return False
+    paths = path if isinstance(path, str) else list(path)
+    wanted = F.col("_metadata.file_size") > 0
+    if files is not None:
+        wanted = wanted & files
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        listed = listed.option("pathGlobFilter", glob)
+    if listed.load(paths).where(wanted).select("path").isEmpty():
+        return False
+
+    # What comes before the first record, cut where a parent's name begins like the tag.
+    openings = [_PROLOG]
+    for name in parents:
+        if name.startswith(tag):
+            openings.append(f"^{re.escape(name[len(tag) :])}{_ATTRIBUTES}>\\s*")
+        else:
+            openings[-1] += f"<{_PREFIX}{re.escape(name)}{_ATTRIBUTES}>\\s*"
+    closings = "".join(rf"</{_PREFIX}{re.escape(name)}\s*>\s*" for name in reversed(parents))
+
+    longest = {"mapreduce.input.linerecordreader.line.maxlength": str(LONGEST_PIECE)}
+    piece = F.col("value")
+    _, after = _cut(piece, tag)
+    is_record = _starts_record(piece)
+    kind = F.when(is_record & after.rlike(r"^\s*$"), "record").when(is_record & after.rlike(rf"^\s*{closings}$"), "last")
+    for number, opening in enumerate(openings):
+        fits = piece.rlike(opening + "$") & ~piece.rlike(_OTHER_ENCODING)
+        kind = kind.when(~is_record & fits, f"opening{number}")
+    kinds = _pieces(spark, paths, wanted, glob, tag, **longest).select(
+        F.col("_metadata.file_path").alias("file"), F.coalesce(kind, F.lit("other")).alias("kind")
+    )
+    once = ["last", *[f"opening{number}" for number in range(len(openings))]]
+    exact = F.count_if(F.col("kind") == "other") == 0
+    for name in once:
+        exact = exact & (F.count_if(F.col("kind") == name) == 1)
+    found = kinds.groupBy("file").agg(exact.alias("exact")).agg(F.bool_and("exact")).first()[0]
+    return bool(found)
+
+
 def _position(block: Column, index: Column) -> Column:
     return F.struct(block.cast("long").alias("block"), index.cast("long").alias("index")).alias(POSITION)
 

@@ -382,3 +382,43 @@ def test_wrong_bytes_are_replaced_when_decoded(spark, tmp_path):
     assert sorted(r["itemContent"] for r in records_of(frame)) == ["bad � byte", "fine", "ok"]
     skipped = read_records(spark, str(tmp_path), ITEM, skip_unreadable=True)
     assert records_of(skipped) == [{"itemContent": "fine"}]
+
+
+SPLITTABLE = {
+    "plain": '<?xml version="1.0" encoding="UTF-8"?>\n<!-- a --><items at="1"><item id="1"/> <item id="2">x</item>\n</items>\n',
+    "no declaration": "<items>\n<item id='1' >a</item ></items >",
+}
+NOT_SPLITTABLE = {
+    "record elsewhere": "<items><item id='1'/><g><item id='2'/></g></items>",
+    "other encoding": "<?xml version='1.0' encoding='windows-1251'?><items><item id='1'/></items>",
+    "tag in comment": "<items><item id='1'/><!-- <item id='2'/> --></items>",
+    "tag in text": "<items><item id='1'><![CDATA[<item id='2'/>]]></item></items>",
+    "end in text": "<items><item id='1'><![CDATA[</item>]]></item></items>",
+    "child alike": "<items><item id='1'><item2/></item></items>",
+    "nested": "<items><item id='1'><item id='2'/></item></items>",
+    "other root": "<other><item id='1'/></other>",
+    "truncated": "<items><item id='1'/><item id='2'>",
+    "prefixed records": "<items xmlns:p='u'><p:item id='1'/></items>",
+    "no records": "<items/>",
+    "prefixed parent that begins alike": "<p:items xmlns:p='u'><item id='1'/></p:items>",
+}
+
+
+def test_split_is_taken_only_where_it_is_exact(spark, tmp_path):
+    from feedloom.sources.xml import splits_exactly
+
+    spec = XmlSpec(("items", "item"), {"id": attr("id")})
+    for cases, expected in ((SPLITTABLE, True), (NOT_SPLITTABLE, False)):
+        for name, document in cases.items():
+            path = tmp_path / f"{name}.xml"
+            path.write_text(document, encoding="utf-8")
+            assert splits_exactly(spark, str(path), spec) is expected, name
+            by_auto = read_records(spark, str(path), spec, scan="auto", large_file_bytes=0)
+            by_document = read_records(spark, str(path), spec)
+            assert records_of(by_auto) == records_of(by_document), name
+    assert splits_exactly(spark, str(tmp_path), spec) is False
+    deep = XmlSpec(("a", "items", "item"), {"id": attr("id")})
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "d.xml").write_text("<p:a x='1'> <items> <item id='1'/><item id='2'/></items></p:a>")
+    assert splits_exactly(spark, str(tmp_path / "deep"), deep) is True
+    assert splits_exactly(spark, str(tmp_path / "deep"), deep, files=F.col("_metadata.file_size") > 1000) is False
