@@ -23,7 +23,7 @@ from feedloom.operators.dedup import dedup_first, mark_missing_key, number_rows
 from feedloom.operators.fanout import check_target, project_to_target, table_rows, target_fields
 from feedloom.operators.reports import file_counts, run_summary, table_counts
 from feedloom.operators.validate import MALFORMED_DOCUMENT, annotate
-from feedloom.plans.columns import MALFORMED, POSITION, REASON, SOURCE, SOURCE_NAME
+from feedloom.plans.columns import MALFORMED, POSITION, REASON, SOURCE
 from feedloom.plans.mapping import Mapping, MappingError, TableId, load_mappings
 from feedloom.sinks.tables import directory_bytes, scratch_dir
 from feedloom.sources.archives import (
