@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -13,11 +14,11 @@ from feedloom.plans.mapping import TableId
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder all executors can reach: below ``spark.checkpoint.dir``, else a local one (tests)."""
+    """A new folder all executors can reach: below ``spark.checkpoint.dir``, or a local one if Spark runs locally."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        import tempfile
-
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/feedloom-{purpose}-{uuid.uuid4().hex}"
 

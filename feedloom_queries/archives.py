@@ -56,7 +56,7 @@ def _write_archives(spark: SparkSession, sf_dir: str) -> str:
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        uri = location if "://" in location else "file://" + location
+        uri = location if "://" in location else "file://" + location.removeprefix("file:")
         system, base = fs.FileSystem.from_uri(uri)
         system.create_dir(base, recursive=True)
         for number, batch in enumerate(batches):

@@ -19,7 +19,14 @@ from feedloom.operators.validate import apply_error_policy
 from feedloom.plans.columns import REASON
 from feedloom.plans.load import LoadError, run
 from feedloom.plans.mapping import Mapping, MappingError, TableId, TableSpec, ValueSpec, ValueType, XmlSpec
-from feedloom.sinks.tables import JdbcTables, MergeTables, ParquetTables, merge_statement, spark_merge_statement
+from feedloom.sinks.tables import (
+    JdbcTables,
+    MergeTables,
+    ParquetTables,
+    merge_statement,
+    scratch_dir,
+    spark_merge_statement,
+)
 from feedloom.sources.archives import expand_archives, extract_archives
 from feedloom.streaming.ingest import run_stream, source_options
 
@@ -83,6 +90,23 @@ def test_json_and_time_texts(spark):
     assert [tuple(r) for r in good.collect()] == [(t, "01:02:03") for t in texts[:4]]
 
 
+def test_time_type(spark):
+    spark.conf.set("spark.sql.timeType.enabled", "true")
+    try:
+        given = spark.createDataFrame([("01:02:03",), ("1:2:3",), ("25:00:00",), ("01:02",)], "v string")
+        good, bad = cast_to(given, T.StructType([T.StructField("v", T.TimeType(0))]))
+        assert [r[0] for r in good.select(F.col("v").cast("string")).collect()] == ["01:02:03", "01:02:03"]
+        assert bad.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.timeType.enabled")
+
+
+def test_scratch_folders_follow_the_session(spark):
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
 def test_variant(spark):
     given = spark.createDataFrame([('{"k":1}',), ("{",)], "v string")
     good, bad = cast_to(given, T.StructType([T.StructField("v", T.VariantType())]))
