@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import quality, secrets
+from feedloom.llm import leaks, mixing, quality, secrets, sharding, simhash
 from feedloom.llm.common import table
 from feedloom.sinks.tables import scratch_dir
 
@@ -33,9 +33,38 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *measured, "base_failed", "kept", "rejected_by")
 
 
+def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_copies(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = leaks.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
+    "op3_simhash_near_dedup": simhash_near_dedup,
     "op6_quality_rules": quality_rules,
+    "op7_extendible_sharding": extendible_sharding,
+    "op8_benchmark_decontamination": benchmark_decontamination,
+    "op9_source_mixing": source_mixing,
 }
 
 ORACLES: dict[str, str] = {}

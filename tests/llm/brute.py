@@ -48,3 +48,90 @@ def quality(text):
     n, rep = len(w), len(hit)
     failed = n < 50 or 100 * rep > 50 * n
     return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), rep, failed
+
+
+def lower(text) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def fingerprint(text) -> int:
+    import xxhash
+
+    w = words(lower(text))
+    if not w:
+        return 0
+    shingles = [w] if len(w) < 3 else [w[i : i + 3] for i in range(len(w) - 2)]
+    hashes = [xxhash.xxh64_intdigest(" ".join(s).encode(), seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(ids, links):
+    """The least id that can be reached from each."""
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def near_copies(docs):
+    """docs: (doc_id, text). doc_id -> (fingerprint in hexadecimal, least doc_id reached)."""
+    prints = {i: fingerprint(t) for i, t in docs}
+    ids = sorted(prints)
+    links = [(a, b) for n, a in enumerate(ids) for b in ids[:n] if (prints[a] ^ prints[b]).bit_count() <= 3]
+    found = groups(ids, links)
+    return {i: (f"{prints[i]:016x}", found[i]) for i in ids}
+
+
+BENCH_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def leak_words(text):
+    return BENCH_WORD.findall(lower(text))
+
+
+def leaks(docs, items, window=10):
+    """docs, items: (id, text). doc_id -> (n_words, n_hit, item ids)."""
+    windows = {}
+    for item, text in items:
+        w = leak_words(text)
+        if w:
+            n = min(window, len(w))
+            for i in range(len(w) - n + 1):
+                windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    lengths = {len(k) for k in windows}
+    out = {}
+    for doc, text in docs:
+        w = leak_words(text)
+        hit, found = set(), set()
+        for n in lengths:
+            for i in range(len(w) - n + 1):
+                if (names := windows.get(tuple(w[i : i + n]))) is not None:
+                    hit.update(range(i, i + n))
+                    found |= names
+        out[doc] = (len(w), len(hit), sorted(found))
+    return out
+
+
+def targets(sizes):
+    """sizes: source -> words; None is the last source. source -> target."""
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    left, open_, out = 1.5 * sum(sizes.values()), set(order), {}
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = {s for s in open_ if level * weight[s] > 2 * sizes[s]}
+        if not over:
+            out |= {s: level * weight[s] for s in open_}
+            break
+        out |= {s: 2.0 * sizes[s] for s in over}
+        left -= sum(2.0 * sizes[s] for s in over)
+        open_ -= over
+    return out
