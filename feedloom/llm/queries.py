@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import leaks, mixing, quality, secrets, sharding, simhash
+import public_tokenizers
+
+from feedloom.llm import language, leaks, licences, mixing, quality, repeats, secrets, sharding, simhash, tokens
 from feedloom.llm.common import table
 from feedloom.sinks.tables import scratch_dir
 
@@ -58,13 +60,33 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents")).drop("mixture")
+
+
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.find(table(spark, sf_dir, "documents"))
+
+
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
+    "op2_token_counts": token_counts,
     "op3_simhash_near_dedup": simhash_near_dedup,
+    "op4_language_id": language_id,
+    "op5_licence_scan": licence_scan,
     "op6_quality_rules": quality_rules,
     "op7_extendible_sharding": extendible_sharding,
     "op8_benchmark_decontamination": benchmark_decontamination,
     "op9_source_mixing": source_mixing,
+    "op10_substring_dedup": substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}

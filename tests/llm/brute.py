@@ -135,3 +135,35 @@ def targets(sizes):
         left -= sum(2.0 * sizes[s] for s in over)
         open_ -= over
     return out
+
+
+def repeats(docs, window=13):
+    """docs: (doc_id, text). doc_id -> (n_words, n_removed, hash of what is left)."""
+    first = {}
+    for doc, text in docs:
+        w = words(text)
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i : i + window])
+            first[key] = min(first.get(key, doc), doc)
+    out = {}
+    for doc, text in docs:
+        w = words(text)
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if first[tuple(w[i : i + window])] < doc:
+                gone.update(range(i, i + window))
+        out[doc] = (len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone)))
+    return out
+
+
+def licences(text, templates):
+    w = re.findall("[a-z0-9]+", (text or "").lower())
+    have = set(zip(w, w[1:], w[2:], w[3:], w[4:], strict=False))
+    found = set()
+    for name, notices in templates.items():
+        for notice in notices:
+            t = re.findall("[a-z0-9]+", notice.lower())
+            wanted = set(zip(t, t[1:], t[2:], t[3:], t[4:], strict=False))
+            if len(wanted & have) >= 0.8 * len(wanted):
+                found.add(name)
+    return ",".join(sorted(found))
