@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
 from feedloom.llm import language, leaks, licences, mixing, quality, repeats, secrets, sharding, simhash, tokens
 from feedloom.llm.common import table
+from feedloom.llm.oracles import ORACLES
 from feedloom.sinks.tables import scratch_dir
 
 
@@ -61,6 +60,8 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return tokens.count(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -76,6 +77,8 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
     "op2_token_counts": token_counts,
@@ -88,5 +91,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": source_mixing,
     "op10_substring_dedup": substring_dedup,
 }
-
-ORACLES: dict[str, str] = {}
