@@ -149,6 +149,8 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     id_ = free_name(docs, "keeper")
     same = near_copies(docs, radius).where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_))
     keepers = written(same.agg(F.count("*").alias("n")), "keepers")
+    # Texts move once, to where their ids are, whatever the size of the table of keepers.
+    keepers = keepers.hint("merge")
     kept = docs.join(keepers.where("n = 1").select(id_), docs["doc_id"] == F.col(id_), "left_semi")
     if not keepers.where("n > 1").isEmpty():  # several rows of one id
         again = docs.join(keepers.where("n > 1").select(id_), docs["doc_id"] == F.col(id_), "left_semi")
