@@ -25,15 +25,16 @@ from feedloom.operators.reports import file_counts, run_summary, table_counts
 from feedloom.operators.validate import MALFORMED_DOCUMENT, annotate
 from feedloom.plans.columns import MALFORMED, POSITION, REASON, SOURCE
 from feedloom.plans.mapping import Mapping, MappingError, TableId, load_mappings
-from feedloom.sinks.tables import directory_bytes, scratch_dir
+from feedloom.sinks.tables import delete, directory_bytes, is_file, scratch_dir
 from feedloom.sources.archives import (
     ARCHIVE_GLOB,
     DEFAULT_MAX_MEMBER_BYTES,
+    archive_kind,
     extract_archives,
     is_compressed_xml,
 )
-from feedloom.sources.files import list_files, mapping_index, route, source_name
-from feedloom.sources.xml import LARGE_FILE_BYTES, read_decoded, read_records
+from feedloom.sources.files import XML_GLOB, list_files, mapping_index, route, source_name
+from feedloom.sources.xml import cut_records, read_decoded, read_records
 
 PARALLEL_TABLES = 4
 REJECTED = "source string, table_name string, reason string, row string"
@@ -51,6 +52,11 @@ class LoadReport:
     tables: DataFrame  # source, table_name, batches, rows
     rejected: DataFrame  # source, table_name, reason, row (JSON)
     summary: DataFrame  # files_found, files_loaded, files_failed, files_unrouted
+    work_dir: str
+
+    def clean(self) -> None:
+        """Delete the report itself; the frames cannot be read any more."""
+        delete(self.summary.sparkSession, self.work_dir)
 
 
 def typed_rows(rows: DataFrame, mapping: Mapping, table: TableId, target: T.StructType) -> DataFrame:
@@ -83,7 +89,7 @@ def unique_rows(
 ) -> DataFrame:
     """One row per key: the first of equal key texts, the last of texts that mean one typed key; a later file wins.
 
-    With ``winner='batch'`` a later batch (of the mapping's ``batch_size`` rows of one file) wins over an earlier one,
+    With ``winner="batch"`` a later batch (of the mapping's ``batch_size`` rows of one file) wins over an earlier one,
     as when batches are written one after the other; this costs a numbering of the rows of each file.
     ``has_variants=False`` says that no key is written in two ways, and one pass does.
     """
@@ -119,72 +125,134 @@ def _rejected_rows(frame: DataFrame, table: str, row) -> DataFrame:
     )
 
 
-def load_records(
+@dataclass
+class Prepared:
+    """Records of one mapping, checked and cast, before anything is loaded."""
+
+    mapping: Mapping
+    annotated: DataFrame
+    rows: dict[TableId, DataFrame]
+    typed: dict[TableId, DataFrame]
+    rejected: DataFrame
+    has_variants: dict[TableId, bool]
+    staged_bytes: int
+
+    def first_error(self) -> str | None:
+        first = self.rejected.where((F.col("table_name") != "") | (F.col("reason") == MALFORMED_DOCUMENT)).first()
+        return None if first is None else f"{first.source}: {first.table_name or 'document'}: {first.reason}"
+
+
+def prepare_records(
     spark: SparkSession,
     records: DataFrame,
     mapping: Mapping,
-    store,
     targets: dict[TableId, T.StructType],
     work_dir: str,
     *,
-    on_error: str = "quarantine",
-    winner: str = "first",
-    token: str | None = None,
     expected: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Loads the records of one mapping; returns (file counts, table counts, rejected rows).
+    written: Sequence[str] = (),
+) -> Prepared:
+    """Checks and casts the records of one mapping. The rows of each table are cast once and written.
 
-    Records are written once as text columns; casts are cheap enough to be done again by each reader of them.
-    ``expected`` (file_path, file_name) names the files the records are from: those that gave none are read once more,
-    decoded with replacement of wrong bytes. Most of them are just empty.
+    ``written`` are the folders of records that were read from Parquet; others are written here first. ``expected``
+    (file_path, file_name) names the files the records are from: those that gave none are read once more, decoded with
+    replacement of wrong bytes. Most of them are just empty.
     """
-    if on_error not in ("quarantine", "fail"):
-        raise ValueError(f"on_error must be 'quarantine' or 'fail', got {on_error!r}")
-    staged = f"{work_dir}/records"
-    annotate(records, mapping.xml).write.parquet(staged)
-    annotated = spark.read.parquet(staged)
-    if expected is not None:
-        silent = expected.join(annotated.select(SOURCE).distinct(), F.col("file_path") == F.col(SOURCE), "left_anti")
-        if not silent.isEmpty():
-            # The frame reads the staged folder as it was listed before this append.
-            annotate(read_decoded(silent, mapping.xml), mapping.xml).write.mode("append").parquet(staged)
-            annotated = spark.read.parquet(staged)
+    if not written:
+        staged = f"{work_dir}/records"
+        written = [staged]
+        records.write.parquet(staged)
+        records = spark.read.parquet(staged)
+        if expected is not None:
+            silent = expected.join(records.select(SOURCE).distinct(), F.col("file_path") == F.col(SOURCE), "left_anti")
+            if not silent.isEmpty():
+                # The frame reads the staged folder as it was listed before this append.
+                read_decoded(silent, mapping.xml).write.mode("append").parquet(staged)
+                records = spark.read.parquet(staged)
+    annotated = annotate(records, mapping.xml)
     valid = annotated.where(F.col(REASON).isNull()).drop(REASON, MALFORMED)
     rows = {table: table_rows(valid, mapping, table) for table in mapping.loaded_tables}
-    typed = {table: typed_rows(frame, mapping, table, targets[table]) for table, frame in rows.items()}
+    seen = {table: Observation() for table in rows}
+    typed = {}
+
+    def cast(table: TableId) -> None:
+        odd = F.bool_or(variant_texts(mapping, table, targets[table])).alias("odd")
+        frame = typed_rows(rows[table], mapping, table, targets[table]).observe(seen[table], odd)
+        frame.write.parquet(f"{work_dir}/typed/{table}")
+        typed[table] = spark.read.parquet(f"{work_dir}/typed/{table}")
 
+    _in_parallel(spark, cast, rows)
     all_values = F.to_json(F.struct(*map(name_column, mapping.xml.values)))
     parts = [_rejected_rows(annotated, "", all_values)]
-    seen = {table: Observation() for table in typed}
-    for table, frame in typed.items():
-        # The pass that looks for rejects also tells how keys are written.
-        odd = F.bool_or(variant_texts(mapping, table, targets[table])).alias("odd")
-        parts.append(_rejected_rows(frame.observe(seen[table], odd), str(table), F.to_json("_text")))
+    parts += [_rejected_rows(frame, str(table), F.to_json("_text")) for table, frame in typed.items()]
     reduce(DataFrame.unionByName, parts).write.parquet(f"{work_dir}/rejected")
-    rejected = spark.read.parquet(f"{work_dir}/rejected")
-    if on_error == "fail":
-        first = rejected.where((F.col("table_name") != "") | (F.col("reason") == MALFORMED_DOCUMENT)).first()
-        if first is not None:
-            raise LoadError(f"{first.source}: {first.table_name or 'document'}: {first.reason}")
+    return Prepared(
+        mapping,
+        annotated,
+        rows,
+        typed,
+        spark.read.parquet(f"{work_dir}/rejected"),
+        {table: bool(observation.get["odd"]) for table, observation in seen.items()},
+        sum(directory_bytes(spark, folder) for folder in written),
+    )
+
+
+def _in_parallel(spark: SparkSession, work, tables) -> None:
+    """Tables are independent jobs over the same staged records."""
+    with ThreadPoolExecutor(max_workers=PARALLEL_TABLES) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(work), table) for table in tables]:
+            done.result()
 
-    staged_bytes = directory_bytes(spark, staged)
+
+def load_prepared(
+    spark: SparkSession,
+    prepared: Prepared,
+    store,
+    targets: dict[TableId, T.StructType],
+    *,
+    winner: str = "batch",
+    token: str | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Loads what was prepared; returns (file counts, table counts, rejected rows)."""
+    mapping = prepared.mapping
 
     def load(table: TableId) -> None:
-        # Counting is also a fence: a filter below the casts would do them twice.
-        counted = typed[table].observe(f"rows of {table}", F.count("*").alias("rows"))
-        loadable = counted.where(F.col(REASON).isNull())
+        loadable = prepared.typed[table].where(F.col(REASON).isNull())
         by_lower = {field.name.lower(): field.name for field in targets[table].fields}
         keys = [by_lower[key.lower()] for key in mapping.db[table].unique_columns]
-        unique = unique_rows(loadable, mapping, table, targets[table], winner, bool(seen[table].get["odd"]))
+        unique = unique_rows(loadable, mapping, table, targets[table], winner, prepared.has_variants[table])
         # The rows of a table are at most as large as all records.
-        store.load(table, unique, keys, token, staged_bytes)
+        store.load(table, unique, keys, token, prepared.staged_bytes)
+
+    _in_parallel(spark, load, prepared.typed)
+    batch_sizes = {table: mapping.db[table].batch_size for table in prepared.typed}
+    return file_counts(prepared.annotated), table_counts(prepared.typed, batch_sizes), prepared.rejected
 
-    # Tables are independent jobs over the same staged records.
-    with ThreadPoolExecutor(max_workers=PARALLEL_TABLES) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(load), table) for table in rows]:
-            done.result()
-    batch_sizes = {table: mapping.db[table].batch_size for table in rows}
-    return file_counts(annotated), table_counts(rows, batch_sizes), rejected
+
+def load_records(
+    spark: SparkSession,
+    records: DataFrame,
+    mapping: Mapping,
+    store,
+    targets: dict[TableId, T.StructType],
+    work_dir: str,
+    *,
+    on_error: str = "quarantine",
+    winner: str = "batch",
+    token: str | None = None,
+    expected: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Prepares and loads the records of one mapping; returns (file counts, table counts, rejected rows)."""
+    _check_policy(on_error)
+    prepared = prepare_records(spark, records, mapping, targets, work_dir, expected=expected)
+    if on_error == "fail" and (error := prepared.first_error()):
+        raise LoadError(error)
+    return load_prepared(spark, prepared, store, targets, winner=winner, token=token)
+
+
+def _check_policy(on_error: str) -> None:
+    if on_error not in ("quarantine", "fail"):
+        raise ValueError(f"on_error must be 'quarantine' or 'fail', got {on_error!r}")
 
 
 def run(
@@ -196,14 +264,23 @@ def run(
     *,
     scan: str = "auto",
     on_error: str = "quarantine",
-    winner: str = "first",
+    winner: str = "batch",
     encoding: str | None = None,
     archives: bool = True,
     max_member_bytes: int = DEFAULT_MAX_MEMBER_BYTES,
-    large_file_bytes: int = LARGE_FILE_BYTES,
     work_dir: str | None = None,
+    keep_work: bool = False,
+    token: str | None = None,
 ) -> LoadReport:
-    """Load everything below ``path`` into the tables of the mappings."""
+    """Load everything below ``path`` into the tables of the mappings.
+
+    A ``path`` that is one archive gives every member that a mapping's patterns name; of archives found in a folder
+    only ``.xml`` members are taken. With ``on_error="fail"`` all mappings are checked before the first row is loaded.
+    Rows are deduplicated as if batches of the mapping's size were written one after the other, or with
+    ``winner="first"`` so that the first row of a key in a file stays. A ``token`` names the load: a table that has it
+    is not loaded again. Work data is deleted at the end, the report stays until ``LoadReport.clean``.
+    """
+    _check_policy(on_error)
     if not (isinstance(mappings, (list, tuple)) and all(isinstance(m, Mapping) for m in mappings)):
         mappings = load_mappings(mappings)
     for mapping in mappings:
@@ -213,7 +290,8 @@ def run(
             check_target(mapping, table, targets[table])
     work_dir = work_dir or scratch_dir(spark, "run")
     paths = [path] if isinstance(path, str) else list(path)
-    archive_errors = None
+    archive_errors, glob = None, XML_GLOB
+    alone = archives and isinstance(path, str) and is_file(spark, path) and _is_archive(spark, path)
     if archives and not list_files(spark, paths, ARCHIVE_GLOB).where(~is_compressed_xml(F.col("file_name"))).isEmpty():
         masks = list(dict.fromkeys(p for m in mappings for p in m.xml.files))
         manifest = extract_archives(
@@ -222,48 +300,52 @@ def run(
             f"{work_dir}/extracted",
             masks,
             max_member_bytes,
-            xml_only=True,
+            xml_only=not alone,
             on_error=on_error,
             compressed_xml=False,
         )
         manifest.write.parquet(f"{work_dir}/manifest")
         manifest = spark.read.parquet(f"{work_dir}/manifest")
         archive_errors = manifest.where(F.col("error").isNotNull())
-        if not manifest.where(F.col("error").isNull()).isEmpty():
+        extracted = not manifest.where(F.col("error").isNull()).isEmpty()
+        if alone:
+            # Members need not be called .xml; the archive itself is no document.
+            paths, glob = ([f"{work_dir}/extracted"], None) if extracted else (paths, XML_GLOB)
+        elif extracted:
             paths = [*paths, f"{work_dir}/extracted"]
 
-    routed = route(list_files(spark, paths), mappings)
+    routed = route(list_files(spark, paths, glob), mappings)
     routed.select("file_path", "file_name", "file_size", "mapping_index").write.parquet(f"{work_dir}/files")
     routed = spark.read.parquet(f"{work_dir}/files")
     used = sorted(row[0] for row in routed.select("mapping_index").distinct().collect() if row[0] is not None)
 
-    counts, tables, rejected = [], [], []
+    prepared = []
     for index in used:
+        spec, folder = mappings[index].xml, f"{work_dir}/mapping{index}"
         chosen = mapping_index(source_name(F.col("_metadata.file_name")), mappings) == index
-        whole = scan in ("document", "auto") and encoding is None
-        records = read_records(
-            spark,
-            paths,
-            mappings[index].xml,
-            scan=scan,
-            encoding=encoding,
-            files=chosen,
-            skip_unreadable=whole,
-            large_file_bytes=large_file_bytes,
-        )
-        parts = load_records(
-            spark,
-            records,
-            mappings[index],
-            store,
-            targets,
-            f"{work_dir}/mapping{index}",
-            on_error=on_error,
-            winner=winner,
-            expected=routed.where(F.col("mapping_index") == index).select("file_path", "file_name") if whole else None,
+        expected, written = None, ()
+        if scan in ("auto", "split") and encoding is None:
+            wanted = (F.col("_metadata.file_size") > 0) & chosen
+            records, written = cut_records(spark, paths, spec, wanted, glob, work_dir=folder)
+        else:
+            whole = scan == "document" and encoding is None
+            records = read_records(
+                spark, paths, spec, scan=scan, encoding=encoding, files=chosen, glob=glob, skip_unreadable=whole
+            )
+            if whole:
+                expected = routed.where(F.col("mapping_index") == index).select("file_path", "file_name")
+        prepared.append(
+            prepare_records(spark, records, mappings[index], targets, folder, expected=expected, written=written)
         )
-        for collected, part in zip((counts, tables, rejected), parts, strict=True):
-            collected.append(part)
+    if on_error == "fail":
+        for error in filter(None, (part.first_error() for part in prepared)):
+            raise LoadError(error)
+    counts, tables, rejected = [], [], []
+    for index, part in zip(used, prepared, strict=True):
+        # Several mappings may load one table.
+        loaded = load_prepared(spark, part, store, targets, winner=winner, token=token and f"{token}-{index}")
+        for collected, frame in zip((counts, tables, rejected), loaded, strict=True):
+            collected.append(frame)
 
     empty_counts = spark.createDataFrame([], "source string, processed long, skipped long, malformed boolean")
     per_file = reduce(DataFrame.unionByName, counts, empty_counts)
@@ -277,11 +359,14 @@ def run(
                 F.to_json(F.struct("member")).alias("row"),
             )
         )
-    failed_rows = bad_rows.where(F.col("table_name") != "").groupBy("source").agg(F.count("*").alias("bad_rows"))
+    read_files = routed.select(F.col("file_path").alias("source"), "mapping_index").where("mapping_index IS NOT NULL")
+    if archive_errors is not None:
+        # An archive that could not be read, or not in full, is a file that failed.
+        broken = archive_errors.select(F.col("archive_path").alias("source"), F.lit(None).cast("int").alias("mapping_index"))
+        read_files = read_files.unionByName(broken.distinct())
+    failed_rows = bad_rows.where("table_name <> '' OR reason LIKE 'archive:%'").groupBy("source").agg(F.count("*").alias("bad_rows"))
     files = (
-        routed.where(F.col("mapping_index").isNotNull())
-        .withColumnRenamed("file_path", "source")
-        .join(per_file, "source", "left")
+        read_files.join(per_file, "source", "left")
         .join(failed_rows, "source", "left")
         .select(
             "source",
@@ -296,6 +381,9 @@ def run(
     reduce(DataFrame.unionByName, tables, empty_tables).write.parquet(f"{work_dir}/report/tables")
     bad_rows.write.parquet(f"{work_dir}/report/rejected")
     files = spark.read.parquet(f"{work_dir}/report/files")
+    if not keep_work:
+        for folder in ("extracted", *[f"mapping{index}" for index in used]):
+            delete(spark, f"{work_dir}/{folder}")
     unrouted = routed.agg(F.count_if(F.col("mapping_index").isNull()).alias("files_unrouted"))
     # Both sides are single rows.
     summary = run_summary(files).withColumn("one", F.lit(1)).join(unrouted.withColumn("one", F.lit(1)), "one").drop("one")
@@ -304,4 +392,11 @@ def run(
         tables=spark.read.parquet(f"{work_dir}/report/tables"),
         rejected=spark.read.parquet(f"{work_dir}/report/rejected"),
         summary=summary,
+        work_dir=work_dir,
     )
+
+
+def _is_archive(spark: SparkSession, path: str) -> bool:
+    name = path.rstrip("/").rpartition("/")[2]
+    kind, compressed = spark.range(1).select(archive_kind(F.lit(name)), is_compressed_xml(F.lit(name))).first()
+    return kind is not None and not compressed

@@ -13,18 +13,21 @@ import tarfile
 import zipfile
 from collections.abc import Iterator, Sequence
 from contextlib import ExitStack
+from itertools import chain
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.sources.documents import decompressor, open_file, spread_tasks
+from feedloom.sinks.tables import qualified
+from feedloom.sources.documents import decompressor, local_uri, open_file, spread_tasks
 
 # Executors get these functions with the task and need no installation of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_MAX_MEMBER_BYTES = 1024**3
+CHUNK_BYTES = 1 << 20
 ARCHIVE_GLOB = "*.{[zZ][iI][pP],[tT][aA][rR],[tT][gG][zZ],[tT][bB][zZ]2,[gG][zZ],[bB][zZ]2}"
 
 # Suffix -> kind, longest first. The archive names that are understood.
@@ -88,7 +91,7 @@ def _list_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if len(rows) == 10_000:
                         yield pd.DataFrame(rows, columns=names)
                         rows = []
-            except (OSError, EOFError, tarfile.TarError, zipfile.BadZipFile) as error:
+            except (OSError, EOFError, ValueError, tarfile.TarError, zipfile.BadZipFile) as error:
                 rows.append((path, f"error:{error}", None, -1, None, False))
             yield pd.DataFrame(rows, columns=names)
 
@@ -121,9 +124,12 @@ def select_members(
     if xml_only:
         wanted = wanted & is_xml
     size = F.col("declared_size")
-    fits = size.isNull() | ((size > 0) & ((size <= max_member_bytes) | F.lit(max_member_bytes <= 0)))
+    too_large = (size > max_member_bytes) & F.lit(max_member_bytes > 0)
     broken = F.col("kind").startswith("error:")
-    return members.where(broken | (F.col("is_file") & wanted & fits))
+    chosen = members.where(broken | (F.col("is_file") & wanted & (size.isNull() | (size > 0))))
+    # A member that is too large is not read, but it is told.
+    error = F.concat(F.lit("error:too_large:"), size.cast("string"))
+    return chosen.withColumn("kind", F.when(too_large & ~broken, error).otherwise(F.col("kind")))
 
 
 def _spread(members: DataFrame) -> DataFrame:
@@ -133,21 +139,20 @@ def _spread(members: DataFrame) -> DataFrame:
     return spread.sortWithinPartitions("archive_path", "ordinal")
 
 
-def _read_limited(stream, limit: int) -> bytes:
-    """Everything, or an error once an undeclared size turns out to be over the limit."""
-    if limit <= 0:
-        return stream.read()
-    content = stream.read(limit + 1)
-    if len(content) > limit:
-        raise ValueError(f"member is larger than {limit} bytes")
-    return content
+def _chunks(stream, limit: int) -> Iterator[bytes]:
+    """A member chunk by chunk, or an error once an undeclared size turns out to be over the limit."""
+    total = 0
+    while chunk := stream.read(CHUNK_BYTES):
+        total += len(chunk)
+        if 0 < limit < total:
+            raise ValueError(f"member is larger than {limit} bytes")
+        yield chunk
 
 
 class _Reader:
-    """Reads chosen members in (archive, ordinal) order, keeping one archive open."""
+    """Opens chosen members in (archive, ordinal) order, keeping one archive open."""
 
-    def __init__(self, limit: int) -> None:
-        self.limit = limit
+    def __init__(self) -> None:
         self.stack = ExitStack()
         self.path: str | None = None
 
@@ -164,17 +169,17 @@ class _Reader:
             self.archive = self.stack.enter_context(tarfile.open(fileobj=stream, mode="r:" if kind == "tar" else "r|"))
             self.entries = enumerate(self.archive)
 
-    def read(self, path: str, kind: str, member: str, ordinal: int) -> bytes:
+    def open(self, path: str, kind: str, member: str, ordinal: int):
         if path != self.path:
             self._switch(path, kind)
         if kind == "zip":
-            return self.archive.read(self.archive.infolist()[ordinal])
+            return self.archive.open(self.archive.infolist()[ordinal])
         if kind == "single":
-            return _read_limited(self.archive, self.limit)
+            return self.archive
         for i, info in self.entries:
             self.archive.members = []
             if i == ordinal:
-                return self.archive.extractfile(info).read()
+                return self.archive.extractfile(info)
         raise EOFError(f"{member} not found")
 
     def close(self) -> None:
@@ -183,8 +188,9 @@ class _Reader:
         self.stack = ExitStack()
 
 
-def _each_member(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[str, str, bytes | None, str | None]]:
-    reader = _Reader(limit)
+def _each_member(batches: Iterator[pd.DataFrame], take) -> Iterator[tuple]:
+    """(archive, member, what ``take`` makes of the opened member, error); members without content are left out."""
+    reader = _Reader()
     try:
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -192,13 +198,13 @@ def _each_member(batches: Iterator[pd.DataFrame], limit: int) -> Iterator[tuple[
                     yield row.archive_path, row.member, None, row.kind.removeprefix("error:")
                     continue
                 try:
-                    content = reader.read(row.archive_path, row.kind, row.member, row.ordinal)
+                    taken = take(row, reader.open(row.archive_path, row.kind, row.member, row.ordinal))
                 except (OSError, EOFError, ValueError, tarfile.TarError, zipfile.BadZipFile, RuntimeError) as error:
                     reader.close()
                     yield row.archive_path, row.member, None, f"{type(error).__name__}: {error}"
                 else:
-                    if content:
-                        yield row.archive_path, row.member, content, None
+                    if taken:
+                        yield row.archive_path, row.member, taken, None
     finally:
         reader.close()
 
@@ -213,13 +219,16 @@ def expand_archives(
 ) -> DataFrame:
     """One row per member: (archive_path, member, size, content, error). ``max_member_bytes`` <= 0 means no limit.
 
-    Members declared larger than the limit are left out; one that turns out larger is an error. With ``fail`` an error
-    ends the job, else it is a row without content.
+    A member above the limit is an error; one that is declared so is not read. With ``fail`` an error ends the job, else
+    it is a row without content.
     """
     chosen = _spread(select_members(list_members(spark, path), masks, max_member_bytes, xml_only))
 
+    def take(row, stream) -> bytes:
+        return b"".join(_chunks(stream, max_member_bytes))
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for archive, member, content, error in _each_member(batches, max_member_bytes):
+        for archive, member, content, error in _each_member(batches, take):
             if error and on_error == "fail":
                 raise OSError(f"{archive}: {member}: {error}")
             size = None if content is None else len(content)
@@ -249,12 +258,18 @@ def extract_archives(
     listed = list_members(spark, path, compressed_xml)
     chosen = _spread(select_members(listed, masks, max_member_bytes, xml_only))
 
+    # Without a scheme a path means one place to Spark and another one to a task.
+    place = qualified(spark, out_dir)
+
+    def take(row, stream) -> tuple[str, int] | None:
+        return _write_member(place, row.archive_path, row.member, _chunks(stream, max_member_bytes))
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for archive, member, content, error in _each_member(batches, max_member_bytes):
+        for archive, member, taken, error in _each_member(batches, take):
             if error and on_error == "fail":
                 raise OSError(f"{archive}: {member}: {error}")
-            target = None if content is None else _write_member(out_dir, archive, member, content)
-            size = None if content is None else len(content)
+            inner, size = taken or (None, None)
+            target = None if inner is None else f"{out_dir.rstrip('/')}/{inner}"
             yield pd.DataFrame(
                 {"archive_path": [archive], "member": [member], "size": [size], "extracted_path": [target], "error": [error]}
             )
@@ -262,7 +277,8 @@ def extract_archives(
     return chosen.mapInPandas(write, _EXTRACTED)
 
 
-def _write_member(out_dir: str, archive: str, member: str, content: bytes) -> str:
+def _write_member(place: str, archive: str, member: str, chunks: Iterator[bytes]) -> tuple[str, int] | None:
+    """Writes a member below ``place``; (path there, size), or nothing for a member without content."""
     import hashlib
     import uuid
 
@@ -270,14 +286,25 @@ def _write_member(out_dir: str, archive: str, member: str, content: bytes) -> st
 
     # Archives of one name in different folders, and members of one name in different folders, must not collide.
     folder = hashlib.sha256(f"{archive}\0{member}".encode()).hexdigest()[:32]
-    uri = out_dir if "://" in out_dir else "file://" + out_dir.removeprefix("file:")
+    uri = local_uri(place)
+    if uri.startswith("file:"):
+        uri = "file:///" + uri.removeprefix("file:").lstrip("/")
     system, base = fs.FileSystem.from_uri(uri)
     directory = f"{base.rstrip('/')}/{folder}"
     name = member.replace("\\", "/").rpartition("/")[2]
-    system.create_dir(directory, recursive=True)
     unfinished = f"{directory}/_{uuid.uuid4().hex}"
-    with system.open_output_stream(unfinished, compression=None) as out:
-        out.write(content)
+    size = 0
+    first = next(chunks, None)
+    if first is None:
+        return None
+    system.create_dir(directory, recursive=True)
+    try:
+        with system.open_output_stream(unfinished, compression=None) as out:
+            for chunk in chain([first], chunks):
+                out.write(chunk)
+                size += len(chunk)
+    except BaseException:
+        system.delete_file(unfinished)
+        raise
     system.move(unfinished, f"{directory}/{name}")
-    return f"{out_dir.rstrip('/')}/{folder}/{name}"
-
+    return f"{folder}/{name}", size

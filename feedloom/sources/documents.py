@@ -1,22 +1,18 @@
-"""Whole documents as text, read and decoded by the tasks themselves.
-
-For what Spark's reader does not do: an encoding that is given and not declared, files with bytes that are wrong in
-their encoding (replaced, not refused), and members of archives.
-"""
+"""Opening and decoding files in tasks, for what Spark's readers do not do."""
 
 from __future__ import annotations
 
 import bz2
+import codecs
 import gzip
 import re
 import sys
-from collections.abc import Iterator
 from contextlib import ExitStack
 from urllib.parse import unquote
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Executors get these functions with the task and need no installation of the package.
@@ -30,6 +26,14 @@ _MARKS = (
     (b"\xfe\xff", "utf-16-be"),
     (b"\xff\xfe", "utf-16-le"),
 )
+# Schemes of Hadoop's connectors, and what Arrow or the local mount calls them.
+_SCHEMES = {
+    "s3a://": "s3://",
+    "s3n://": "s3://",
+    "wasbs://": "abfss://",
+    "wasb://": "abfs://",
+    "dbfs:/": "file:///dbfs/",
+}
 _DECLARED = re.compile(rb"""<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._:-]+)["']""")
 _DECLARATION_BYTES = 1024
 
@@ -45,7 +49,7 @@ def open_file(path: str, stack: ExitStack):
 
     Paths are percent-encoded URIs, as in Spark's ``_metadata.file_path``.
     """
-    path = unquote(path)
+    path = local_uri(unquote(path))
     if path.startswith("file:"):
         return stack.enter_context(open("/" + path.removeprefix("file:").lstrip("/"), "rb"))
     from pyarrow import fs
@@ -54,52 +58,47 @@ def open_file(path: str, stack: ExitStack):
     return stack.enter_context(system.open_input_file(inner))
 
 
+def local_uri(uri: str) -> str:
+    """Spark's name for a place in the words that Python's readers know."""
+    for scheme, known in _SCHEMES.items():
+        if uri.startswith(scheme):
+            return known + uri.removeprefix(scheme).lstrip("/")
+    return uri
+
+
 def decompressor(path: str, raw):
     return bz2.open(raw) if path.lower().endswith("bz2") else gzip.open(raw)
 
 
-def decode_xml(content: bytes, encoding: str | None = None) -> str:
-    """Text by the given encoding, else by byte order mark, by XML declaration, or UTF-8. Wrong bytes are replaced."""
+def encoding_of(beginning: bytes, encoding: str | None = None) -> tuple[str, int]:
+    """(name of the encoding, length of the byte order mark): the given one, else by mark, declaration, or UTF-8."""
+    found, length = None, 0
     for mark, marked in _MARKS:
-        if content.startswith(mark):
-            return content[len(mark) :].decode(encoding or marked, errors="replace")
-    declared = _DECLARED.search(content[:_DECLARATION_BYTES])
-    name = encoding or (declared.group(1).decode("ascii") if declared else "utf-8")
-    try:
-        return content.decode(name, errors="replace")
-    except LookupError:
-        return content.decode("utf-8", errors="replace")
+        if beginning.startswith(mark):
+            found, length = marked, len(mark)
+            break
+    if found is None and (declared := _DECLARED.search(beginning[:_DECLARATION_BYTES])):
+        found = declared.group(1).decode("ascii")
+    for name in (encoding, found, "utf-8"):
+        if name:
+            try:
+                return codecs.lookup(name).name, length
+            except LookupError:
+                continue
+    return "utf-8", length
 
 
 def decode_content(content: Column, encoding: str | None = None) -> Column:
-    """``decode_xml`` as a column."""
+    """Whole contents as text; wrong bytes are replaced."""
+
+    def text(data: bytes | None) -> str | None:
+        if data is None:
+            return None
+        name, mark = encoding_of(data, encoding)
+        return data[mark:].decode(name, errors="replace")
 
     @F.pandas_udf("string")
     def decode(contents: pd.Series) -> pd.Series:
-        return contents.map(lambda data: None if data is None else decode_xml(data, encoding))
+        return contents.map(text)
 
     return decode(content)
-
-
-def read_documents(files: DataFrame, encoding: str | None = None) -> DataFrame:
-    """(file_path, file_name) -> (file_path, file_name, document, error), one task per group of files, one file at a
-    time in memory."""
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, name in zip(batch["file_path"], batch["file_name"], strict=True):
-                document = error = None
-                try:
-                    with ExitStack() as stack:
-                        stream = open_file(path, stack)
-                        if name.lower().endswith((".gz", ".bz2")):
-                            stream = stack.enter_context(decompressor(name, stream))
-                        document = decode_xml(stream.read(), encoding)
-                except (OSError, EOFError) as failure:
-                    error = f"{type(failure).__name__}: {failure}"
-                yield pd.DataFrame(
-                    {"file_path": [path], "file_name": [name], "document": [document], "error": [error]}
-                )
-
-    listed = files.select("file_path", "file_name").repartition(spread_tasks(files.sparkSession), "file_path")
-    return listed.mapInPandas(read, "file_path string, file_name string, document string, error string")

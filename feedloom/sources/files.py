@@ -12,15 +12,15 @@ from feedloom.plans.mapping import Mapping, named_groups
 XML_GLOB = "{*.[xX][mM][lL],*.[xX][mM][lL].gz,*.[xX][mM][lL].bz2}"
 
 
-def list_files(spark: SparkSession, path: str | Sequence[str], glob: str = XML_GLOB) -> DataFrame:
+def list_files(
+    spark: SparkSession, path: str | Sequence[str], glob: str | None = XML_GLOB, wanted: Column | None = None
+) -> DataFrame:
     """Non-empty files below ``path`` as (file_path, file_name, file_size, modified); contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(path if isinstance(path, str) else list(path))
-    )
-    return files.where(F.col("_metadata.file_size") > 0).select(
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(path if isinstance(path, str) else list(path)).where(F.col("_metadata.file_size") > 0)
+    return (files if wanted is None else files.where(wanted)).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),

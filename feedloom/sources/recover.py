@@ -1,72 +1,20 @@
-"""Complete records of a document that turns out to be malformed further on.
-
-Only malformed documents come here. Spark's reader gives up such a document as a whole, while the records before the
-error are good and have to be kept.
-"""
+"""Records of a malformed document before its error, for documents that Spark has given up as a whole."""
 
 from __future__ import annotations
 
 import sys
-from xml.parsers import expat
-from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from feedloom.sources.elements import complete_elements
 
 # Executors get these functions with the task and need no installation of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def complete_elements(document: str, path: tuple[str, ...]) -> list[str]:
-    """Markup of the elements at exactly ``path`` that end before the first error. Prefixes are removed from names."""
-    found: list[str] = []
-    open_names: list[str] = []
-    pieces: list[str] = []
-    wanted = list(path)
-
-    def local(name: str) -> str:
-        return name.rpartition(":")[2]
-
-    def inside() -> bool:
-        return open_names[: len(wanted)] == wanted
-
-    def on_start(name: str, attributes: dict[str, str]) -> None:
-        open_names.append(local(name))
-        if inside():
-            rendered = {local(k): v for k, v in attributes.items()}
-            pieces.append("<" + open_names[-1] + "".join(f" {k}={quoteattr(v)}" for k, v in rendered.items()) + ">")
-
-    def on_text(text: str) -> None:
-        if inside():
-            pieces.append(escape(text))
-
-    def on_comment(_: str) -> None:
-        if inside():
-            pieces.append("<!---->")
-
-    def on_end(name: str) -> None:
-        if inside():
-            pieces.append(f"</{open_names[-1]}>")
-            if len(open_names) == len(wanted):
-                found.append("".join(pieces))
-                pieces.clear()
-        open_names.pop()
-
-    parser = expat.ParserCreate(encoding="utf-8")
-    parser.StartElementHandler = on_start
-    parser.EndElementHandler = on_end
-    parser.CharacterDataHandler = on_text
-    parser.CommentHandler = on_comment
-    try:
-        parser.Parse(document.encode("utf-8"), True)
-    except expat.ExpatError:
-        pass
-    return found
-
-
 def recovered_records(document: Column, path: tuple[str, ...]) -> Column:
     """``complete_elements`` as a column of arrays; NULL documents, the normal case, cost nothing but the transfer."""
 

@@ -1,15 +1,17 @@
 """Records from XML files and from XML held in a column.
 
-Three ways to scan files, all giving the same columns:
+Ways to scan files, all giving the same columns:
 
+``auto``      Files are cut at the records' ends, so a large file is the work of many tasks and no task holds more than
+(``split``)   some records. Each piece is parsed by itself and shows whether it is records and nothing else; what the
+              pieces of a file add up to tells whether the cuts were right. The other files, of whatever layout or
+              encoding, are streamed record by record. Right for every document, and bounded in memory.
 ``document``  One parsed row per file, exploded into records at exactly the root path. Right for every document, but a
               document has to fit into one task.
 ``record``    Records are streamed one by one by tag name at any depth. A file of any size is one task with little
               memory; right when the tag occurs at the root path only (``tag_report`` tells).
-``split``     As ``record``, and a large file is cut at record starts into many tasks. UTF-8 only; the tag must not be
-              a prefix of a tag inside the record. A record cut wrongly is reported as malformed, never lost silently.
-``auto``      ``document``, but ``split`` for files above ``large_file_bytes`` if a look at their tags proves that it
-              gives the same records (``splits_exactly``). Right for every document, like ``document``.
+
+Files whose root element is not the first name of the root path have no records.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamReader
 
 from feedloom.functions.text import name_column
 from feedloom.plans.columns import MALFORMED, POSITION, RESERVED, SOURCE, SOURCE_NAME
@@ -32,16 +33,16 @@ from feedloom.plans.compiler import (
     extract,
     record_schema,
 )
-from feedloom.plans.mapping import MappingError, XmlSpec
-from feedloom.sources.documents import read_documents
-from feedloom.sources.files import XML_GLOB, source_name
+from feedloom.plans.mapping import MappingError, ValueType, XmlSpec
+from feedloom.sinks.tables import scratch_dir
+from feedloom.sources.elements import other_roots, read_elements
+from feedloom.sources.files import XML_GLOB, list_files, source_name
 from feedloom.sources.recover import recovered_records
 
 SCANS = ("document", "record", "split", "auto")
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
-LARGE_FILE_BYTES = 64 * 1024 * 1024
-# Longest piece the look at the tags takes up; a file that is one long piece is not read for it.
-LONGEST_PIECE = 256 * 1024 * 1024
+# Longer pieces are passed over by the reader. The bytes of such a file do not add up, so it is streamed instead.
+LONGEST_PIECE = 64 * 1024 * 1024
 
 _CORRUPT = "_corrupt_document"
 _PARSER_OPTIONS = {
@@ -56,6 +57,8 @@ _PROLOG = r"^\x{FEFF}?(?:\s+|<\?(?s:.*?)\?>|<!--(?s:.*?)-->|<!DOCTYPE[^\[>]*(?:\
 _PREFIX = r"(?:[^\s/<>:]+:)*"
 _ROOT_NAME = rf"{_PROLOG}<{_PREFIX}([^\s/<>:]+)"
 _ATTRIBUTES = r"(?:\s+[^\s=<>/]+\s*=\s*(?:\"[^\"<]*\"|'[^'<]*'))*+\s*"
+_MISC = r"(?:\s+|<\?(?s:.*?)\?>|<!--(?s:.*?)-->)*+"
+_COMPRESSED = r"(?i)\.(gz|bz2)$"
 _OTHER_ENCODING = r"^\x{FEFF}?<\?xml[^>]*encoding\s*=\s*[\"'](?!(?i:utf-8|us-ascii)[\"'])"
 
 
@@ -131,9 +134,8 @@ def read_records(
     on_repeat: str = "first",
     files: Column | None = None,
     glob: str | None = XML_GLOB,
-    large_file_bytes: int = LARGE_FILE_BYTES,
-    split_tag: str | None = None,
     skip_unreadable: bool = False,
+    work_dir: str | None = None,
 ) -> DataFrame:
     """One row per record: the values of ``spec`` as text columns, and ``_source _source_name _position _malformed``.
 
@@ -141,9 +143,11 @@ def read_records(
     malformed documents: PERMISSIVE keeps the records before the error and adds one marker row, DROPMALFORMED leaves
     the marker out, FAILFAST ends the job.
 
-    Encodings are found by Spark. One given by ``encoding`` overrides what a file says; such files are read as whole
-    documents whatever the scan. Bytes that are wrong in a file's encoding end the job: ``skip_unreadable`` leaves such
-    files out of a ``document`` scan, to be read by ``read_decoded``.
+    Encodings are found by Spark. One given by ``encoding`` overrides what a file says; such files are streamed
+    whatever the scan. Bytes that are wrong in a file's encoding end the job in a ``document`` or ``record`` scan, and
+    are replaced elsewhere: ``skip_unreadable`` leaves such files out of a ``document`` scan, for ``read_decoded``.
+
+    ``auto`` and ``split`` read at once and give what they wrote to ``work_dir``.
     """
     _check(spec, scan, mode)
     paths = path if isinstance(path, str) else list(path)
@@ -151,52 +155,18 @@ def read_records(
     if files is not None:
         wanted = wanted & files
     if encoding:
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        if glob:
-            listed = listed.option("pathGlobFilter", glob)
-        found = listed.load(paths).where(wanted).select("_metadata.file_path", "_metadata.file_name")
+        found = list_files(spark, paths, glob, wanted)
         return read_decoded(found, spec, mode=mode, encoding=encoding, on_repeat=on_repeat)
-    if scan == "auto":
-        size = F.col("_metadata.file_size")
-        is_large = wanted & (size > large_file_bytes)
-        common = dict(mode=mode, on_repeat=on_repeat, glob=glob)
-        if not splits_exactly(spark, path, spec, files=is_large, glob=glob, split_tag=split_tag):
-            return read_records(
-                spark, path, spec, scan="document", files=wanted, skip_unreadable=skip_unreadable, **common
-            )
-        small = read_records(
-            spark, path, spec, scan="document", files=~is_large, skip_unreadable=skip_unreadable, **common
-        )
-        large = read_records(spark, path, spec, scan="split", files=is_large, split_tag=split_tag, **common)
-        return small.unionByName(large)
-    if scan == "split":
-        return _read_split(spark, paths, spec, wanted, glob, mode, on_repeat, split_tag or spec.root_path[-1])
+    if scan in ("auto", "split"):
+        return cut_records(spark, paths, spec, wanted, glob, mode, on_repeat, work_dir)[0]
     reader = configure_reader(spark.read, spark, spec, scan, mode, glob)
     if skip_unreadable:
         if scan != "document":
             raise ValueError("a record scan would keep the first part of an unreadable file")
         reader = reader.option("ignoreCorruptFiles", "true")
-    return records_of_raw(reader.load(paths).where(wanted), spec, scan, mode, on_repeat)
-
-
-def stream_records(
-    spark: SparkSession,
-    path: str,
-    spec: XmlSpec,
-    *,
-    scan: str = "document",
-    mode: str = "PERMISSIVE",
-    glob: str | None = XML_GLOB,
-    options: dict[str, str] | None = None,
-) -> DataFrame:
-    """A stream of parsed files; pass each micro-batch to ``records_of_raw``."""
-    _check(spec, scan, mode)
-    if scan not in ("document", "record"):
-        raise ValueError("a stream scans by 'document' or 'record'")
-    reader: DataStreamReader = configure_reader(spark.readStream, spark, spec, scan, mode, glob)
-    raw = reader.options(**(options or {})).load(path)
-    # Metadata columns do not survive into foreachBatch, so they are taken along here.
-    return raw.select("*", F.col("_metadata"))
+    records = records_of_raw(reader.load(paths).where(wanted), spec, scan, mode, on_repeat)
+    others = other_roots(list_files(spark, paths, glob, wanted), spec.root_path[0])
+    return records.join(others, F.col(SOURCE) == F.col("file_path"), "left_anti")
 
 
 def parse_column(
@@ -216,7 +186,7 @@ def parse_column(
     _check(spec, "document", mode)
     source = F.col(source_column).cast("string") if source_column else F.lit(None).cast("string")
     documents = df.select(
-        *keep, source.alias(SOURCE), source.alias(SOURCE_NAME), F.col(xml_column).alias("document"), F.lit(None).alias("error")
+        *keep, source.alias(SOURCE), source.alias(SOURCE_NAME), F.col(xml_column).alias("document")
     )
     return _parse_documents(documents, spec, mode, on_repeat, [*keep, SOURCE, SOURCE_NAME])
 
@@ -224,13 +194,22 @@ def parse_column(
 def read_decoded(
     files: DataFrame, spec: XmlSpec, *, mode: str = "PERMISSIVE", encoding: str | None = None, on_repeat: str = "first"
 ) -> DataFrame:
-    """Records of the files in a frame (file_path, file_name), decoded before they are parsed. A file that cannot be
-    opened gives a marker row like a malformed one."""
+    """Records of the files in a frame (file_path, file_name), streamed with replacement of wrong bytes. A document with
+    an error, or a file that cannot be opened, gives a marker row after the records before it."""
     _check(spec, "document", mode)
-    documents = read_documents(files, encoding).select(
-        F.col("file_path").alias(SOURCE), source_name(F.col("file_name")).alias(SOURCE_NAME), "document", "error"
+    schema = record_schema(spec, _is_case_sensitive(files.sparkSession))
+    elements = read_elements(files, spec.root_path, encoding)
+    if mode == "FAILFAST":
+        failure = F.raise_error(F.concat(F.lit("malformed document: "), "file_path", F.lit(": "), "error"))
+        elements = elements.where(F.when(F.col("error").isNotNull(), failure.cast("boolean")).otherwise(F.lit(True)))
+    rows = elements.select(
+        F.col("file_path").alias(SOURCE),
+        source_name(F.col("file_name")).alias(SOURCE_NAME),
+        _position(F.lit(0), F.col("number")),
+        F.col("error").isNotNull().alias(MALFORMED),
+        F.from_xml("markup", schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("node"),
     )
-    return _parse_documents(documents, spec, mode, on_repeat, [SOURCE, SOURCE_NAME])
+    return _extract_values(rows, spec, mode, on_repeat, [SOURCE, SOURCE_NAME])
 
 
 def _parse_documents(
@@ -242,13 +221,12 @@ def _parse_documents(
         *carried,
         (F.regexp_extract("document", _ROOT_NAME, 1) == spec.root_path[0]).alias("root_fits"),
         F.from_xml("document", _with_corrupt(schema), options).alias("parsed"),
-        "error",
     )
     node = F.struct(*[F.col("parsed").getField(name).alias(name) for name in schema.fieldNames()])
     nodes = parsed.select(
         *carried,
         F.when(F.col("root_fits"), node).alias("node"),
-        F.coalesce(F.col("parsed").getField(_CORRUPT), F.when(F.col("error").isNotNull(), F.lit(""))).alias("corrupt"),
+        F.col("parsed").getField(_CORRUPT).alias("corrupt"),
     )
     return _explode_documents(nodes, spec, mode, on_repeat, carried)
 
@@ -277,110 +255,142 @@ def _explode_documents(
     return _extract_values(rows, spec, mode, on_repeat, carried)
 
 
-def _read_split(
-    spark: SparkSession,
-    paths: str | list[str],
-    spec: XmlSpec,
-    wanted: Column,
-    glob: str | None,
-    mode: str,
-    on_repeat: str,
-    tag: str,
-) -> DataFrame:
-    schema = record_schema(spec, _is_case_sensitive(spark))
-    pieces = _pieces(spark, paths, wanted, glob, tag).where(_starts_record(F.col("value")))
-    record, _ = _cut(F.col("value"), tag)
-    options = {**_PARSER_OPTIONS, "mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"}
-    parsed = pieces.select(
-        F.col("_metadata.file_path").alias(SOURCE),
-        source_name(F.col("_metadata.file_name")).alias(SOURCE_NAME),
-        _position(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()),
-        F.from_xml(record, _with_corrupt(schema), options).alias("node"),
-    ).withColumn(MALFORMED, F.col("node").getField(_CORRUPT).isNotNull())
-    return _extract_values(parsed, spec, mode, on_repeat, [SOURCE, SOURCE_NAME])
-
+def _cut_mark(spec: XmlSpec) -> str:
+    """Where files are cut: the record's end tag, which begins no other tag. Records that are read for nothing but
+    their own attributes are mostly written without an end tag."""
+    bare = all(value.type is ValueType.ATTRIBUTE and len(value.path) == 1 for value in spec.values.values())
+    return "/>" if bare else f"</{spec.root_path[-1]}>"
 
-def _pieces(
-    spark: SparkSession, paths: str | list[str], wanted: Column, glob: str | None, tag: str, **options: str
-) -> DataFrame:
-    """Text of files cut before each ``<tag``; a splittable scan that gives pieces of one file to many tasks."""
-    reader = spark.read.options(lineSep="<" + tag, recursiveFileLookup="true", **options)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(paths).where(wanted)
 
+def _pieces(spark: SparkSession, paths: str | list[str], wanted: Column, glob: str | None, mark: str) -> DataFrame:
+    """Text of files between the marks; a splittable scan that gives pieces of one file to many tasks."""
+    name = F.col("_metadata.file_name")
+    parts = []
+    for chosen, options in (
+        (~name.rlike(_COMPRESSED), {"mapreduce.input.linerecordreader.line.maxlength": str(LONGEST_PIECE)}),
+        (name.rlike(_COMPRESSED), {}),
+    ):
+        reader = spark.read.options(lineSep=mark, recursiveFileLookup="true", **options)
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+        parts.append(
+            reader.text(paths)
+            .where(wanted & chosen)
+            .select(
+                F.col("_metadata.file_path").alias(SOURCE),
+                source_name(name).alias(SOURCE_NAME),
+                # How long a file is when it is not compressed is known.
+                F.when(~name.rlike(_COMPRESSED), F.col("_metadata.file_size")).alias("file_size"),
+                F.col("_metadata.file_block_start").alias("block"),
+                "value",
+            )
+        )
+    return parts[0].unionByName(parts[1])
 
-def _starts_record(piece: Column) -> Column:
-    """Goes on like a start tag; else it is text before the first record or another tag that begins alike."""
-    return piece.rlike(r"^(?:\s+[^\s<]|\s*/?>)")
 
+def _cut_rows(
+    spark: SparkSession, paths: str | list[str], spec: XmlSpec, wanted: Column, glob: str | None, mode: str, on_repeat: str
+) -> DataFrame:
+    """Records of all pieces, with a column ``_cut`` that says of each piece what it is.
 
-def _cut(piece: Column, tag: str) -> tuple[Column, Column]:
-    """(markup of the record, text after it); the text after is NULL when the record has no end."""
-    end = rf"</{re.escape(tag)}\s*>"
-    empty_tag = F.regexp_extract(piece, f"^{_ATTRIBUTES}/>", 0)
-    is_empty = empty_tag != ""
-    halves = F.split(piece, end, 2)
-    closing = F.when(F.size(halves) == 2, F.lit(f"</{tag}>")).otherwise(F.lit(""))
-    record = F.concat(F.lit("<" + tag), F.when(is_empty, empty_tag).otherwise(F.concat(halves.getItem(0), closing)))
-    after = F.when(is_empty, F.substring(piece, F.length(empty_tag) + 1, F.length(piece))).otherwise(F.get(halves, F.lit(1)))
-    return record, after
+    A file is cut rightly if its first piece opens the parents, its last one closes them, every piece between holds
+    records and other whole elements at the parents' level (or closes some parents and opens them again), and no bytes
+    are missing. Each piece is parsed inside of an element made for it, so what is not whole does not parse.
+    """
+    tag, parents, mark = spec.root_path[-1], spec.root_path[:-1], _cut_mark(spec)
+    opening = [f"<{_PREFIX}{re.escape(name)}{_ATTRIBUTES}>{_MISC}" for name in parents]
+    closing = [rf"</{_PREFIX}{re.escape(name)}\s*>{_MISC}" for name in parents]
+    first = _PROLOG + "".join(opening)
+    again = [_MISC + "".join(reversed(closing[k:])) + "".join(opening[k:]) for k in range(1, len(parents))]
+    ending = "".join(reversed(closing)) + "$"
+    value = F.col("value")
+    body = F.regexp_replace(value, "^(?:" + "|".join([first, *again]) + ")", "")
+    ends = value.rlike(ending)
+    text = F.concat(
+        F.lit("<piece>"),
+        F.when(ends, F.regexp_replace(body, ending, "")).otherwise(F.concat(body, F.lit(mark))),
+        F.lit("</piece>"),
+    )
+    record = record_schema(spec, _is_case_sensitive(spark))
+    schema = _with_corrupt(T.StructType([T.StructField(tag, T.ArrayType(record))]))
+    begins = value.rlike("^" + first)
+    parsed = _pieces(spark, paths, wanted, glob, mark).select(
+        SOURCE, SOURCE_NAME, "block", "file_size",
+        begins.alias("begins"),
+        ends.alias("ends"),
+        F.octet_length(value).alias("octets"),
+        (~F.is_valid_utf8(value) | (begins & value.rlike(_OTHER_ENCODING))).alias("odd"),
+        F.from_xml(text, schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("parsed"),
+    )
+    rows = parsed.select(
+        SOURCE, SOURCE_NAME, "block", "file_size", "begins", "ends", "octets",
+        (F.col("odd") | F.col("parsed").getField(_CORRUPT).isNotNull()).alias("bad"),
+        F.posexplode_outer(F.col("parsed").getField(tag)).alias("at", "node"),
+    )
+    is_head = F.coalesce(F.col("at"), F.lit(0)) == 0
+    piece = F.when(is_head, F.struct("begins", "ends", "bad", "octets", "file_size"))
+    rows = rows.select(
+        SOURCE,
+        SOURCE_NAME,
+        _position(F.col("block"), F.monotonically_increasing_id()),
+        F.lit(False).alias(MALFORMED),
+        F.struct(F.col("node").isNotNull().alias("is_record"), piece.alias("piece")).alias("_cut"),
+        "node",
+    )
+    return _extract_values(rows, spec, mode, on_repeat, [SOURCE, SOURCE_NAME, "_cut"])
+
+
+def _cut_rightly(rows: DataFrame, mark: str) -> DataFrame:
+    """(file, exact) of the files in ``_cut_rows``."""
+    piece = F.col("_cut.piece")
+    octets = F.sum(piece["octets"] + len(mark.encode())) - len(mark.encode())  # no mark after the last piece
+    missing = F.max(piece["file_size"]) - octets
+    exact = (
+        (F.count_if(piece["begins"]) == 1)
+        & (F.count_if(piece["ends"]) == 1)
+        & (F.count_if(piece["bad"]) == 0)
+        & F.coalesce(missing.isin(0, 3), F.lit(True))  # the reader takes a byte order mark away
+    )
+    return rows.where(piece.isNotNull()).groupBy(F.col(SOURCE).alias("file")).agg(exact.alias("exact"))
 
 
-def splits_exactly(
+def cut_records(
     spark: SparkSession,
-    path: str | Sequence[str],
+    paths: str | list[str],
     spec: XmlSpec,
-    *,
-    files: Column | None = None,
+    wanted: Column,
     glob: str | None = XML_GLOB,
-    split_tag: str | None = None,
-) -> bool:
-    """Whether there are files and the ``split`` scan gives exactly the records at the root path for all of them.
-
-    It does if each file is: start tags of the parents once, records with nothing but space between them, end tags of
-    the parents once. That is told piece by piece and counted per file, without parsing.
-    """
-    tag = split_tag or spec.root_path[-1]
-    parents = spec.root_path[:-1]
-    if tag in parents:
-        return False
+    mode: str = "PERMISSIVE",
+    on_repeat: str = "first",
+    work_dir: str | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """The ``auto`` scan: (records, folders they are written to). Every file is cut and parsed once; the files for which
+    that was not right are streamed. A file that is one record (a root path of one name) is always streamed."""
+    work_dir = work_dir or scratch_dir(spark, "cut")
+    listed = list_files(spark, paths, glob, wanted).select("file_path", "file_name")
+    if len(spec.root_path) == 1:
+        other, good, folders = listed, None, []
+    else:
+        _cut_rows(spark, paths, spec, wanted, glob, mode, on_repeat).write.parquet(f"{work_dir}/cut")
+        rows = spark.read.parquet(f"{work_dir}/cut")
+        _cut_rightly(rows, _cut_mark(spec)).write.parquet(f"{work_dir}/verdicts")
+        verdicts = spark.read.parquet(f"{work_dir}/verdicts")
+        exact = verdicts.where("exact")
+        other = listed.join(exact, F.col("file_path") == F.col("file"), "left_anti")
+        wrong = verdicts.where("NOT exact")
+        good = rows.where("_cut.is_record").join(wrong, F.col(SOURCE) == F.col("file"), "left_anti").drop("_cut")
+        folders = [f"{work_dir}/cut"]
+    read_decoded(other, spec, mode=mode, on_repeat=on_repeat).write.parquet(f"{work_dir}/streamed")
+    streamed = spark.read.parquet(f"{work_dir}/streamed")
+    folders.append(f"{work_dir}/streamed")
+    return (streamed if good is None else good.unionByName(streamed)), folders
+
+
+def cut_exactly(spark: SparkSession, path: str | Sequence[str], spec: XmlSpec, *, glob: str | None = XML_GLOB) -> DataFrame:
+    """Which files the ``auto`` scan cuts: (file, exact)."""
     paths = path if isinstance(path, str) else list(path)
-    wanted = F.col("_metadata.file_size") > 0
-    if files is not None:
-        wanted = wanted & files
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        listed = listed.option("pathGlobFilter", glob)
-    if listed.load(paths).where(wanted).select("path").isEmpty():
-        return False
-
-    # What comes before the first record, cut where a parent's name begins like the tag.
-    openings = [_PROLOG]
-    for name in parents:
-        if name.startswith(tag):
-            openings.append(f"^{re.escape(name[len(tag) :])}{_ATTRIBUTES}>\\s*")
-        else:
-            openings[-1] += f"<{_PREFIX}{re.escape(name)}{_ATTRIBUTES}>\\s*"
-    closings = "".join(rf"</{_PREFIX}{re.escape(name)}\s*>\s*" for name in reversed(parents))
-
-    longest = {"mapreduce.input.linerecordreader.line.maxlength": str(LONGEST_PIECE)}
-    piece = F.col("value")
-    _, after = _cut(piece, tag)
-    is_record = _starts_record(piece)
-    kind = F.when(is_record & after.rlike(r"^\s*$"), "record").when(is_record & after.rlike(rf"^\s*{closings}$"), "last")
-    for number, opening in enumerate(openings):
-        fits = piece.rlike(opening + "$") & ~piece.rlike(_OTHER_ENCODING)
-        kind = kind.when(~is_record & fits, f"opening{number}")
-    kinds = _pieces(spark, paths, wanted, glob, tag, **longest).select(
-        F.col("_metadata.file_path").alias("file"), F.coalesce(kind, F.lit("other")).alias("kind")
-    )
-    once = ["last", *[f"opening{number}" for number in range(len(openings))]]
-    exact = F.count_if(F.col("kind") == "other") == 0
-    for name in once:
-        exact = exact & (F.count_if(F.col("kind") == name) == 1)
-    found = kinds.groupBy("file").agg(exact.alias("exact")).agg(F.bool_and("exact")).first()[0]
-    return bool(found)
+    rows = _cut_rows(spark, paths, spec, F.col("_metadata.file_size") > 0, glob, "PERMISSIVE", "first")
+    return _cut_rightly(rows, _cut_mark(spec))
 
 
 def _position(block: Column, index: Column) -> Column:

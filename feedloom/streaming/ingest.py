@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from feedloom.plans.load import load_records
+from feedloom.plans.load import run
 from feedloom.plans.mapping import Mapping, TableId
 from feedloom.sinks.tables import scratch_dir
-from feedloom.sources.files import mapping_index, source_name
-from feedloom.sources.xml import records_of_raw, stream_records
+from feedloom.sources.archives import ARCHIVE_GLOB, archive_kind, is_compressed_xml
+from feedloom.sources.files import XML_GLOB, mapping_index, source_name
 
 CLEAN_UP = ("off", "delete", "archive")
 
@@ -36,42 +38,64 @@ def source_options(clean_up: str = "off", archive_dir: str | None = None, max_fi
 def run_stream(
     spark: SparkSession,
     path: str,
-    mapping: Mapping,
+    mappings: Mapping | Sequence[Mapping],
     store,
     targets: dict[TableId, T.StructType],
     checkpoint: str,
     *,
-    scan: str = "document",
+    scan: str = "auto",
     on_error: str = "quarantine",
+    winner: str = "batch",
+    archives: bool = True,
     clean_up: str = "off",
     archive_dir: str | None = None,
     max_files: int | None = None,
     available_now: bool = True,
     work_dir: str | None = None,
 ) -> StreamingQuery:
-    """Start loading. Batches are numbered by the checkpoint, and a batch that is repeated after a failure is skipped
-    for the tables that already have it, so that appends are not doubled either."""
+    """Start loading. The stream is of file names; each batch of them is a whole ``run``, with all its mappings,
+    archives, encodings and reports, so a bad file is quarantined and the others are loaded.
+
+    Batches are numbered by the checkpoint. A batch that is repeated after a failure is skipped for the tables that
+    already have it, so that appends are not doubled, and writes the same report again: below ``work_dir`` there are
+    ``rejected``, ``files`` and ``tables``, each with one folder per batch.
+    """
+    mappings = [mappings] if isinstance(mappings, Mapping) else list(mappings)
     work_dir = work_dir or scratch_dir(spark, "stream")
-    raw = stream_records(
-        spark, path, mapping.xml, scan=scan, options=source_options(clean_up, archive_dir, max_files)
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"{{{XML_GLOB[1:-1]},{ARCHIVE_GLOB}}}" if archives else XML_GLOB)
+        .options(**source_options(clean_up, archive_dir, max_files))
+        .load(path)
+        .select("path", F.col("_metadata.file_name").alias("name"))  # contents are not read here
     )
-    wanted = mapping_index(source_name(F.col("_metadata.file_name")), [mapping]) == 0
-
+    archive = archive_kind(F.col("name")).isNotNull() & ~is_compressed_xml(F.col("name"))
+    names = names.where(archive | mapping_index(source_name(F.col("name")), mappings).isNotNull())
     # Batch numbers are unique within one checkpoint only.
     stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        records = records_of_raw(batch.where(wanted), mapping.xml, scan, "PERMISSIVE")
+        files = [_escaped(row.path) for row in batch.select("path").collect()]  # names of new files, as Spark lists them
+        if not files:
+            return
         # A repeated batch must not meet the files of its first attempt.
         folder = f"{work_dir}/batch{batch_id}-{uuid.uuid4().hex}"
-        _, _, rejected = load_records(
-            session, records, mapping, store, targets, folder, on_error=on_error, token=f"{stream_id}-{batch_id}"
-        )
-        rejected.write.mode("append").parquet(f"{work_dir}/rejected")
+        report = run(
+            batch.sparkSession, files, mappings, store, targets, scan=scan, on_error=on_error, winner=winner,
+            archives=archives, work_dir=folder, token=f"{stream_id}-{batch_id}",
+        )
+        for name, frame in (("rejected", report.rejected), ("files", report.files), ("tables", report.tables)):
+            frame.write.mode("overwrite").parquet(f"{work_dir}/{name}/batch={batch_id}")
+        report.clean()
 
-    writer = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = names.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
+
+def _escaped(path: str) -> str:
+    """A path whose characters stand for themselves where a pattern may stand."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

@@ -15,11 +15,14 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedloom.plans.mapping import XmlSpec
-from feedloom.sinks.tables import scratch_dir
-from feedloom.sources.archives import expand_archives, extract_archives
+from feedloom.plans.load import run
+from feedloom.plans.mapping import Mapping, TableId, TableSpec, XmlSpec
+from feedloom.sinks.tables import ParquetTables, _hadoop_path, scratch_dir
+from feedloom.sources.archives import ARCHIVE_GLOB, expand_archives, extract_archives, is_compressed_xml
 from feedloom.sources.documents import decode_content
+from feedloom.sources.files import list_files
 from feedloom.sources.xml import parse_column, read_records
 from feedloom_queries.common import as_type, attribute, content, element, table, text_of
 
@@ -111,13 +114,56 @@ def archive_mask_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_column(documents, "doc", CUSTOMERS).select(as_type("c_custkey", "bigint"), "c_name")
 
 
+_TABLE = TableId("customers")
+_MAPPING = Mapping(
+    XmlSpec(CUSTOMERS.root_path, {f"customers.{name}": value for name, value in CUSTOMERS.values.items()}, files=(r"seg_.*\.xml", r"huge\.xml")),
+    {_TABLE: TableSpec(("c_custkey",))},
+)
+_TARGETS = {_TABLE: T.StructType([T.StructField("c_custkey", T.LongType(), False), T.StructField("c_name", T.StringType())])}
+
+
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run tells of archives that hold a member above the limit, and of one that is none."""
+    base = _write_archives(spark, sf_dir)
+    spark.range(1, numPartitions=1).select(F.lit("no archive").alias("value")).write.text(f"{base}/broken")
+    system, source = _hadoop_path(spark, f"{base}/broken")
+    part = next(s.getPath() for s in system.listStatus(source) if s.getPath().getName().startswith("part-"))
+    system.rename(part, spark._jvm.org.apache.hadoop.fs.Path(f"{base}/broken.zip"))
+    store = ParquetTables(spark, scratch_dir(spark, "store"), _TARGETS)
+    report = run(spark, base, [_MAPPING], store, _TARGETS, max_member_bytes=4_000_000)
+    archives = list_files(spark, base, ARCHIVE_GLOB).where(~is_compressed_xml(F.col("file_name")))
+    told = report.rejected.groupBy("source").agg(F.max("reason").alias("reason"))
+    # All sides are single rows.
+    files = report.files.agg(F.sum("processed").alias("records"), F.count_if("failed").alias("failed"))
+    counted = archives.join(told, F.col("file_path") == F.col("source"), "left").agg(
+        F.count_if(F.col("reason").startswith("archive:too_large:")).alias("with_large_member"),
+        F.count_if(F.col("reason").startswith("archive:") & ~F.col("reason").contains("too_large")).alias("broken"),
+        F.count("*").alias("archives"),
+    )
+    one = lambda frame: frame.withColumn("one", F.lit(1))
+    rows = one(files).join(one(counted), "one").join(one(report.summary), "one").join(one(store.read(_TABLE).agg(F.count("*").alias("loaded"))), "one")
+    return rows.select(
+        "loaded",
+        "records",
+        "broken",
+        (F.col("archives") - F.col("with_large_member") - F.col("broken")).alias("archives_not_told"),
+        (F.col("files_failed") - F.col("archives")).alias("failed_beside_archives"),
+        (F.col("files_found") - F.col("files_loaded") - F.col("files_failed")).alias("files_not_told"),
+        "files_unrouted",
+    )
+
+
 QUERIES = {
+    "run_report": run_report,
     "archive_members": archive_members,
     "archive_extract": archive_extract,
     "archive_mask_prune": archive_mask_prune,
 }
 
 ORACLES = {
+    "run_report": """
+        SELECT count(*) AS loaded, count(*) AS records, 1 AS broken, 0 AS archives_not_told, 0 AS failed_beside_archives,
+               0 AS files_not_told, 0 AS files_unrouted FROM customer""",
     "archive_members": "SELECT c_custkey, c_name FROM customer",
     "archive_extract": "SELECT c_custkey, c_name FROM customer",
     "archive_mask_prune": """

@@ -53,7 +53,7 @@ def cast_double(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(price, F.lit("e2")), F.concat(price, F.lit("d")), "1.2.3", "12 5", "x", F.lit(None))
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", text.alias("value"), text.alias("single"))
     fields = [T.StructField("value", T.DoubleType()), T.StructField("single", T.FloatType())]
-    return _cast(rows, "l_orderkey", fields).withColumn("single", F.round(F.col("single").cast("double"), 0))
+    return _cast(rows, "l_orderkey", fields).withColumn("single", F.col("single").cast("double"))
 
 
 def cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +179,7 @@ ORACLES = {
                CASE WHEN l_orderkey % 9 = 8 THEN NULL {_INT_REASON} END AS reason
         FROM (SELECT l_orderkey, {_INT_SELECT} FROM lineitem)""",
     "cast_double": """
-        SELECT l_orderkey, value, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 0) AS single,
+        SELECT l_orderkey, value, CAST(CAST(value AS FLOAT) AS DOUBLE) AS single,
                CASE WHEN l_orderkey % 9 BETWEEN 5 AND 7 THEN 'cast:value:double' END AS reason
         FROM (SELECT l_orderkey,
                      CASE l_orderkey % 9 WHEN 0 THEN l_extendedprice WHEN 1 THEN l_extendedprice

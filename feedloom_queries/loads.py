@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from feedloom.operators.validate import annotate, validate
 from feedloom.plans.columns import REASON
 from feedloom.plans.load import run
 from feedloom.plans.mapping import Mapping, TableId, TableSpec, XmlSpec
-from feedloom.sinks.tables import ParquetTables, scratch_dir
+from feedloom.sinks.tables import ParquetTables, _hadoop_path, scratch_dir
 from feedloom.sources.xml import parse_column
 from feedloom.streaming.ingest import run_stream
 from feedloom_queries.common import attribute, content, order_documents, order_rows_for_xml, table
@@ -100,11 +102,12 @@ def append_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads into a versioned table; the second one is repeated and must not count twice."""
+    """An upsert into a filled table, and an append that is repeated and must not count twice."""
     store = ParquetTables(spark, scratch_dir(spark, "store"), {CUSTOMER: CUSTOMER_SCHEMA})
     store.load(CUSTOMER, table(spark, sf_dir, "customer"), ["c_custkey"], token="first")
+    store.load(CUSTOMER, _changes(spark, sf_dir), ["c_custkey"], token="second")
     for _ in range(2):
-        store.load(CUSTOMER, _changes(spark, sf_dir), [], token="second")
+        store.load(CUSTOMER, _changes(spark, sf_dir), [], token="third")
     return store.read(CUSTOMER)
 
 
@@ -153,15 +156,47 @@ def multi_table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(store)
 
 
+NOTES = TableId("notes", "shop")
+NOTES_MAPPING = Mapping(
+    XmlSpec(("notes", "note"), {"shop.notes.of": attribute("of")}, files=("notes",)), {NOTES: TableSpec()}
+)
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files as a stream in two rounds: the second round picks up only what is new."""
+    """The same files as a stream of two mappings in two rounds: the second round picks up only what is new. A file with
+    wrong bytes and a broken one are among them, and the last batch is run twice, as after a failure."""
     base, checkpoint = scratch_dir(spark, "feed"), scratch_dir(spark, "checkpoint")
     rows = order_rows_for_xml(spark, sf_dir)
-    store = ParquetTables(spark, scratch_dir(spark, "store"), LOAD_TARGETS)
+    targets = LOAD_TARGETS | {NOTES: T.StructType([T.StructField("of", T.LongType())])}
+    store = ParquetTables(spark, scratch_dir(spark, "store"), targets)
+    orders = Mapping(replace(LOAD_MAPPING.xml, files=("part",)), LOAD_MAPPING.db)
     for name, part in (("a", rows), ("b", rows.withColumn("price", -F.col("price")))):
         write_xml(part, f"{base}/{name}", "orders", "order")
-        run_stream(spark, base, LOAD_MAPPING, store, LOAD_TARGETS, checkpoint).awaitTermination()
-    return _loaded(store)
+        notes = part.agg(F.min("_id").alias("id")).select(F.lit("<notes><note of='").alias("x"), "id")
+        wrong = notes.select(F.concat("x", F.col("id").cast("string"), F.lit("'>"), F.lit("</note><note>")).alias("value"))
+        wrong.coalesce(1).write.option("lineSep", " ").text(f"{base}/{name}-notes")
+        _renamed(spark, f"{base}/{name}-notes", f"{base}/notes_{name}.xml")
+        work = scratch_dir(spark, "stream")
+        for _ in range(2 if name == "b" else 1):
+            run_stream(spark, base, [orders, NOTES_MAPPING], store, targets, checkpoint, work_dir=work).awaitTermination()
+            if name == "b":
+                _forget_last_commit(spark, checkpoint)
+    told = store.read(NOTES).select(F.lit("notes").alias("table_name"), F.lit(None).cast("long").alias("id"),
+                                    F.lit("kept before the error").alias("text"), F.lit(None).cast("decimal(12,2)").alias("amount"))
+    return _loaded(store).union(told)
+
+
+def _renamed(spark: SparkSession, folder: str, target: str) -> None:
+    """The one part file of a folder as a file of another name."""
+    system, path = _hadoop_path(spark, folder)
+    part = next(s.getPath() for s in system.listStatus(path) if s.getPath().getName().startswith("part-"))
+    system.rename(part, spark._jvm.org.apache.hadoop.fs.Path(target))
+
+
+def _forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    system, path = _hadoop_path(spark, f"{checkpoint}/commits")
+    last = max((s.getPath() for s in system.listStatus(path) if s.getPath().getName().isdigit()), key=lambda p: int(p.getName()))
+    system.delete(last, False)
 
 
 def order_upsert_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,9 +322,12 @@ ORACLES = {
         SELECT c_custkey, 'unknown', -1, NULL, 'never used' FROM {_CHANGES_SQL}
         WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)""",
     "append_insert": _APPEND_SQL,
-    "table_sink_roundtrip": _APPEND_SQL,
+    "table_sink_roundtrip": f"""{_UPSERT_SQL}
+        UNION ALL SELECT c_custkey, 'unknown', -1, c_acctbal, c_mktsegment FROM {_CHANGES_SQL}""",
     "multi_table_load": _loaded_sql("-o_totalprice"),
-    "stream_upsert": _loaded_sql("-o_totalprice"),
+    "stream_upsert": _loaded_sql("-o_totalprice")
+    + """
+        UNION ALL SELECT 'notes', CAST(NULL AS BIGINT), 'kept before the error', CAST(NULL AS DECIMAL(12, 2)) FROM range(2)""",
     "order_upsert_flow": """
         SELECT coalesce(s.id, t.c_custkey) AS id, CASE WHEN s.id IS NULL THEN c_mktsegment ELSE s.status END AS status
         FROM customer t FULL JOIN (

@@ -44,8 +44,52 @@ def xml_scan_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_orders(read_records(spark, _order_files(spark, sf_dir), ORDERS, scan="document"))
 
 
+def _cut_small(spark: SparkSession, location: str, spec: XmlSpec, scan: str = "split") -> DataFrame:
+    """A scan with partitions so small that files are really cut at this size of the tables."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        return read_records(spark, location, spec, scan=scan)
+    finally:
+        spark.conf.set(name, before)
+
+
 def xml_scan_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return typed_orders(read_records(spark, _order_files(spark, sf_dir), ORDERS, scan="split"))
+    return typed_orders(_cut_small(spark, _order_files(spark, sf_dir), ORDERS))
+
+
+def xml_scan_auto_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed of files that can be cut and files that cannot: children named alike, another encoding, compressed files,
+    prefixed records, and records that hold an element of their own name."""
+    rows, base = order_rows_for_xml(spark, sf_dir), scratch_dir(spark, "mixed")
+    share = lambda n: rows.where(F.col("_id") % 5 == n)
+    alike = share(0).withColumn("orderdate", F.struct(F.col("_id").alias("_order")))
+    write_xml(alike, f"{base}/alike", "orders", "order")
+    declared = {"encoding": "windows-1251", "declaration": "version='1.0' encoding='windows-1251'"}
+    write_xml(share(1).withColumn("note", F.lit("Привет")), f"{base}/encoded", "orders", "order", **declared)
+    write_xml(share(2), f"{base}/packed", "orders", "order", compression="gzip")
+    write_xml(share(3), f"{base}/prefixed", "p:orders xmlns:p='urn:p'", "p:order", validateName="false")
+    write_xml(share(4).withColumn("order", F.struct(F.lit(-1).alias("_id"))), f"{base}/nested", "orders", "order")
+    return typed_orders(_cut_small(spark, base, ORDERS, "auto"))
+
+
+def xml_scan_other_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the files have another root element; their orders are at another path."""
+    rows, base = order_rows_for_xml(spark, sf_dir), scratch_dir(spark, "roots")
+    write_xml(rows.where(F.col("_id") % 2 == 0), f"{base}/orders", "orders", "order")
+    below = rows.where(F.col("_id") % 2 == 1).select(F.struct("*").alias("order"))
+    write_xml(below, f"{base}/others", "archive", "orders")
+    scans = [typed_orders(read_records(spark, base, ORDERS, scan=scan)) for scan in ("auto", "document", "record")]
+    return scans[0].union(scans[1]).union(scans[2])
+
+
+def scan_split_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in which every record holds another one of its name: none of them can be cut."""
+    rows = order_rows_for_xml(spark, sf_dir).withColumn("order", F.struct((-F.col("_id")).alias("_id")))
+    location = scratch_dir(spark, "fallback")
+    write_xml(rows, location, "orders", "order")
+    return typed_orders(_cut_small(spark, location, ORDERS))
 
 
 def xml_scan_strict_path(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +200,9 @@ QUERIES = {
     "xml_scan": xml_scan,
     "xml_scan_document": xml_scan_document,
     "xml_scan_split": xml_scan_split,
+    "xml_scan_auto_mixed": xml_scan_auto_mixed,
+    "xml_scan_other_root": xml_scan_other_root,
+    "scan_split_fallback": scan_split_fallback,
     "xml_scan_strict_path": xml_scan_strict_path,
     "xml_scan_namespaced": xml_scan_namespaced,
     "xml_scan_encodings": xml_scan_encodings,
@@ -177,12 +224,15 @@ ORACLES = {
             "xml_scan",
             "xml_scan_document",
             "xml_scan_split",
+            "xml_scan_auto_mixed",
+            "scan_split_fallback",
             "xml_scan_strict_path",
             "xml_scan_namespaced",
             "xml_dir_scan",
             "xml_column_scan",
         )
     },
+    "xml_scan_other_root": f"{_ORDERS_SQL}, range(3) WHERE o_orderkey % 2 = 0",
     "xml_scan_encodings": f"""
         SELECT c_custkey, CASE c_custkey % {len(_ENCODINGS)} {_PREFIX_SQL} END || c_name AS label FROM customer""",
     "file_listing": "SELECT count(*) AS records, CAST(0 AS BIGINT) AS files_without_records FROM orders",

@@ -223,7 +223,25 @@ def test_jdbc_statements_run_in_order(spark):
     sink = JdbcTables(spark, "jdbc:none:", {}, execute=ran.append)
     with pytest.raises(Exception):
         sink.load(TABLE, spark.range(1), ["id"])
-    assert ran == []  # the staging write failed, so nothing may be merged
+    assert [str(s[0])[:20] for s in ran] == ["DROP TABLE IF EXISTS"]  # the staging write failed, so nothing may be merged
+
+
+def test_jdbc_loads_of_several_tables_under_one_token(spark, monkeypatch):
+    other = TableId("u", "s")
+    fields = T.StructType([T.StructField("id", T.LongType()), T.StructField("j", T.StringType(), metadata={"type": "jsonb"})])
+    ran = []
+    sink = JdbcTables(spark, "jdbc:none:", {}, execute=ran.append, targets={TABLE: fields})
+    monkeypatch.setattr(sink, "_stage", lambda rows, staging: ran.append(["STAGE " + staging]))
+    rows = spark.createDataFrame([(1, "{}")], "id long, J string")
+    for table in (TABLE, other):
+        sink.load(table, rows, ["id"], token="x" * 80)
+    stages = [s[0].removeprefix("STAGE ") for s in ran if s[0].startswith("STAGE")]
+    assert len(set(stages)) == 2 and all(len(name) <= 65 for name in stages)
+    create, merge, note = ran[1]
+    assert create.startswith("CREATE TABLE IF NOT EXISTS") and note.startswith("INSERT INTO") and note.endswith("DO NOTHING")
+    assert 'CAST("J" AS jsonb)' in merge and "WHERE NOT EXISTS" in merge and 'ON CONFLICT ("id")' in merge
+    assert ran[2] == [f"DROP TABLE IF EXISTS {stages[0]}"]
+    assert "CAST" not in ran[4][1] and sink.staging(TABLE, "a") != sink.staging(TABLE, "b")
 
 
 def test_parquet_tables(spark, tmp_path):
@@ -238,10 +256,27 @@ def test_parquet_tables(spark, tmp_path):
     broken = tmp_path / "s.t" / "v00000009-dead"
     broken.mkdir()
     assert rows_of(store.read(TABLE)) == [(1, "a"), (2, "c"), (3, "d")]
-    store.load(TABLE, spark.createDataFrame([(4, "e")], schema), [], token="x-3")
+    for _ in range(2):
+        store.load(TABLE, spark.createDataFrame([(4, "e")], schema), [], token="x-3")
     assert store.read(TABLE).count() == 4
     store.drop_old_versions(TABLE, keep=1)
-    assert [p.name for p in (tmp_path / "s.t").iterdir()] == ["v00000010-x-3"]
+    assert sorted(p.name for p in (tmp_path / "s.t").iterdir()) == ["v00000002-x-2", "v00000009-dead", "v00000010-x-3.add"]
+    store.load(TABLE, spark.createDataFrame([(4, "f")], schema), ["k"], token="x-4")
+    store.drop_old_versions(TABLE, keep=1)
+    assert rows_of(store.read(TABLE)) == [(1, "a"), (2, "c"), (3, "d"), (4, "f")]
+    assert [p.name for p in (tmp_path / "s.t").iterdir()] == ["v00000011-x-4"]
+
+
+def test_an_append_writes_its_own_rows_only(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    store = ParquetTables(spark, str(tmp_path), {TABLE: schema})
+    sizes = []
+    for part in range(4):
+        store.load(TABLE, spark.range(part * 2000, part * 2000 + 2000, 1, 1).selectExpr("id AS k", "md5(string(id)) AS v"), [])
+        last = sorted((tmp_path / "s.t").iterdir())[-1]
+        sizes.append(sum(f.stat().st_size for f in last.iterdir()))
+    assert max(sizes) < 1.1 * min(sizes)
+    assert store.read(TABLE).count() == 8000
 
 
 # --- archives --------------------------------------------------------------------------------------------------------
@@ -279,7 +314,8 @@ def test_members(spark, tmp_path):
     for row in rows:
         found.setdefault(row.archive_path.rpartition("/")[2], {})[row.member] = row
     for name in ("one.ZIP", "two.tar", "three.tar.gz", "four.tgz", "five.tar.bz2", "six.tbz2"):
-        assert set(found[name]) == {"deep/a.xml", "b.XML"}
+        assert set(found[name]) == {"deep/a.xml", "b.XML", "big.xml"}
+        assert found[name].pop("big.xml").error == f"too_large:{len(MEMBERS['big.xml'])}"
         for member, row in found[name].items():
             assert bytes(row.content) == MEMBERS[member] and row.size == len(MEMBERS[member]) and row.error is None
     assert bytes(found["seven.xml.gz"]["seven.xml"].content) == MEMBERS["deep/a.xml"]
@@ -365,7 +401,7 @@ def test_run(spark, tmp_path):
     feed = tmp_path / "feed"
     write_feed(feed)
     store = ParquetTables(spark, str(tmp_path / "store"), TARGETS)
-    report = run(spark, str(feed), [MAPPING], store, TARGETS)
+    report = run(spark, str(feed), [MAPPING], store, TARGETS, winner="first")
     # Paths decide between files: the archive's member is extracted to a folder whose path sorts before the feed or after.
     four = [r for r in store.read(ITEMS).collect() if r.id == 4]
     assert len(four) == 1
@@ -392,8 +428,65 @@ def test_run(spark, tmp_path):
 
     # A second run changes nothing in the keyed table.
     before = rows_of(store.read(ITEMS))
-    run(spark, str(feed), [MAPPING], store, TARGETS)
+    run(spark, str(feed), [MAPPING], store, TARGETS, winner="first")
     assert rows_of(store.read(ITEMS).where("id <> 4")) == [r for r in before if r[0] != 4]
+    from pathlib import Path
+
+    assert sorted(p.name for p in Path(report.work_dir).iterdir()) == ["files", "manifest", "report"]
+    report.clean()
+    assert not Path(report.work_dir).exists()
+
+
+def test_failed_archives_and_large_members_are_told(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "items_1.xml").write_text("<root><item id='1'/></root>")
+    (feed / "broken.zip").write_bytes(b"no archive")
+    with zipfile.ZipFile(feed / "large.zip", "w") as archive:
+        archive.writestr("items_2.xml", "<root><item id='2'/>" + " " * 2000 + "</root>")
+        archive.writestr("items_3.xml", "<root><item id='3'/></root>")
+    store = ParquetTables(spark, str(tmp_path / "store"), TARGETS)
+    report = run(spark, str(feed), [MAPPING], store, TARGETS, max_member_bytes=1000)
+    assert rows_of(store.read(ITEMS), "id") == [(1,), (3,)]
+    assert report.summary.collect()[0].asDict() == {
+        "files_found": 4, "files_loaded": 2, "files_failed": 2, "files_unrouted": 0}
+    reasons = {r.source.rpartition("/")[2]: r.reason for r in report.rejected.collect()}
+    assert reasons["large.zip"].startswith("archive:too_large:20") and reasons["broken.zip"].startswith("archive:")
+
+
+def test_one_archive_gives_every_member_that_is_named(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "feed.zip", "w") as archive:
+        archive.writestr("a/part.dat", "<root><item id='1'/></root>")
+        archive.writestr("b/part.dat", "<root><item id='2'/></root>")
+        archive.writestr("b/other.dat", "<root><item id='3'/></root>")
+    mapping = Mapping(XmlSpec(("root", "item"), {"items.id": ValueSpec(("id",))}, files=(r"part\.dat",)), {ITEMS: TableSpec(("id",))})
+    for path, ids in ((tmp_path / "feed.zip", [(1,), (2,)]), (tmp_path, [])):
+        store = ParquetTables(spark, str(tmp_path / f"store{len(ids)}"), TARGETS)
+        run(spark, str(path), [mapping], store, TARGETS)
+        assert rows_of(store.read(ITEMS), "id") == ids
+
+
+def test_all_mappings_are_checked_before_the_first_is_loaded(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    (feed / "items_1.xml").write_text("<root><item id='1'/></root>")
+    (feed / "notes.xml").write_text("<root><item><note>x</note></item><item>")
+    notes = Mapping(
+        XmlSpec(("root", "item"), {"log.notes.note": ValueSpec(("note",), ValueType.CONTENT)}, files=("notes",)), {NOTES: TableSpec()}
+    )
+    store = ParquetTables(spark, str(tmp_path / "store"), TARGETS)
+    with pytest.raises(LoadError, match="malformed_document"):
+        run(spark, str(feed), [MAPPING, notes], store, TARGETS, on_error="fail")
+    assert store.read(ITEMS).count() == 0
+
+
+def test_work_folders_are_the_same_place_for_spark_and_tasks(spark, tmp_path):
+    from feedloom.sinks.tables import qualified
+    from feedloom.sources.documents import local_uri
+
+    assert qualified(spark, f"{tmp_path}/w") == f"file:{tmp_path}/w"
+    assert local_uri("s3a://b/k") == "s3://b/k" and local_uri("dbfs:/mnt/x") == "file:///dbfs/mnt/x"
+    assert local_uri("file:///a") == "file:///a"
 
 
 def test_run_in_batch_order(spark, tmp_path):
@@ -404,6 +497,9 @@ def test_run_in_batch_order(spark, tmp_path):
         store = ParquetTables(spark, str(tmp_path / winner), TARGETS)
         run(spark, str(tmp_path / "feed"), [MAPPING], store, TARGETS, winner=winner)
         assert rows_of(store.read(ITEMS), "id", "QTY") == expected
+    store = ParquetTables(spark, str(tmp_path / "default"), TARGETS)
+    run(spark, str(tmp_path / "feed"), [MAPPING], store, TARGETS)
+    assert rows_of(store.read(ITEMS), "id", "QTY") == [(0, 6), (1, 7), (2, 5)]  # batches one after the other
 
 
 def test_run_stops_on_request_and_checks_first(spark, tmp_path):
@@ -420,6 +516,11 @@ def test_run_stops_on_request_and_checks_first(spark, tmp_path):
 # --- streams ---------------------------------------------------------------------------------------------------------
 
 
+EXTRA = Mapping(
+    XmlSpec(("extra",), {"log.notes.note": ValueSpec(("note",), ValueType.CONTENT)}, files=("^extra",)), {NOTES: TableSpec()}
+)
+
+
 def test_stream(spark, tmp_path):
     feed, checkpoint = tmp_path / "feed", str(tmp_path / "checkpoint")
     feed.mkdir()
@@ -427,25 +528,43 @@ def test_stream(spark, tmp_path):
 
     def start():
         query = run_stream(
-            spark, str(feed), MAPPING, store, TARGETS, checkpoint, max_files=1, clean_up="delete",
+            spark, str(feed), [MAPPING, EXTRA], store, TARGETS, checkpoint, max_files=4, clean_up="delete",
             work_dir=str(tmp_path / "work"))
         query.awaitTermination()
 
     (feed / "items_1.xml").write_text("<root><item id='1'><note>a</note></item><item id='x'/></root>")
     (feed / "items_2.xml").write_text("<root><item id='2'><note>b</note></item><item id='3'></root>")
     (feed / "other.xml").write_text("<root><item id='9'/></root>")
+    (feed / "extra.xml").write_bytes(b"<extra><note>wrong \xff byte</note></extra>")
+    with zipfile.ZipFile(feed / "more.zip", "w") as archive:
+        archive.writestr("items_5.xml", "<root><item id='5'/></root>")
     start()
-    assert rows_of(store.read(ITEMS), "id", "day") == [(1, "1"), (2, "2")]
+    assert rows_of(store.read(ITEMS), "id", "day") == [(1, "1"), (2, "2"), (5, "5")]
     (feed / "items_3.xml").write_text("<root><item id='1'><qty>8</qty><note>c</note></item></root>")
     start()
     start()
-    assert rows_of(store.read(ITEMS), "id", "QTY") == [(1, 8), (2, 0)]
-    assert rows_of(store.read(NOTES)) == [("a",), ("b",), ("c",)]
+    assert rows_of(store.read(ITEMS), "id", "QTY") == [(1, 8), (2, 0), (5, 0)]
+    assert rows_of(store.read(NOTES)) == [("a",), ("b",), ("c",), ("wrong � byte",)]
     reasons = spark.read.parquet(str(tmp_path / "work" / "rejected")).select("reason")
     assert rows_of(reasons) == [("cast:id:bigint",), ("malformed_document",)]
+    assert spark.read.parquet(str(tmp_path / "work" / "files")).count() == 5
     assert not (feed / "items_1.xml").exists()
 
 
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    """Without its commit the last batch is run again, also the appends and rejects of it."""
+    feed, checkpoint = tmp_path / "feed", tmp_path / "checkpoint"
+    feed.mkdir()
+    store = ParquetTables(spark, str(tmp_path / "store"), TARGETS)
+    (feed / "items_1.xml").write_text("<root><item id='1'><note>a</note></item><item id='x'/></root>")
+    for _ in range(2):
+        run_stream(spark, str(feed), MAPPING, store, TARGETS, str(checkpoint), work_dir=str(tmp_path / "work")).awaitTermination()
+        for commit in (checkpoint / "commits").iterdir():
+            commit.unlink()
+    assert rows_of(store.read(NOTES)) == [("a",)]
+    assert spark.read.parquet(str(tmp_path / "work" / "rejected")).count() == 1
+
+
 def test_source_options():
     assert source_options() == {"cleanSource": "off"}
     assert source_options("archive", "/a", 5) == {"cleanSource": "archive", "sourceArchiveDir": "/a", "maxFilesPerTrigger": "5"}

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from feedloom.operators.validate import annotate, validate
 from feedloom.plans.columns import MALFORMED, REASON
 from feedloom.plans.mapping import MappingError, ValueSpec, ValueType, XmlSpec
-from feedloom.sources.recover import complete_elements
-from feedloom.sources.xml import parse_column, read_records, tag_report
+from feedloom.sources.elements import complete_elements
+from feedloom.sources.xml import cut_exactly, parse_column, read_records, tag_report
 from tests.conftest import records_of
 
 
@@ -34,112 +34,118 @@ def arr(*path, structure, **options):
 
 
 SCANS = ("document", "record", "split", "auto")
-ITEM = XmlSpec(("root", "item"), {"itemContent": text()})
+READING = XmlSpec(("log", "reading"), {"level": text()})
+
+
+def levels(df):
+    return [r.get("level") for r in records_of(df)]
 
 
 @pytest.mark.parametrize("scan", SCANS)
-def test_flat_content(spark, xml_file, scan):
-    path = xml_file("<root>\n  <item>Value 1</item>\n  <item>Value 2</item>\n</root>")
-    assert records_of(read_records(spark, path, ITEM, scan=scan)) == [{"itemContent": "Value 1"}, {"itemContent": "Value 2"}]
+def test_text_of_records(spark, xml_file, scan):
+    path = xml_file("<log>\n\t<reading>12.5</reading>\n\t<reading>  11.0\n</reading><reading/>\n</log>\n")
+    assert levels(read_records(spark, path, READING, scan=scan)) == ["12.5", "11.0", None]
 
 
 @pytest.mark.parametrize("scan", SCANS)
-def test_attributes_and_content(spark, xml_file, scan):
+def test_attributes_beside_text(spark, xml_file, scan):
     path = xml_file(
-        """<data><record key="1" type="A">Value A1</record><record key='2' type="B">Value B2</record>
-        <record key="3" type="A > B"/></data>"""
+        """<depot><pallet dock='9' state="full">rice</pallet>
+        <pallet state="6 < 7 > 5" dock="10"/><pallet dock="11">tea &amp; mate</pallet></depot>""".replace("6 <", "6 &lt;")
     )
-    spec = XmlSpec(("data", "record"), {"key": attr("key"), "type": attr("type"), "value": text()})
+    spec = XmlSpec(("depot", "pallet"), {"dock": attr("dock"), "state": attr("state"), "goods": text()})
     assert records_of(read_records(spark, path, spec, scan=scan)) == [
-        {"key": "1", "type": "A", "value": "Value A1"},
-        {"key": "2", "type": "B", "value": "Value B2"},
-        {"key": "3", "type": "A > B"},
+        {"dock": "9", "state": "full", "goods": "rice"},
+        {"dock": "10", "state": "6 < 7 > 5"},
+        {"dock": "11", "goods": "tea & mate"},
     ]
 
 
-LIBRARY = """<library>
-  <book id="1"><title>Across the Ridge</title><author>M. Alder</author>
-    <chapters><chapter num="1">Beginning</chapter><chapter num="2">Middle</chapter></chapters></book>
-  <book id="2"><title>Notes on Weirs</title><author>P. Reed</author></book>
-</library>"""
-BOOK = XmlSpec(
-    ("library", "book"),
-    {"id": attr("id"), "title": text("title"), "author": text("author"), "num": attr("chapters", "chapter", "num")},
+ROUTES = """<fleet><truck plate="KX 11"><driver><badge>77</badge></driver>
+    <leg km="40"><stop>Oulu</stop></leg><leg km="15"><stop>Kemi</stop><stop>Tornio</stop></leg></truck>
+  <truck plate="KX 12"><driver/><leg km="3"/></truck></fleet>"""
+TRUCK = XmlSpec(
+    ("fleet", "truck"),
+    {"plate": attr("plate"), "badge": text("driver", "badge"), "km": attr("leg", "km"), "stop": text("leg", "stop")},
 )
 
 
 @pytest.mark.parametrize("scan", SCANS)
 def test_nested_takes_the_first(spark, xml_file, scan):
-    first, second = records_of(read_records(spark, xml_file(LIBRARY), BOOK, scan=scan))
-    assert first == {"id": "1", "title": "Across the Ridge", "author": "M. Alder", "num": "1"}
-    assert second == {"id": "2", "title": "Notes on Weirs", "author": "P. Reed"}
+    first, second = records_of(read_records(spark, xml_file(ROUTES), TRUCK, scan=scan))
+    assert first == {"plate": "KX 11", "badge": "77", "km": "40", "stop": "Oulu"}
+    assert second == {"plate": "KX 12", "km": "3"}
 
 
 def test_last_on_request(spark, xml_file):
-    assert records_of(read_records(spark, xml_file(LIBRARY), BOOK, on_repeat="last"))[0]["num"] == "2"
+    first = records_of(read_records(spark, xml_file(ROUTES), TRUCK, on_repeat="last"))[0]
+    assert (first["km"], first["stop"]) == ("15", "Tornio")
 
 
-def test_cdata(spark, xml_file):
-    path = xml_file(
-        """<data><message><![CDATA[Kept as <i>typed</i> text.]]></message>
-        <description>plain words</description><empty_cdata><![CDATA[]]></empty_cdata></data>"""
-    )
-    spec = XmlSpec(("data",), {"m": text("message"), "d": text("description"), "e": text("empty_cdata")})
-    assert records_of(read_records(spark, path, spec)) == [
-        {"m": "Kept as <i>typed</i> text.", "d": "plain words"}
-    ]
+@pytest.mark.parametrize("scan", SCANS)
+def test_cdata(spark, xml_file, scan):
+    path = xml_file("<jobs><job><cmd><![CDATA[a < b && </job> <job>]]></cmd><env><![CDATA[ ]]></env></job></jobs>")
+    spec = XmlSpec(("jobs", "job"), {"cmd": text("cmd"), "env": text("env")})
+    if scan != "record":
+        assert records_of(read_records(spark, path, spec, scan=scan)) == [{"cmd": "a < b && </job> <job>"}]
 
 
-@pytest.mark.parametrize("value", [text(), attr("a")])
-def test_empty_root_gives_no_valid_record(spark, xml_file, value):
-    spec = XmlSpec(("root",), {"v": value})
-    valid, rejected = validate(read_records(spark, xml_file("<root/>"), spec), spec)
+@pytest.mark.parametrize("scan", SCANS)
+@pytest.mark.parametrize("value", [text("since"), attr("rev")])
+def test_a_root_that_is_the_record(spark, xml_file, value, scan):
+    spec = XmlSpec(("status",), {"v": value})
+    assert records_of(read_records(spark, xml_file("<status rev='x'><since>x</since></status>"), spec, scan=scan)) == [{"v": "x"}]
+    valid, rejected = validate(read_records(spark, xml_file("<status/>", "none.xml"), spec, scan=scan), spec)
     assert valid.count() == 0
     assert [row[REASON] for row in rejected.collect()] == ["empty"]
 
 
 @pytest.mark.parametrize("scan", SCANS)
 def test_malformed_document_keeps_what_came_before(spark, xml_file, scan):
-    path = xml_file("<root><item>Value 0</item><item>Value 1<item>Value 2</item></root>")
-    rows = annotate(read_records(spark, path, ITEM, scan=scan), ITEM).collect()
-    assert "Value 0" in [row.itemContent for row in rows if row[REASON] is None]
+    path = xml_file("<log><reading>3</reading><reading>4<reading>5</reading></log>")
+    rows = annotate(read_records(spark, path, READING, scan=scan), READING).collect()
+    assert "3" in [row.level for row in rows if row[REASON] is None]
     assert "malformed_document" in [row[REASON] for row in rows]
-    if scan != "split":
-        assert len(rows) == 2
+    assert len(rows) == 2
 
 
 def test_malformed_modes(spark, xml_file):
-    path = xml_file("<root><item>a</item><item>b</root>")
-    assert read_records(spark, path, ITEM, mode="DROPMALFORMED").count() == 1
-    with pytest.raises(Exception, match="(?i)malformed|FAILED_READ"):
-        read_records(spark, path, ITEM, mode="FAILFAST").collect()
+    path = xml_file("<log><reading>8</reading><reading>9</log>")
+    for scan in ("document", "auto"):
+        assert read_records(spark, path, READING, mode="DROPMALFORMED", scan=scan).count() == 1
+        with pytest.raises(Exception, match="(?i)malformed|FAILED_READ"):
+            read_records(spark, path, READING, mode="FAILFAST", scan=scan).collect()
 
 
 def test_record_scan_can_be_counted(spark, xml_file):
-    path = xml_file("<root><item>a</item><item>b</root>")
-    frame = read_records(spark, path, ITEM, scan="record")
+    path = xml_file("<log><reading>8</reading><reading>9</log>")
+    frame = read_records(spark, path, READING, scan="record")
     assert frame.count() == 2
     assert frame.groupBy(MALFORMED).count().count() == 2
 
 
-def test_large(spark, xml_file):
-    body = "".join(f'<item id="{i}">Value {i}</item>' for i in range(10_000))
-    path = xml_file(f"<root>{body}</root>")
-    spec = XmlSpec(("root", "item"), {"id": attr("id"), "v": text()})
+def test_many_records(spark, xml_file):
+    rows = [{"at": str(3 * n), "v": f"level {n % 7}"} for n in range(12_000)]
+    path = xml_file("<log>" + "\n".join(f"<reading at='{r['at']}'><v>{r['v']}</v></reading>" for r in rows) + "</log>")
+    spec = XmlSpec(("log", "reading"), {"at": attr("at"), "v": text("v")})
     for scan in ("document", "record", "split"):
-        rows = records_of(read_records(spark, path, spec, scan=scan))
-        assert rows == [{"id": str(i), "v": f"Value {i}"} for i in range(10_000)]
+        assert records_of(read_records(spark, path, spec, scan=scan)) == rows
 
 
-def test_split_scan_cuts_one_file_into_many_tasks(spark, xml_file):
-    body = "".join(f'<s:item id="{i}"><a>Value é {i}</a></s:item >\n' for i in range(5_000))
-    path = xml_file(f'<?xml version="1.0"?>\n<s:items xmlns:s="u">{body}</s:items>')
-    spec = XmlSpec(("items", "item"), {"id": attr("id"), "v": text("a")})
+@pytest.mark.parametrize("bare", [False, True])
+def test_one_file_is_cut_into_many_tasks(spark, xml_file, bare):
+    """Also records of nothing but attributes; other elements, comments and children named alike do no harm."""
+    one = "<box id='{0}' w='é {0}'/>" if bare else "<box id='{0}'><!-- </boxes> --><w>é {0}</w><boxed/></box><note n='{0}'/>"
+    body = "\n".join(one.format(n) for n in range(4_000))
+    path = xml_file(f'<?xml version="1.0"?><!-- day --><boxes day="2">{body}\n<!-- end --></boxes>\n')
+    spec = XmlSpec(("boxes", "box"), {"id": attr("id"), "w": attr("w") if bare else text("w")})
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
-        frame = read_records(spark, path, spec, scan="split", split_tag="s:item")
-        assert frame.rdd.getNumPartitions() > 5
-        assert records_of(frame) == [{"id": str(i), "v": f"Value é {i}"} for i in range(5_000)]
+        assert [r.exact for r in cut_exactly(spark, path, spec).collect()] == [True]
+        rows = records_of(read_records(spark, path, spec, scan="split"))
+        assert rows == [{"id": str(n), "w": f"é {n}"} for n in range(4_000)]
+        blocks = {r._position.block for r in read_records(spark, path, spec, scan="split").collect()}
+        assert len(blocks) > 5
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -149,84 +155,60 @@ def test_split_scan_cuts_one_file_into_many_tasks(spark, xml_file):
     [("utf-16", 'encoding="UTF-16"'), ("windows-1251", 'encoding="windows-1251"'), ("utf-8-sig", ""), ("koi8-r", 'encoding="KOI8-R"')],
 )
 def test_encodings_are_found(spark, xml_file, encoding, declaration):
-    path = xml_file(f'<?xml version="1.0" {declaration}?><root><item>Привет</item></root>', encoding=encoding)
-    assert records_of(read_records(spark, path, ITEM)) == [{"itemContent": "Привет"}]
+    path = xml_file(f'<?xml version="1.0" {declaration}?><log><reading>высоко</reading></log>', encoding=encoding)
+    for scan in ("document", "auto"):
+        assert levels(read_records(spark, path, READING, scan=scan)) == ["высоко"]
 
 
 def test_encoding_can_be_given(spark, xml_file):
-    path = xml_file("<root><item>Привет</item></root>", encoding="windows-1251")
-    assert records_of(read_records(spark, path, ITEM, encoding="windows-1251")) == [{"itemContent": "Привет"}]
+    path = xml_file("<log><reading>высоко</reading></log>", encoding="windows-1251")
+    assert levels(read_records(spark, path, READING, encoding="windows-1251")) == ["высоко"]
 
 
-PRODUCTS = """<products>
-  <product id="P1"><name>Alpha</name><price>100</price></product>
-  <product id="P2"><name></name><price>200</price></product>
-  <product><name>Gamma</name><price>300</price></product>
-  <product id="P4"><name>Delta</name></product>
-</products>"""
+SHIFTS = """<roster><shift code="N" from="22:00"><crew>4</crew></shift><shift code=" " from="06:00"><crew>2</crew></shift>
+  <shift code="L" from="14:00"><crew>\t</crew></shift><shift from="00:00"/><shift code="D"><crew>0</crew></shift></roster>"""
 
 
 def test_required(spark, xml_file):
     spec = XmlSpec(
-        ("products", "product"),
-        {"id": attr("id", required=True), "name": text("name", required=True), "price": text("price")},
+        ("roster", "shift"),
+        {"code": attr("code", required=True), "crew": text("crew", required=True), "start": attr("from")},
     )
-    valid, rejected = validate(read_records(spark, xml_file(PRODUCTS), spec), spec)
-    assert [tuple(r) for r in valid.select("id", "name", "price").orderBy("id").collect()] == [
-        ("P1", "Alpha", "100"),
-        ("P4", "Delta", None),
-    ]
-    assert sorted(r[REASON] for r in rejected.collect()) == ["required:id", "required:name"]
+    valid, rejected = validate(read_records(spark, xml_file(SHIFTS), spec), spec)
+    assert {tuple(r) for r in valid.select("code", "crew", "start").collect()} == {("N", "4", "22:00"), ("D", "0", None)}
+    assert sorted(r[REASON] for r in rejected.collect()) == ["required:code", "required:code", "required:crew"]
 
 
 def test_enum(spark, xml_file):
     path = xml_file(
-        """<products><product id="A1" category="Electronics"><name lang="en">Lamp</name></product>
-        <product id="B2" category="Books"><name lang="fr">Atlas</name></product>
-        <product id="C3" category="Furniture"><name lang="de">Bench</name></product>
-        <product id="D4" category="books"/><product id="E5"/></products>"""
+        "<yard>" + "".join(f"<gate no='{n}'{k}/>" for n, k in enumerate((" side='N'", " side='n'", "", " side='S'", " side=''"))) + "</yard>"
     )
-    values = {"id": attr("id"), "category": attr("category"), "name": text("name")}
-    spec = XmlSpec(("products", "product"), values, enums={"category": frozenset({"Electronics", "Books"}), "id": frozenset()})
-    valid, _ = validate(read_records(spark, path, spec), spec)
-    assert sorted(r.id for r in valid.collect()) == ["A1", "B2", "E5"]
+    spec = XmlSpec(
+        ("yard", "gate"), {"no": attr("no"), "side": attr("side")}, enums={"side": frozenset({"N", "W"}), "no": frozenset()}
+    )
+    valid, rejected = validate(read_records(spark, path, spec), spec)
+    assert sorted(r.no for r in valid.collect()) == ["0", "2", "4"]
+    assert {r[REASON] for r in rejected.collect()} == {"enum:side"}
 
 
-def test_optional_values(spark, xml_file):
+def test_blank_values_are_absent(spark, xml_file):
     path = xml_file(
-        """<items><item id="1"><name>Alpha</name><description>First one</description></item>
-        <item id="2"><name>Beta</name><!-- none --></item>
-        <item id="3" type="special"><name>Gamma</name><description></description></item>
-        <item id="4" type=""><name>Delta</name></item>
-        <item id="5"><name>Epsilon</name><comment>   </comment></item></items>"""
-    )
-    spec = XmlSpec(
-        ("items", "item"),
-        {"id": attr("id"), "type": attr("type"), "name": text("name"), "desc": text("description"), "comment": text("comment")},
+        """<bin><part no="a" lot=""><w>1</w></part><part no="b" lot=" "><w> </w><h>2</h></part>
+        <part no="c"><w/><!-- h --></part><part lot="z" no="d"><h>\n</h></part></bin>"""
     )
+    spec = XmlSpec(("bin", "part"), {"no": attr("no"), "lot": attr("lot"), "w": text("w"), "h": text("h")})
     assert records_of(read_records(spark, path, spec)) == [
-        {"id": "1", "name": "Alpha", "desc": "First one"},
-        {"id": "2", "name": "Beta"},
-        {"id": "3", "type": "special", "name": "Gamma"},
-        {"id": "4", "name": "Delta"},
-        {"id": "5", "name": "Epsilon"},
-    ]
+        {"no": "a", "w": "1"}, {"no": "b", "h": "2"}, {"no": "c"}, {"no": "d", "lot": "z"}]
 
 
-def test_address_object_types(spark, xml_file):
-    body = "".join(
-        f'<ADDRESSOBJECTTYPE ID="{i}" LEVEL="{i % 9}" NAME="Name {i}" SHORTNAME="n{i}" DESC="d" ISACTIVE="true" '
-        f'STARTDATE="1900-01-01" ENDDATE="2079-06-06" />'
-        for i in range(427)
-    )
-    names = ("ID", "NAME", "SHORTNAME", "DESC", "ISACTIVE", "ENDDATE", "LEVEL")
-    path = xml_file(f'<?xml version="1.0" encoding="utf-8"?><ADDRESSOBJECTTYPES>{body}</ADDRESSOBJECTTYPES>', "t.XML")
-    spec = XmlSpec(("ADDRESSOBJECTTYPES", "ADDRESSOBJECTTYPE"), {n.lower(): attr(n) for n in names})
-    for scan in ("document", "record", "split"):
-        rows = records_of(read_records(spark, path, spec, scan=scan))
-        assert len(rows) == 427
-        assert rows[5] == {"id": "5", "name": "Name 5", "shortname": "n5", "desc": "d", "isactive": "true",
-                           "enddate": "2079-06-06", "level": "5"}
+def test_attribute_only_records(spark, xml_file):
+    names = ("sensor", "unit", "low", "high")
+    rows = [{"sensor": f"s{n}", "unit": "bar", "low": str(-n), "high": str(n * n)} for n in range(600)]
+    markup = "".join("<LIMIT " + " ".join(f'{k.upper()}="{v}"' for k, v in r.items()) + " UNUSED='u'  />\n" for r in rows)
+    path = xml_file(f"<?xml version='1.0'?>\n<LIMITS>{markup}</LIMITS>", "limits.XML")
+    spec = XmlSpec(("LIMITS", "LIMIT"), {n: attr(n.upper()) for n in names})
+    for scan in SCANS:
+        assert records_of(read_records(spark, path, spec, scan=scan)) == rows
 
 
 def test_root_path_is_exact_and_names_lose_prefixes(spark, xml_file):
@@ -320,32 +302,31 @@ def test_names_that_differ_in_case(spark, xml_file):
 
 def test_directory_scan(spark, tmp_path, xml_file):
     for name in ("a.xml", "sub/b.XML", "sub/deep/c.xMl"):
-        xml_file(f"<root><item>{name}</item></root>", name)
-    xml_file("<root><item>no</item></root>", "d.txt")
+        xml_file(f"<log><reading>{name}</reading></log>", name)
+    xml_file("<log><reading>no</reading></log>", "d.txt")
     (tmp_path / "empty.xml").touch()
     import gzip
 
-    (tmp_path / "e.xml.gz").write_bytes(gzip.compress(b"<root><item>gz</item></root>"))
-    rows = read_records(spark, str(tmp_path), ITEM).select("_source_name", "itemContent", MALFORMED).collect()
-    assert sorted((r[0], r[1]) for r in rows) == [
-        ("a.xml", "a.xml"), ("b.XML", "sub/b.XML"), ("c.xMl", "sub/deep/c.xMl"), ("e.xml", "gz")]
-    assert not any(r[2] for r in rows)
+    (tmp_path / "e.xml.gz").write_bytes(gzip.compress(b"<log><reading>gz</reading></log>"))
+    for scan in ("document", "auto"):
+        rows = read_records(spark, str(tmp_path), READING, scan=scan).select("_source_name", "level", MALFORMED).collect()
+        assert sorted((r[0], r[1]) for r in rows) == [
+            ("a.xml", "a.xml"), ("b.XML", "sub/b.XML"), ("c.xMl", "sub/deep/c.xMl"), ("e.xml", "gz")]
+        assert not any(r[2] for r in rows)
 
 
 def test_file_condition_opens_no_other_file(spark, tmp_path, xml_file):
-    xml_file("<root><item>a</item></root>", "a.xml")
-    xml_file("<root><item>b</item></root>", "b.xml")
-    frame = read_records(spark, str(tmp_path), ITEM, scan="record", files=F.col("_metadata.file_name").rlike("^a"))
-    assert [r.itemContent for r in frame.collect()] == ["a"]
-    plan = frame._jdf.queryExecution().executedPlan()
-    while plan.children().size():
-        plan = plan.children().apply(0)
-    assert plan.metrics().get("numFiles").get().value() == 1
+    xml_file("<log><reading>a</reading></log>", "a.xml")
+    (tmp_path / "b.xml").write_bytes(b"<log><reading>\xff</reading></log>")  # ends the job that reads it
+    frame = read_records(spark, str(tmp_path), READING, scan="record", files=F.col("_metadata.file_name").rlike("^a"))
+    assert levels(frame) == ["a"]
+    with pytest.raises(Exception):
+        read_records(spark, str(tmp_path), READING, scan="record").collect()
 
 
 def test_missing_file(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        read_records(spark, str(tmp_path / "none.xml"), ITEM)
+        read_records(spark, str(tmp_path / "none.xml"), READING)
 
 
 def test_complete_elements():
@@ -376,49 +357,82 @@ def test_round_trip(spark, tmp_path, rows):
 
 
 def test_wrong_bytes_are_replaced_when_decoded(spark, tmp_path):
-    (tmp_path / "a.xml").write_bytes(b"<root><item>ok</item><item>bad \xff byte</item></root>")
-    (tmp_path / "with space.xml").write_bytes(b"<root><item>fine</item></root>")
-    frame = read_records(spark, str(tmp_path), ITEM, encoding="utf-8")
-    assert sorted(r["itemContent"] for r in records_of(frame)) == ["bad � byte", "fine", "ok"]
-    skipped = read_records(spark, str(tmp_path), ITEM, skip_unreadable=True)
-    assert records_of(skipped) == [{"itemContent": "fine"}]
-
-
-SPLITTABLE = {
-    "plain": '<?xml version="1.0" encoding="UTF-8"?>\n<!-- a --><items at="1"><item id="1"/> <item id="2">x</item>\n</items>\n',
-    "no declaration": "<items>\n<item id='1' >a</item ></items >",
+    (tmp_path / "a.xml").write_bytes(b"<log><reading>ok</reading><reading>bad \xff byte</reading></log>")
+    (tmp_path / "with space.xml").write_bytes(b"<log><reading>fine</reading></log>")
+    for options in ({"encoding": "utf-8"}, {"scan": "auto"}):
+        frame = read_records(spark, str(tmp_path), READING, **options)
+        assert sorted(levels(frame)) == ["bad � byte", "fine", "ok"]
+    skipped = read_records(spark, str(tmp_path), READING, skip_unreadable=True)
+    assert levels(skipped) == ["fine"]
+
+
+CUT = {
+    "plain": '<?xml version="1.0" encoding="UTF-8"?>\n<!-- a --><crates at="1"><crate id="1"/> <crate id="2">x</crate>\n</crates>\n',
+    "no declaration": "<crates>\n<crate id='1' >a</crate></crates >",
+    "comment between": "<crates><crate id='1'>a</crate><!-- b --><crate id='2'>c</crate><!-- d --></crates><!-- e -->",
+    "child alike": "<crates><crate id='1'><crated/><w/></crate><crates2/><crate id='2'>a</crate></crates>",
+    "prefixed parent": "<p:crates xmlns:p='u'><crate id='1'>a</crate></p:crates>",
+    "space in end tag": "<crates><crate id='1'>a</crate ><crate id='2'>b</crate></crates>",
+    "only empty records": "<crates><crate id='1'/><crate id='2'/></crates>",
+    "prefixed records": "<crates xmlns:p='u'><p:crate id='1'>a</p:crate></crates>",
+    "tag in comment": "<crates><crate id='1'>a</crate><!-- <crate id='2'/> --></crates>",
+    "no records": "<crates></crates>",
 }
-NOT_SPLITTABLE = {
-    "record elsewhere": "<items><item id='1'/><g><item id='2'/></g></items>",
-    "other encoding": "<?xml version='1.0' encoding='windows-1251'?><items><item id='1'/></items>",
-    "tag in comment": "<items><item id='1'/><!-- <item id='2'/> --></items>",
-    "tag in text": "<items><item id='1'><![CDATA[<item id='2'/>]]></item></items>",
-    "end in text": "<items><item id='1'><![CDATA[</item>]]></item></items>",
-    "child alike": "<items><item id='1'><item2/></item></items>",
-    "nested": "<items><item id='1'><item id='2'/></item></items>",
-    "other root": "<other><item id='1'/></other>",
-    "truncated": "<items><item id='1'/><item id='2'>",
-    "prefixed records": "<items xmlns:p='u'><p:item id='1'/></items>",
-    "no records": "<items/>",
-    "prefixed parent that begins alike": "<p:items xmlns:p='u'><item id='1'/></p:items>",
+STREAMED = {
+    "record elsewhere": "<crates><crate id='1'>a</crate><g><crate id='2'>b</crate></g></crates>",
+    "other encoding": "<?xml version='1.0' encoding='windows-1251'?><crates><crate id='1'>a</crate></crates>",
+    "end in text": "<crates><crate id='1'><![CDATA[</crate>]]></crate></crates>",
+    "end in comment": "<crates><crate id='1'><!--</crate>--></crate></crates>",
+    "nested": "<crates><crate id='1'>a<crate id='2'>b</crate></crate></crates>",
+    "other root": "<other><crate id='1'>a</crate></other>",
+    "root below": "<other><crates><crate id='1'>a</crate></crates><crates/></other>",
+    "truncated": "<crates><crate id='1'>a</crate><crate id='2'>b</crate><crate>",
+    "two documents": "<crates><crate id='1'>a</crate></crates><crates><crate id='2'>b</crate></crates>",
+    "entity": "<!DOCTYPE crates [<!ENTITY e 'x'>]><crates><crate id='1'>&e;</crate></crates>",
 }
 
 
-def test_split_is_taken_only_where_it_is_exact(spark, tmp_path):
-    from feedloom.sources.xml import splits_exactly
-
-    spec = XmlSpec(("items", "item"), {"id": attr("id")})
-    for cases, expected in ((SPLITTABLE, True), (NOT_SPLITTABLE, False)):
-        for name, document in cases.items():
-            path = tmp_path / f"{name}.xml"
-            path.write_text(document, encoding="utf-8")
-            assert splits_exactly(spark, str(path), spec) is expected, name
-            by_auto = read_records(spark, str(path), spec, scan="auto", large_file_bytes=0)
-            by_document = read_records(spark, str(path), spec)
-            assert records_of(by_auto) == records_of(by_document), name
-    assert splits_exactly(spark, str(tmp_path), spec) is False
-    deep = XmlSpec(("a", "items", "item"), {"id": attr("id")})
-    (tmp_path / "deep").mkdir()
-    (tmp_path / "deep" / "d.xml").write_text("<p:a x='1'> <items> <item id='1'/><item id='2'/></items></p:a>")
-    assert splits_exactly(spark, str(tmp_path / "deep"), deep) is True
-    assert splits_exactly(spark, str(tmp_path / "deep"), deep, files=F.col("_metadata.file_size") > 1000) is False
+def test_files_are_cut_only_where_that_is_right(spark, tmp_path):
+    spec = XmlSpec(("crates", "crate"), {"id": attr("id"), "v": text()})
+    for name, document in (CUT | STREAMED).items():
+        (tmp_path / f"{name}.xml").write_text(document, encoding="utf-8")
+    found = {}
+    for scan in ("auto", "document"):
+        rows = read_records(spark, str(tmp_path), spec, scan=scan).orderBy("_source", "_position").collect()
+        for row in rows:
+            name = row._source_name.removesuffix(".xml")
+            found.setdefault((scan, name), []).append((row.id, row.v, row._malformed))
+    for name in CUT | STREAMED:
+        by_auto, by_document = found.get(("auto", name), []), found.get(("document", name), [])
+        if name != "two documents":  # not XML; the streamed records before the second root are kept
+            assert by_auto == by_document, name
+        assert bool(by_auto) is (name not in ("no records", "other root", "root below")), name
+    verdicts = {r.file.rpartition("/")[2].replace("%20", " "): r.exact for r in cut_exactly(spark, str(tmp_path), spec).collect()}
+    assert {f"{n}.xml" for n in CUT} == {n for n, exact in verdicts.items() if exact}
+
+
+def test_groups_of_records_are_cut(spark, xml_file):
+    batches = "".join(f"<p:batch n='{b}'> <row id='{b}'>a</row><row id='{b}x'/><!-- --></p:batch >\n" for b in range(30))
+    path = xml_file(f"<feed xmlns:p='u'>{batches}</feed>")
+    spec = XmlSpec(("feed", "batch", "row"), {"id": attr("id"), "v": text()})
+    wanted = [r for b in range(30) for r in ({"id": str(b), "v": "a"}, {"id": f"{b}x"})]
+    for scan in ("document", "auto"):
+        assert records_of(read_records(spark, path, spec, scan=scan)) == wanted
+
+
+def test_missing_bytes_are_noticed(spark, xml_file, monkeypatch):
+    """A piece that the reader passes over does not vanish: the file is streamed."""
+    from feedloom.sources import xml
+
+    monkeypatch.setattr(xml, "LONGEST_PIECE", 1000)
+    path = xml_file(f"<log><reading>1</reading><reading>{'2' * 3000}</reading><reading>3</reading></log>")
+    assert [r.exact for r in cut_exactly(spark, path, READING).collect()] == [False]
+    assert levels(read_records(spark, path, READING, scan="auto")) == ["1", "2" * 3000, "3"]
+
+
+def test_other_root_gives_nothing_in_any_scan(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<w><log><reading>1</reading></log><z><log><reading>2</reading></log></z></w>")
+    (tmp_path / "b.xml").write_text("<p:log xmlns:p='u'><reading>3</reading></p:log>")
+    for scan in SCANS:
+        assert levels(read_records(spark, str(tmp_path), READING, scan=scan)) == ["3"], scan
+    assert levels(read_records(spark, str(tmp_path), READING, encoding="utf-8")) == ["3"]
