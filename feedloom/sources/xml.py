@@ -37,7 +37,6 @@ from feedloom.plans.mapping import MappingError, ValueType, XmlSpec
 from feedloom.sinks.tables import scratch_dir
 from feedloom.sources.elements import other_roots, read_elements
 from feedloom.sources.files import XML_GLOB, list_files, source_name
-from feedloom.sources.recover import recovered_records
 
 SCANS = ("document", "record", "split", "auto")
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
@@ -239,10 +238,7 @@ def _explode_documents(
     no_node = F.lit(None).cast(schema)
     found = F.when(corrupt.isNull() & F.col("node").isNotNull(), document_records(F.col("node"), spec))
     if len(spec.root_path) > 1 and mode != "FAILFAST":
-        options = {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}
-        documents = documents.withColumn("recovered", recovered_records(corrupt, spec.root_path))
-        rescued = F.transform("recovered", lambda text: F.from_xml(text, schema, options))
-        marked = F.concat(rescued, F.array(no_node))
+        marked = F.concat(_before_error(corrupt, spec, schema), F.array(no_node))
     else:
         marked = F.array(no_node)
     nodes = F.when(corrupt.isNotNull(), marked).otherwise(found)
@@ -255,6 +251,43 @@ def _explode_documents(
     return _extract_values(rows, spec, mode, on_repeat, carried)
 
 
+def _before_error(document: Column, spec: XmlSpec, record: T.StructType) -> Column:
+    """Record nodes of a malformed document before its error, as an array.
+
+    The document is cut like a file by the ``auto`` scan, up to the first piece that is not whole. An end tag in a text
+    section or a record inside of a record ends the search early; the marker row tells that the document is broken.
+    """
+    mark = _cut_mark(spec)
+    first, lead, _ = _layout(spec)
+    schema = _with_corrupt(T.StructType([T.StructField(spec.root_path[-1], T.ArrayType(record))]))
+    options = {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}
+    cut = F.split(document, re.escape(mark), -1)
+    whole = F.transform(
+        F.slice(cut, 1, F.size(cut) - 1),  # what follows the last mark holds no whole record
+        lambda p: F.from_xml(F.concat(F.lit("<piece>"), F.regexp_replace(p, lead, ""), F.lit(mark + "</piece>")), schema, options),
+    )
+
+    def good(pieces: Column) -> Column:
+        broken = F.array_position(F.transform(pieces, lambda x: x.getField(_CORRUPT).isNotNull()), True)
+        kept = F.when(broken == 0, pieces).otherwise(F.slice(pieces, 1, F.greatest(F.lit(0), broken.cast("int") - 1)))
+        nodes = F.transform(kept, lambda x: x.getField(spec.root_path[-1]))
+        return F.flatten(F.filter(nodes, lambda n: n.isNotNull()))
+
+    # A lambda's variable is computed once.
+    found = F.transform(F.array(whole), good)[0]
+    return F.when(document.rlike("^" + first) & (F.size(cut) > 1), found).otherwise(F.array().cast(T.ArrayType(record)))
+
+
+def _layout(spec: XmlSpec) -> tuple[str, str, str]:
+    """Patterns: the beginning of a file, what a piece begins with beside elements, and the end of a file."""
+    parents = spec.root_path[:-1]
+    opening = [f"<{_PREFIX}{re.escape(name)}{_ATTRIBUTES}>{_MISC}" for name in parents]
+    closing = [rf"</{_PREFIX}{re.escape(name)}\s*>{_MISC}" for name in parents]
+    first = _PROLOG + "".join(opening)
+    again = [_MISC + "".join(reversed(closing[k:])) + "".join(opening[k:]) for k in range(1, len(parents))]
+    return first, "^(?:" + "|".join([first, *again]) + ")", "".join(reversed(closing)) + "$"
+
+
 def _cut_mark(spec: XmlSpec) -> str:
     """Where files are cut: the record's end tag, which begins no other tag. Records that are read for nothing but
     their own attributes are mostly written without an end tag."""
@@ -297,14 +330,10 @@ def _cut_rows(
     records and other whole elements at the parents' level (or closes some parents and opens them again), and no bytes
     are missing. Each piece is parsed inside of an element made for it, so what is not whole does not parse.
     """
-    tag, parents, mark = spec.root_path[-1], spec.root_path[:-1], _cut_mark(spec)
-    opening = [f"<{_PREFIX}{re.escape(name)}{_ATTRIBUTES}>{_MISC}" for name in parents]
-    closing = [rf"</{_PREFIX}{re.escape(name)}\s*>{_MISC}" for name in parents]
-    first = _PROLOG + "".join(opening)
-    again = [_MISC + "".join(reversed(closing[k:])) + "".join(opening[k:]) for k in range(1, len(parents))]
-    ending = "".join(reversed(closing)) + "$"
+    tag, mark = spec.root_path[-1], _cut_mark(spec)
+    first, lead, ending = _layout(spec)
     value = F.col("value")
-    body = F.regexp_replace(value, "^(?:" + "|".join([first, *again]) + ")", "")
+    body = F.regexp_replace(value, lead, "")
     ends = value.rlike(ending)
     text = F.concat(
         F.lit("<piece>"),

@@ -109,6 +109,30 @@ def test_malformed_document_keeps_what_came_before(spark, xml_file, scan):
     assert len(rows) == 2
 
 
+def test_well_formed_documents_meet_no_python(spark, xml_file):
+    frames = [parse_column(spark.createDataFrame([("<log/>",)], "d string"), "d", READING)]
+    frames.append(read_records(spark, xml_file("<log><reading>3</reading></log>"), READING))
+    for frame in frames:
+        assert "ArrowEvalPython" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_comes_before_an_error_in_a_column(spark):
+    documents = [
+        "<f><b><r n='1'>a</r></b> <!-- --><b><r n='2'/><r n='3'>c</r></b><b><r n='4'>d</r></c></f>",
+        "<f><b><r n='1'>a</r></b>",
+        "<f><b n='</b><r n='1'>a</r></b></f>",
+        "no xml",
+        "<other><b><r n='1'>a</r></b>",
+    ]
+    frame = spark.createDataFrame(list(enumerate(documents)), "i int, d string")
+    spec = XmlSpec(("f", "b", "r"), {"n": attr("n"), "v": text()})
+    found = {}
+    for row in parse_column(frame, "d", spec, keep=["i"]).collect():
+        found.setdefault(row.i, []).append(None if row[MALFORMED] else row.n)
+    assert found[0] == ["1", "2", "3", "4", None] and found[1] == ["1", None]
+    assert [found[i] for i in (2, 3, 4)] == [[None]] * 3
+
+
 def test_malformed_modes(spark, xml_file):
     path = xml_file("<log><reading>8</reading><reading>9</log>")
     for scan in ("document", "auto"):
