@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions.casts import logical_type
@@ -191,6 +192,9 @@ def spark_merge_statement(target: str, source: str, columns: Sequence[str], keys
     )
 
 
+_TOKEN = "feedloom.last_load"
+
+
 class MergeTables:
     """Upsert into catalog tables of a format with row-level changes. The format decides which files are rewritten, so
     that a small load into a huge table stays small; ``ParquetTables`` writes a table anew with every load.
@@ -216,13 +220,24 @@ class MergeTables:
         token: str | None = None,
         source_bytes: int | None = None,
     ) -> None:
+        """A named load is noted in the table's properties after it; a repetition of it is skipped. Between the two a
+        failure can only double rows without keys: with keys a repeated merge changes nothing."""
+        target = self.names.get(table) or f"`{table.schema}`.`{table.name}`"
+        if token and self._last_token(target) == token:
+            return
         view = f"load_{uuid.uuid4().hex}"
         rows.createOrReplaceTempView(view)
         try:
             self.spark.sql(self.statement(table, view, rows.columns, keys))
+            if token:
+                self.spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{_TOKEN}' = {_literal(token)})")
         finally:
             self.spark.catalog.dropTempView(view)
 
+    def _last_token(self, target: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {target}").where(F.col("key") == _TOKEN).collect()
+        return rows[0]["value"] if rows else None
+
 
 class JdbcTables:
     """Upsert into a database: parallel write to a staging table, then one transaction there, so readers see all or none.

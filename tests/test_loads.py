@@ -244,6 +244,18 @@ def test_jdbc_loads_of_several_tables_under_one_token(spark, monkeypatch):
     assert "CAST" not in ran[4][1] and sink.staging(TABLE, "a") != sink.staging(TABLE, "b")
 
 
+def test_merge_tables_skip_a_repeated_load(spark):
+    name = "loads_of_one_token"
+    spark.sql(f"CREATE TABLE {name} (k BIGINT) USING parquet")
+    try:
+        sink = MergeTables(spark, {TABLE: name})
+        for token in ("a", "a", "b"):
+            sink.load(TABLE, spark.range(2).withColumnRenamed("id", "k"), [], token)
+        assert spark.table(name).count() == 4
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_parquet_tables(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
     store = ParquetTables(spark, str(tmp_path), {TABLE: schema})
