@@ -9,8 +9,9 @@ equal speakers.
 A level is a question and an answer. Tasks put the hashes of their windows into buckets, one entry per hash, after
 settling between their own documents what they can; a bucket's task finds the hashes that several documents have, or of
 which a document with a lesser id has one, and answers with the places. A window that is in a third of all documents is
-thus one entry per task. Seeds are 64-bit hashes, where a collision only means another look; windows are told apart by
-128-bit hashes.
+thus one entry per task. Seeds are 64-bit hashes, where a collision only means another look. Windows are told apart by
+64 bits beside the bucket, which is chosen by 64 other bits: buckets grow in number with the data, and so the bits do.
+Answers go to groups of documents, packed, and are unpacked there. Texts travel compressed.
 
 Defined cases: null texts have no words; texts shorter than a window stay; a null id is neither earlier nor later than
 others, such rows stay as they are; rows of one id are not earlier than each other; an empty table gives an empty
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +37,9 @@ from feedloom.llm.common import shuffle_parts, written
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW, SEED = 13, 7
-#: Windows that a task settles between its own documents before it asks, and buckets per shuffle partition.
-CHUNK, FINER = 1_000_000, 4
+#: Windows that a task settles between its own documents before it asks.
+CHUNK = 1_000_000
+_ROWS_AT_ONCE = 10_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,9 +96,36 @@ def _bytes_of(a: np.ndarray) -> bytes:
     return np.ascontiguousarray(a).tobytes()
 
 
+def _runs(*keys: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal keys begin and end."""
+    n = len(keys[0])
+    if not n:
+        return []
+    new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))
+    start = np.flatnonzero(new)
+    return list(zip(start.tolist(), np.append(start[1:], n).tolist(), strict=True))
+
+
+def _planes(places: np.ndarray) -> bytes:
+    """Low halves, then high halves: these are nearly all zero, and the shuffle's compression takes them away."""
+    return _bytes_of(places.astype(np.int32).view(np.uint16).reshape(-1, 2).T)
+
+
+def _places(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint16).reshape(2, -1).T).view(np.int32).ravel()
+
+
 # ---------------------------------------------------------------------------------------------- the first level: seeds
 
-_ASKED_SEEDS = "part int, doc_id bigint, hashes binary, docs binary"
+# ``part`` is a bucket, or with ``known`` the group of the documents that are answered already.
+_ASKED_SEEDS = "part int, known boolean, docs binary, counts binary, hashes binary"
+_TOLD_SEEDS = "part int, docs binary, counts binary, hashes binary"
+
+
+def _counted(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Beginnings and lengths of runs of equal keys."""
+    runs = np.array(_runs(*keys), np.int64).reshape(-1, 2)
+    return runs[:, 0], (runs[:, 1] - runs[:, 0]).astype(np.int32)
 
 
 def _ask_seeds(seed: int, reach: int, parts: int):
@@ -112,23 +142,21 @@ def _ask_seeds(seed: int, reach: int, parts: int):
         many = doc[start] != doc[stop - 1]
         rows: list[tuple] = []
         known = many[run]
-        if known.any():
-            by = np.argsort(doc[known], kind="stable")
-            d, k = doc[known][by], h[known][by]
-            cut = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
-            for a, b in zip(cut, np.append(cut[1:], len(d)), strict=True):
-                rows.append((int(d[a] % parts), int(d[a]), _bytes_of(np.unique(k[a:b])), None))
+        d, k = doc[known], h[known]
+        by = np.lexsort((d, d % parts))
+        d, k = d[by], k[by]
+        for a, b in _runs(d % parts):
+            at, n = _counted(d[a:b])
+            rows.append((int(d[a] % parts), True, _bytes_of(d[a:b][at]), _bytes_of(n), _bytes_of(k[a:b])))
         # A repeated seed asks with two documents, so that the other tasks' documents hear of it.
         ask = np.concatenate([start, stop[many] - 1])
         h, doc = h[ask], doc[ask]
         part = (h >> np.uint64(32)) % np.uint64(parts)
         by = np.lexsort((doc, part))
         h, doc, part = h[by], doc[by], part[by]
-        cut = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-        for a, b in zip(cut, np.append(cut[1:], len(part)), strict=True):
-            rows.append((int(part[a]), None, _bytes_of(h[a:b]), _bytes_of(doc[a:b])))
-        frame = pd.DataFrame(rows, columns=["part", "doc_id", "hashes", "docs"])
-        return frame.astype({"doc_id": "Int64"})
+        for a, b in _runs(part):
+            rows.append((int(part[a]), False, _bytes_of(doc[a:b]), None, _bytes_of(h[a:b])))
+        return pd.DataFrame(rows, columns=["part", "known", "docs", "counts", "hashes"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         docs, seeds, size = [], [], 0
@@ -148,37 +176,74 @@ def _ask_seeds(seed: int, reach: int, parts: int):
     return run
 
 
-def _answer_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes, docs = [], []
+def _answer_seeds(parts: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, docs = [], []
+        for batch in batches:
+            known = batch["known"]
+            if known.any():
+                yield batch.loc[known, ["part", "docs", "counts", "hashes"]]
+            hashes += [np.frombuffer(b, np.uint64) for b in batch.loc[~known, "hashes"]]
+            docs += [np.frombuffer(b, np.int64) for b in batch.loc[~known, "docs"]]
+        if not hashes:
+            return
+        h, doc = np.concatenate(hashes), np.concatenate(docs)
+        order = np.lexsort((doc, h))
+        h, doc = h[order], doc[order]
+        start, n = _counted(h)
+        told = np.repeat(doc[start] != doc[start + n - 1], n)
+        h, doc = h[told], doc[told]
+        by = np.lexsort((doc, doc % parts))
+        h, doc = h[by], doc[by]
+        rows = []
+        for a, b in _runs(doc % parts):
+            at, n = _counted(doc[a:b])
+            rows.append((int(doc[a] % parts), _bytes_of(doc[a:b][at]), _bytes_of(n), _bytes_of(h[a:b])))
+        yield pd.DataFrame(rows, columns=["part", "docs", "counts", "hashes"])
+
+    return run
+
+
+def _gather_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All answers to a document in one row."""
+    docs, hashes = [], []
     for batch in batches:
-        known = batch["doc_id"].notna()
-        if known.any():
-            yield batch.loc[known, ["doc_id", "hashes"]].astype({"doc_id": "int64"})
-        hashes += [np.frombuffer(b, np.uint64) for b in batch.loc[~known, "hashes"]]
-        docs += [np.frombuffer(b, np.int64) for b in batch.loc[~known, "docs"]]
-    if not hashes:
+        for row in batch.itertuples(index=False):
+            docs.append(np.repeat(np.frombuffer(row.docs, np.int64), np.frombuffer(row.counts, np.int32)))
+            hashes.append(np.frombuffer(row.hashes, np.uint64))
+    if not docs:
         return
-    h, doc = np.concatenate(hashes), np.concatenate(docs)
-    order = np.lexsort((doc, h))
-    h, doc = h[order], doc[order]
-    start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-    stop = np.append(start[1:], len(h))
-    told = np.repeat(doc[start] != doc[stop - 1], stop - start)
-    h, doc = h[told], doc[told]
+    doc, h = np.concatenate(docs), np.concatenate(hashes)
     by = np.argsort(doc, kind="stable")
-    h, doc = h[by], doc[by]
-    cut = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.empty(0, int)
-    ends = np.append(cut[1:], len(doc))
-    for at in range(0, len(cut), 10_000):
-        pairs = list(zip(cut[at : at + 10_000], ends[at : at + 10_000], strict=True))
-        yield pd.DataFrame({"doc_id": doc[[a for a, _ in pairs]], "hashes": [_bytes_of(h[a:b]) for a, b in pairs]})
+    doc, h = doc[by], h[by]
+    runs = _runs(doc)
+    for at in range(0, len(runs), _ROWS_AT_ONCE):
+        part = runs[at : at + _ROWS_AT_ONCE]
+        yield pd.DataFrame({"of": doc[[a for a, _ in part]], "hashes": [_bytes_of(h[a:b]) for a, b in part]})
 
 
 # --------------------------------------------------------------------------------------------- further levels: windows
 
-_ROWS = "doc_id bigint, tag bigint, n_words bigint, kept_sha256 string, text string, places binary"
-_ASKED = "part int, doc_id bigint, tag bigint, docs binary, tags binary, counts binary, hashes binary, places binary"
-_ANSWERS = "doc_id bigint, tag bigint, places binary"
+_ROWS = "doc_id bigint, tag bigint, n_words bigint, kept_sha256 string, text binary, places binary"
+_ASKED = "part int, known boolean, docs binary, tags binary, counts binary, hashes binary, places binary"
+_TOLD = "part int, docs binary, tags binary, counts binary, places binary"
+
+
+def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        batch["text"] = [None if t is None else pack(t.encode()) for t in batch["text"]]
+        yield batch
+
+
+def _as_they_are(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        words = [split_words(t) for t in batch["text"]]
+        yield pd.DataFrame({"n_words": [len(w) for w in words], "kept_sha256": [_sha(w) for w in words]})
+
+
+def _unpack(text: bytes | None) -> str:
+    return "" if text is None else zstandard.ZstdDecompressor().decompress(text).decode()
 
 
 def _tag(text: str) -> int:
@@ -195,18 +260,18 @@ def _candidates(seed: int, reach: int, window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, text, known in zip(batch["doc_id"], batch["text"], batch["known"], strict=True):
+            for doc, packed, known in zip(batch["doc_id"], batch["text"], batch["hashes"], strict=True):
+                text = _unpack(packed)
                 words = split_words(text)
                 places = np.empty(0, np.int64)
-                if known is not None and len(known) and len(words) >= window:
-                    repeated = np.unique(np.concatenate([np.frombuffer(b, np.uint64) for b in known]))
-                    places = np.flatnonzero(np.isin(speakers(words, seed, reach), repeated))
+                if known is not None and len(words) >= window:
+                    places = np.flatnonzero(np.isin(speakers(words, seed, reach), np.frombuffer(known, np.uint64)))
                 if len(places):
-                    rows.append((doc, _tag(text), len(words), None, text, _bytes_of(places.astype(np.int32))))
+                    rows.append((doc, _tag(text), len(words), None, packed, _bytes_of(places.astype(np.int32))))
                 else:
-                    rows.append((doc, None, len(words), _sha(words), None, None))
+                    rows.append((doc, 0, len(words), _sha(words), None, None))
             frame = pd.DataFrame(rows, columns=["doc_id", "tag", "n_words", "kept_sha256", "text", "places"])
-            yield frame.astype({"doc_id": "Int64", "tag": "Int64"})
+            yield frame.astype({"tag": "int64"})
 
     return run
 
@@ -236,26 +301,27 @@ def _ask(before: int, length: int, last: bool, parts: int):
         ask = d == least
         rows: list[tuple] = []
         by = np.flatnonzero(known)
-        by = by[np.argsort(owner[by], kind="stable")]
-        cut = np.flatnonzero(np.append(True, np.diff(owner[by]) != 0)) if len(by) else []
-        for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
-            o = owner[by[a]]
-            rows.append((int(doc[o] % parts), int(doc[o]), int(tag[o]), None, None, None, None, _bytes_of(place[by[a:b]])))
+        by = by[np.lexsort((place[by], owner[by], d[by] % parts))]
+        for a, b in _runs(d[by] % parts):
+            at, n = _counted(owner[by[a:b]])
+            mine = owner[by[a:b]][at]
+            rows.append((
+                int(doc[mine[0]] % parts), True, _bytes_of(doc[mine]), _bytes_of(tag[mine]), _bytes_of(n), None,
+                _planes(place[by[a:b]]),
+            ))
         if not last:  # the greatest document as well, so that the bucket knows of several
             ask |= several & (d == d[stop - 1][run])
         part = (h[:, 0] % np.uint64(parts)).astype(np.int64)
         by = np.flatnonzero(ask)
         by = by[np.lexsort((owner[by], part[by]))]
         p, o = part[by], owner[by]
-        cut = np.flatnonzero(np.append(True, np.diff(p) != 0)) if len(by) else []
-        for a, b in zip(cut, np.append(cut[1:], len(by)), strict=True):
+        for a, b in _runs(p):
             mine, n = np.unique(o[a:b], return_counts=True)
             rows.append((
-                int(p[a]), None, None, _bytes_of(doc[mine]), _bytes_of(tag[mine]), _bytes_of(n.astype(np.int32)),
-                _bytes_of(h[by[a:b]]), _bytes_of(place[by[a:b]]),
+                int(p[a]), False, _bytes_of(doc[mine]), _bytes_of(tag[mine]), _bytes_of(n.astype(np.int32)),
+                _bytes_of(h[by[a:b], 1]), _planes(place[by[a:b]]),
             ))
-        names = ["part", "doc_id", "tag", "docs", "tags", "counts", "hashes", "places"]
-        return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "tag": "Int64"})
+        return pd.DataFrame(rows, columns=["part", "known", "docs", "tags", "counts", "hashes", "places"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: tuple = ([], [], [], [])
@@ -263,7 +329,7 @@ def _ask(before: int, length: int, last: bool, parts: int):
         for batch in batches:
             for doc, tag, text, found in zip(batch["doc_id"], batch["tag"], batch["text"], batch["places"], strict=True):
                 places = _halves(np.frombuffer(found, np.int32).astype(np.int64), before, length)
-                words = split_words(text)
+                words = split_words(_unpack(text))
                 places = places[places + length <= len(words)]
                 if len(places):
                     for x, y in zip(held, (doc, tag, window_hashes(words, places, length), places), strict=True):
@@ -278,50 +344,69 @@ def _ask(before: int, length: int, last: bool, parts: int):
     return run
 
 
-def _answer(last: bool):
+def _answer(last: bool, groups: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        docs, tags, hashes, places = [], [], [], []
+        parts, docs, tags, hashes, places = [], [], [], [], []
         for batch in batches:
-            known = batch["doc_id"].notna()
+            known = batch["known"]
             if known.any():
-                yield batch.loc[known, ["doc_id", "tag", "places"]].astype({"doc_id": "int64", "tag": "int64"})
+                yield batch.loc[known, ["part", "docs", "tags", "counts", "places"]]
             for row in batch[~known].itertuples(index=False):
                 n = np.frombuffer(row.counts, np.int32)
                 docs.append(np.repeat(np.frombuffer(row.docs, np.int64), n))
                 tags.append(np.repeat(np.frombuffer(row.tags, np.int64), n))
-                hashes.append(np.frombuffer(row.hashes, np.uint64).reshape(-1, 2))
-                places.append(np.frombuffer(row.places, np.int32))
+                hashes.append(np.frombuffer(row.hashes, np.uint64))
+                places.append(_places(row.places))
+                parts.append(np.full(len(hashes[-1]), row.part, np.int32))
         if not docs:
             return
-        doc, tag, h, place = map(np.concatenate, (docs, tags, hashes, places))
-        order = np.lexsort((doc, h[:, 1], h[:, 0]))
-        doc, tag, h, place = doc[order], tag[order], h[order], place[order]
-        first = np.append(True, (h[1:] != h[:-1]).any(axis=1))
+        part, doc, tag, h, place = map(np.concatenate, (parts, docs, tags, hashes, places))
+        order = np.lexsort((doc, h, part))
+        part, doc, tag, h, place = part[order], doc[order], tag[order], h[order], place[order]
+        first = np.append(True, (h[1:] != h[:-1]) | (part[1:] != part[:-1]))
         run_, start = np.cumsum(first) - 1, np.flatnonzero(first)
         stop = np.append(start[1:], len(doc))
         told = doc != doc[start][run_] if last else (doc[stop - 1] != doc[start])[run_]
         doc, tag, place = doc[told], tag[told], place[told]
-        order = np.lexsort((place, tag, doc))
+        order = np.lexsort((place, tag, doc, doc % groups))
         doc, tag, place = doc[order], tag[order], place[order]
-        cut = np.flatnonzero(np.append(True, (np.diff(doc) != 0) | (np.diff(tag) != 0))) if len(doc) else np.empty(0, int)
-        ends = np.append(cut[1:], len(doc))
-        for at in range(0, len(cut), 10_000):
-            pairs = list(zip(cut[at : at + 10_000], ends[at : at + 10_000], strict=True))
-            heads = [a for a, _ in pairs]
-            yield pd.DataFrame(
-                {"doc_id": doc[heads], "tag": tag[heads], "places": [_bytes_of(place[a:b]) for a, b in pairs]}
-            )
+        rows = []
+        for a, b in _runs(doc % groups):
+            at, n = _counted(doc[a:b], tag[a:b])
+            rows.append((
+                int(doc[a] % groups), _bytes_of(doc[a:b][at]), _bytes_of(tag[a:b][at]), _bytes_of(n), _planes(place[a:b]),
+            ))
+        yield pd.DataFrame(rows, columns=["part", "docs", "tags", "counts", "places"])
 
     return run
 
 
+def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All answers to a text in one row."""
+    docs, tags, places = [], [], []
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            n = np.frombuffer(row.counts, np.int32)
+            docs.append(np.repeat(np.frombuffer(row.docs, np.int64), n))
+            tags.append(np.repeat(np.frombuffer(row.tags, np.int64), n))
+            places.append(_places(row.places))
+    if not docs:
+        return
+    doc, tag, place = map(np.concatenate, (docs, tags, places))
+    order = np.lexsort((place, tag, doc))
+    doc, tag, place = doc[order], tag[order], place[order]
+    runs = _runs(doc, tag)
+    for at in range(0, len(runs), _ROWS_AT_ONCE):
+        part = runs[at : at + _ROWS_AT_ONCE]
+        heads = [a for a, _ in part]
+        yield pd.DataFrame({"of": doc[heads], "of_tag": tag[heads], "found": [_bytes_of(place[a:b]) for a, b in part]})
+
+
 def _surviving(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows with the places of the answers instead of their own."""
     for batch in batches:
-        batch["places"] = [
-            _bytes_of(np.unique(np.concatenate([np.frombuffer(b, np.int32) for b in found]))) for found in batch["found"]
-        ]
-        yield batch.drop(columns="found").astype({"doc_id": "Int64", "tag": "Int64"})
+        batch["places"] = [_bytes_of(np.unique(np.frombuffer(found, np.int32))) for found in batch["found"]]
+        yield batch.drop(columns="found")
 
 
 def _removed(window: int):
@@ -331,13 +416,12 @@ def _removed(window: int):
         for batch in batches:
             rows = []
             for doc, text, found in zip(batch["doc_id"], batch["text"], batch["found"], strict=True):
-                words = split_words(text)
+                words = split_words(_unpack(text))
                 gone = np.zeros(len(words) + 1, np.int64)
                 if found is not None:
-                    for places in found:
-                        at = np.frombuffer(places, np.int32)
-                        np.add.at(gone, at, 1)
-                        np.add.at(gone, at + window, -1)
+                    at = np.frombuffer(found, np.int32)
+                    np.add.at(gone, at, 1)
+                    np.add.at(gone, at + window, -1)
                 gone = np.cumsum(gone)[: len(words)] > 0
                 kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 rows.append((doc, len(words), int(gone.sum()), _sha(kept), b" ".join(kept).decode()))
@@ -346,50 +430,53 @@ def _removed(window: int):
     return run
 
 
-def _question(rows: DataFrame, ask, asked: str, answer, answers: str) -> DataFrame:
+def _question(rows: DataFrame, ask, asked: str, answer, told: str, gather, answers: str) -> DataFrame:
+    """Hashes to their buckets, answers to their groups of documents; one row per document comes out."""
     parts = shuffle_parts(rows.sparkSession)
-    return rows.mapInPandas(ask(FINER * parts), asked).repartition(parts, "part").mapInPandas(answer, answers)
+    replies = rows.mapInPandas(ask(parts), asked).repartition(parts, "part").mapInPandas(answer(parts), told)
+    # Texts are joined with answers by sorting, whatever the number of answers.
+    return replies.repartition(parts, "part").mapInPandas(gather, answers).hint("merge")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256, kept (the words left; null if none went)."""
+    """One row per document: doc_id, n_words, n_removed, kept_sha256, kept (the words left; null if none can go)."""
     levels = lengths(window, seed)
     first, reach = levels[0], levels[1] if len(levels) > 1 else levels[0]
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    seeds = _question(
-        texts.where("doc_id IS NOT NULL"), lambda p: _ask_seeds(first, reach, p), _ASKED_SEEDS, _answer_seeds,
-        "doc_id bigint, hashes binary",
+    everything = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    texts = everything.where("doc_id IS NOT NULL")
+    known = _question(
+        texts, lambda p: _ask_seeds(first, reach, p), _ASKED_SEEDS, _answer_seeds, _TOLD_SEEDS,
+        _gather_seeds, "of bigint, hashes binary",
     )
-    # A document's list has its own seeds only, so it is bounded by the document.
-    known = seeds.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list("hashes").alias("known"))
-    joined = texts.join(known, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "known")
+    packed = texts.mapInPandas(_pack, "doc_id bigint, text binary")
+    joined = packed.join(known, F.col("doc_id") == F.col("of"), "left").select("doc_id", "text", "hashes")
     rows = written(joined.mapInPandas(_candidates(first, reach, window), _ROWS), "repeats")
     live = rows.where("places IS NOT NULL")
     before = reach  # the length at which ``places`` are windows that may be repeated
+    same = (F.col("doc_id") == F.col("of")) & (F.col("tag") == F.col("of_tag"))
     found = None
     for length in levels[1:] or levels:
         last = length == window
         found = _question(
-            live, lambda p, b=before, n=length, z=last: _ask(b, n, z, p), _ASKED, _answer(last), _ANSWERS
-        ).groupBy(F.col("doc_id").alias("of"), F.col("tag").alias("of_tag")).agg(F.collect_list("places").alias("found"))
+            live, lambda p, b=before, n=length, z=last: _ask(b, n, z, p), _ASKED, lambda p, z=last: _answer(z, p), _TOLD,
+            _gather, "of bigint, of_tag bigint, found binary",
+        )
         if last:
             break
-        same = (F.col("doc_id") == F.col("of")) & (F.col("tag") == F.col("of_tag"))
         survivors = live.join(found, same).drop("of", "of_tag")
         survivors = written(survivors.mapInPandas(_surviving, _ROWS), f"repeats-{length}")
         live, before = survivors, length
         if survivors.isEmpty():
             found = None
             break
-    done = rows.where("places IS NULL").select(
+    nameless = everything.where("doc_id IS NULL").select("text").mapInPandas(_as_they_are, "n_words bigint, kept_sha256 string")
+    nameless = nameless.withColumn("doc_id", F.lit(None).cast("bigint"))
+    columns = ("doc_id", "n_words", "kept_sha256")
+    done = rows.where("places IS NULL").select(*columns).unionByName(nameless).select(
         "doc_id", "n_words", F.lit(0).cast("bigint").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept")
     )
     rest = rows.where("places IS NOT NULL")
-    if found is None:
-        rest = rest.withColumn("found", F.lit(None).cast("array<binary>"))
-    else:
-        same = (F.col("doc_id") == F.col("of")) & (F.col("tag") == F.col("of_tag"))
-        rest = rest.join(found, same, "left")
+    rest = rest.withColumn("found", F.lit(None).cast("binary")) if found is None else rest.join(found, same, "left")
     rest = rest.select("doc_id", "text", "found")
     out = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
     return done.unionByName(rest.mapInPandas(_removed(window), out))
