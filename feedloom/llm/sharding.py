@@ -51,6 +51,7 @@ class Directory:
 
     levels: list[tuple[int, DataFrame]]
     limit: int
+    crowded: bool  # whether a shard has more than fits, in rows of one hash
 
     def route(self, rows: DataFrame, hash_: str) -> DataFrame:
         """``rows`` with depth, prefix, shard_bytes and shard_rows of their shard."""
@@ -100,18 +101,23 @@ def directory(hashed: DataFrame, limit: int = LIMIT) -> Directory:
         levels.append((depth, written(entries, "directory")))
         rest = full.where(F.col("depth") == depth).select(F.col("prefix").alias("leaf"))
         if rest.isEmpty():
-            return Directory(levels, limit)
+            over = entries.where(_crowded(limit)) if depth == HASH_BITS else None
+            return Directory(levels, limit, over is not None and not over.isEmpty())
         pending = written(pending.join(rest, _prefix(F.col("hash"), depth) == rest["leaf"], "left_semi"), "pending")
         above, depth = depth + 1, min(HASH_BITS, depth + 2 * FINER)
 
 
-def _paged(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
+def _crowded(limit: int) -> Column:
+    return (F.col("depth") == HASH_BITS) & (F.col("shard_bytes") > limit) & (F.col("shard_rows") > 1)
+
+
+def _paged(rows: DataFrame, columns: list[str], found: Directory) -> DataFrame:
     """Overflow pages of shards whose rows share one hash. Equal rows are counted, never gathered, and dealt out anew."""
-    over = (F.col("depth") == HASH_BITS) & (F.col("shard_bytes") > limit) & (F.col("shard_rows") > 1)
-    plain = rows.where(~over).withColumn("page", F.lit(0).cast("bigint"))
-    crowded = rows.where(over)
-    if crowded.isEmpty():
-        return plain
+    limit = found.limit
+    if not found.crowded:
+        return rows.withColumn("page", F.lit(0).cast("bigint"))
+    plain = rows.where(~_crowded(limit)).withColumn("page", F.lit(0).cast("bigint"))
+    crowded = rows.where(_crowded(limit))
     kept = [c for c in crowded.columns]
     counted = crowded.groupBy(*kept).agg(F.count("*").alias("copies"))
     before = Window.partitionBy("depth", "prefix").orderBy(*[F.col(f"`{c}`") for c in columns])
@@ -126,8 +132,8 @@ def _paged(rows: DataFrame, columns: list[str], limit: int) -> DataFrame:
 def shard(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """One row per document: doc_id, n_bytes, shard, depth, page."""
     hashed = written(docs.select("doc_id", row_hash().alias("hash"), row_bytes().alias("bytes")), "hashed")
-    rows = directory(hashed, limit).route(hashed, "hash")
-    rows = _paged(rows, ["doc_id"], limit)
+    found = directory(hashed, limit)
+    rows = _paged(found.route(hashed, "hash"), ["doc_id"], found)
     name = shard_name(F.col("depth"), F.col("prefix"))
     return rows.select("doc_id", F.col("bytes").alias("n_bytes"), name.alias("shard"), F.col("depth").cast("int"), "page")
 
@@ -138,7 +144,8 @@ def with_shard(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     hashed = docs.select(row_hash().alias("hash"), row_bytes().alias("bytes"))
     row, name = free_name(docs, "row"), free_name(docs, "shard")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias(row), row_hash().alias("hash"))
-    rows = _paged(directory(written(hashed, "hashed"), limit).route(packed, "hash"), [row], limit)
+    found = directory(written(hashed, "hashed"), limit)
+    rows = _paged(found.route(packed, "hash"), [row], found)
     label = F.concat_ws("-", shard_name(F.col("depth"), F.col("prefix")), F.col("page"))
     return rows.select(*[F.col(row)[c].alias(c) for c in columns], label.alias(name))
 

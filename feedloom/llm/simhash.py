@@ -32,7 +32,7 @@ from feedloom.llm.graph import components
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
-TILE = 2048
+TILE = 1024
 WORDS, WORD_BITS = 4, 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -132,29 +132,44 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Da
     return pairs.mapInPandas(_compare(radius), "node bigint, root bigint")
 
 
-def near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row per document: doc_id, fp (signed), component_id."""
+def _grouped(docs: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of all documents, and (fp, root, component_id) of all fingerprints."""
     printed = written(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "fingerprints")
     nodes = written(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     groups = components(links(nodes.select("fp"), radius), "node", "root")
     named = nodes.join(groups, nodes["fp"] == groups["node"], "left")
     named = written(named.select("fp", "least", F.coalesce("root", "fp").alias("root")), "named")
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = written(named.join(ids, "root").select("fp", "component_id"), "labels")
+    return printed, written(named.join(ids, "root").select("fp", "root", "component_id"), "labels")
+
+
+def near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row per document: doc_id, fp (signed), component_id."""
+    printed, labels = _grouped(docs, radius)
     return printed.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """The document with the least id of each group, with the columns it came with. Rows without id stay."""
-    id_ = free_name(docs, "keeper")
-    same = near_copies(docs, radius).where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_))
-    keepers = written(same.agg(F.count("*").alias("n")), "keepers")
+    id_, fp, row = free_name(docs, "keeper"), free_name(docs, "fp"), free_name(docs, "row")
+    printed, labels = _grouped(docs, radius)
+    first = F.count_if(F.col("doc_id") == F.col("component_id"))
+    rows = printed.join(labels, "fp").where("doc_id IS NOT NULL")
+    ids = written(rows.groupBy(F.col("doc_id").alias(id_)).agg(F.count("*").alias("n"), first.alias("first")), "keepers")
     # Texts move once, to where their ids are, whatever the size of the table of keepers.
-    keepers = keepers.hint("merge")
-    kept = docs.join(keepers.where("n = 1").select(id_), docs["doc_id"] == F.col(id_), "left_semi")
-    if not keepers.where("n > 1").isEmpty():  # several rows of one id
-        again = docs.join(keepers.where("n > 1").select(id_), docs["doc_id"] == F.col(id_), "left_semi")
-        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-        first = again.groupBy("doc_id").agg(F.min_by(row, F.xxhash64("text")).alias(id_))
-        kept = kept.unionByName(first.select(*[F.col(id_)[c].alias(c) for c in docs.columns]))
+    ids = ids.where("first > 0").hint("merge")
+    kept = docs.join(ids.where("n = 1").select(id_), docs["doc_id"] == F.col(id_), "left_semi")
+    if not ids.where("n > 1").isEmpty():
+        # Several rows of one id may be of several groups, each of which keeps one row.
+        again = docs.join(ids.where("n > 1").select(id_), docs["doc_id"] == F.col(id_), "left_semi")
+        packed = again.select(
+            "doc_id",
+            fingerprint_column(F.col("text")).alias(fp),
+            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
+            F.xxhash64("text").alias("at"),
+        )
+        groups = labels.withColumnRenamed("fp", "label")
+        packed = packed.join(groups, F.col(fp) == F.col("label")).where(F.col("doc_id") == F.col("component_id"))
+        one = packed.groupBy("doc_id", "root").agg(F.min_by(row, "at").alias(row))
+        kept = kept.unionByName(one.select(*[F.col(row)[c].alias(c) for c in docs.columns]))
     return kept.unionByName(docs.where("doc_id IS NULL"))

@@ -142,8 +142,10 @@ def test_one_document_of_each_group_stays(make, edges):
     docs = make(edges)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    # 1 twice and with another text: the id stays once; 3 stands for 4 and 5, 6 for 7, 8 for 9; no id stays as it is.
-    assert sorted(r[0] for r in kept.where("doc_id IS NOT NULL").select("doc_id").collect()) == [1, 3, 6, 8, 10]
+    # 1 is of two groups, one of them twice; 3 stands for 4 and 5, 6 for 7, 8 for 9; no id stays as it is.
+    assert sorted(r[0] for r in kept.where("doc_id IS NOT NULL").select("doc_id").collect()) == [1, 1, 3, 6, 8, 10]
+    more = make([(0, edges[2][1]), *edges])  # the second group of 1 now has a lesser id
+    assert sorted(r[0] for r in simhash.keep_one(more).where("doc_id < 3").select("doc_id").collect()) == [0, 1]
     assert kept.where("doc_id IS NULL").count() == 2
     assert simhash.keep_one(make([])).count() == 0
 
@@ -425,9 +427,10 @@ def test_repeats_within_small_chunks(make, monkeypatch):
 
 def test_ids_that_repeat_or_are_null(make):
     text = " ".join(f"t{i}" for i in range(20))
-    docs = [(1, text), (1, text), (1, "x " + text), (None, text), (2, "y " + text), (3, None)]
-    got = counted((r["doc_id"], r["n_removed"]) for r in repeats.remove_repeats(make(docs)).collect())
-    assert got == counted([(1, 0), (1, 0), (1, 0), (None, 0), (2, 20), (3, 0)])
+    one, two, three = 2**60 + 1, 2**60 + 2, 2**60 + 3  # no float holds these
+    docs = [(one, text), (one, text), (one, "x " + text), (None, text), (two, "y " + text), (three, None)]
+    got = counted((r["doc_id"], r["n_removed"]) for r in repeats.remove_repeats(make(docs, 1)).collect())
+    assert got == counted([(one, 0), (one, 0), (one, 0), (None, 0), (two, 20), (three, 0)])
     assert repeats.remove_repeats(make([])).count() == 0
 
 
