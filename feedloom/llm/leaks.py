@@ -7,7 +7,7 @@ match is one word, so the stream can start afresh: numpy finds the stretches bet
 long enough for a window are walked word by word.
 
 Items are gathered in blocks of a bounded number of words, one automaton each. A larger benchmark takes several passes
-over the documents.
+over the documents, all over the same texts; the size of a block does not change results.
 
 Defined cases: null texts have no words; items without words match nothing; an item shorter than a window is one window;
 repeated item ids are one item, a null id is the empty one; repeated documents are judged each for itself; empty tables
@@ -203,24 +203,40 @@ class Scanner:
 
     def cleaned(self, text: str | None, most_covered: float) -> str | None:
         """The text without hit spans; null if too much of it is hit. A seam may make a new match: look again."""
-        while True:
+        while text is not None:
             words = split_words(text)
             spans, _ = self.automaton.hits(words)
             if not spans:
-                return text or ""
-            if sum(b - a for a, b in spans) > most_covered * len(words):
-                return None
-            places = [m.span() for m in _WORD.finditer(text.translate(_LOWER))]
-            parts, at = [], 0
-            for a, b in spans:
-                parts.append(text[at : places[a][0]])
-                at = places[b - 1][1]
-            text = "\n".join([*parts, text[at:]])
+                return text
+            text = without(text, len(words), spans, most_covered)
+        return None
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+def joined(spans: list[list[int]]) -> list[tuple[int, int]]:
+    """Spans of several automata in order, joined where they touch."""
+    out: list[tuple[int, int]] = []
+    for start, stop in sorted(map(tuple, spans)):
+        if out and start <= out[-1][1]:
+            start, stop = out[-1][0], max(out.pop()[1], stop)
+        out.append((start, stop))
+    return out
+
+
+def without(text: str, n_words: int, spans: list[tuple[int, int]], most_covered: float) -> str | None:
+    """The text without spans of its words; null if they cover too much of it."""
+    if sum(b - a for a, b in spans) > most_covered * n_words:
+        return None
+    places = [m.span() for m in _WORD.finditer(text.translate(_LOWER))]
+    parts, at = [], 0
+    for a, b in spans:
+        parts.append(text[at : places[a][0]])
+        at = places[b - 1][1]
+    return "\n".join([*parts, text[at:]])
+
+
 def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[Callable[[], Automaton]]:
     """One maker of an automaton per block of items; a block's items are all that comes to the driver at a time."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), whole("text").alias("t"))
@@ -261,7 +277,24 @@ def _spans_udf(scanner: Scanner):
 def _cleaned_udf(scanner: Scanner, most_covered: float):
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([scanner.cleaned(t, most_covered) for t in texts], dtype=object)
+        return pd.Series([scanner.cleaned(t or "", most_covered) for t in texts], dtype=object)
+
+    return of
+
+
+def _hits_udf(scanner: Scanner):
+    @F.pandas_udf("array<array<int>>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([[list(s) for s in scanner.automaton.hits(split_words(t))[0]] for t in texts], dtype=object)
+
+    return of
+
+
+def _without_udf(most_covered: float):
+    @F.pandas_udf("string")
+    def of(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        rows = zip(texts, spans, strict=True)
+        return pd.Series([without(t, len(split_words(t)), joined(s), most_covered) for t, s in rows], dtype=object)
 
     return of
 
@@ -299,19 +332,39 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_word
     return rows.select("doc_id", "f.n_words", _covered(F.col("f.spans")).alias("n_hit"), items.alias("items"))
 
 
+def _replaced(docs: DataFrame, text: Column) -> DataFrame:
+    """The documents with new texts, without those whose new text is null; nulls stay, ``n_chars`` follows."""
+    now = free_name(docs, "cleaned")
+    rows = docs.withColumn(now, text).where(F.col(now).isNotNull())
+    changed = F.col("text").isNotNull() & (F.col(now) != F.col("text"))
+    new = {"text": F.when(F.col("text").isNotNull(), F.col(now))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(changed, F.length(now)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
 def clean(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most_covered: float = MOST_COVERED,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """The documents without their hit spans, and without those of which too much is hit; a column ``n_chars`` follows."""
-    spark, columns = docs.sparkSession, list(docs.columns)
-    for make in automata(benchmark, window, block_words):
-        of = _cleaned_udf(Scanner(spark, make()), most_covered)
-        now = free_name(docs, "cleaned")
-        rows = docs.withColumn(now, of(F.col("text"))).where(F.col(now).isNotNull())
-        changed = F.col("text").isNotNull() & (F.col(now) != F.col("text"))
-        new = {"text": F.when(F.col("text").isNotNull(), F.col(now))}
-        if "n_chars" in columns:
-            new["n_chars"] = F.when(changed, F.length(now)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-        docs = rows.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
-    return docs
+    """The documents without their hit spans, and without those of which too much is hit; a column ``n_chars`` follows.
+
+    Several blocks look at the same texts, which are judged and cut by all their spans at once. What was cut is looked
+    at again by every block, as a seam may make a match of any of them.
+    """
+    spark = docs.sparkSession
+    makers = automata(benchmark, window, block_words)
+    if len(makers) == 1:
+        return _replaced(docs, _cleaned_udf(Scanner(spark, makers[0]()), most_covered)(F.col("text")))
+    spans, done = free_name(docs, "spans"), None
+    while True:
+        rows = docs.withColumn(spans, F.array().cast("array<array<int>>"))
+        for make in makers:
+            of = _hits_udf(Scanner(spark, make()))
+            rows = written(rows.withColumn(spans, F.concat(spans, of(F.col("text")))), "leaks")
+        unhit = rows.where(F.size(spans) == 0).drop(spans)
+        done = unhit if done is None else done.union(unhit)
+        hit = rows.where(F.size(spans) > 0)
+        docs = written(_replaced(hit, _without_udf(most_covered)(F.col("text"), F.col(spans))).drop(spans), "leaks")
+        if docs.isEmpty():
+            return done

@@ -352,6 +352,32 @@ def test_clean_texts_have_no_windows_left(spark, make, edges, block_words):
     assert leaks.clean(make([]), items).count() == 0
 
 
+def test_blocks_do_not_change_clean_texts(spark, make, edges):
+    word = lambda name, n: [f"{name}{i}" for i in range(n)]
+    named = {n: word(n, 30) for n in "abc"}
+    items = [(i, " ".join(w)) for i, w in enumerate(named.values())]
+    items += [(10 + i, " ".join([*word(f"l{i}", 8), *word(f"m{i}", 8), *word(f"r{i}", 8)][at : at + 16])) for i in range(2) for at in (0, 8)]
+    items = [(n, t) for n, (_, t) in enumerate(items)]
+    own = lambda d, n: word(f"o{d}x", n)
+    docs = []
+    for a, v in named.items():
+        for b, w in named.items():
+            if a != b:
+                d = len(docs)
+                docs.append((d, " ".join(v + own(d, 40) + w)))  # 60 of 100 words are hit
+                docs.append((d + 1, " ".join(own(d, 100) + v[:6] + w + v[6:] + own(d + 1, 100))))  # the seam is a match
+    for i in range(2):
+        d = len(docs)
+        docs.append((d, " ".join(own(d, 40) + word(f"l{i}", 8) + word(f"m{i}", 8) + word(f"r{i}", 8) + own(d + 1, 40))))
+    docs += [(d and d + 1000, t) for d, t in edges]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(leaks.automata(benchmark, block_words=40)) == 4
+    one, many = (rows(leaks.clean(make(docs), benchmark, block_words=n)) for n in (200_000, 40))
+    assert many == one
+    assert len(one) == 6 + 2 + len(edges)
+    assert not any(x[1] for x in brute.leaks([(i, r[1]) for i, r in enumerate(many)], items).values())
+
+
 # -------------------------------------------------------------------------------------------------------------- mixing
 
 
