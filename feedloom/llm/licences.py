@@ -24,11 +24,13 @@ SHINGLE, CONTAINED, BANDS = 5, 0.8, 4
 #: Window, and the least number of shingles of the templates it is for; any copy of one has a whole window inside.
 CLASSES = ((1, 1), (4, 8), (16, 32))
 
-# Notices as their licences word them.
+# Notices as their licences word them. Where licences share most of a notice, the template is the passage
+# that tells them apart, so short that a relative's notice has less than CONTAINED of it; words changed there hide it.
 TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
+        "Distributed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         'documentation files (the "Software"), to deal in the Software without restriction, including without '
         "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
@@ -42,17 +44,48 @@ TEMPLATES = {
         'an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for '
         "the specific language governing permissions and limitations under the License.",
     ),
+    "GPL-2.0": (
+        "under the GNU General Public License, version 2.",
+        "terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+        "terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+    ),
     "GPL-3.0": (
-        "licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
-        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+        "under the GNU General Public License, version 3.",
+        "terms of the GNU General Public License version 3 as published by the Free Software Foundation",
+        "terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ),
+    "LGPL-2.1": (
+        "GNU Lesser General Public License, version 2.1.",
+        "terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+        "the License",
+    ),
+    "LGPL-3.0": (
+        "the GNU Lesser General Public License, version 3.",
+        "terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of "
+        "the License",
+    ),
+    "AGPL-3.0": (
+        "the GNU Affero General Public License, version 3.",
+        "terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of "
+        "the License",
     ),
+    "BSD-2-Clause": ("materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE",),
     "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
-        "list of conditions and the following disclaimer.",
+        "materials provided with the distribution. Neither the name of the",
+        "materials provided with the distribution. 3. Neither the name of the",
+    ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide. This software is distributed without any warranty.",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means.",
     ),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "licensed under a Creative Commons Attribution 4.0 International License"),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),

@@ -201,6 +201,39 @@ def test_licences_match_python(make, edges):
     assert licences.find(make([])).count() == 0
 
 
+def test_related_licences_are_told_apart(make):
+    gnu = (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published "
+        "by the Free Software Foundation, either version {} of the License, or (at your option) any later version. This "
+        "program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {} for more details."
+    )
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+    )
+    third = (
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. "
+    )
+    kinds = {"GPL": "General Public License", "LGPL": "Lesser General Public License", "AGPL": "Affero General Public License"}
+    cases = []
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+        kind, version = name.split("-")
+        number = version.removesuffix(".0")
+        cases.append((name, gnu.format(kinds[kind], number, kinds[kind])))
+        cases.append((name, f"Licensed under the GNU {kinds[kind]}, version {number}."))
+    cases += [("BSD-2-Clause", bsd.format("")), ("BSD-3-Clause", bsd.format(third))]
+    cases += [("BSD-3-Clause", bsd.format(third).replace("1. ", "").replace("2. ", "").replace("3. ", ""))]
+    cases += [("MIT", "Distributed under the MIT License.")]
+    cases += [(name, notice) for name, notices in licences.TEMPLATES.items() for notice in notices]
+    got = {r[0]: r[2] for r in licences.find(make([(i, f"Intro. {t} More.") for i, (_, t) in enumerate(cases)])).collect()}
+    assert [(n, got[i]) for i, (n, _) in enumerate(cases)] == [(n, n) for n, _ in cases]
+
+
 # ------------------------------------------------------------------------------------------------------------- quality
 
 
