@@ -111,29 +111,30 @@ def _crowded(limit: int) -> Column:
     return (F.col("depth") == HASH_BITS) & (F.col("shard_bytes") > limit) & (F.col("shard_rows") > 1)
 
 
-def _paged(rows: DataFrame, columns: list[str], found: Directory) -> DataFrame:
-    """Overflow pages of shards whose rows share one hash. Equal rows are counted, never gathered, and dealt out anew."""
+def _paged(rows: DataFrame, found: Directory) -> DataFrame:
+    """Overflow pages of shards whose rows share one hash. Rows are numbered in their task; tasks are counted for offsets."""
     limit = found.limit
     if not found.crowded:
         return rows.withColumn("page", F.lit(0).cast("bigint"))
     plain = rows.where(~_crowded(limit)).withColumn("page", F.lit(0).cast("bigint"))
-    crowded = rows.where(_crowded(limit))
-    kept = [c for c in crowded.columns]
-    counted = crowded.groupBy(*kept).agg(F.count("*").alias("copies"))
-    before = Window.partitionBy("depth", "prefix").orderBy(*[F.col(f"`{c}`") for c in columns])
-    sums = F.sum("copies").over(before.rowsBetween(Window.unboundedPreceding, -1))
-    counted = counted.withColumn("before", F.coalesce(sums, F.lit(0)))
-    dealt = counted.withColumn("at", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    # Places are written, so that counts and numbers are of the same tasks.
+    crowded = written(rows.where(_crowded(limit)).withColumn("place", F.monotonically_increasing_id()), "crowded")
+    crowded = crowded.withColumn("task", F.shiftright("place", 33))
+    tasks = Window.partitionBy("prefix").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    counted = crowded.groupBy("prefix", "task").agg(F.count("*").alias("copies"))
+    offsets = counted.select("prefix", "task", F.coalesce(F.sum("copies").over(tasks), F.lit(0)).alias("before"))
+    at = F.row_number().over(Window.partitionBy("prefix", "task").orderBy("place"))
+    dealt = crowded.withColumn("at", at).join(offsets, ["prefix", "task"])
     room = F.greatest(F.lit(1), F.floor(F.lit(limit) * F.col("shard_rows") / F.col("shard_bytes")))
     dealt = dealt.withColumn("page", F.floor((F.col("before") + F.col("at") - 1) / room))
-    return plain.unionByName(dealt.drop("copies", "before", "at"))
+    return plain.unionByName(dealt.drop("task", "place", "at", "before"))
 
 
 def shard(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     """One row per document: doc_id, n_bytes, shard, depth, page."""
     hashed = written(docs.select("doc_id", row_hash().alias("hash"), row_bytes().alias("bytes")), "hashed")
     found = directory(hashed, limit)
-    rows = _paged(found.route(hashed, "hash"), ["doc_id"], found)
+    rows = _paged(found.route(hashed, "hash"), found)
     name = shard_name(F.col("depth"), F.col("prefix"))
     return rows.select("doc_id", F.col("bytes").alias("n_bytes"), name.alias("shard"), F.col("depth").cast("int"), "page")
 
@@ -145,7 +146,7 @@ def with_shard(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     row, name = free_name(docs, "row"), free_name(docs, "shard")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias(row), row_hash().alias("hash"))
     found = directory(written(hashed, "hashed"), limit)
-    rows = _paged(found.route(packed, "hash"), [row], found)
+    rows = _paged(found.route(packed, "hash"), found)
     label = F.concat_ws("-", shard_name(F.col("depth"), F.col("prefix")), F.col("page"))
     return rows.select(*[F.col(row)[c].alias(c) for c in columns], label.alias(name))
 

@@ -318,6 +318,15 @@ def test_equal_rows_fill_pages(make):
     assert whole.count() == 96 and whole.columns == [*make([]).columns, "shard"]
 
 
+def test_equal_rows_stay_rows(make):
+    docs = [(1, "z" * 100)] * 95 + [(3, "y" * 100)] * 45 + [(2, "q")]
+    found = sharding.shard(make(docs, 5), 1000)
+    assert "sequence(" not in found._jdf.queryExecution().executedPlan().toString()  # no array of all copies
+    pages = Counter((r["doc_id"], r["page"]) for r in found.collect())
+    assert sorted(n for (d, _), n in pages.items() if d == 1) == [5] + [10] * 9
+    assert sorted(n for (d, _), n in pages.items() if d == 3) == [5] + [10] * 4
+
+
 def test_one_shard_no_rows_and_the_writer(spark, make, edges, tmp_path):
     assert {r["shard"] for r in sharding.shard(make(edges)).collect()} == {"all"}
     assert sharding.shard(make([])).count() == 0
