@@ -183,6 +183,66 @@ _SUBSTRING_DEDUP = r"""
     FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+#: All pairs, then what each vector reaches.
+_NEAR_VECTORS = """
+    WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+                         WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                           AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    linked AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+                            ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+    reached(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN linked l ON r.b = l.a)
+    SELECT e.vec_id, (SELECT count(*) FROM linked l WHERE l.a = e.vec_id)::BIGINT AS n_links,
+           (SELECT min(b) FROM reached r WHERE r.a = e.vec_id) AS component_id,
+           (SELECT min(b) FROM reached r WHERE r.a = e.vec_id) = e.vec_id AS kept
+    FROM embeddings e"""
+
+#: Places where 16 words are repeated q words later; every run has them for its q, and stretches of them are runs.
+_RUNS = r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                      xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                                      lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+                                                               lambda x, k: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295::BIGINT) AS h
+               FROM documents),
+    g AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS e FROM w),
+    t AS (SELECT doc_id, CASE WHEN a IS NULL THEN w
+                 ELSE list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // e) END]) END AS w
+          FROM g),
+    grams AS (SELECT doc_id, i, sha256(array_to_string(w[i + 1:i + 16], ' ')) AS s
+              FROM (SELECT doc_id, w, unnest(range(len(w) - 15)) AS i FROM t)),
+    pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+    stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + 15 + q AS length
+                  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+                  GROUP BY doc_id, q, island),
+    long AS (SELECT * FROM stretches WHERE length >= greatest(24, 3 * q)),
+    runs AS (SELECT * FROM long r WHERE NOT EXISTS (
+                 SELECT 1 FROM long s WHERE s.doc_id = r.doc_id AND s.q < r.q AND s.start <= r.start AND s.start + s.length >= r.start + r.length)),
+    summed AS (SELECT doc_id, count(*) AS n_runs,
+                      list({'start': start, 'length': length, 'period': q} ORDER BY length::DOUBLE / q DESC, start, q)[1] AS best,
+                      string_agg(concat(start, ',', length, ',', q, chr(10)), '' ORDER BY start, q) AS runs
+               FROM runs GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS k FROM runs),
+    kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY k) AS kept
+             FROM (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS k FROM t) p ANTI JOIN gone g USING (doc_id, k)
+             GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length,
+           best.period::BIGINT AS period, (1000 * best.length // best.period)::BIGINT AS exponent_milli,
+           sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM t LEFT JOIN summed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+_FILL_IN_MIDDLE = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+    r AS (SELECT doc_id, t, length(t) AS n, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT FOR k IN range(4)] AS h FROM d),
+    c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+    p AS (SELECT *, substr(t, 1, a) AS x, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c)
+    SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END::BIGINT AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN b - a END::BIGINT AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || s || '<M>' || m
+                            ELSE '<S>' || s || '<P>' || x || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+    FROM p"""
+
+
 ORACLES: dict[str, str] = {
     "op1_secret_scan": _secret_scan(),
     "op5_licence_scan": _licence_scan(),
@@ -191,4 +251,7 @@ ORACLES: dict[str, str] = {
     "op8_benchmark_decontamination": _DECONTAMINATION,
     "op9_source_mixing": _mixing(),
     "op10_substring_dedup": _SUBSTRING_DEDUP,
+    "op11_embedding_near_dedup": _NEAR_VECTORS,
+    "op12_periodic_runs": _RUNS,
+    "op13_fill_in_middle": _FILL_IN_MIDDLE,
 }

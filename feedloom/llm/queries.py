@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import language, leaks, licences, mixing, quality, repeats, secrets, sharding, simhash, tokens
-from feedloom.llm.common import table
+from feedloom.llm import fim, forest, language, leaks, licences, mixing, periods, quality, repeats, secrets, sharding, simhash, tokens
+from feedloom.llm.common import NOT_SPACE, table, words
 from feedloom.llm.oracles import ORACLES
 from feedloom.sinks.tables import scratch_dir
 
@@ -77,6 +77,55 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract makes every tenth text periodic from some word on, then asks for the runs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    chosen = (h % 10 == 0) & F.col("text").rlike(NOT_SPACE)
+    docs = docs.withColumn("words", F.when(chosen, words(F.col("text"))))
+    n = F.size("words").cast("bigint")
+    first = g % n
+    period = 1 + F.floor((n - first) / (3 + g % 8))
+
+    cycle = F.slice("words", (first + 1).cast("int"), period.cast("int"))
+    cycles = F.flatten(F.array_repeat(cycle, F.ceil((n - first) / period).cast("int")))
+    parts = F.slice("words", 1, first.cast("int")), F.slice(cycles, 1, (n - first).cast("int"))
+    repeated = F.concat_ws(" ", *parts)
+    docs = docs.select("doc_id", F.when(F.col("words").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+    found = periods.find(docs).withColumn("best", periods.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.transform(table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -90,4 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": benchmark_decontamination,
     "op9_source_mixing": source_mixing,
     "op10_substring_dedup": substring_dedup,
+    "op11_embedding_near_dedup": embedding_near_dedup,
+    "op12_periodic_runs": periodic_runs,
+    "op13_fill_in_middle": fill_in_middle,
 }
