@@ -6,11 +6,12 @@ merges that pair wherever it has it; only ranks next to a merge are looked up ag
 pair leave with the number of symbols they have. One call of numpy so does one merge in all pre-tokens at once.
 
 Normalising and splitting follow the tokenizer's file. Texts whose characters are all below U+0250 are split by the
-regular expression here; others by the library's own normaliser and splitter, as their Unicode tables may be of another
-version than Python's.
+regular expression here, unless lower case brings one of them above; others by the library's own normaliser and splitter,
+as their Unicode tables may be of another version than Python's.
 
 Defined cases: null and empty texts have no bytes and no tokens; the strings of special tokens count one token each;
-repeated rows are counted each for itself; an empty table gives an empty result; other columns are not looked at.
+repeated rows are counted each for itself; a text of any length is counted in one piece, with some hundred bytes of
+memory a character; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from feedloom.llm.common import whole
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LIMIT = 2048
-#: Characters of text that are split before their pre-tokens are merged, and pre-tokens remembered by a task.
+#: Characters of text that are split before their pre-tokens are merged, and pre-tokens remembered within an Arrow batch.
 BATCH_CHARS, REMEMBERED = 1_000_000, 200_000
 #: Characters below this one are normalised alike by all versions of Unicode; none of them combines with another.
 SAFE = 0x250
@@ -169,8 +170,9 @@ class Counter:
 
     @cached_property
     def unsafe(self):
-        # U+0130 becomes two characters in lower case.
-        return re.compile(f"[İ{chr(SAFE)}-\U0010ffff]").search
+        # Also those that lower case brings above the bound, or makes two characters.
+        odd = [c for c in map(chr, range(SAFE)) if len(c.lower()) > 1 or c.lower() >= chr(SAFE)]
+        return re.compile(f"[{''.join(odd)}{chr(SAFE)}-\U0010ffff]").search
 
     @cached_property
     def library(self):
