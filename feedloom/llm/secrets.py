@@ -6,7 +6,8 @@ committed batch has, writes them as one more batch, and joins the findings of th
 A batch counts when Spark's ``_SUCCESS`` file is there: a run that dies leaves nothing behind that is read.
 
 Defined cases: a null text is the empty blob; paths may be null or repeat, each row gets its blob's findings; an empty
-table gives an empty result; other columns are not looked at. Offsets count code points, the end is exclusive.
+table gives an empty result; other columns are not looked at; equal spans of two rules stay two. A text is one row's
+work, in time nearly proportional to its length and its matches. Offsets count code points, the end is exclusive.
 """
 
 from __future__ import annotations
@@ -54,38 +55,69 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
+#: Lengths that are summed up one after the other; longer lists are summed by blocks.
+BLOCK = 64
 _SPAN = "array<struct<start:int,no:int,kind:string,stop:int>>"
 
 
+def _sums(values: Column) -> Column:
+    """The sum before each value, by copying the list at every step: for short lists."""
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct((acc["sum"] + x).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out"))
+
+    return F.aggregate(values, start, step, lambda acc: acc["out"])
+
+
+def sums_before(values: Column, levels: int = 3) -> Column:
+    """The sum before each value of an array of any length. Blocks are summed up first, then the sums of blocks in the
+    same way, so that no list of more than ``BLOCK`` values is copied on any level but the last."""
+    if levels == 0:
+        return _sums(values)
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + x))
+
+        def shifted(before: Column) -> Column:
+            return F.transform(blocks, lambda b, i: F.transform(F.array(F.get(before, i)), lambda s: F.transform(_sums(b), lambda x: x + s))[0])
+
+        return F.flatten(let(sums_before(totals, levels - 1), shifted))
+
+    def cut(v: Column) -> Column:
+        n = F.ceil(F.size(v) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.slice(v, k * BLOCK + 1, BLOCK))
+        return F.when(n > 0, let(blocks, of_blocks)).otherwise(F.array().cast("array<int>"))
+
+    return let(values, cut)
+
+
 def spans(text: Column, rule: Rule, number: int) -> Column:
     """Places follow from the lengths of the matches and of what is between them."""
     none = F.array().cast(_SPAN)
 
-    def walk(p: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + x["gap"]
-            end = begin + F.length(x["hit"])
-            long_enough = F.lit(True)
-            if rule.least:
-                checked = F.regexp_extract(x["hit"], rule.pattern, rule.group) if rule.group else x["hit"]
-                long_enough = F.length(checked) >= rule.least
-            one = F.struct(
-                begin.alias("start"), F.lit(number).alias("no"), F.lit(rule.kind).alias("kind"), end.alias("stop")
-            )
-            return F.struct(
-                end.alias("at"),
-                F.when(long_enough, F.concat(acc["out"], F.array(one).cast(_SPAN))).otherwise(acc["out"]).alias("out"),
-            )
-
-        steps = F.transform(p["hits"], lambda h, i: F.struct(F.length(F.get(p["gaps"], i)).alias("gap"), h.alias("hit")))
-        return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    def placed(p: Column) -> Column:
+        lengths = F.transform(p["hits"], lambda h, i: F.length(F.get(p["gaps"], i)) + F.length(h))
+
+        def span(before: Column) -> Column:
+            def one(h: Column, i: Column) -> Column:
+                begin = F.get(before, i) + F.length(F.get(p["gaps"], i))
+                return F.struct(
+                    begin.alias("start"), F.lit(number).alias("no"), F.lit(rule.kind).alias("kind"), (begin + F.length(h)).alias("stop")
+                )
+
+            found = F.transform(p["hits"], one)
+            if not rule.least:
+                return found
+            checked = lambda h: F.regexp_extract(h, rule.pattern, rule.group) if rule.group else h
+            return F.filter(found, lambda s, i: F.length(checked(F.get(p["hits"], i))) >= rule.least)
+
+        return let(sums_before(lengths), span)
 
     parts = F.struct(
         F.split(text, rule.pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(rule.pattern), 0).alias("hits")
     )
-    return F.when(text.rlike(rule.pattern), let(parts, walk)).otherwise(none)
+    return F.when(text.rlike(rule.pattern), let(parts, placed).cast(_SPAN)).otherwise(none)
 
 
 def _batches(spark: SparkSession, ledger: str) -> list[str]:
