@@ -45,7 +45,7 @@ def test_secrets_match_python(spark, make, edges, tmp_path):
 def test_added_rules_find_known_forms(spark, make, tmp_path):
     docs = make([(1, "x ghp_" + "a1" * 20 + " -----BEGIN RSA PRIVATE KEY----- xoxb-1234567890-abc")])
     found = secrets.scan(docs.withColumnRenamed("doc_id", "path"), str(tmp_path / "ledger"))
-    assert [s["kind"] for s in found.first()["spans"]] == ["github", "private_key", "slack"]
+    assert [s["kind"] for s in found.first()["spans"]] == ["github", "hex", "private_key", "slack"]
 
 
 def test_ledger_scans_only_what_is_new(spark, make, tmp_path):
@@ -66,6 +66,28 @@ def test_ledger_scans_only_what_is_new(spark, make, tmp_path):
     assert len(secrets._batches(spark, ledger)) == 3
 
 
+def test_sums_before(spark, monkeypatch):
+    pick = random.Random(2)
+    lists = [[pick.randrange(9) for _ in range(n)] for n in (0, 1, 2, 3, 4, 7, 8, 9, 26, 27, 28, 81, 200)]
+    df = spark.createDataFrame([(v,) for v in lists], "v array<int>")
+    want = [[sum(v[:i]) for i in range(len(v))] for v in lists]
+    for block in (3, 64):
+        monkeypatch.setattr(secrets, "BLOCK", block)
+        assert [r[0] for r in df.select(secrets.sums_before(F.col("v"))).collect()] == want
+
+
+def test_very_many_secrets_of_one_text(make, tmp_path):
+    """A list of checksums: time grows with the matches, not with their square."""
+    import time
+
+    text = "".join(f"{i:040x}  file{i}\n" for i in range(200_000))
+    began = time.time()
+    found = secrets.scan(make([(1, text)]).withColumnRenamed("doc_id", "path"), str(tmp_path / "ledger"))
+    n, base = found.select(F.size("spans"), F.sha2(secrets.listed(F.col("spans")), 256)).first()
+    assert n == 200_000 and base == brute.secrets(text)[3]
+    assert time.time() - began < 90
+
+
 def test_secrets_of_an_empty_table(spark, make, tmp_path):
     assert secrets.scan(make([]).withColumnRenamed("doc_id", "path"), str(tmp_path / "l")).count() == 0
 
@@ -90,6 +112,22 @@ def test_tokens_match_the_library(spark, make, edges, tokenizer_file):
     assert tokens.count(make([]), tokenizer_file).count() == 0
 
 
+def test_tokens_of_all_latin_characters(tokenizer_file):
+    """Every character below U+0250, alone, in words and in mixes: some have lower case above that bound."""
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(tokenizer_file)
+    chars = [chr(c) for c in range(0x250)]
+    pick = random.Random(9)
+    texts = [*chars, *(f"{c}'s" for c in chars), *(f"x{c}y {c}{c} 1{c}" for c in chars)]
+    pool = [*chars, "the", "RD", " ", "'s", "1", "Ə", "Ɔ", "Ƈ", "Ɓ", "Ƀ", "Ⱥ", "book"]
+    texts += ["".join(pick.choices(pool, k=pick.randint(1, 12))) for _ in range(20_000)]
+    import pandas as pd
+
+    with open(tokenizer_file, encoding="utf-8") as file:
+        got = tokens.Counter(file.read()).count(pd.Series(texts)).tolist()
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
 def test_merging_where_a_product_is_used_earlier():
     """A merge whose product belongs to a pair of lower rank goes place by place, as a queue would."""
     names = ["a", "b", "c", "abc", "abca", "bc"]
@@ -371,7 +409,7 @@ def test_leaks_match_python(spark, make, edges, block_words):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     got = counted((r[0], r[1], r[2], tuple(r[3])) for r in leaks.scan(make(docs), items, block_words=block_words).collect())
     named = [(i if i is not None else "", t) for i, t in ITEMS]
-    want = counted()
+    want = Counter()
     for d, t in docs:
         n, hit, found = brute.leaks([(d, t)], named)[d]
         want[d, n, hit, tuple(found)] += 1

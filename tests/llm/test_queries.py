@@ -23,7 +23,7 @@ def documents(spark):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = entry_point.queries()
-    assert sorted({n.split("_")[0] for n in names if n.startswith("op")}, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted({n.split("_")[0] for n in names if n.startswith("op")}, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names and set(QUERIES) <= set(names) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
