@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -247,7 +248,23 @@ def load_records(
     prepared = prepare_records(spark, records, mapping, targets, work_dir, expected=expected)
     if on_error == "fail" and (error := prepared.first_error()):
         raise LoadError(error)
-    return load_prepared(spark, prepared, store, targets, winner=winner, token=token)
+    with _together(store, token) as sink:
+        return load_prepared(spark, prepared, sink, targets, winner=winner, token=token)
+
+
+@contextmanager
+def _together(store, token: str | None):
+    """All tables of a load or none, where the store knows transactions; else each table for itself."""
+    if not hasattr(store, "transaction"):
+        yield store
+        return
+    changes = store.transaction(token)
+    try:
+        yield changes
+        changes.commit()
+    except BaseException:
+        changes.abort()
+        raise
 
 
 def _check_policy(on_error: str) -> None:
@@ -278,7 +295,9 @@ def run(
     only ``.xml`` members are taken. With ``on_error="fail"`` all mappings are checked before the first row is loaded.
     Rows are deduplicated as if batches of the mapping's size were written one after the other, or with
     ``winner="first"`` so that the first row of a key in a file stays. A ``token`` names the load: a table that has it
-    is not loaded again. Work data is deleted at the end, the report stays until ``LoadReport.clean``.
+    is not loaded again. In a store with transactions (``BucketTables``) all tables of the run become visible together or
+    stay as they are; other stores take each table for itself. Work data is deleted at the end, the report stays until
+    ``LoadReport.clean``.
     """
     _check_policy(on_error)
     if not (isinstance(mappings, (list, tuple)) and all(isinstance(m, Mapping) for m in mappings)):
@@ -324,9 +343,9 @@ def run(
         spec, folder = mappings[index].xml, f"{work_dir}/mapping{index}"
         chosen = mapping_index(source_name(F.col("_metadata.file_name")), mappings) == index
         expected, written = None, ()
-        if scan in ("auto", "split") and encoding is None:
+        if scan in ("auto", "split"):
             wanted = (F.col("_metadata.file_size") > 0) & chosen
-            records, written = cut_records(spark, paths, spec, wanted, glob, work_dir=folder)
+            records, written = cut_records(spark, paths, spec, wanted, glob, work_dir=folder, encoding=encoding)
         else:
             whole = scan == "document" and encoding is None
             records = read_records(
@@ -341,11 +360,12 @@ def run(
         for error in filter(None, (part.first_error() for part in prepared)):
             raise LoadError(error)
     counts, tables, rejected = [], [], []
-    for index, part in zip(used, prepared, strict=True):
-        # Several mappings may load one table.
-        loaded = load_prepared(spark, part, store, targets, winner=winner, token=token and f"{token}-{index}")
-        for collected, frame in zip((counts, tables, rejected), loaded, strict=True):
-            collected.append(frame)
+    with _together(store, token) as sink:
+        for index, part in zip(used, prepared, strict=True):
+            # Several mappings may load one table.
+            loaded = load_prepared(spark, part, sink, targets, winner=winner, token=token and f"{token}-{index}")
+            for collected, frame in zip((counts, tables, rejected), loaded, strict=True):
+                collected.append(frame)
 
     empty_counts = spark.createDataFrame([], "source string, processed long, skipped long, malformed boolean")
     per_file = reduce(DataFrame.unionByName, counts, empty_counts)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedloom_queries import archives, casts, checks, fanout, loads, scans, values
+from feedloom_queries import archives, buckets, casts, checks, fanout, loads, scans, values
 
-_MODULES = (scans, values, checks, fanout, casts, loads, archives)
+_MODULES = (scans, values, checks, fanout, casts, loads, archives, buckets)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
