@@ -23,6 +23,8 @@ from feedloom.sources.documents import decompressor, encoding_of, open_file, spr
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK_BYTES = 1 << 20
+# The declaration and the byte order mark are in these.
+HEAD_BYTES = 1024
 # Rows of a frame that a task hands over; a long record makes a frame of its own.
 _FRAME_ROWS, _FRAME_CHARS = 1_000, 1 << 20
 _ELEMENTS = "file_path string, file_name string, number bigint, markup string, error string"
@@ -170,3 +172,25 @@ def other_roots(files: DataFrame, root: str, encoding: str | None = None) -> Dat
 
     spread = files.select("file_path", "file_name").repartition(spread_tasks(files.sparkSession), "file_path")
     return spread.mapInPandas(read, "file_path string")
+
+
+def charsets(files: DataFrame) -> DataFrame:
+    """(file_path, file_name) -> (file_path, file_name, charset): what the first bytes of each file say of its encoding,
+    by Python's name. Files that cannot be opened have none."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for file, name in zip(batch["file_path"], batch["file_name"], strict=True):
+                try:
+                    with ExitStack() as stack:
+                        stream = open_file(file, stack)
+                        if name.lower().endswith((".gz", ".bz2")):
+                            stream = stack.enter_context(decompressor(name, stream))
+                        rows.append((file, name, encoding_of(stream.read(HEAD_BYTES))[0]))
+                except (OSError, EOFError, ValueError):
+                    rows.append((file, name, None))
+            yield pd.DataFrame(rows, columns=["file_path", "file_name", "charset"], dtype=object)
+
+    spread = files.select("file_path", "file_name").repartition(spread_tasks(files.sparkSession), "file_path")
+    return spread.mapInPandas(read, "file_path string, file_name string, charset string")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,8 @@ from feedloom.plans.compiler import (
 )
 from feedloom.plans.mapping import MappingError, ValueType, XmlSpec
 from feedloom.sinks.tables import scratch_dir
-from feedloom.sources.elements import other_roots, read_elements
+from feedloom.sources.cuts import cut_options, decoded, depth_change, is_cuttable, joined_groups, known_charset, mark_bytes
+from feedloom.sources.elements import charsets, other_roots, read_elements
 from feedloom.sources.files import XML_GLOB, list_files, source_name
 
 SCANS = ("document", "record", "split", "auto")
@@ -112,7 +114,7 @@ def records_of_raw(raw: DataFrame, spec: XmlSpec, scan: str, mode: str, on_repea
     ]
     if scan == "document":
         documents = raw.select(*carried, node, corrupt.alias("corrupt"))
-        return _explode_documents(documents, spec, mode, on_repeat, [SOURCE, SOURCE_NAME])
+        return _explode_documents(documents, spec, mode, on_repeat, [SOURCE, SOURCE_NAME], from_files=True)
     rows = raw.select(
         *carried,
         _position(F.lit(0), F.monotonically_increasing_id()),
@@ -142,8 +144,8 @@ def read_records(
     malformed documents: PERMISSIVE keeps the records before the error and adds one marker row, DROPMALFORMED leaves
     the marker out, FAILFAST ends the job.
 
-    Encodings are found by Spark. One given by ``encoding`` overrides what a file says; such files are streamed
-    whatever the scan. Bytes that are wrong in a file's encoding end the job in a ``document`` or ``record`` scan, and
+    Encodings are found by Spark. One given by ``encoding`` overrides what a file says; such files are streamed, or cut by
+    an ``auto`` scan. Bytes that are wrong in a file's encoding end the job in a ``document`` or ``record`` scan, and
     are replaced elsewhere: ``skip_unreadable`` leaves such files out of a ``document`` scan, for ``read_decoded``.
 
     ``auto`` and ``split`` read at once and give what they wrote to ``work_dir``.
@@ -153,11 +155,11 @@ def read_records(
     wanted = F.col("_metadata.file_size") > 0
     if files is not None:
         wanted = wanted & files
+    if scan in ("auto", "split"):
+        return cut_records(spark, paths, spec, wanted, glob, mode, on_repeat, work_dir, encoding)[0]
     if encoding:
         found = list_files(spark, paths, glob, wanted)
         return read_decoded(found, spec, mode=mode, encoding=encoding, on_repeat=on_repeat)
-    if scan in ("auto", "split"):
-        return cut_records(spark, paths, spec, wanted, glob, mode, on_repeat, work_dir)[0]
     reader = configure_reader(spark.read, spark, spec, scan, mode, glob)
     if skip_unreadable:
         if scan != "document":
@@ -231,14 +233,16 @@ def _parse_documents(
 
 
 def _explode_documents(
-    documents: DataFrame, spec: XmlSpec, mode: str, on_repeat: str, carried: Sequence[str]
+    documents: DataFrame, spec: XmlSpec, mode: str, on_repeat: str, carried: Sequence[str], from_files: bool = False
 ) -> DataFrame:
+    """``from_files``: a file's reader gives the row of a root element that was closed before the error, and then the row
+    of the error, which has to give no record again."""
     schema = record_schema(spec, _is_case_sensitive(documents.sparkSession))
     corrupt = F.col("corrupt")
     no_node = F.lit(None).cast(schema)
     found = F.when(corrupt.isNull() & F.col("node").isNotNull(), document_records(F.col("node"), spec))
     if len(spec.root_path) > 1 and mode != "FAILFAST":
-        marked = F.concat(_before_error(corrupt, spec, schema), F.array(no_node))
+        marked = F.concat(_before_error(corrupt, spec, schema, from_files), F.array(no_node))
     else:
         marked = F.array(no_node)
     nodes = F.when(corrupt.isNotNull(), marked).otherwise(found)
@@ -251,14 +255,15 @@ def _explode_documents(
     return _extract_values(rows, spec, mode, on_repeat, carried)
 
 
-def _before_error(document: Column, spec: XmlSpec, record: T.StructType) -> Column:
+def _before_error(document: Column, spec: XmlSpec, record: T.StructType, unless_closed: bool = False) -> Column:
     """Record nodes of a malformed document before its error, as an array.
 
     The document is cut like a file by the ``auto`` scan, up to the first piece that is not whole. An end tag in a text
     section or a record inside of a record ends the search early; the marker row tells that the document is broken.
     """
     mark = _cut_mark(spec)
-    first, lead, _ = _layout(spec)
+    first, lead, ending = _layout(spec)
+    closing = ending.removesuffix("$")
     schema = _with_corrupt(T.StructType([T.StructField(spec.root_path[-1], T.ArrayType(record))]))
     options = {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}
     cut = F.split(document, re.escape(mark), -1)
@@ -273,8 +278,14 @@ def _before_error(document: Column, spec: XmlSpec, record: T.StructType) -> Colu
         nodes = F.transform(kept, lambda x: x.getField(spec.root_path[-1]))
         return F.flatten(F.filter(nodes, lambda n: n.isNotNull()))
 
+    def good_of_open(pieces: Column) -> Column:
+        """Nothing where the first piece that is not whole, or else the last, begins with the parents' end tags."""
+        broken = F.array_position(F.transform(pieces, lambda x: x.getField(_CORRUPT).isNotNull()), True).cast("int")
+        at = F.get(cut, F.when(broken == 0, F.size(cut)).otherwise(broken) - 1)
+        return F.when(at.rlike("^" + _MISC + closing), F.array().cast(T.ArrayType(record))).otherwise(good(pieces))
+
     # A lambda's variable is computed once.
-    found = F.transform(F.array(whole), good)[0]
+    found = F.transform(F.array(whole), good_of_open if unless_closed else good)[0]
     return F.when(document.rlike("^" + first) & (F.size(cut) > 1), found).otherwise(F.array().cast(T.ArrayType(record)))
 
 
@@ -295,15 +306,17 @@ def _cut_mark(spec: XmlSpec) -> str:
     return "/>" if bare else f"</{spec.root_path[-1]}>"
 
 
-def _pieces(spark: SparkSession, paths: str | list[str], wanted: Column, glob: str | None, mark: str) -> DataFrame:
-    """Text of files between the marks; a splittable scan that gives pieces of one file to many tasks."""
+def _pieces(
+    spark: SparkSession, paths: str | list[str], wanted: Column, glob: str | None, mark: str, charset: str = "utf-8"
+) -> DataFrame:
+    """Bytes of files between the marks, as a string; a splittable scan that gives pieces of one file to many tasks."""
     name = F.col("_metadata.file_name")
     parts = []
     for chosen, options in (
         (~name.rlike(_COMPRESSED), {"mapreduce.input.linerecordreader.line.maxlength": str(LONGEST_PIECE)}),
         (name.rlike(_COMPRESSED), {}),
     ):
-        reader = spark.read.options(lineSep=mark, recursiveFileLookup="true", **options)
+        reader = spark.read.options(recursiveFileLookup="true", **cut_options(mark, charset), **options)
         if glob:
             reader = reader.option("pathGlobFilter", glob)
         parts.append(
@@ -322,9 +335,17 @@ def _pieces(spark: SparkSession, paths: str | list[str], wanted: Column, glob: s
 
 
 def _cut_rows(
-    spark: SparkSession, paths: str | list[str], spec: XmlSpec, wanted: Column, glob: str | None, mode: str, on_repeat: str
+    spark: SparkSession,
+    paths: str | list[str],
+    spec: XmlSpec,
+    wanted: Column,
+    glob: str | None,
+    mode: str,
+    on_repeat: str,
+    charset: str | None = None,
 ) -> DataFrame:
-    """Records of all pieces, with a column ``_cut`` that says of each piece what it is.
+    """Records of all pieces, with a column ``_cut`` that says of each piece what it is. Without a charset files are
+    UTF-8 and must not say otherwise; with one they are read in it.
 
     A file is cut rightly if its first piece opens the parents, its last one closes them, every piece between holds
     records and other whole elements at the parents' level (or closes some parents and opens them again), and no bytes
@@ -343,21 +364,35 @@ def _cut_rows(
     record = record_schema(spec, _is_case_sensitive(spark))
     schema = _with_corrupt(T.StructType([T.StructField(tag, T.ArrayType(record))]))
     begins = value.rlike("^" + first)
-    parsed = _pieces(spark, paths, wanted, glob, mark).select(
+    pieces = _pieces(spark, paths, wanted, glob, mark, charset or "utf-8")
+    octets = F.octet_length(value).alias("octets")
+    if charset is None:
+        odd = ~F.is_valid_utf8(value) | (begins & value.rlike(_OTHER_ENCODING))
+        pieces = pieces.select(SOURCE, SOURCE_NAME, "block", "file_size", octets, "value", odd.alias("odd"))
+    else:
+        pieces = pieces.select(SOURCE, SOURCE_NAME, "block", "file_size", octets, decoded(value, charset).alias("value"))
+        pieces = pieces.withColumn("odd", value.isNull()).withColumn("value", F.coalesce(value, F.lit("")))
+    parsed = pieces.select(
         SOURCE, SOURCE_NAME, "block", "file_size",
         begins.alias("begins"),
         ends.alias("ends"),
-        F.octet_length(value).alias("octets"),
-        (~F.is_valid_utf8(value) | (begins & value.rlike(_OTHER_ENCODING))).alias("odd"),
+        "octets",
+        "odd",
         F.from_xml(text, schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("parsed"),
     )
+    nodes = F.col("parsed").getField(tag)
+    return _marked_rows(parsed.withColumn("nodes", nodes).withColumn("marks", F.lit(1)), spec, mode, on_repeat)
+
+
+def _marked_rows(parsed: DataFrame, spec: XmlSpec, mode: str, on_repeat: str) -> DataFrame:
+    """Pieces with their record nodes -> records with ``_cut``. The first row of a piece tells about the piece."""
     rows = parsed.select(
-        SOURCE, SOURCE_NAME, "block", "file_size", "begins", "ends", "octets",
+        SOURCE, SOURCE_NAME, "block", "file_size", "begins", "ends", "octets", "marks",
         (F.col("odd") | F.col("parsed").getField(_CORRUPT).isNotNull()).alias("bad"),
-        F.posexplode_outer(F.col("parsed").getField(tag)).alias("at", "node"),
+        F.posexplode_outer("nodes").alias("at", "node"),
     )
     is_head = F.coalesce(F.col("at"), F.lit(0)) == 0
-    piece = F.when(is_head, F.struct("begins", "ends", "bad", "octets", "file_size"))
+    piece = F.when(is_head, F.struct("begins", "ends", "bad", "octets", "marks", "file_size"))
     rows = rows.select(
         SOURCE,
         SOURCE_NAME,
@@ -369,10 +404,57 @@ def _cut_rows(
     return _extract_values(rows, spec, mode, on_repeat, [SOURCE, SOURCE_NAME, "_cut"])
 
 
-def _cut_rightly(rows: DataFrame, mark: str) -> DataFrame:
+def _nested_rows(
+    spark: SparkSession,
+    paths: str | list[str],
+    spec: XmlSpec,
+    wanted: Column,
+    glob: str | None,
+    charset: str,
+    mode: str,
+    on_repeat: str,
+    folder: str,
+) -> DataFrame:
+    """Like ``_cut_rows`` for files some of whose cuts are inside of records: pieces are put together up to the next cut
+    between records. Each group of them is parsed as a document of its own, between the parents that are open there.
+    A parent of another name would have to be closed somewhere, where it does not fit, and so the file is not exact."""
+    mark, parents = _cut_mark(spec), spec.root_path[:-1]
+    value = F.col("value")
+    pieces = _pieces(spark, paths, wanted, glob, mark, charset)
+    pieces = pieces.withColumn("at", F.monotonically_increasing_id()).withColumn("octets", F.octet_length(value))
+    pieces = pieces.withColumn("value", F.coalesce(decoded(value, charset), F.lit("</wrong bytes>")))
+    pieces.withColumn("change", depth_change(F.concat(value, F.lit(mark)))).write.parquet(folder)
+    groups = joined_groups(spark.read.parquet(folder), len(parents), mark, LONGEST_PIECE)
+    first = F.col("block") == 0
+    opened, closed = "".join(f"<{p}>" for p in parents), "".join(f"</{p}>" for p in reversed(parents))
+    text = F.concat(
+        F.lit("<piece>"),
+        F.when(first, F.regexp_replace(value, _PROLOG, "")).otherwise(F.concat(F.lit(opened), value)),
+        F.when(F.col("is_last"), F.lit("")).otherwise(F.lit(mark + closed)),
+        F.lit("</piece>"),
+    )
+    root = F.regexp_extract(value, _ROOT_NAME, 1) == parents[0]
+    document = document_schema(spec, _is_case_sensitive(spark))
+    schema = _with_corrupt(T.StructType([T.StructField(parents[0], T.ArrayType(document))]))
+    parsed = groups.select(
+        SOURCE, SOURCE_NAME, "block", "file_size",
+        (first & root).alias("begins"),
+        (F.col("is_last") & value.rlike(_layout(spec)[2])).alias("ends"),
+        "octets",
+        F.col("n_pieces").alias("marks"),
+        F.from_xml(text, schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("parsed"),
+    )
+    # A root that is closed and opened again within a group would be two.
+    one = F.coalesce(F.size(F.col("parsed").getField(parents[0])) == 1, F.lit(False))
+    node = F.get(F.col("parsed").getField(parents[0]), F.lit(0))
+    nodes = F.when(one & F.col("parsed").getField(_CORRUPT).isNull(), document_records(node, spec))
+    return _marked_rows(parsed.withColumn("odd", ~one).withColumn("nodes", nodes), spec, mode, on_repeat)
+
+
+def _cut_rightly(rows: DataFrame, mark: str, charset: str = "utf-8") -> DataFrame:
     """(file, exact) of the files in ``_cut_rows``."""
-    piece = F.col("_cut.piece")
-    octets = F.sum(piece["octets"] + len(mark.encode())) - len(mark.encode())  # no mark after the last piece
+    piece, width = F.col("_cut.piece"), len(mark_bytes(mark, charset))
+    octets = F.sum(piece["octets"] + piece["marks"] * width) - width  # no mark after the last piece
     missing = F.max(piece["file_size"]) - octets
     exact = (
         (F.count_if(piece["begins"]) == 1)
@@ -392,27 +474,55 @@ def cut_records(
     mode: str = "PERMISSIVE",
     on_repeat: str = "first",
     work_dir: str | None = None,
+    encoding: str | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """The ``auto`` scan: (records, folders they are written to). Every file is cut and parsed once; the files for which
-    that was not right are streamed. A file that is one record (a root path of one name) is always streamed."""
+    """The ``auto`` scan: (records, folders they are written to). Files are cut and parsed as UTF-8; those for which that
+    was not right are cut in the encoding their first bytes tell, then with pieces put together where records hold
+    elements of their own name; what is left is streamed. A file that is one record (a root path of one name) is always
+    streamed. ``encoding`` overrides what files say."""
     work_dir = work_dir or scratch_dir(spark, "cut")
-    listed = list_files(spark, paths, glob, wanted).select("file_path", "file_name")
-    if len(spec.root_path) == 1:
-        other, good, folders = listed, None, []
-    else:
-        _cut_rows(spark, paths, spec, wanted, glob, mode, on_repeat).write.parquet(f"{work_dir}/cut")
-        rows = spark.read.parquet(f"{work_dir}/cut")
-        _cut_rightly(rows, _cut_mark(spec)).write.parquet(f"{work_dir}/verdicts")
-        verdicts = spark.read.parquet(f"{work_dir}/verdicts")
-        exact = verdicts.where("exact")
-        other = listed.join(exact, F.col("file_path") == F.col("file"), "left_anti")
+    left = list_files(spark, paths, glob, wanted).select("file_path", "file_name")
+    found, folders = [], []
+
+    def kept(rows: DataFrame, name: str, charset: str) -> DataFrame:
+        """Writes rows of cut files, keeps the records of those that were cut rightly, and returns these files."""
+        rows.write.parquet(f"{work_dir}/{name}")
+        rows = spark.read.parquet(f"{work_dir}/{name}")
+        _cut_rightly(rows, _cut_mark(spec), charset).write.parquet(f"{work_dir}/{name}-verdicts")
+        verdicts = spark.read.parquet(f"{work_dir}/{name}-verdicts")
         wrong = verdicts.where("NOT exact")
-        good = rows.where("_cut.is_record").join(wrong, F.col(SOURCE) == F.col("file"), "left_anti").drop("_cut")
-        folders = [f"{work_dir}/cut"]
-    read_decoded(other, spec, mode=mode, on_repeat=on_repeat).write.parquet(f"{work_dir}/streamed")
-    streamed = spark.read.parquet(f"{work_dir}/streamed")
+        records = rows.where("_cut.is_record").join(wrong, F.col(SOURCE) == F.col("file"), "left_anti").drop("_cut")
+        found.append(records)
+        folders.append(f"{work_dir}/{name}")
+        return verdicts.where("exact")
+
+    def remaining(exact: DataFrame) -> DataFrame:
+        return left.join(exact, F.col("file_path") == F.col("file"), "left_anti")
+
+    if len(spec.root_path) > 1:
+        if encoding is None:
+            left = remaining(kept(_cut_rows(spark, paths, spec, wanted, glob, mode, on_repeat), "cut", "utf-8"))
+        told = charsets(left) if encoding is None else left.withColumn("charset", F.lit(known_charset(encoding)))
+        told.write.parquet(f"{work_dir}/charsets")
+        left = spark.read.parquet(f"{work_dir}/charsets")
+        for nested in (False, True):
+            # Encodings are few, and files that are neither UTF-8 nor flat are known by name.
+            for charset in sorted(r[0] for r in left.select("charset").distinct().collect() if r[0]):
+                if not is_cuttable(charset) or (not nested and encoding is None and charset in ("utf-8", "ascii")):
+                    continue
+                names = [r[0] for r in left.where(F.col("charset") == charset).select("file_path").collect()]
+                chosen = wanted & F.col("_metadata.file_path").isin(names)
+                name = f"{'nested' if nested else 'coded'}-{charset}"
+                if nested:
+                    folder = f"{work_dir}/{name}-pieces"
+                    rows = _nested_rows(spark, paths, spec, chosen, glob, charset, mode, on_repeat, folder)
+                else:
+                    rows = _cut_rows(spark, paths, spec, chosen, glob, mode, on_repeat, charset)
+                left = remaining(kept(rows, name, charset))
+    read_decoded(left, spec, mode=mode, encoding=encoding, on_repeat=on_repeat).write.parquet(f"{work_dir}/streamed")
+    found.append(spark.read.parquet(f"{work_dir}/streamed"))
     folders.append(f"{work_dir}/streamed")
-    return (streamed if good is None else good.unionByName(streamed)), folders
+    return reduce(DataFrame.unionByName, found), folders
 
 
 def cut_exactly(spark: SparkSession, path: str | Sequence[str], spec: XmlSpec, *, glob: str | None = XML_GLOB) -> DataFrame:

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from feedloom.plans.mapping import Mapping, TableId, TableSpec, XmlSpec
 from feedloom.sinks.tables import scratch_dir
 from feedloom.sources.files import filename_value, list_files, route
-from feedloom.sources.xml import parse_column, read_records
+from feedloom.sources.xml import cut_records, parse_column, read_records
 from feedloom_queries.common import (
+    ORDER_TYPES,
     ORDER_VALUES,
     as_type,
     attribute,
     content,
     order_documents,
+    order_element,
     order_rows_for_xml,
     table,
     typed_orders,
@@ -136,6 +138,65 @@ def xml_scan_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(spark, base, spec).select(as_type("c_custkey", "bigint"), "label")
 
 
+def _cut_natively(spark: SparkSession, location: str, spec: XmlSpec) -> DataFrame:
+    """Records of an ``auto`` scan in small splits, with whether none of the files had to be streamed."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        rows, folders = cut_records(spark, location, spec, F.col("_metadata.file_size") > 0)
+    finally:
+        spark.conf.set(name, before)
+    return rows.withColumn("cut", F.lit(spark.read.parquet(folders[-1]).isEmpty()))
+
+
+_CUT_ENCODINGS = ("windows-1251", "koi8-r", "UTF-16", "ISO-8859-5")
+
+
+def xml_scan_split_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders in files of four encodings, of single bytes and of pairs; each file is cut in its own."""
+    rows, base = order_rows_for_xml(spark, sf_dir), scratch_dir(spark, "coded")
+    rows = rows.withColumn("note", F.concat(F.lit("Заказ "), "priority"))
+    for number, encoding in enumerate(_CUT_ENCODINGS):
+        share = rows.where(F.col("_id") % len(_CUT_ENCODINGS) == number)
+        declaration = f"version='1.0' encoding='{encoding}'"
+        write_xml(share, f"{base}/{number}", "orders", "order", encoding=encoding, declaration=declaration)
+    spec = XmlSpec(("orders", "order"), {**ORDER_VALUES, "note": content("note")})
+    found = _cut_natively(spark, base, spec)
+    return found.select(*[as_type(name, type_) for name, type_ in ORDER_TYPES.items()], "note", "cut")
+
+
+def xml_scan_nested_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders at feed/batch/order that hold orders, beside archived orders, in batches that end and begin within a file.
+    Pieces of a file are put together to whole records in many tasks; no file is streamed."""
+    rows = order_rows_for_xml(spark, sf_dir).select(
+        F.struct("*", F.struct(F.col("_id"), F.struct((-F.col("_id")).alias("_id")).alias("order")).alias("order")).alias("order"),
+        F.struct(F.struct((-F.col("_id")).alias("_id")).alias("order")).alias("archive"),
+    )
+    location = scratch_dir(spark, "nested")
+    write_xml(rows, location, "feed", "batch")
+    found = _cut_natively(spark, location, XmlSpec(("feed", "batch", "order"), ORDER_VALUES))
+    return found.select(*[as_type(name, type_) for name, type_ in ORDER_TYPES.items()], "cut")
+
+
+def xml_scan_second_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that go on after their root was closed, every third with another root of orders: the records before the
+    error once, and one marker for each document, in both scans."""
+    base = scratch_dir(spark, "roots")
+    orders = table(spark, sf_dir, "orders")
+    names = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", order_element().alias("doc")))), lambda x: x["doc"]), "")
+    tail = F.when(F.col("part") % 3 == 0, "<orders><order id='-1'/></orders>").when(F.col("part") % 3 == 1, "<x/>").otherwise("text")
+    docs = orders.groupBy(F.pmod("o_orderkey", F.lit(7)).alias("part")).agg(names.alias("doc"))
+    docs = docs.select("part", F.concat(F.lit("<orders>"), "doc", F.lit("</orders>"), tail).alias("value"))
+    docs.repartition(7, "part").write.partitionBy("part").option("lineSep", " ").text(base)
+    out = []
+    for scan in ("auto", "document"):
+        rows = read_records(spark, base, ORDERS, scan=scan, glob=None)
+        typed = [as_type("o_orderkey", "bigint"), F.col("_malformed").alias("malformed"), F.lit(scan).alias("scan")]
+        out.append(rows.select(*typed))
+    return out[0].unionByName(out[1])
+
+
 def xml_dir_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files in nested folders beside files that are no XML by their name."""
     rows = order_rows_for_xml(spark, sf_dir)
@@ -206,6 +267,9 @@ QUERIES = {
     "xml_scan_strict_path": xml_scan_strict_path,
     "xml_scan_namespaced": xml_scan_namespaced,
     "xml_scan_encodings": xml_scan_encodings,
+    "xml_scan_split_encodings": xml_scan_split_encodings,
+    "xml_scan_nested_split": xml_scan_nested_split,
+    "xml_scan_second_root": xml_scan_second_root,
     "xml_dir_scan": xml_dir_scan,
     "xml_column_scan": xml_column_scan,
     "file_listing": file_listing,
@@ -235,6 +299,12 @@ ORACLES = {
     "xml_scan_other_root": f"{_ORDERS_SQL}, range(3) WHERE o_orderkey % 2 = 0",
     "xml_scan_encodings": f"""
         SELECT c_custkey, CASE c_custkey % {len(_ENCODINGS)} {_PREFIX_SQL} END || c_name AS label FROM customer""",
+    "xml_scan_split_encodings": f"SELECT *, 'Заказ ' || o_orderpriority AS note, true AS cut FROM ({_ORDERS_SQL})",
+    "xml_scan_nested_split": f"SELECT *, true AS cut FROM ({_ORDERS_SQL})",
+    "xml_scan_second_root": """
+        SELECT o_orderkey, false AS malformed, scan FROM orders, (VALUES ('auto'), ('document')) AS s(scan)
+        UNION ALL
+        SELECT NULL, true, scan FROM (SELECT DISTINCT o_orderkey % 7 FROM orders), (VALUES ('auto'), ('document')) AS s(scan)""",
     "file_listing": "SELECT count(*) AS records, CAST(0 AS BIGINT) AS files_without_records FROM orders",
     "file_routing": """
         SELECT o_orderkey,
