@@ -63,8 +63,11 @@ def _has_day(text: Column) -> Column:
 
 
 def to_date(text: Column) -> Column:
-    """The leading ``YYYY-MM-DD``; what follows is ignored."""
-    return F.when(_has_day(text) & (F.length(text) >= 10), F.substring(text, 1, 10).try_cast("date"))
+    """The leading ``YYYY-MM-DD``, with all its digits; what follows is ignored."""
+    digits = F.lit(True)
+    for position in (1, 2, 3, 4, 6, 7, 9, 10):
+        digits = digits & _char(text, position).between("0", "9")
+    return F.when(_has_day(text) & digits, F.substring(text, 1, 10).try_cast("date"))
 
 
 def to_time_text(text: Column) -> Column:

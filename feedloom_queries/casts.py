@@ -66,9 +66,10 @@ def cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cast_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day, short = F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "yyyy-MM-d")
     text = _pick(F.col("o_orderkey"), day, F.concat(day, F.lit("T23:59:59+03:00")), F.concat(day, F.lit(" and more")),
                  F.date_format("o_orderdate", "dd.MM.yyyy"), F.date_format("o_orderdate", "yyyy-M-d"), "2024-13-01",
+                 F.concat(short, F.lit("T12:00")), F.concat(short, F.lit(" x")), F.concat(short, F.lit("T")),
                  F.lit(None))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("value"))
     return _cast(rows, "o_orderkey", [T.StructField("value", T.DateType())])
@@ -199,10 +200,12 @@ ORACLES = {
                          END AS value
               FROM lineitem)""",
     "cast_date": """
-        SELECT o_orderkey, value, CASE WHEN value IS NULL AND o_orderkey % 7 <> 6 THEN 'cast:value:date' END AS reason
+        SELECT o_orderkey, value, CASE WHEN value IS NULL AND o_orderkey % 10 <> 9 THEN 'cast:value:date' END AS reason
         FROM (SELECT o_orderkey,
-                     CASE WHEN o_orderkey % 7 < 3 THEN CAST(o_orderdate AS DATE)
-                          WHEN o_orderkey % 7 = 4 AND month(o_orderdate) > 9 AND day(o_orderdate) > 9
+                     CASE WHEN o_orderkey % 10 < 3 THEN CAST(o_orderdate AS DATE)
+                          WHEN o_orderkey % 10 = 4 AND month(o_orderdate) > 9 AND day(o_orderdate) > 9
+                               THEN CAST(o_orderdate AS DATE)
+                          WHEN o_orderkey % 10 BETWEEN 6 AND 8 AND day(o_orderdate) > 9
                                THEN CAST(o_orderdate AS DATE) END AS value
               FROM orders)""",
     "cast_time": """
