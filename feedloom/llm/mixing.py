@@ -1,16 +1,20 @@
 """Mixtures of sources at target weights by Pareto order sampling.
 
-A source's target divided by its words is how often each of its documents is expected in the mix. The whole part are
+How often a document is expected in the mix is a level of its source times a weight of its own, two times at most. The
+weight is the number of binary digits of its size: a text of a thousand words counts three times one of ten, since short
+ones say little. The level makes the expected words of the source its target. The whole part of the expectation are
 copies that are certain. The rest is the inclusion probability of one more copy: documents are ranked by the odds of a
 random number of their own (a hash of the id) divided by the odds of inclusion, and the first ones are taken until the
-source's remaining words are reached. The sample's size is thus fixed, to within half of one document.
+source's remaining words are reached. The sample's size is thus fixed, to within half of one document, and documents are
+in it with nearly their own probabilities.
 
 The place where a ranking is cut is found by digits of the rank: words are summed by source and digit, the digit where
 the sum passes the rest is chosen, and only rows with that digit go on to the next. No source is ever sorted or gathered.
 
 Defined cases: null texts and texts of white space have no words; a null source is a source, the last one; rows of one
 id share a rank and are told apart by a number of their own; a source without words has target zero; an empty table
-gives an empty result; other columns stay as they are. Sources themselves are one row each and fit into one task.
+gives an empty result; a long text is a document like others, at most half of one is the error of its source; other columns
+stay as they are. Sources themselves are one row each, with one for each weight, and fit into one task.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ WEIGHTS = (3, 1, 2)
 SHARE, MOST_COPIES = 1.5, 2
 SEED = "mix-1"
 RANK_BITS, DIGIT_BITS = 52, 13
+#: Expected copies this near to a whole number are that number.
+ROUNDING = 1e-9
 _WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -46,7 +52,7 @@ def rank_of(bits: Column, chance: Column) -> Column:
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """``sizes``: source, source_size. Adds target, whole (certain copies), chance, rest (words still to be taken).
+    """``sizes``: source, source_size. Adds target.
 
     Weights share the budget; a source stops at its cap. With the sources in the order of cap by weight, let the first
     ones be at their caps and the others share what is left: the level per weight rises with every source that is
@@ -66,10 +72,41 @@ def targets(sizes: DataFrame) -> DataFrame:
     rows = rows.withColumn("level", left / F.sum("weight").over(after))
     rows = rows.withColumn("level", F.max("level").over(everything))
     rows = rows.withColumn("target", F.least("cap", F.col("level") * F.col("weight")))
-    times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = rows.withColumn("whole", F.floor(times)).withColumn("chance", times - F.col("whole"))
-    rows = rows.withColumn("rest", F.col("chance") * F.col("source_size"))
-    return rows.select("source", "source_size", "target", "whole", "chance", "rest")
+    return rows.select("source", "source_size", "target")
+
+
+def expected(level: Column, weight: Column) -> Column:
+    """Copies of a document of this weight that its source's level asks for. What is a whole number but for rounding is
+    one."""
+    times = F.least(F.lit(float(MOST_COPIES)), level * weight)
+    return F.when(F.abs(times - F.round(times)) < ROUNDING, F.round(times)).otherwise(times)
+
+
+def weight_of(size: Column) -> Column:
+    return F.length(F.bin(size))
+
+
+def levels(classes: DataFrame, sources: DataFrame) -> DataFrame:
+    """``classes``: source, weight, words (of its documents of that weight). Adds to the sources the level, and rest: the
+    words that are to be drawn beside the certain copies.
+
+    With the weights of a source in falling order, let the first ones be at the most copies and the others share what is
+    left of the target: as above, the highest level is the right one.
+    """
+    named = sources.withColumnRenamed("source", "of")
+    rows = classes.where("words > 0").join(small(named), _same_source("source", "of")).drop("of")
+    order = Window.partitionBy("source").orderBy(F.desc("weight"))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    left = F.col("target") - MOST_COPIES * F.coalesce(F.sum("words").over(before), F.lit(0)).cast("double")
+    rows = rows.withColumn("level", left / F.sum(F.col("words") * F.col("weight")).over(after).cast("double"))
+    rows = rows.withColumn("level", F.max("level").over(Window.partitionBy("source")))
+    certain = F.floor(expected(F.col("level"), F.col("weight"))) * F.col("words")
+    rows = rows.groupBy(F.col("source").alias("of")).agg(F.max("level").alias("level"), F.sum(certain).alias("certain"))
+    told = sources.join(rows, _same_source("source", "of"), "left").drop("of")
+    rest = F.coalesce(F.col("target") - F.col("certain"), F.lit(0.0))
+    rest = F.when(rest > ROUNDING * F.col("target"), rest).otherwise(0.0)
+    return told.select("source", "source_size", "target", F.coalesce("level", F.lit(0.0)).alias("level"), rest.alias("rest"))
 
 
 def _same_source(a: str, b: str) -> Column:
@@ -127,9 +164,11 @@ def _cut(ranked: DataFrame, sources: DataFrame) -> DataFrame:
 def decisions(rows: DataFrame) -> DataFrame:
     """``rows``: doc_id, source, size, row (a number of the row). Returns one row per source with all that a row needs
     to know how often it is taken. A source whose ranking is not cut (nothing or everything is taken) has a null cut."""
-    sizes = written(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
-    sources = written(targets(sizes), "targets")
-    ranked = with_chance(rows, sources).where("chance > 0 AND size > 0")
+    classes = rows.groupBy("source", weight_of(F.col("size")).alias("weight")).agg(F.sum("size").alias("words"))
+    classes = written(classes, "source-classes")
+    sizes = classes.groupBy("source").agg(F.sum("words").alias("source_size"))
+    sources = written(levels(classes, targets(sizes)), "targets")
+    ranked = with_chance(rows, sources).where("chance > 0 AND size > 0 AND rest > 0")
     ranked = ranked.withColumn("rank", rank_of(random_bits(F.col("doc_id")), F.col("chance")))
     cuts = _cut(written(ranked.select("source", "rank", "row", "size"), "ranked"), sources)
     cuts = cuts.withColumnRenamed("source", "of")
@@ -137,8 +176,11 @@ def decisions(rows: DataFrame) -> DataFrame:
 
 
 def with_chance(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """``rows``: source, size. Adds what their source decided, whole (certain copies) and chance (of one more)."""
     named = sources.withColumnRenamed("source", "of")
-    return rows.join(small(named), _same_source("source", "of"), "left").drop("of")
+    rows = rows.join(small(named), _same_source("source", "of"), "left").drop("of")
+    times = expected(F.col("level"), weight_of(F.col("size")))
+    return rows.withColumn("whole", F.floor(times)).withColumn("chance", times - F.floor(times))
 
 
 def copies(doc_id: Column, row: Column) -> Column:
@@ -149,7 +191,7 @@ def copies(doc_id: Column, row: Column) -> Column:
     at_cut = F.when(F.col("row_shift").isNull(), F.col("more")).otherwise(
         (row_at < F.col("row_cut")) | ((row_at == F.col("row_cut")) & F.col("more"))
     )
-    one_more = F.when(F.col("chance") <= 0, False).when(F.col("cut").isNull(), True)
+    one_more = F.when((F.col("chance") <= 0) | (F.col("rest") <= 0), False).when(F.col("cut").isNull(), True)
     one_more = one_more.when(at < F.col("cut"), True).when(at == F.col("cut"), at_cut).otherwise(False)
     return F.coalesce(F.col("whole"), F.lit(0)) + one_more.cast("bigint")
 
@@ -184,7 +226,8 @@ def mixed(docs: DataFrame) -> DataFrame:
         rows = numbered.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col(number).alias("row"))
         decided = decisions(rows)
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc")
-    rows = with_chance(numbered.select(row, "doc_id", "source", F.col(number).alias("row_number")), decided)
+    size = n_words(F.col("text")).alias("size")
+    rows = with_chance(numbered.select(row, "doc_id", "source", size, F.col(number).alias("row_number")), decided)
     times = copies(F.col("doc_id"), F.col("row_number"))
     rows = rows.select("doc", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
     return rows.select(*[F.col("doc")[c].alias(c) for c in columns])

@@ -114,7 +114,7 @@ def _sharding() -> str:
                           strlen(coalesce(text, '')) AS b FROM documents),
         buckets AS (SELECT d, h >> ({bits} - d) AS p, sum(b) AS bytes, count(*) AS n
                     FROM h, range({bits} + 1) r(d) GROUP BY ALL),
-        fits AS (SELECT d, p, bytes <= {sharding.LIMIT} OR n = 1 OR d = {bits} AS ok FROM buckets),
+        fits AS (SELECT d, p, bytes <= {sharding.QUERY_LIMIT} OR n = 1 OR d = {bits} AS ok FROM buckets),
         shards AS (SELECT f.d, f.p FROM fits f LEFT JOIN fits u ON u.d = f.d - 1 AND u.p = f.p >> 1
                    WHERE f.ok AND (f.d = 0 OR NOT u.ok))
         SELECT doc_id, b AS n_bytes, d::INTEGER AS depth, 0::BIGINT AS page,
@@ -156,13 +156,21 @@ def _mixing() -> str:
                              / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
                    FROM weighed),
         targets AS (SELECT *, least(cap, max(level) OVER () * weight) AS target FROM levels),
-        chances AS (SELECT source, source_size, target, target / nullif(source_size, 0) AS times,
-                           floor(times) AS whole, times - floor(times) AS chance FROM targets),
-        ranked AS (SELECT s.*, source_size, target, whole, chance, chance * source_size AS rest,
-                          (bits + 0.5::DOUBLE) / {scale!r}::DOUBLE AS u, (u / (1 - u)) / (chance / (1 - chance)) AS q,
-                          CASE WHEN chance > 0 THEN floor(q / (1 + q) * {scale!r}::DOUBLE) END AS rank
-                   FROM sized s JOIN chances c ON s.source IS NOT DISTINCT FROM c.source),
-        run AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM ranked)
+        classes AS (SELECT source, length(bin(size)) AS w, sum(size)::BIGINT AS words FROM sized WHERE size > 0 GROUP BY ALL),
+        shares AS (SELECT c.source, w, words, target,
+                          (target - 2 * coalesce(sum(words) OVER (PARTITION BY c.source ORDER BY w DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+                          / (sum(words * w) OVER (PARTITION BY c.source ORDER BY w DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+                   FROM classes c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source),
+        times AS (SELECT source, w, words, target, least(2.0::DOUBLE, max(level) OVER (PARTITION BY source) * w) AS n FROM shares),
+        nearly AS (SELECT source, w, words, target, CASE WHEN abs(n - round(n)) < 1e-9 THEN round(n) ELSE n END AS n FROM times),
+        chances AS (SELECT source, w, floor(n) AS whole, n - floor(n) AS chance,
+                           target - sum(floor(n) * words) OVER (PARTITION BY source) AS rest, target AS goal FROM nearly),
+        ranked AS (SELECT s.*, source_size, target, whole, CASE WHEN rest > 1e-9 * goal THEN chance ELSE 0 END AS chance, rest,
+                          (bits + 0.5::DOUBLE) / {scale!r}::DOUBLE AS u, (u / (1 - u)) / (c.chance / (1 - c.chance)) AS q,
+                          CASE WHEN c.chance > 0 THEN floor(q / (1 + q) * {scale!r}::DOUBLE) END AS rank
+                   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+                   LEFT JOIN chances c ON s.source IS NOT DISTINCT FROM c.source AND length(bin(s.size)) = c.w),
+        run AS (SELECT *, sum(CASE WHEN chance > 0 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY chance > 0 DESC, rank, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM ranked)
         SELECT doc_id, size, source_size, target,
                (size * (coalesce(whole, 0) + CASE WHEN chance > 0 AND (upto <= rest OR (upto - size <= rest AND upto - rest <= rest - (upto - size)))
                                              THEN 1 ELSE 0 END))::BIGINT AS taken

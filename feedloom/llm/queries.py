@@ -40,7 +40,7 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"))
+    return sharding.shard(table(spark, sf_dir, "documents"), sharding.QUERY_LIMIT)
 
 
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

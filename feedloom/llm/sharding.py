@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import free_name, small, whole, written
 
 LIMIT = 64 * 1024 * 1024
+#: Of the registered query: buckets split at every size of the tables, to several depths.
+QUERY_LIMIT = 256 * 1024
 HASH_BITS = 60
 #: Buckets per expected shard at the first depth, and bits by which buckets that are too large go on, as powers of two.
 FINER = 4

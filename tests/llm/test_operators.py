@@ -485,6 +485,33 @@ def test_targets_and_takes(make):
     assert all(rows_out[r["doc_id"]] == r["taken"] // r["size"] for r in found if r["size"])
 
 
+def test_documents_have_their_own_probabilities(make):
+    """Sources that are alike are repetitions of one experiment. Longer documents are drawn more often, as expected."""
+    sizes = [1, 4, 16, 64] * 30
+    docs = [(1000 * s + i, " ".join(["w"] * n), "en", f"s{s:03d}") for s in range(120) for i, n in enumerate(sizes)]
+    found = mixing.mix(make(docs)).collect()
+    for at, copies in ((1, 1), (2, 2)):  # sources of the second and of the third weight
+        drawn, n, target = Counter(), Counter(), 0.0
+        for r in found:
+            if r["doc_id"] // 1000 % 3 == at:
+                drawn[r["size"]] += r["taken"] // r["size"]
+                n[r["size"]] += 1
+                target = r["target"]
+        words = {k: 30 * k for k in (1, 4, 16, 64)}
+        low, high = 0.0, 2.0
+        for _ in range(60):
+            level = (low + high) / 2
+            low, high = (level, high) if sum(min(2, level * k.bit_length()) * w for k, w in words.items()) < target else (low, level)
+        want = {k: min(2, level * k.bit_length()) for k in words}
+        assert want[1] < want[4] < want[16] <= want[64] <= copies
+        for k in words:
+            assert drawn[k] / n[k] == pytest.approx(want[k], abs=4 * (want[k] % 1 * (1 - want[k] % 1) / n[k]) ** 0.5 + 0.03)
+    taken = Counter()
+    for r in found:
+        taken[r["doc_id"] // 1000] += r["taken"]
+    assert all(abs(taken[r["doc_id"] // 1000] - r["target"]) <= 33 for r in found)
+
+
 def test_rows_of_one_id_are_told_apart(make):
     docs = [(1, "two words", "en", "s")] * 300 + [(i, "two words", "en", "t") for i in range(10, 110)]
     found = mixing.mix(make(docs)).collect()
