@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import uuid
 from collections.abc import Sequence
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from feedloom.plans.ledger import escaped
 from feedloom.plans.load import run
 from feedloom.plans.mapping import Mapping, TableId
 from feedloom.sinks.tables import scratch_dir
@@ -19,6 +19,8 @@ from feedloom.sources.archives import ARCHIVE_GLOB, archive_kind, is_compressed_
 from feedloom.sources.files import XML_GLOB, mapping_index, source_name
 
 CLEAN_UP = ("off", "delete", "archive")
+#: Files of a batch, unless told otherwise; their names are on the driver while the batch is loaded.
+MAX_FILES = 10_000
 
 
 def source_options(clean_up: str = "off", archive_dir: str | None = None, max_files: int | None = None) -> dict[str, str]:
@@ -49,7 +51,7 @@ def run_stream(
     archives: bool = True,
     clean_up: str = "off",
     archive_dir: str | None = None,
-    max_files: int | None = None,
+    max_files: int | None = MAX_FILES,
     available_now: bool = True,
     work_dir: str | None = None,
 ) -> StreamingQuery:
@@ -77,7 +79,7 @@ def run_stream(
     stream_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        files = [_escaped(row.path) for row in batch.select("path").collect()]  # names of new files, as Spark lists them
+        files = [escaped(row.path) for row in batch.select("path").collect()]  # names of new files, as Spark lists them
         if not files:
             return
         # A repeated batch must not meet the files of its first attempt.
@@ -95,7 +97,3 @@ def run_stream(
         writer = writer.trigger(availableNow=True)
     return writer.start()
 
-
-def _escaped(path: str) -> str:
-    """A path whose characters stand for themselves where a pattern may stand."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)

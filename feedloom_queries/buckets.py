@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.plans.ledger import FileLedger, run_new
 from feedloom.plans.load import run
 from feedloom.plans.mapping import Mapping, TableId, TableSpec, XmlSpec
 from feedloom.sinks.buckets import BucketTables
 from feedloom.sinks.tables import scratch_dir
+from feedloom.sources.files import list_files
 from feedloom_queries.common import attribute, content, order_rows_for_xml, table
 from feedloom_queries.scans import write_xml
 
@@ -133,7 +135,42 @@ def append_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(reader.withColumn("seen", F.lit("before"))).withColumn("short", F.lit(longest <= 4))
 
 
+def run_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of order feeds that grows: every run appends what is new, and opens nothing else. Between the runs files
+    are added; before the third one a run dies after its load, and its batch is repeated without doubling a row."""
+    base, ledger = scratch_dir(spark, "feed"), scratch_dir(spark, "ledger")
+    rows = order_rows_for_xml(spark, sf_dir)
+    store = BucketTables(spark, scratch_dir(spark, "store"), FEED_TARGETS, buckets=16)
+    mapping = Mapping(FEED_MAPPING.xml, {t: TableSpec() for t in FEED})
+    opened = []
+
+    def loaded(written: int) -> None:
+        reports = run_new(spark, base, [mapping], store, FEED_TARGETS, ledger)
+        opened.append(sum(report.files.count() for report in reports) == written)
+
+    for number in range(3):
+        write_xml(rows.where(F.pmod("_id", F.lit(3)) == number).coalesce(1), f"{base}/{number}", "orders", "order")
+        written = list_files(spark, f"{base}/{number}").count()
+        if number == 2:
+            end, FileLedger.end = FileLedger.end, _dies
+            try:
+                loaded(written)
+            except InterruptedError:
+                pass
+            finally:
+                FileLedger.end = end
+        loaded(written)
+    loaded(0)
+    prices = store.read(FEED[1]).select("order_id", F.col("amount").cast("string").alias("amount"))
+    return prices.withColumn("opened", F.lit(all(opened)))
+
+
+def _dies(ledger: FileLedger, token: str) -> None:
+    raise InterruptedError(token)
+
+
 QUERIES = {
+    "run_twice": run_twice,
     "upsert_touched_buckets": upsert_touched_buckets,
     "load_all_or_none": load_all_or_none,
     "append_merged": append_merged,
@@ -150,6 +187,9 @@ def _feed_sql(after: str, price: str) -> str:
 
 
 ORACLES = {
+    "run_twice": """
+        SELECT o_orderkey AS order_id, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) AS amount, true AS opened
+        FROM orders""",
     "upsert_touched_buckets": f"""
         SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, CASE WHEN l.o_orderkey IS NULL THEN 1 ELSE 2 END * o.o_totalprice AS o_totalprice,
                true AS untouched
