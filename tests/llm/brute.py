@@ -137,6 +137,48 @@ def targets(sizes):
     return out
 
 
+def mixed(docs):
+    """docs: (doc_id, text, source), ids all different. doc_id -> copies in the mix."""
+    size = {d: len(words(t)) for d, t, _ in docs}
+    of, total = {}, {}
+    for d, _, s in docs:
+        of.setdefault(s, []).append(d)
+        total[s] = total.get(s, 0) + size[d]
+    goal, out = targets(total), {}
+    weight = {d: max(1, n.bit_length()) for d, n in size.items()}
+    for s, ids in of.items():
+        low, high = 0.0, 3.0
+        for _ in range(200):
+            level = (low + high) / 2
+            enough = sum(size[d] * min(2, level * weight[d]) for d in ids) >= goal[s]
+            low, high = (low, level) if enough else (level, high)
+        times = {d: min(2, high * weight[d]) for d in ids}
+        times = {d: round(n) if abs(n - round(n)) < 1e-9 else n for d, n in times.items()}
+        out |= {d: int(n) for d, n in times.items()}
+        rest = goal[s] - sum(out[d] * size[d] for d in ids)
+        if rest <= 1e-9 * goal[s]:
+            continue
+
+        def rank(d, times=times):
+            u = (int(hashlib.md5(f"mix-1:{d}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            p = times[d] % 1
+            return u / (1 - u) / (p / (1 - p))
+
+        upto, cut = 0, None
+        for d in sorted((d for d in ids if times[d] % 1 and size[d]), key=rank):
+            if cut is None and upto + size[d] > rest:
+                cut = rank(d)
+                if upto + size[d] - rest <= rest - upto:
+                    out[d] += 1
+            elif cut is None:
+                out[d] += 1
+            upto += size[d]
+        for d in ids:
+            if times[d] % 1 and not size[d] and (cut is None or rank(d) < cut):
+                out[d] += 1
+    return out
+
+
 def repeats(docs, window=13):
     """docs: (doc_id, text). doc_id -> (n_words, n_removed, hash of what is left)."""
     first = {}

@@ -581,6 +581,7 @@ def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, seen = docs.columns, {r[0]: r[1] for r in docs.select("doc_id", "text").collect()}
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    sources = {r[0]: r[1] for r in docs.select("doc_id", "source").collect()}
     kept = seen
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF).cache()
@@ -595,19 +596,17 @@ def test_pipeline_stages(spark):
             assert {d: t for d, t in now if not hit[d][1]} == {d: t for d, t in kept.items() if not hit[d][1]}
             assert not any(x[1] for x in brute.leaks(now, items).values())
         elif name == "source_mixing":
-            assert set(now) <= set(kept.items()) and max(Counter(now).values()) <= 2
+            copies = brute.mixed([(d, kept[d], sources[d]) for d in kept])
+            assert Counter(now) == Counter({(d, t): copies[d] for d, t in kept.items() if copies[d]})
+            assert max(copies.values()) == 2 and min(copies.values()) == 0
         else:
-            assert docs.columns == [*columns, "shard"] and set(now) <= set(kept.items())
+            # All of it fits one shard of the default size; tests of the operator have smaller ones.
+            assert docs.columns == [*columns, "shard"] and counted(now) == before
+            assert {r[0] for r in docs.select("shard").distinct().collect()} == {"all-0"}
+            assert counted((r["doc_id"], r["text"]) for r in corpus_pipeline.run(spark, SF).collect()) == before
         if name != "extendible_sharding":
             assert docs.columns == columns
-        kept = dict(now)
-
-
-@here
-def test_run_is_its_stages(spark):
-    import corpus_pipeline
-
-    assert corpus_pipeline.run(spark, SF).count() > 0
+        kept, before = dict(now), counted(now)
 
 
 def test_pipeline_of_an_empty_table(spark, make):
