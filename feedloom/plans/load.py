@@ -198,10 +198,10 @@ def prepare_records(
     )
 
 
-def _in_parallel(spark: SparkSession, work, tables) -> None:
-    """Tables are independent jobs over the same staged records."""
+def _in_parallel(spark: SparkSession, work, items) -> None:
+    """Independent jobs: of tables over the same staged records, or of mappings."""
     with ThreadPoolExecutor(max_workers=PARALLEL_TABLES) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(work), table) for table in tables]:
+        for done in [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]:
             done.result()
 
 
@@ -338,24 +338,32 @@ def run(
     routed = spark.read.parquet(f"{work_dir}/files")
     used = sorted(row[0] for row in routed.select("mapping_index").distinct().collect() if row[0] is not None)
 
-    prepared = []
-    for index in used:
+    parts: dict[int, Prepared] = {}
+
+    def prepare(index: int) -> None:
         spec, folder = mappings[index].xml, f"{work_dir}/mapping{index}"
         chosen = mapping_index(source_name(F.col("_metadata.file_name")), mappings) == index
+        listed = routed.where(F.col("mapping_index") == index).select("file_path", "file_name")
         expected, written = None, ()
         if scan in ("auto", "split"):
             wanted = (F.col("_metadata.file_size") > 0) & chosen
-            records, written = cut_records(spark, paths, spec, wanted, glob, work_dir=folder, encoding=encoding)
+            records, written = cut_records(
+                spark, paths, spec, wanted, glob, work_dir=folder, encoding=encoding, listed=listed
+            )
         else:
             whole = scan == "document" and encoding is None
             records = read_records(
                 spark, paths, spec, scan=scan, encoding=encoding, files=chosen, glob=glob, skip_unreadable=whole
             )
             if whole:
-                expected = routed.where(F.col("mapping_index") == index).select("file_path", "file_name")
-        prepared.append(
-            prepare_records(spark, records, mappings[index], targets, folder, expected=expected, written=written)
+                expected = listed
+        parts[index] = prepare_records(
+            spark, records, mappings[index], targets, folder, expected=expected, written=written
         )
+
+    # Mappings have files of their own, and their jobs do not wait for each other.
+    _in_parallel(spark, prepare, used)
+    prepared = [parts[index] for index in used]
     if on_error == "fail":
         for error in filter(None, (part.first_error() for part in prepared)):
             raise LoadError(error)

@@ -475,13 +475,14 @@ def cut_records(
     on_repeat: str = "first",
     work_dir: str | None = None,
     encoding: str | None = None,
+    listed: DataFrame | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """The ``auto`` scan: (records, folders they are written to). Files are cut and parsed as UTF-8; those for which that
     was not right are cut in the encoding their first bytes tell, then with pieces put together where records hold
     elements of their own name; what is left is streamed. A file that is one record (a root path of one name) is always
-    streamed. ``encoding`` overrides what files say."""
+    streamed. ``encoding`` overrides what files say; ``listed`` are the wanted files (file_path, file_name), if known."""
     work_dir = work_dir or scratch_dir(spark, "cut")
-    left = list_files(spark, paths, glob, wanted).select("file_path", "file_name")
+    left = list_files(spark, paths, glob, wanted).select("file_path", "file_name") if listed is None else listed
     found, folders = [], []
 
     def kept(rows: DataFrame, name: str, charset: str) -> DataFrame:
