@@ -3,8 +3,10 @@
 A fingerprint's four 16-bit words have four population counts, and together they name its cell: fingerprints that
 differ in r bits have cells whose counts differ by r at most, summed over the words. A tile is a bounded part of one
 cell. Only pairs of tiles whose counts are within the radius are compared; there, numpy takes the exclusive or of all
-fingerprints of one tile with all of the other and counts bits. Equal fingerprints are one from the start, and of the
-links in a task a spanning forest is kept, so that a large group of copies makes as many links as it has members.
+fingerprints of one tile with all of the other and counts bits. The tiles of a crowded cell, and those compared with
+them, are dealt to several keys, so that no task has all pairs of one cell. Equal fingerprints are one from the start,
+and of the links in a task a spanning forest is kept, so that a large group of copies makes as many links as it has
+members.
 
 The comparison is exact and quadratic in the number of different fingerprints, at about a twentieth of all pairs.
 
@@ -33,6 +35,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 TILE = 1024
+#: Tiles of one cell that are compared under one key, with four times as many of its neighbours.
+BLOCK = 16
+#: A key with more than this part of all rows is looked up by broadcast.
+HOT_KEYS = 1000
 WORDS, WORD_BITS = 4, 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -118,35 +124,68 @@ def _compare(radius: int):
     return run
 
 
-def links(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """``fp``, all different. Links (node, root) that join just the fingerprints which a chain of near ones joins."""
+def keyed_pairs(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+    """``fp``, all different. Pairs of tiles (a, b) to compare, with the key (cell, group, salt) where they meet."""
     celled = fingerprints.select("fp", _cell(F.col("fp")).alias("cell"))
+    sizes = written(celled.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("chunks")), "cells")
+    steps = _steps(radius)
+    step = F.explode(F.array(*[F.lit(s) for s in steps]))
     # 17 counts for each of 4 words: never over 83,521 rows.
-    sizes = F.broadcast(celled.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("chunks")))
-    tiles = celled.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")))
+    tiles = celled.join(F.broadcast(sizes), "cell").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")))
     tiles = written(tiles.groupBy("cell", "chunk").agg(F.collect_list("fp").alias("fps")), "tiles")
-    step = F.explode(F.array(*[F.lit(s) for s in _steps(radius)]))
+    # What is compared in one cell: its own tiles in groups, and those sent to it over salts, so that a key has about
+    # a block of each, however many tiles there are.
+    near = F.explode(F.array(*[F.col("cell") + s for s in steps]))
+    sent = sizes.select(near.alias("cell"), "chunks").groupBy("cell").agg(F.sum("chunks").alias("n"))
+    keys = sizes.join(sent, "cell").select(
+        "cell", F.ceil(F.col("chunks") / block).alias("groups"), F.ceil(F.col("n") / (4 * block)).alias("salts")
+    )
+    keys = F.broadcast(written(keys, "cell-keys"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     sent = tiles.select(F.col("cell").alias("home"), F.col("chunk").alias("part"), F.col("fps").alias("a"), step.alias("s"))
-    sent = sent.withColumn("cell", F.col("home") + F.col("s"))
-    pairs = sent.join(tiles, "cell").where("s != 0 OR part <= chunk").select("a", F.col("fps").alias("b"))
+    sent = sent.withColumn("cell", F.col("home") + F.col("s")).join(keys, "cell")
+    sent = sent.withColumn("salt", F.pmod(F.xxhash64("home", "part"), F.col("salts"))).withColumn("group", upto("groups"))
+    sent = sent.drop("home", "groups", "salts")
+    held = tiles.join(keys, "cell").withColumn("group", F.floor(F.col("chunk") / block)).withColumn("salt", upto("salts"))
+    held = held.select("cell", "group", "salt", "chunk", F.col("fps").alias("b"))
+    met = sent.join(held, ["cell", "group", "salt"]).where("s != 0 OR part <= chunk")
+    return met.select("cell", "group", "salt", "a", "b")
+
+
+def links(fingerprints: DataFrame, radius: int = RADIUS, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+    """``fp``, all different. Links (node, root) that join just the fingerprints which a chain of near ones joins."""
+    pairs = keyed_pairs(fingerprints, radius, tile, block).select("a", "b")
     return pairs.mapInPandas(_compare(radius), "node bigint, root bigint")
 
 
+def _looked_up(rows: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """``rows`` with what ``named`` says of their key. ``named`` has each key once, and ``n``, its number of rows.
+
+    Keys that hold more than a thousandth of all rows are less than a thousand, and are broadcast: no task has all rows
+    of one.
+    """
+    total = named.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(named.where(F.col("n") * HOT_KEYS > total))
+    cold = rows.join(hot.select(key), key, "left_anti").join(named.where(F.col("n") * HOT_KEYS <= total), key)
+    return rows.join(hot, key).unionByName(cold).drop("n")
+
+
 def _grouped(docs: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of all documents, and (fp, root, component_id) of all fingerprints."""
+    """(doc_id, fp) of all documents, and (fp, n, root, component_id) of all fingerprints."""
     printed = written(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "fingerprints")
-    nodes = written(printed.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = written(printed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")), "nodes")
     groups = components(links(nodes.select("fp"), radius), "node", "root")
     named = nodes.join(groups, nodes["fp"] == groups["node"], "left")
-    named = written(named.select("fp", "least", F.coalesce("root", "fp").alias("root")), "named")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return printed, written(named.join(ids, "root").select("fp", "root", "component_id"), "labels")
+    named = written(named.select("fp", "least", "rows", F.coalesce("root", "fp").alias("root")), "named")
+    ids = written(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "components")
+    labels = _looked_up(named, ids, "root").select("fp", F.col("rows").alias("n"), "root", "component_id")
+    return printed, written(labels, "labels")
 
 
 def near_copies(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fp (signed), component_id."""
     printed, labels = _grouped(docs, radius)
-    return printed.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return _looked_up(printed, labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -154,7 +193,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     id_, fp, row = free_name(docs, "keeper"), free_name(docs, "fp"), free_name(docs, "row")
     printed, labels = _grouped(docs, radius)
     first = F.count_if(F.col("doc_id") == F.col("component_id"))
-    rows = printed.join(labels, "fp").where("doc_id IS NOT NULL")
+    rows = _looked_up(printed, labels, "fp").where("doc_id IS NOT NULL")
     ids = written(rows.groupBy(F.col("doc_id").alias(id_)).agg(F.count("*").alias("n"), first.alias("first")), "keepers")
     # Texts move once, to where their ids are, whatever the size of the table of keepers.
     ids = ids.where("first > 0").hint("merge")
@@ -168,7 +207,7 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
             F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
             F.xxhash64("text").alias("at"),
         )
-        groups = labels.withColumnRenamed("fp", "label")
+        groups = labels.drop("n").withColumnRenamed("fp", "label")
         packed = packed.join(groups, F.col(fp) == F.col("label")).where(F.col("doc_id") == F.col("component_id"))
         one = packed.groupBy("doc_id", "root").agg(F.min_by(row, "at").alias(row))
         kept = kept.unionByName(one.select(*[F.col(row)[c].alias(c) for c in docs.columns]))
