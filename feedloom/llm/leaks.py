@@ -6,8 +6,10 @@ and the state says which items have that window. Where two neighbouring words fo
 match is one word, so the stream can start afresh: numpy finds the stretches between such places, and only stretches
 long enough for a window are walked word by word.
 
-Items are gathered in blocks of a bounded number of words, one automaton each. A larger benchmark takes several passes
-over the documents, all over the same texts; the size of a block does not change results.
+Items are cut into pieces and dealt to blocks of about a bounded number of words. Each block's automaton is built by a
+task and written to the shared folder. A task that scans documents reads the automata one after the other, each for some
+megabytes of texts, so that texts are read once and only one automaton is held; the size of a block does not change
+results.
 
 Defined cases: null texts have no words; items without words match nothing; an item shorter than a window is one window;
 repeated item ids are one item, a null id is the empty one; repeated documents are judged each for itself; empty tables
@@ -16,24 +18,29 @@ give no hits or an empty result; other columns stay as they are.
 
 from __future__ import annotations
 
+import pickle
 import re
 import sys
-from collections.abc import Callable
-from functools import cached_property
+from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import free_name, whole, written
+from feedloom.llm.common import free_name, whole
+from feedloom.sinks.tables import scratch_dir
+from feedloom.sources.documents import open_file
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 10
-#: Words of items in one automaton, which is sent to every executor.
-BLOCK_WORDS = 200_000
+#: Words of items in one automaton, of which a task holds one; and the pieces of items that make a block.
+BLOCK_WORDS, PIECES = 200_000, 16
+#: Characters of texts for which all automata are read in turn.
+CHUNK_CHARS = 1 << 24
 #: Share of hit words above which a document goes as a whole.
 MOST_COVERED = 0.5
 # A word is digits, lower-case letters and everything outside of ASCII.
@@ -181,44 +188,75 @@ class Automaton:
         return spans, items
 
 
-class Scanner:
-    """What a task needs. The automaton is broadcast as plain values, for executors without this package."""
+class Automata:
+    """The automata of all blocks, as files in the shared folder. A task holds one of them at a time."""
 
-    def __init__(self, spark: SparkSession, automaton: Automaton) -> None:
-        self.broadcast = spark.sparkContext.broadcast(vars(automaton))
+    def __init__(self, files: list[str], blocks: int) -> None:
+        self.files, self.blocks = files, blocks
+        self.only: Automaton | None = None
 
-    @cached_property
-    def automaton(self) -> Automaton:
+    def __len__(self) -> int:
+        return self.blocks
+
+    def __iter__(self) -> Iterator[Automaton]:
+        for file in self.files:
+            found = self.only or self._read(file)
+            if len(self.files) == 1:
+                self.only = found
+            yield found
+
+    @staticmethod
+    def _read(file: str) -> Automaton:
+        from pyarrow import parquet
+
+        with ExitStack() as stack:
+            packed = parquet.ParquetFile(open_file(file, stack)).read(["packed"])
         found = Automaton.__new__(Automaton)
-        found.__dict__.update(self.broadcast.value)
+        found.__dict__.update(pickle.loads(packed["packed"][0].as_py()))
         return found
 
-    def found(self, texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            words = split_words(text)
-            spans, items = self.automaton.hits(words)
-            rows.append((len(words), sum(b - a for a, b in spans), sorted(self.automaton.names[i] for i in items)))
-        return pd.DataFrame(rows, columns=["n_words", "n_hit", "items"])
-
-    def cleaned(self, text: str | None, most_covered: float) -> str | None:
-        """The text without hit spans; null if too much of it is hit. A seam may make a new match: look again."""
-        while text is not None:
-            words = split_words(text)
-            spans, _ = self.automaton.hits(words)
-            if not spans:
-                return text
-            text = without(text, len(words), spans, most_covered)
-        return None
+    def chunks(self, texts: list[str | None]) -> Iterator[range]:
+        """Where one automaton is all there is, texts are looked at one by one, else as many as a task may hold."""
+        start = size = 0
+        for i, text in enumerate(texts):
+            size += len(text or "")
+            if len(self.files) <= 1 or size >= CHUNK_CHARS:
+                yield range(start, i + 1)
+                start, size = i + 1, 0
+        if start < len(texts):
+            yield range(start, len(texts))
+
+    def hits(self, texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
+        """Spans of hit words and names of items of each text, by all automata."""
+        found: list[tuple[list, set[str]]] = [([], set()) for _ in texts]
+        for automaton in self:
+            for (spans, names), words in zip(found, texts, strict=True):
+                here, items = automaton.hits(words)
+                spans += here
+                names.update(automaton.names[i] for i in items)
+        return [(joined(spans), names) for spans, names in found]
+
+    def cleaned(self, texts: list[str | None], most_covered: float) -> None:
+        """Texts without hit spans, in place; null if too much is hit. A seam may make a new match: look again."""
+        live = range(len(texts))
+        while len(live):
+            words = [split_words(texts[i]) for i in live]
+            cut = []
+            for i, w, (spans, _) in zip(live, words, self.hits(words), strict=True):
+                if spans:
+                    texts[i] = without(texts[i], len(w), spans, most_covered)
+                    if texts[i] is not None:
+                        cut.append(i)
+            live = cut
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
-def joined(spans: list[list[int]]) -> list[tuple[int, int]]:
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans of several automata in order, joined where they touch."""
     out: list[tuple[int, int]] = []
-    for start, stop in sorted(map(tuple, spans)):
+    for start, stop in sorted(spans):
         if out and start <= out[-1][1]:
             start, stop = out[-1][0], max(out.pop()[1], stop)
         out.append((start, stop))
@@ -237,99 +275,79 @@ def without(text: str, n_words: int, spans: list[tuple[int, int]], most_covered:
     return "\n".join([*parts, text[at:]])
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[Callable[[], Automaton]]:
-    """One maker of an automaton per block of items; a block's items are all that comes to the driver at a time."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), whole("text").alias("t"))
-    total = items.agg(F.sum(F.size(F.split("t", _JAVA_NOT_WORD)))).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
-    items = items.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+def _pieces(window: int, most: int):
+    """Texts of items in pieces of bounded length; neighbours overlap, so that every window is in a piece."""
 
-    def make(block: int) -> Automaton:
-        grouped: dict[str, list[list[bytes]]] = {}
-        for row in items.where(F.col("block") == block).toLocalIterator():
-            grouped.setdefault(row["id"], []).append(split_words(row["t"]))
-        return Automaton(grouped, window)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, text in zip(batch["id"], batch["t"], strict=True):
+                words = split_words(text)
+                starts = range(0, max(1, len(words) - window + 1), most - window + 1) if words else ()
+                rows = [(name, b" ".join(words[at : at + most]).decode()) for at in starts]
+                yield pd.DataFrame(rows, columns=["id", "words"])
 
-    return [lambda b=b: make(b) for b in range(blocks)]
+    return run
 
 
-def _udf(scanner: Scanner):
-    @F.pandas_udf("n_words bigint, n_hit bigint, items array<string>")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        return scanner.found(texts)
+def _packed(window: int):
+    def run(pieces: pd.DataFrame) -> pd.DataFrame:
+        grouped: dict[str, list[list[bytes]]] = {}
+        for name, words in sorted(zip(pieces["id"], pieces["words"], strict=True)):
+            grouped.setdefault(name, []).append(split_words(words))
+        packed = pickle.dumps(vars(Automaton(grouped, window)), pickle.HIGHEST_PROTOCOL)
+        return pd.DataFrame({"block": pieces["block"].iloc[:1], "packed": [packed]})
 
-    return of
+    return run
 
 
-def _spans_udf(scanner: Scanner):
-    @F.pandas_udf("n_words bigint, spans array<array<int>>, items array<string>")
+def automata(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Automata:
+    """One automaton per block of items. Each is built by a task; the driver learns the files' names only."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), whole("text").alias("t"))
+    total = items.agg(F.sum(F.size(F.split("t", _JAVA_NOT_WORD)))).first()[0] or 0
+    blocks = max(1, -(-total // block_words))
+    # A block is a share of many small pieces, so that neither a long item nor chance makes it much larger than others.
+    most = max(2 * window, block_words // PIECES)
+    pieces = items.mapInPandas(_pieces(window, most), "id string, words string").distinct()
+    pieces = pieces.withColumn("block", F.pmod(F.xxhash64("id", "words"), F.lit(blocks)))
+    location = scratch_dir(spark, "automata")
+    built = pieces.groupBy("block").applyInPandas(_packed(window), "block bigint, packed binary")
+    built.write.option("maxRecordsPerFile", 1).parquet(location)
+    rows = spark.read.schema(built.schema).parquet(location)
+    files = rows.select("block", F.col("_metadata.file_path").alias("file")).orderBy("block").collect()
+    return Automata([r["file"] for r in files], blocks)
+
+
+def _hits_udf(found: Automata):
+    @F.pandas_udf("n_words bigint, n_hit bigint, items array<string>")
     def of(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            words = split_words(text)
-            spans, items = scanner.automaton.hits(words)
-            rows.append((len(words), [list(s) for s in spans], sorted(scanner.automaton.names[i] for i in items)))
-        return pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+        rows, values = [], texts.tolist()
+        for chunk in found.chunks(values):
+            words = [split_words(values[i]) for i in chunk]
+            for w, (spans, names) in zip(words, found.hits(words), strict=True):
+                rows.append((len(w), sum(b - a for a, b in spans), sorted(names)))
+        return pd.DataFrame(rows, columns=["n_words", "n_hit", "items"])
 
     return of
 
 
-def _cleaned_udf(scanner: Scanner, most_covered: float):
+def _cleaned_udf(found: Automata, most_covered: float):
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([scanner.cleaned(t or "", most_covered) for t in texts], dtype=object)
-
-    return of
-
-
-def _hits_udf(scanner: Scanner):
-    @F.pandas_udf("array<array<int>>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([[list(s) for s in scanner.automaton.hits(split_words(t))[0]] for t in texts], dtype=object)
+        rows, values = [], [t or "" for t in texts]
+        for chunk in found.chunks(values):
+            part = values[chunk.start : chunk.stop]
+            found.cleaned(part, most_covered)
+            rows += part
+        return pd.Series(rows, dtype=object)
 
     return of
 
 
-def _without_udf(most_covered: float):
-    @F.pandas_udf("string")
-    def of(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        rows = zip(texts, spans, strict=True)
-        return pd.Series([without(t, len(split_words(t)), joined(s), most_covered) for t, s in rows], dtype=object)
-
-    return of
-
-
-def _covered(spans: Column) -> Column:
-    """Words inside of any of the spans."""
-    start = F.struct(F.lit(0).alias("stop"), F.lit(0).cast("bigint").alias("n"))
-    step = lambda acc, s: F.struct(
-        F.greatest(acc["stop"], s[1]).alias("stop"),
-        (acc["n"] + F.greatest(F.lit(0), s[1] - F.greatest(s[0], acc["stop"]))).alias("n"),
-    )
-    return F.aggregate(F.sort_array(spans), start, step, lambda acc: acc["n"])
-
-
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items (sorted)."""
-    spark = docs.sparkSession
-    makers = automata(benchmark, window, block_words)
-    if len(makers) == 1:
-        of = _udf(Scanner(spark, makers[0]()))
-        rows = docs.select("doc_id", of(F.col("text")).alias("f"))
-        return rows.select("doc_id", "f.n_words", "f.n_hit", "f.items")
-    none = F.lit(None).cast("struct<n_words:bigint,spans:array<array<int>>,items:array<string>>")
-    rows = docs.select("doc_id", "text", none.alias("f"))
-    for make in makers:
-        of = _spans_udf(Scanner(spark, make()))
-        rows = rows.select("doc_id", "text", "f", of(F.col("text")).alias("g"))
-        both = F.struct(
-            F.col("g.n_words").alias("n_words"),
-            F.when(F.col("f").isNull(), F.col("g.spans")).otherwise(F.concat("f.spans", "g.spans")).alias("spans"),
-            F.when(F.col("f").isNull(), F.col("g.items")).otherwise(F.concat("f.items", "g.items")).alias("items"),
-        )
-        rows = written(rows.select("doc_id", "text", both.alias("f")), "leaks")
-    items = F.array_sort(F.array_distinct("f.items"))
-    return rows.select("doc_id", "f.n_words", _covered(F.col("f.spans")).alias("n_hit"), items.alias("items"))
+    """One row per document: doc_id, n_words, n_hit, items (sorted). Texts are read once, whatever the benchmark's size."""
+    of = _hits_udf(automata(benchmark, window, block_words))
+    return docs.select("doc_id", of(F.col("text")).alias("f")).select("doc_id", "f.n_words", "f.n_hit", "f.items")
 
 
 def _replaced(docs: DataFrame, text: Column) -> DataFrame:
@@ -352,19 +370,5 @@ def clean(
     Several blocks look at the same texts, which are judged and cut by all their spans at once. What was cut is looked
     at again by every block, as a seam may make a match of any of them.
     """
-    spark = docs.sparkSession
-    makers = automata(benchmark, window, block_words)
-    if len(makers) == 1:
-        return _replaced(docs, _cleaned_udf(Scanner(spark, makers[0]()), most_covered)(F.col("text")))
-    spans, done = free_name(docs, "spans"), None
-    while True:
-        rows = docs.withColumn(spans, F.array().cast("array<array<int>>"))
-        for make in makers:
-            of = _hits_udf(Scanner(spark, make()))
-            rows = written(rows.withColumn(spans, F.concat(spans, of(F.col("text")))), "leaks")
-        unhit = rows.where(F.size(spans) == 0).drop(spans)
-        done = unhit if done is None else done.union(unhit)
-        hit = rows.where(F.size(spans) > 0)
-        docs = written(_replaced(hit, _without_udf(most_covered)(F.col("text"), F.col(spans))).drop(spans), "leaks")
-        if docs.isEmpty():
-            return done
+    found = automata(benchmark, window, block_words)
+    return _replaced(docs, _cleaned_udf(found, most_covered)(F.col("text")))
