@@ -66,7 +66,9 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(table(spark, sf_dir, "documents")).drop("mixture")
+    shares = F.array_sort(F.map_entries("mixture"))
+    listed = F.transform(shares, lambda e: F.format_string("%s:%.3f", e["key"], e["value"]))
+    return language.identify(table(spark, sf_dir, "documents")).withColumn("mixture", F.array_join(listed, ","))
 
 
 def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
