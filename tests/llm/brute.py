@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -209,3 +210,45 @@ def licences(text, templates):
             if len(wanted & have) >= 0.8 * len(wanted):
                 found.add(name)
     return ",".join(sorted(found))
+
+
+def trigrams(text):
+    """Hashed trigrams of bytes around every letter, with their counts."""
+    letters = [c if 97 <= c <= 122 or c >= 128 else 32 for c in text.lower().encode()]
+    padded = [32, *letters, 32]
+    codes = (padded[i - 1] << 16 | padded[i] << 8 | padded[i + 1] for i in range(1, len(padded) - 1) if padded[i] != 32)
+    return Counter((code * 2654435761 & 0xFFFFFFFF) >> 16 for code in codes)
+
+
+def language_model(docs):
+    """Likelihood of each bucket by language, from (text, lang), and that of a bucket never seen."""
+    counts = {}
+    for text, lang in docs:
+        counts.setdefault(lang, Counter()).update(trigrams(text))
+    sums = {lang: sum(c.values()) + 0.5 * 65536 for lang, c in counts.items()}
+    return {lang: (lambda b, c=counts[lang], total=sums[lang]: (c[b] + 0.5) / total) for lang in sorted(counts)}
+
+
+def language_mixture(text, model, steps=25, penalty=6.0):
+    """Language to proportion: forward selection by the steepest rise, each set fitted by expectation-maximisation."""
+    grams = trigrams(text)
+    n = sum(grams.values())
+    p = {lang: {b: of(b) for b in grams} for lang, of in model.items()}
+    likelihood = lambda mixed: sum(c * math.log(mixed[b]) for b, c in grams.items())
+    first = max(model, key=lambda lang: likelihood(p[lang]))  # the first of several best ones
+    shares, best = {first: 1.0}, likelihood(p[first])
+    while len(shares) < len(model):
+        mixed = {b: sum(s * p[lang][b] for lang, s in shares.items()) for b in grams}
+        slope = {lang: sum(c * p[lang][b] / mixed[b] for b, c in grams.items()) - n for lang in model if lang not in shares}
+        new = max(slope, key=slope.get)
+        if slope[new] <= 0:
+            break
+        tried = dict.fromkeys([*shares, new], 1 / (len(shares) + 1))
+        for _ in range(steps):
+            mixed = {b: sum(s * p[lang][b] for lang, s in tried.items()) for b in grams}
+            tried = {lang: s * sum(c * p[lang][b] / mixed[b] for b, c in grams.items()) / n for lang, s in tried.items()}
+        likely = likelihood({b: sum(s * p[lang][b] for lang, s in tried.items()) for b in grams})
+        if likely - best <= penalty / 2 * math.log(n):
+            break
+        shares, best = tried, likely
+    return shares

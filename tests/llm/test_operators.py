@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -168,6 +169,33 @@ def test_tiles_miss_no_link(spark):
     assert got == want
 
 
+def test_a_crowded_cell_is_dealt_to_many_keys(spark):
+    pick = random.Random(8)
+    # Eight bits of each word are set: one cell, with hundreds of tiles.
+    one = lambda: sum(sum(1 << b for b in pick.sample(range(16), 8)) << 16 * k for k in range(4))
+    prints = {one() for _ in range(1500)}
+    prints |= {x ^ (1 << pick.randrange(64)) for x in list(prints)[:60]}
+    prints |= {x & ~1 | 2 for x in list(prints)[:200]}
+    signed = sorted(x - (1 << 64) if x >> 63 else x for x in prints)
+    table = spark.createDataFrame([(x,) for x in signed], "fp bigint")
+    want = brute.groups(signed, [(a, b) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3])
+    for block in (1, 3):
+        found = simhash.links(table, tile=8, block=block)
+        assert brute.groups(signed, [tuple(r) for r in found.collect()]) == want
+        keys = simhash.keyed_pairs(table, tile=8, block=block).groupBy("cell", "group", "salt").count()
+        most, n = keys.agg({"count": "max"}).first()[0], keys.count()
+        assert n > 200 // block and most <= 40 * block * block
+
+
+def test_hot_keys_are_looked_up_whole(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") < 3000, 0).otherwise(F.col("id")).alias("k"), "id")
+    named = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    got = simhash._looked_up(rows, named, "k")
+    assert got.columns == ["k", "id", "top"] and got.count() == 5000
+    assert got.where("k = 0 AND top = 2999").count() == 3000 and got.where("k > 0 AND top = id").count() == 2000
+    assert simhash._looked_up(rows.limit(0), named.limit(0), "k").count() == 0
+
+
 def test_long_chains_and_stars_are_one_component(spark):
     from feedloom.llm.graph import components
 
@@ -215,6 +243,41 @@ def test_languages_of_held_out_and_mixed_documents(make, edges):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_mixtures_match_python(make, edges):
+    pick = random.Random(3)
+    docs = [(i, _speech(lang, 60, i), lang) for i, lang in enumerate(sorted(SPEECH) * 20)]
+    docs += [(100 + i, _speech("en", 30, i), "zz") for i in range(9)]  # shares words with en
+    for i in range(40):
+        parts = [_speech(lang, pick.randrange(3, 60), 50 + i) for lang in pick.sample(sorted(SPEECH), pick.randrange(1, 4))]
+        docs.append((1000 + i, " ".join(parts), None))
+    docs += [(2000, _speech("de", 200_000, 1) + " " + _speech("fr", 100_000, 2), None)]  # above a chunk
+    docs += [(3000 + i, t) for i, (_, t) in enumerate(edges)]
+    assert len(docs[-len(edges) - 1][1]) > language.CHUNK_BYTES
+    held = lambda d: zlib.crc32(str(d).encode()) % 4 == 2
+    model = brute.language_model([(t, more[0]) for d, t, *more in docs if more and more[0] and not held(d)])
+    got = {r["doc_id"]: r for r in language.identify(make(docs)).collect()}
+    sizes = set()
+    for d, t, *_ in docs:
+        if t is None or not any(map(str.isalpha, t)):
+            assert (got[d]["lang_pred"], got[d]["score"], got[d]["mixture"]) == ("und", 0.0, {})
+            continue
+        want = brute.language_mixture(t, model)
+        assert got[d]["mixture"] == pytest.approx(want, abs=1e-4), d
+        assert got[d]["lang_pred"] == max(sorted(want), key=want.get) and got[d]["held_out"] == held(d)
+        sizes.add(len(want))
+    assert {1, 2, 3} <= sizes
+
+
+def test_equal_languages_go_to_the_first(make):
+    docs = [(i, SPEECH["en"], lang) for i, lang in enumerate(["bb", "aa"] * 8)]
+    # Both learn the same number of times, whichever ids are held out.
+    docs = [d for d in docs if zlib.crc32(str(d[0]).encode()) % 4 != 2]
+    some = min(sum(d[2] == lang for d in docs) for lang in ("aa", "bb"))
+    docs = [d for lang in ("aa", "bb") for d in [x for x in docs if x[2] == lang][:some]]
+    found = language.identify(make([*docs, (99, "the house", None)])).collect()
+    assert {(r["lang_pred"], tuple(r["mixture"])) for r in found} == {("aa", ("aa",))}
+
+
 def test_nothing_to_learn_from(make, edges):
     assert {r["lang_pred"] for r in language.identify(make(edges)).collect()} == {"und"}
     assert language.identify(make([])).count() == 0
