@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from feedloom.functions.casts import default_value
 from feedloom.functions.text import name_column
 
-# On-disk size up to which a written source is sent to all executors; decoded it is several times larger.
+# Size on disk up to which a written source may be sent to all executors, and its size as rows, which is counted then:
+# repeated values take next to nothing on disk.
 BROADCAST_BYTES = 16 * 1024 * 1024
+BROADCAST_ROW_BYTES = 128 * 1024 * 1024
 
 
 def upsert(
@@ -26,8 +28,8 @@ def upsert(
 
     Source columns outside the keys overwrite, also with NULL. Target columns that the source lacks keep their old
     value, and new rows get their literal default from ``schema``. Without keys all rows are appended; when the source
-    holds key columns only, known keys stay untouched. ``source_bytes`` is the measured size of a written source: a
-    small one is broadcast, and the target is then not shuffled at all.
+    holds key columns only, known keys stay untouched. ``source_bytes`` is the measured size of a written source: one
+    that is small on disk and as rows is broadcast, and the target is then not shuffled at all.
     """
     schema = schema or target.schema
     names = {name.lower(): name for name in source.columns}
@@ -35,7 +37,7 @@ def upsert(
         return target.unionByName(_new_rows(source, target, schema, names))
     key_set = {key.lower() for key in keys}
     updated = [name for name in names if name not in key_set]
-    small = source_bytes is not None and source_bytes <= BROADCAST_BYTES
+    small = source_bytes is not None and source_bytes <= BROADCAST_BYTES and row_bytes(source) <= BROADCAST_ROW_BYTES
     if not updated:
         return target.unionByName(_new_rows(_unknown(source, target, keys, small), target, schema, names))
     marked = source.select(*[name_column(n).alias(f"_new_{n.lower()}") for n in source.columns], F.lit(True).alias("_hit"))
@@ -45,6 +47,21 @@ def upsert(
     return _merge(target, marked, keys, key_set, schema, names, "full_outer")
 
 
+def row_bytes(df: DataFrame) -> int:
+    """The size of all rows in Spark's memory, by one sum: a word for each column and what texts, bytes and nested
+    values hold."""
+    size = F.lit(8 * (len(df.columns) + 1)).cast("bigint")
+    for field in df.schema.fields:
+        column = name_column(field.name)
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType | T.VariantType):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            size = size + F.lit(16 if isinstance(field.dataType, T.DecimalType) else 0)
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
 def _on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str):
     condition = F.lit(True)
     for key in keys:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions.casts import cast_to
 from feedloom.operators.dedup import batch_winner, dedup_first, mark_missing_key, number_rows
-from feedloom.operators.upsert import upsert
+from feedloom.operators.upsert import row_bytes, upsert
 from feedloom.operators.validate import apply_error_policy
 from feedloom.plans.columns import REASON
 from feedloom.plans.load import LoadError, run
@@ -199,6 +199,23 @@ def test_small_sources_are_broadcast_and_large_ones_are_not(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_sources_that_are_small_on_disk_only_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr("feedloom.operators.upsert.BROADCAST_ROW_BYTES", 100_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(10).withColumn("v", F.lit("old"))
+        for n, broadcast in ((100, True), (2000, False)):
+            source = spark.range(n).withColumn("v", F.repeat(F.lit("x"), 100))
+            assert row_bytes(source) == n * (3 * 8 + 100)
+            merged = upsert(target, source, ["id"], None, 1)
+            assert ("BroadcastHashJoin" in merged._jdf.queryExecution().executedPlan().toString()) is broadcast
+            assert merged.count() == n and merged.where("v = 'old'").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    nested = spark.sql("SELECT array('ab') AS a, CAST(1 AS DECIMAL(20, 2)) AS d, CAST(NULL AS STRING) AS s")
+    assert row_bytes(nested) > 4 * 8 + 16 and row_bytes(nested.limit(0)) == 0
+
+
 # --- sinks -----------------------------------------------------------------------------------------------------------
 
 TABLE = TableId("t", "s")
