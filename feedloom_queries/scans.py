@@ -46,11 +46,22 @@ def xml_scan_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_orders(read_records(spark, _order_files(spark, sf_dir), ORDERS, scan="document"))
 
 
+#: Least bytes of a partition in the queries that cut files.
+SMALL_PART = 64 * 1024
+
+
+def _small_part(spark: SparkSession, location: str) -> int:
+    """Bytes of partitions so small that the files below a folder are really cut, whatever the size of the tables: a
+    quarter of the longest file. So a file is the work of a few tasks, and their number grows no faster than the input."""
+    longest = list_files(spark, location).agg(F.max("file_size")).first()[0]
+    return max(SMALL_PART, -(-(longest or 0) // 4))
+
+
 def _cut_small(spark: SparkSession, location: str, spec: XmlSpec, scan: str = "split") -> DataFrame:
-    """A scan with partitions so small that files are really cut at this size of the tables."""
+    """A scan with partitions so small that files are really cut at any size of the tables."""
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
-    spark.conf.set(name, "64k")
+    spark.conf.set(name, _small_part(spark, location))
     try:
         return read_records(spark, location, spec, scan=scan)
     finally:
@@ -142,7 +153,7 @@ def _cut_natively(spark: SparkSession, location: str, spec: XmlSpec) -> DataFram
     """Records of an ``auto`` scan in small splits, with whether none of the files had to be streamed."""
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
-    spark.conf.set(name, "64k")
+    spark.conf.set(name, _small_part(spark, location))
     try:
         rows, folders = cut_records(spark, location, spec, F.col("_metadata.file_size") > 0)
     finally:

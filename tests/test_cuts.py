@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -162,3 +163,16 @@ def test_a_root_that_was_closed_gives_its_records_once(spark, xml_file, tail):
     for scan in ("document", "auto"):
         rows = read_records(spark, path, SPEC, scan=scan)
         assert records_of(rows) == [{"id": "1", "name": "a"}] and rows.where("_malformed").count() == 1, scan
+
+
+def test_partitions_of_the_cutting_queries_grow_with_the_files(spark, tmp_path):
+    """Tasks of a cutting query are a few for each file, not one for every 64 KB."""
+    from feedloom_queries.common import ORDER_VALUES
+    from feedloom_queries.scans import _cut_natively
+
+    body = "".join(f"<order id='{n}'><price>{n}</price><pad>{'x' * 1000}</pad></order>" for n in range(2000))
+    (tmp_path / "a.xml").write_text(f"<orders>{body}</orders>")
+    rows = _cut_natively(spark, str(tmp_path), XmlSpec(("orders", "order"), ORDER_VALUES))
+    assert rows.count() == 2000 and rows.where("cut").count() == 2000
+    folder = next(f for f in rows.inputFiles() if "/cut/" in f).rpartition("/")[0].removeprefix("file://")
+    assert 4 <= len([f for f in os.listdir(folder) if f.endswith(".parquet")]) <= 6
