@@ -44,7 +44,9 @@ class Conflict(RuntimeError):
 
 class BucketTables:
     """``buckets``: how many a table with keys gets at its first load, for all tables or by table. ``keep`` manifests stay
-    readable, and ``chain`` versions may hold rows of one bucket before they are merged."""
+    readable, and ``chain`` versions may hold rows of one bucket before they are merged. ``rows_per_bucket``: a larger
+    first load gets more buckets, so that none holds many more rows; changes to a part of a table that stays the same
+    then touch a part of the buckets that stays the same, however large the table is."""
 
     def __init__(
         self,
@@ -54,9 +56,11 @@ class BucketTables:
         buckets: int | dict[TableId, int] = 64,
         keep: int = 3,
         chain: int = 8,
+        rows_per_bucket: int | None = None,
     ) -> None:
         self.spark, self.base, self.targets = spark, base.rstrip("/"), targets
         self.buckets, self.keep, self.chain = buckets, max(keep, 1), max(chain, 1)
+        self.rows_per_bucket = rows_per_bucket
 
     # -- manifests
 
@@ -246,17 +250,16 @@ class Transaction:
         if entry is None:
             count = store.buckets if isinstance(store.buckets, int) else store.buckets.get(table, 64)
             entry = {"keys": list(keys), "buckets": count if keys else 1, "tokens": [], "live": {}}
+            if keys and store.rows_per_bucket:
+                self._load_counted(table, rows, entry, token)
+                return
         if token and token in entry["tokens"]:
             return
         schema = T.StructType([*store.targets[table].fields, T.StructField(BUCKET, T.IntegerType(), False)])
         nothing = self.spark.createDataFrame([], schema)
         by_these_keys = bool(keys) and [k.lower() for k in keys] == [k.lower() for k in entry["keys"]]
         if not keys or not entry["live"]:
-            # Nothing to meet: rows are only completed with defaults.
-            plain = self.spark.createDataFrame([], store.targets[table])
-            new = upsert(plain, rows, [], store.targets[table])
-            new = new.withColumn(BUCKET, self._bucket(table, entry, new.columns))
-            version, held = self._write(table, new.repartition(BUCKET) if entry["keys"] else new)
+            version, held = self._write_new(table, rows, entry)
         else:
             stage = scratch_dir(self.spark, "source")
             try:
@@ -283,12 +286,34 @@ class Transaction:
             gone = set(touched)
             live = {v: [b for b in buckets if b not in gone] for v, buckets in entry["live"].items()}
             entry["live"] = {v: buckets for v, buckets in live.items() if buckets}
+        self._take(table, entry, version, held, token)
+
+    def _write_new(self, table: TableId, rows: DataFrame, entry: dict) -> tuple[str, list[int]]:
+        """Nothing to meet: rows are only completed with defaults."""
+        plain = self.spark.createDataFrame([], self.store.targets[table])
+        new = upsert(plain, rows, [], self.store.targets[table])
+        new = new.withColumn(BUCKET, self._bucket(table, entry, new.columns))
+        return self._write(table, new.repartition(BUCKET) if entry["keys"] else new)
+
+    def _load_counted(self, table: TableId, rows: DataFrame, entry: dict, token: str | None) -> None:
+        """A first load whose rows are written once, to be counted without being made again."""
+        stage = scratch_dir(self.spark, "source")
+        try:
+            rows.write.parquet(stage)
+            rows = self.spark.read.parquet(stage)
+            entry["buckets"] = max(entry["buckets"], -(-rows.count() // self.store.rows_per_bucket))
+            version, held = self._write_new(table, rows, entry)
+        finally:
+            delete(self.spark, stage)
+        self._take(table, entry, version, held, token)
+
+    def _take(self, table: TableId, entry: dict, version: str, held: list[int], token: str | None) -> None:
         if held:
             entry["live"][version] = held
         entry["tokens"] = [*entry["tokens"], *([token] if token else [])][-REMEMBERED:]
         with self.lock:
-            self.after[name] = entry
-            self.changed.add(name)
+            self.after[str(table)] = entry
+            self.changed.add(str(table))
 
     @staticmethod
     def _merged(old: DataFrame, source: DataFrame, entry: dict, schema: T.StructType, size: int) -> DataFrame:

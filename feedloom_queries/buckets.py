@@ -25,12 +25,14 @@ ORDER_SCHEMA = T.StructType(
     ]
 )
 NAMES = [field.name for field in ORDER_SCHEMA.fields]
+ROWS_PER_BUCKET = 2_048
 
 
 def upsert_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders, then the changes of one day: its orders are doubled in price, and each gets a new one beside it.
-    Files of buckets without a change have to be the same ones afterwards; ``untouched`` says whether some are."""
-    store = BucketTables(spark, scratch_dir(spark, "store"), {ORDERS: ORDER_SCHEMA}, buckets=256)
+    Files of buckets without a change have to be the same ones afterwards; ``untouched`` says whether some are. A day is
+    a part of the orders, so buckets become more with the orders; with a fixed number a day of many orders touches all."""
+    store = BucketTables(spark, scratch_dir(spark, "store"), {ORDERS: ORDER_SCHEMA}, buckets=256, rows_per_bucket=ROWS_PER_BUCKET)
     orders = table(spark, sf_dir, "orders")
     store.load(ORDERS, orders.select(NAMES), ["o_orderkey"])
     before = set(store.files(ORDERS))

@@ -162,3 +162,18 @@ def test_old_versions_go(spark, store, tmp_path):
         store.load(ITEMS, _items(spark, [(1, f"v{k}", k)]), ["id"])
     assert len(store._numbers()) == 3
     assert len([f for f in (tmp_path / "store" / "shop.items").iterdir()]) == 3
+
+
+def test_buckets_grow_with_the_first_load(spark, tmp_path):
+    """The changes of a day leave buckets alone in a table whose days have more orders than there were buckets."""
+    from feedloom_queries.buckets import upsert_touched_buckets
+
+    day = F.date_add(F.lit("2001-01-01"), (F.col("id") % 1200).cast("int")).cast("timestamp")
+    orders = spark.range(1, 1_200_001).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"), day.alias("o_orderdate"), F.lit("-").alias("o_orderpriority"),
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    rows = upsert_touched_buckets(spark, str(tmp_path))
+    found = rows.groupBy("untouched").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("price")).collect()
+    assert [tuple(r) for r in found] == [(True, 1_201_000, 1_203_000.0)]
