@@ -150,6 +150,29 @@ def read_elements(files: DataFrame, path: tuple[str, ...], encoding: str | None
     return spread.mapInPandas(read, _ELEMENTS)
 
 
+def read_piece_elements(pieces: DataFrame, path: tuple[str, ...]) -> DataFrame:
+    """(file_path, file_name, at, text, is_last) -> (file_path, file_name, at, number, markup, error): the elements at
+    ``path`` in each text, and its error in one more row. A text that is not the last of its file need not be complete."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for piece in batch.rename(columns={"index": "place"}).itertuples(index=False):
+                reader, found, error = ElementReader(path), [], None
+                try:
+                    found = reader.feed(piece.text, bool(piece.is_last))
+                except expat.ExpatError as raised:
+                    found, error = reader.taken(), f"{type(raised).__name__}: {raised}"
+                told = [(markup, None) for markup in found] + ([(None, error)] if error else [])
+                rows += [(piece.file_path, piece.file_name, piece.block, piece.place, n, *t) for n, t in enumerate(told)]
+            yield pd.DataFrame(rows, columns=["file_path", "file_name", "block", "index", "number", "markup", "error"])
+
+    flat = pieces.selectExpr("file_path", "file_name", "at.block AS block", "at.index AS `index`", "text", "is_last")
+    schema = "file_path string, file_name string, block bigint, index bigint, number bigint, markup string, error string"
+    found = flat.mapInPandas(read, schema)
+    return found.selectExpr("file_path", "file_name", "struct(block, `index`) AS at", "number", "markup", "error")
+
+
 def other_roots(files: DataFrame, root: str, encoding: str | None = None) -> DataFrame:
     """The files (file_path) whose root element is another one; of each only the beginning is read."""
 

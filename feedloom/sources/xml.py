@@ -6,8 +6,9 @@ Ways to scan files, all giving the same columns:
 (``split``)   some records. Each piece is parsed by itself and shows whether it is records and nothing else; what the
               pieces of a file add up to tells whether the cuts were right. The other files, of whatever layout or
               encoding, are streamed record by record. Right for every document, and bounded in memory.
-``document``  One parsed row per file, exploded into records at exactly the root path. Right for every document, but a
-              document has to fit into one task.
+``document``  One parsed row per file, exploded into records at exactly the root path. Right for every document. Files
+              longer than ``LONGEST_DOCUMENT`` would not fit into one task and are read at once as by ``auto``, unless
+              ``skip_unreadable`` asks for the reader's own verdict on their bytes.
 ``record``    Records are streamed one by one by tag name at any depth. A file of any size is one task with little
               memory; right when the tag occurs at the root path only (``tag_report`` tells).
 
@@ -37,13 +38,15 @@ from feedloom.plans.compiler import (
 from feedloom.plans.mapping import MappingError, ValueType, XmlSpec
 from feedloom.sinks.tables import scratch_dir
 from feedloom.sources.cuts import cut_options, decoded, depth_change, is_cuttable, joined_groups, known_charset, mark_bytes
-from feedloom.sources.elements import charsets, other_roots, read_elements
+from feedloom.sources.elements import charsets, other_roots, read_elements, read_piece_elements
 from feedloom.sources.files import XML_GLOB, list_files, source_name
 
 SCANS = ("document", "record", "split", "auto")
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 # Longer pieces are passed over by the reader. The bytes of such a file do not add up, so it is streamed instead.
 LONGEST_PIECE = 64 * 1024 * 1024
+# A ``document`` scan cuts longer files like an ``auto`` scan, which gives the same records in little memory.
+LONGEST_DOCUMENT = 64 * 1024 * 1024
 
 _CORRUPT = "_corrupt_document"
 _PARSER_OPTIONS = {
@@ -160,6 +163,12 @@ def read_records(
     if encoding:
         found = list_files(spark, paths, glob, wanted)
         return read_decoded(found, spec, mode=mode, encoding=encoding, on_repeat=on_repeat)
+    long = F.col("_metadata.file_size") > LONGEST_DOCUMENT
+    if scan == "document" and not skip_unreadable and not list_files(spark, paths, glob, wanted & long).isEmpty():
+        cut = cut_records(spark, paths, spec, wanted & long, glob, mode, on_repeat, work_dir)[0]
+        short = F.col("_metadata.file_size") <= LONGEST_DOCUMENT
+        short = short if files is None else short & files
+        return cut.unionByName(read_records(spark, paths, spec, mode=mode, on_repeat=on_repeat, files=short, glob=glob))
     reader = configure_reader(spark.read, spark, spec, scan, mode, glob)
     if skip_unreadable:
         if scan != "document":
@@ -198,15 +207,20 @@ def read_decoded(
     """Records of the files in a frame (file_path, file_name), streamed with replacement of wrong bytes. A document with
     an error, or a file that cannot be opened, gives a marker row after the records before it."""
     _check(spec, "document", mode)
-    schema = record_schema(spec, _is_case_sensitive(files.sparkSession))
     elements = read_elements(files, spec.root_path, encoding)
     if mode == "FAILFAST":
         failure = F.raise_error(F.concat(F.lit("malformed document: "), "file_path", F.lit(": "), "error"))
         elements = elements.where(F.when(F.col("error").isNotNull(), failure.cast("boolean")).otherwise(F.lit(True)))
+    return _element_records(elements, source_name(F.col("file_name")), _position(F.lit(0), F.col("number")), spec, mode, on_repeat)
+
+
+def _element_records(elements: DataFrame, name: Column, position: Column, spec: XmlSpec, mode: str, on_repeat: str) -> DataFrame:
+    """Streamed elements (file_path, markup, error) -> records."""
+    schema = record_schema(spec, _is_case_sensitive(elements.sparkSession))
     rows = elements.select(
         F.col("file_path").alias(SOURCE),
-        source_name(F.col("file_name")).alias(SOURCE_NAME),
-        _position(F.lit(0), F.col("number")),
+        name.alias(SOURCE_NAME),
+        position,
         F.col("error").isNotNull().alias(MALFORMED),
         F.from_xml("markup", schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("node"),
     )
@@ -378,6 +392,8 @@ def _cut_rows(
         ends.alias("ends"),
         "octets",
         "odd",
+        F.when(begins, F.regexp_extract(value, "^" + first, 0)).alias("head"),
+        F.when(~F.col("odd"), value).alias("value"),
         F.from_xml(text, schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("parsed"),
     )
     nodes = F.col("parsed").getField(tag)
@@ -386,13 +402,17 @@ def _cut_rows(
 
 def _marked_rows(parsed: DataFrame, spec: XmlSpec, mode: str, on_repeat: str) -> DataFrame:
     """Pieces with their record nodes -> records with ``_cut``. The first row of a piece tells about the piece."""
+    bad = F.col("odd") | F.col("parsed").getField(_CORRUPT).isNotNull()
+    none = F.lit(None).cast("string")
     rows = parsed.select(
         SOURCE, SOURCE_NAME, "block", "file_size", "begins", "ends", "octets", "marks",
-        (F.col("odd") | F.col("parsed").getField(_CORRUPT).isNotNull()).alias("bad"),
+        bad.alias("bad"),
+        (F.col("head") if "head" in parsed.columns else none).alias("head"),
+        (F.when(bad, F.col("value")) if "value" in parsed.columns else none).alias("text"),
         F.posexplode_outer("nodes").alias("at", "node"),
     )
     is_head = F.coalesce(F.col("at"), F.lit(0)) == 0
-    piece = F.when(is_head, F.struct("begins", "ends", "bad", "octets", "marks", "file_size"))
+    piece = F.when(is_head, F.struct("begins", "ends", "bad", "octets", "marks", "file_size", "head", "text"))
     rows = rows.select(
         SOURCE,
         SOURCE_NAME,
@@ -465,6 +485,34 @@ def _cut_rightly(rows: DataFrame, mark: str, charset: str = "utf-8") -> DataFram
     return rows.where(piece.isNotNull()).groupBy(F.col(SOURCE).alias("file")).agg(exact.alias("exact"))
 
 
+def _broken(rows: DataFrame, verdicts: DataFrame, spec: XmlSpec) -> DataFrame:
+    """(file_path, file_name, at, text, is_last) of files in ``_cut_rows`` that are cut rightly up to one piece: its place,
+    and a document of the file's beginning and that piece. If that has an error, so does the file, and there."""
+    piece, width = F.col("_cut.piece"), len(_cut_mark(spec))
+    heads = rows.where(piece.isNotNull()).select(SOURCE, SOURCE_NAME, POSITION, piece.alias("piece"))
+    heads = heads.join(verdicts.where("NOT exact"), F.col(SOURCE) == F.col("file"), "left_semi")
+    at, piece = F.col(POSITION), F.col("piece")
+    known = heads.groupBy(SOURCE, SOURCE_NAME).agg(
+        F.min(F.when(piece["bad"], F.struct(at.alias("at"), piece["text"].alias("text")))).alias("bad"),
+        F.max(at).alias("last"),
+        F.min(F.when(piece["begins"], F.struct(at.alias("at"), piece["head"].alias("head")))).alias("first"),
+        F.max(F.when(piece["begins"], at)).alias("last_beginning"),
+        F.min(F.when(piece["ends"], at)).alias("first_end"),
+        F.min(at).alias("start"),
+        (F.max(piece["file_size"]) - F.sum(piece["octets"] + piece["marks"] * width) + width).alias("missing"),
+    )
+    once = (F.col("first.at") == F.col("start")) & (F.col("last_beginning") == F.col("start")) & (F.col("start") < F.col("bad.at"))
+    whole = F.coalesce(F.col("missing").isin(0, 3), F.lit(True)) & F.coalesce(F.col("first_end") >= F.col("bad.at"), F.lit(True))
+    text = F.concat("first.head", "bad.text", F.when(F.col("bad.at") < F.col("last"), F.lit(_cut_mark(spec))).otherwise(F.lit("")))
+    return known.where(once & whole & F.col("bad.text").isNotNull()).select(
+        F.col(SOURCE).alias("file_path"),
+        F.col(SOURCE_NAME).alias("file_name"),
+        F.col("bad.at").alias("at"),
+        text.alias("text"),
+        (F.col("bad.at") == F.col("last")).alias("is_last"),
+    )
+
+
 def cut_records(
     spark: SparkSession,
     paths: str | list[str],
@@ -492,11 +540,29 @@ def cut_records(
         _cut_rightly(rows, _cut_mark(spec), charset).write.parquet(f"{work_dir}/{name}-verdicts")
         verdicts = spark.read.parquet(f"{work_dir}/{name}-verdicts")
         wrong = verdicts.where("NOT exact")
+        if name == "cut" and len(spec.root_path) == 2 and mode != "FAILFAST" and not wrong.isEmpty():
+            verdicts = verdicts.select("file", F.col("exact") | F.col("file").isin(before_error(rows, verdicts)))
+            verdicts = verdicts.toDF("file", "exact")
         records = rows.where("_cut.is_record").join(wrong, F.col(SOURCE) == F.col("file"), "left_anti").drop("_cut")
         found.append(records)
         folders.append(f"{work_dir}/{name}")
         return verdicts.where("exact")
 
+    def before_error(rows: DataFrame, verdicts: DataFrame) -> list[str]:
+        """Keeps the records before the error of broken documents that are cut rightly up to it, with the marker, and
+        returns these files. Only the piece with the error is streamed."""
+        folder = f"{work_dir}/broken"
+        read_piece_elements(_broken(rows, verdicts, spec), spec.root_path).write.parquet(folder)
+        elements = spark.read.parquet(folder)
+        broken = elements.where("error IS NOT NULL").select("file_path", "at")
+        whole = rows.where("_cut.is_record").join(broken, F.col(SOURCE) == F.col("file_path"))
+        found.append(whole.where(F.col(POSITION) < F.col("at")).drop("_cut", "file_path", "at"))
+        last = elements.join(broken.select("file_path"), "file_path", "left_semi")
+        index = F.col("at.index") + F.col("number")
+        found.append(_element_records(last, F.col("file_name"), _position(F.col("at.block"), index), spec, mode, on_repeat))
+        # Broken documents are few.
+        return [row[0] for row in broken.select("file_path").collect()]
+
     def remaining(exact: DataFrame) -> DataFrame:
         return left.join(exact, F.col("file_path") == F.col("file"), "left_anti")
 

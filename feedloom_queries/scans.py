@@ -194,12 +194,16 @@ def xml_scan_second_root(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that go on after their root was closed, every third with another root of orders: the records before the
     error once, and one marker for each document, in both scans."""
     base = scratch_dir(spark, "roots")
-    orders = table(spark, sf_dir, "orders")
-    names = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", order_element().alias("doc")))), lambda x: x["doc"]), "")
+    part = F.pmod("o_orderkey", F.lit(7)).alias("part")
+    orders = table(spark, sf_dir, "orders").select(part, F.lit(1).alias("step"), "o_orderkey", order_element().alias("value"))
     tail = F.when(F.col("part") % 3 == 0, "<orders><order id='-1'/></orders>").when(F.col("part") % 3 == 1, "<x/>").otherwise("text")
-    docs = orders.groupBy(F.pmod("o_orderkey", F.lit(7)).alias("part")).agg(names.alias("doc"))
-    docs = docs.select("part", F.concat(F.lit("<orders>"), "doc", F.lit("</orders>"), tail).alias("value"))
-    docs.repartition(7, "part").write.partitionBy("part").option("lineSep", " ").text(base)
+    parts = orders.select("part").distinct()
+    none = F.lit(0).cast("long").alias("o_orderkey")
+    heads = parts.select("part", F.lit(0).alias("step"), none, F.lit("<orders>").alias("value"))
+    tails = parts.select("part", F.lit(2).alias("step"), none, F.concat(F.lit("</orders>"), tail).alias("value"))
+    # A document is one file, and its rows are streamed into it.
+    rows = orders.unionByName(heads).unionByName(tails).repartition(7, "part").sortWithinPartitions("part", "step", "o_orderkey")
+    rows.select("part", "value").write.partitionBy("part").option("lineSep", " ").text(base)
     out = []
     for scan in ("auto", "document"):
         rows = read_records(spark, base, ORDERS, scan=scan, glob=None)

@@ -176,3 +176,19 @@ def test_partitions_of_the_cutting_queries_grow_with_the_files(spark, tmp_path):
     assert rows.count() == 2000 and rows.where("cut").count() == 2000
     folder = next(f for f in rows.inputFiles() if "/cut/" in f).rpartition("/")[0].removeprefix("file://")
     assert 4 <= len([f for f in os.listdir(folder) if f.endswith(".parquet")]) <= 6
+
+
+@pytest.mark.parametrize("tail", ["</orders><orders><order id='9'/></orders>", "</orders><x/>", "<order id='8'/>", "<order id='8'></orders>", "&no;</orders>"])
+@pytest.mark.parametrize("middle", ["", "<order id='7'>a & b</order>"])
+def test_broken_documents_are_cut_up_to_their_error(spark, tmp_path, monkeypatch, tail, middle):
+    record = lambda n: f"<order id='{n}'><name>n{n}</name><pad>{'x' * 100}</pad></order>"
+    head, rest = "".join(map(record, range(100, 200))), "".join(map(record, range(200, 220)))
+    (tmp_path / "a.xml").write_text(f"<?xml version='1.0'?><orders>{head}{middle}{rest}{tail}")
+    whole = xml.read_decoded(xml.list_files(spark, str(tmp_path)), SPEC)
+    marks = whole.where("_malformed").count()
+    found, folders = _scan(spark, str(tmp_path))
+    assert marks == 1 and found == records_of(whole) and not folders
+    monkeypatch.setattr(xml, "LONGEST_DOCUMENT", 1000)
+    rows = read_records(spark, str(tmp_path), SPEC)
+    assert records_of(rows) == found and rows.where("_malformed").count() == 1
+    assert any("feedloom-cut" in f for f in rows.inputFiles())
