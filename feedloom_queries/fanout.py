@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from feedloom.operators.fanout import fan_out, project_to_target
 from feedloom.operators.validate import validate
 from feedloom.plans.mapping import Mapping, TableId, TableSpec, XmlSpec
+from feedloom.sinks.tables import scratch_dir
 from feedloom.sources.xml import parse_column
 from feedloom_queries.common import as_type, attribute, content, element, table, text_of
 
@@ -60,16 +61,26 @@ MAPPING = Mapping(
 )
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[TableId, DataFrame]:
+def materialised(records: DataFrame) -> DataFrame:
+    """Records that several tables read, parsed once and written."""
+    location = scratch_dir(records.sparkSession, "records")
+    records.write.parquet(location)
+    return records.sparkSession.read.schema(records.schema).parquet(location)
+
+
+def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = parse_column(line_documents(spark, sf_dir), "doc", MAPPING.xml, source_column="file_name")
-    valid, _ = validate(records, MAPPING.xml)
-    return fan_out(valid, MAPPING)
+    return validate(records, MAPPING.xml)[0]
+
+
+def _tables(spark: SparkSession, sf_dir: str) -> dict[TableId, DataFrame]:
+    return fan_out(_valid(spark, sf_dir), MAPPING)
 
 
 def fan_out_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of both tables in one shape."""
     frames = []
-    for identifier, rows in _tables(spark, sf_dir).items():
+    for identifier, rows in fan_out(materialised(_valid(spark, sf_dir)), MAPPING).items():
         columns = MAPPING.target_columns(identifier)
         frames.append(rows.select(F.lit(str(identifier)).alias("table_name"), F.to_json(F.struct(*columns)).alias("row")))
     united = reduce(DataFrame.unionByName, frames)
