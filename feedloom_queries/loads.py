@@ -20,7 +20,7 @@ from feedloom.sinks.tables import ParquetTables, _hadoop_path, scratch_dir
 from feedloom.sources.xml import parse_column
 from feedloom.streaming.ingest import run_stream
 from feedloom_queries.common import attribute, content, order_documents, order_rows_for_xml, table
-from feedloom_queries.fanout import MAPPING, line_documents
+from feedloom_queries.fanout import MAPPING, line_documents, materialised
 from feedloom_queries.scans import write_xml
 
 
@@ -228,7 +228,7 @@ def report_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     named = line_documents(spark, sf_dir).withColumn("name", F.concat(F.date_format("l_shipdate", "yyyy"), F.lit(".xml")))
     records = parse_column(named, "doc", MAPPING.xml, source_column="name")
-    tables = fan_out(validate(records, MAPPING.xml)[0], MAPPING)
+    tables = fan_out(materialised(validate(records, MAPPING.xml)[0]), MAPPING)
     return table_counts(tables, {identifier: 100 for identifier in tables})
 
 

@@ -600,3 +600,11 @@ def test_source_options():
     for bad in (("move", None), ("archive", None), ("delete", "/a")):
         with pytest.raises(ValueError):
             source_options(*bad)
+
+
+@pytest.mark.parametrize("name", ["fan_out_tables", "report_table_rows"])
+def test_documents_of_several_tables_are_parsed_once(spark, name):
+    from feedloom_queries import all_queries
+
+    frame = all_queries()[name](spark, "/root/testdata/sf0.001")
+    assert "from_xml" not in frame._jdf.queryExecution().optimizedPlan().toString().lower().replace("xmltostructs", "from_xml")
