@@ -108,14 +108,17 @@ def _texts(path: str, name: str, encoding: str | None, stack: ExitStack) -> Iter
 
 
 def _elements(path: str, name: str, wanted: tuple[str, ...], encoding: str | None) -> Iterator[tuple[str | None, str | None]]:
-    reader = ElementReader(wanted)
+    reader, is_empty = ElementReader(wanted), True
     try:
         with ExitStack() as stack:
             for text in _texts(path, name, encoding, stack):
+                is_empty = is_empty and not text
                 for markup in reader.feed(text):
                     yield markup, None
                 if reader.other_root:
                     return
+            if is_empty:  # a compressed file of nothing is as empty as a file of no bytes
+                return
             for markup in reader.feed("", True):
                 yield markup, None
     except (expat.ExpatError, OSError, EOFError, ValueError) as error:
@@ -128,7 +131,7 @@ def read_elements(files: DataFrame, path: tuple[str, ...], encoding: str | None
     """(file_path, file_name) -> (file_path, file_name, number, markup, error): one row per element, in order.
 
     A document with an error, and a file that cannot be opened, has one more row with the error after the elements
-    before it. A document with another root has no rows. ``encoding`` overrides what files say.
+    before it. A document with another root, and one of no characters, has no rows. ``encoding`` overrides what files say.
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

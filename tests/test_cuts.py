@@ -192,3 +192,16 @@ def test_broken_documents_are_cut_up_to_their_error(spark, tmp_path, monkeypatch
     rows = read_records(spark, str(tmp_path), SPEC)
     assert records_of(rows) == found and rows.where("_malformed").count() == 1
     assert any("feedloom-cut" in f for f in rows.inputFiles())
+
+
+@pytest.mark.parametrize("name", ["b.xml.gz", "b.xml.bz2", "b.xml"])
+def test_compressed_files_of_nothing_are_empty_files(spark, tmp_path, name):
+    import bz2
+    import gzip
+
+    (tmp_path / "a.xml").write_text('<orders><order id="1"><name>x</name></order></orders>')
+    pack = {"z": gzip.compress, "2": bz2.compress}.get(name[-1], bytes)
+    (tmp_path / name).write_bytes(pack(b""))
+    for scan in ("auto", "document"):
+        rows = read_records(spark, str(tmp_path), SPEC, scan=scan)
+        assert [(row.id, row._malformed) for row in rows.collect()] == [("1", False)]
