@@ -284,14 +284,16 @@ def _write_member(place: str, archive: str, member: str, chunks: Iterator[bytes]
 
     from pyarrow import fs
 
-    # Archives of one name in different folders, and members of one name in different folders, must not collide.
-    folder = hashlib.sha256(f"{archive}\0{member}".encode()).hexdigest()[:32]
+    # Archives of one name in different folders, and members of one name in different folders, must not collide. Members
+    # of one folder share one, because listing takes time for each folder.
+    name = member.replace("\\", "/").rpartition("/")[2]
+    inside = member[: len(member) - len(name)]
+    folder = hashlib.sha256(f"{archive}\0{inside}".encode()).hexdigest()[:32]
     uri = local_uri(place)
     if uri.startswith("file:"):
         uri = "file:///" + uri.removeprefix("file:").lstrip("/")
     system, base = fs.FileSystem.from_uri(uri)
     directory = f"{base.rstrip('/')}/{folder}"
-    name = member.replace("\\", "/").rpartition("/")[2]
     unfinished = f"{directory}/_{uuid.uuid4().hex}"
     size = 0
     first = next(chunks, None)

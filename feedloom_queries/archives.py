@@ -7,12 +7,11 @@ import gzip
 import io
 import sys
 import tarfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +20,7 @@ from feedloom.plans.load import run
 from feedloom.plans.mapping import Mapping, TableId, TableSpec, XmlSpec
 from feedloom.sinks.tables import ParquetTables, _hadoop_path, scratch_dir
 from feedloom.sources.archives import ARCHIVE_GLOB, expand_archives, extract_archives, is_compressed_xml
-from feedloom.sources.documents import decode_content
+from feedloom.sources.documents import decode_content, spread_tasks
 from feedloom.sources.files import list_files
 from feedloom.sources.xml import parse_column, read_records
 from feedloom_queries.common import as_type, attribute, content, element, table, text_of
@@ -51,7 +50,8 @@ def _pack(suffix: str, members: dict[str, bytes]) -> bytes:
 
 
 def _write_archives(spark: SparkSession, sf_dir: str) -> str:
-    """One archive per Arrow batch of customers with a member per market segment, plus decoys; some single files."""
+    """One archive per Arrow batch of customers with a member per market segment, plus decoys; some single files. Packing is
+    slow and the table's file is small, so rows are spread first; a repeated task writes the same files again."""
     location = scratch_dir(spark, "archives")
     row = element("customer", element("name", text_of(F.col("c_name"))), attributes={"id": F.col("c_custkey")})
     rows = table(spark, sf_dir, "customer").select("c_mktsegment", row.alias("xml"))
@@ -62,6 +62,7 @@ def _write_archives(spark: SparkSession, sf_dir: str) -> str:
         uri = location if "://" in location else "file://" + location.removeprefix("file:")
         system, base = fs.FileSystem.from_uri(uri)
         system.create_dir(base, recursive=True)
+        task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
             documents = {
                 segment: ("<customers>" + "".join(group["xml"]) + "</customers>").encode()
@@ -70,14 +71,14 @@ def _write_archives(spark: SparkSession, sf_dir: str) -> str:
             single = documents.pop("FURNITURE", None)
             members = {f"deep/seg_{segment}_{number}.xml": data for segment, data in documents.items()}
             members |= {"deep/readme.txt": b"<customers/>", "hollow.xml": b"", "huge.xml": b" " * 5_000_000}
-            name = f"{base}/{uuid.uuid4().hex}"
-            suffix = _FORMATS[number % len(_FORMATS)]
+            name = f"{task:05d}-{number:05d}"
+            suffix = _FORMATS[(task + number) % len(_FORMATS)]
             # Without compression=None Arrow would compress by the suffix once more.
-            with system.open_output_stream(name + suffix, compression=None) as out:
+            with system.open_output_stream(f"{base}/{name}{suffix}", compression=None) as out:
                 out.write(_pack(suffix, members))
             if single:
-                pack, ending = ((gzip.compress, "gz"), (bz2.compress, "bz2"))[number % 2]
-                with system.open_output_stream(f"{base}/seg_FURNITURE_{uuid.uuid4().hex}.xml.{ending}", compression=None) as out:
+                pack, ending = ((gzip.compress, "gz"), (bz2.compress, "bz2"))[(task + number) % 2]
+                with system.open_output_stream(f"{base}/seg_FURNITURE_{name}.xml.{ending}", compression=None) as out:
                     out.write(pack(single))
             yield pd.DataFrame({"written": [len(members)]})
 
@@ -85,7 +86,7 @@ def _write_archives(spark: SparkSession, sf_dir: str) -> str:
     size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
     try:
-        rows.mapInPandas(write, "written long").agg(F.sum("written")).collect()
+        rows.repartition(spread_tasks(spark)).mapInPandas(write, "written long").agg(F.sum("written")).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
     return location

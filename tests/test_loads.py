@@ -7,6 +7,7 @@ import gzip
 import io
 import tarfile
 import zipfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -376,6 +377,29 @@ def test_members_cannot_leave_the_folder(spark, tmp_path):
     assert [p.name for p in out.rglob("*.xml")] == ["evil.xml"]
 
 
+def test_archives_of_the_queries_are_written_by_many_tasks(spark):
+    from feedloom_queries import archives
+
+    written = Path(archives._write_archives(spark, "/root/testdata/sf0.001"))
+    names = [p.name for p in written.iterdir() if not p.name.startswith("seg_")]
+    assert len({name.partition("-")[0] for name in names}) > 1
+    assert {name[name.index(".") :] for name in names} == set(archives._FORMATS)
+
+
+def test_members_of_one_folder_are_written_to_one_folder(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        for name in ("x/a.xml", "x/b.xml", "y/a.xml", "a.xml", "x\\y/a.xml"):
+            archive.writestr(name, f"<a>{name}</a>")
+    (tmp_path / "b.zip").write_bytes((tmp_path / "a.zip").read_bytes())
+    out = tmp_path / "out"
+    rows = extract_archives(spark, str(tmp_path), str(out)).collect()
+    files = {row.extracted_path for row in rows}
+    assert len(files) == len(rows) == 10
+    for row in rows:
+        assert Path(row.extracted_path).read_text() == f"<a>{row.member}</a>"
+    assert len({Path(f).parent for f in files}) == 8
+
+
 # --- whole runs ------------------------------------------------------------------------------------------------------
 
 ITEMS, NOTES = TableId("items"), TableId("notes", "log")
