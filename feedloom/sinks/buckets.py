@@ -222,11 +222,21 @@ class Transaction:
         keys = {k.lower() for k in entry["keys"]}
         return rows.select(*[name_column(c).cast(kinds[c.lower()]).alias(c) if c.lower() in keys else name_column(c) for c in rows.columns])
 
-    def _write(self, table: TableId, rows: DataFrame) -> tuple[str, list[int]]:
+    def _write(self, table: TableId, rows: DataFrame, only: int | None = None) -> tuple[str, list[int]]:
+        """Writes a version. Spark sorts what it writes to several folders; rows of the ``only`` bucket go to its folder as
+        they come, so that a task holds none of them."""
         version = f"v{self.number + 1:08d}-{uuid.uuid4().hex}"
         location = f"{self.store.base}/{table}/{VERSION}={version}"
         with self.lock:
             self.written.append(location)
+        if only is not None:
+            folder = f"{location}/{BUCKET}={only}"
+            rows = rows.drop(BUCKET)
+            rows.write.parquet(folder)
+            if self.spark.read.schema(rows.schema).parquet(folder).isEmpty():
+                delete(self.spark, location)
+                return version, []
+            return version, [only]
         rows.write.partitionBy(BUCKET).parquet(location)
         system, path = _hadoop_path(self.spark, location)
         names = [status.getPath().getName() for status in system.listStatus(path)]
@@ -293,7 +303,7 @@ class Transaction:
         plain = self.spark.createDataFrame([], self.store.targets[table])
         new = upsert(plain, rows, [], self.store.targets[table])
         new = new.withColumn(BUCKET, self._bucket(table, entry, new.columns))
-        return self._write(table, new.repartition(BUCKET) if entry["keys"] else new)
+        return self._write(table, new.repartition(BUCKET)) if entry["keys"] else self._write(table, new, 0)
 
     def _load_counted(self, table: TableId, rows: DataFrame, entry: dict, token: str | None) -> None:
         """A first load whose rows are written once, to be counted without being made again."""
@@ -362,7 +372,7 @@ class Transaction:
         rows = reader.parquet(*paths).drop(VERSION)
         # One bucket needs no exchange: its small files are read by fewer tasks.
         rows = rows.repartition(BUCKET) if len(chosen) > 1 else rows.coalesce(max(1, total // TASK_BYTES))
-        version, held = self._write(table, rows)
+        version, held = self._write(table, rows, next(iter(chosen)) if len(chosen) == 1 else None)
         live = {v: [b for b in buckets if v not in chosen.get(b, [])] for v, buckets in entry["live"].items()}
         entry["live"] = {v: buckets for v, buckets in live.items() if buckets} | {version: held}
         self.changed.add(str(table))

@@ -177,3 +177,21 @@ def test_buckets_grow_with_the_first_load(spark, tmp_path):
     rows = upsert_touched_buckets(spark, str(tmp_path))
     found = rows.groupBy("untouched").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("price")).collect()
     assert [tuple(r) for r in found] == [(True, 1_201_000, 1_203_000.0)]
+
+
+def test_rows_of_one_bucket_are_written_as_they_come(spark, tmp_path, monkeypatch):
+    """Spark sorts what it writes to several folders, so that a task would hold all its rows."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    def refuse(*_):
+        raise AssertionError("sorted by bucket")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", refuse)
+    store = BucketTables(spark, str(tmp_path / "appended"), {NOTES: NOTE}, chain=2)
+    for n in range(5):
+        store.load(NOTES, _items(spark, [(f"t{n}",)], "text string"), [])
+    before = store.files(NOTES)
+    store.load(NOTES, _items(spark, [], "text string"), [])
+    assert store.files(NOTES) == before
+    assert _rows(store.read(NOTES)) == [(f"t{n}",) for n in range(5)]
+    assert len({file.rpartition("/")[0] for file in before}) <= 2
