@@ -20,7 +20,11 @@ _DAY = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
 _OFFSET = r"(Z|[+-][0-9]{2}:[0-9]{2})"
 _HEX = r"^([0-9A-Fa-f]{2})*$"
 
+# All texts that a cast to bigint takes, and some of 19 digits that it does not: a cast that fails costs an exception.
+_INTEGER = r"^[ \p{Cntrl}]*[+-]?0*[0-9]{1,19}[ \p{Cntrl}]*$"
+
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_INTEGER_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}
 
 
 class UnsupportedTypeError(TypeError):
@@ -37,7 +41,12 @@ def _unpadded(text: Column) -> Column:
 
 
 def to_integer(text: Column, type_: T.DataType) -> Column:
-    return F.when(_unpadded(text), text.try_cast(type_))
+    """Texts that are no integer, or out of range, are told without a cast, because a failing one is slow."""
+    number = F.when(_unpadded(text) & text.rlike(_INTEGER), text.try_cast("bigint"))
+    if isinstance(type_, T.LongType):
+        return number
+    most = 2 ** (_INTEGER_BITS[type(type_)] - 1)
+    return F.when(number.between(-most, most - 1), number.cast(type_))
 
 
 def to_floating(text: Column, type_: T.DataType) -> Column:

@@ -81,6 +81,39 @@ def test_texts_that_do_not_fit(spark, type_):
     assert {r[REASON] for r in bad.collect()} == {f"cast:v:{type_}"}
 
 
+@pytest.mark.parametrize("type_", ["tinyint", "smallint", "int", "bigint"])
+def test_integers_are_what_a_cast_gives(spark, type_):
+    from feedloom.functions.casts import _unpadded, to_integer
+
+    top = 2 ** ({"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}[type_] - 1)
+    edges = [f"{sign}{top + d}" for sign in ("", "+", "-", "-000", "0" * 40) for d in (-1, 0, 1)]
+    texts = [*edges, "", "+", "-", "--1", "1-", "+-1", "0", "-0", "+0", "00", "1.0", "1.", ".", "1e3", "0x1", "1_0", "١", "1L", " 1", "1 "]
+    texts += [f"{c}7" for c in "\x00\x01\x0b\x1b\x7f\x85\u200b\u2028"] + [f"7{c}" for c in "\x00\x01\x0b\x1b\x7f\x85\u200b\u2028"]
+    texts += ["9" * 19, "9" * 20, "1" + "0" * 60, "\x015\n", "5\x01 "]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string")
+    v, kind = F.col("v"), T.DataType.fromDDL(type_)
+    found = rows.select("v", to_integer(v, kind).alias("a"), F.when(_unpadded(v), v.try_cast(type_)).alias("b"))
+    assert found.schema["a"].dataType == kind
+    assert [(r.v, r.a) for r in found.collect()] == [(r.v, r.b) for r in found.collect()]
+
+
+def test_texts_that_are_no_integers_are_not_cast(spark, monkeypatch):
+    """A cast that fails makes an exception in each row; here it would end the job."""
+    from pyspark.sql import Column
+
+    from feedloom.functions.casts import to_integer
+
+    monkeypatch.setattr(Column, "try_cast", Column.cast)
+    texts = ["abc", "1e3", "7.0", "1" + "0" * 20, "", "-"]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        rows = spark.createDataFrame([(t,) for t in [*texts, "300", "5"]], "v string")
+        assert [r[0] for r in rows.select(to_integer(F.col("v"), T.ByteType())).collect()] == [None] * 7 + [5]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_json_and_time_texts(spark):
     texts = ['{"k":1}', "[1]", '"s"', "null", '{"k":1}}', "1,2", "1] [2", '1,"a":2', "{'a':1}", "", "{"]
     given = spark.createDataFrame([(t, "1:2:3") for t in texts], "j string, t string")
