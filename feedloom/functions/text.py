@@ -14,8 +14,12 @@ SPACES = "".join(map(chr, _SPACE_CODES))
 
 
 def strip(text: Column) -> Column:
-    """Remove surrounding space of every kind; SQL ``trim`` alone knows only U+0020."""
-    return F.btrim(text, F.lit(SPACES))
+    """Remove surrounding space of every kind; SQL ``trim`` alone knows only U+0020.
+
+    Trimming looks for both ends of a text among all kinds of space. Most texts begin and end with a visible ASCII
+    character, which two comparisons tell."""
+    visible = (text >= "!") & (text < "\x7f") & F.substring(text, -1, 1).between("!", "~")
+    return F.when(visible, text).otherwise(F.btrim(text, F.lit(SPACES)))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -25,7 +29,9 @@ def blank_to_null(text: Column) -> Column:
 def join_chunks(chunks: Column) -> Column:
     """Element content from its text chunks: each stripped, blank ones left out, one per line; NULL when none is left."""
     lines = F.filter(F.transform(chunks, strip), lambda line: line != "")
-    return F.nullif(F.array_join(lines, "\n"), F.lit(""))
+    # Most elements hold one text, which needs no lambda.
+    text = F.when(F.size(chunks) == 1, strip(F.get(chunks, F.lit(0)))).otherwise(F.array_join(lines, "\n"))
+    return F.nullif(text, F.lit(""))
 
 
 def name_column(name: str) -> Column:

@@ -232,9 +232,10 @@ def _parse_documents(
 ) -> DataFrame:
     schema = document_schema(spec, _is_case_sensitive(documents.sparkSession))
     options = {**_PARSER_OPTIONS, "mode": "FAILFAST" if mode == "FAILFAST" else "PERMISSIVE"}
+    plain = F.startswith("document", F.lit(f"<{spec.root_path[0]}>"))  # told without a regular expression
     parsed = documents.select(
         *carried,
-        (F.regexp_extract("document", _ROOT_NAME, 1) == spec.root_path[0]).alias("root_fits"),
+        (plain | (F.regexp_extract("document", _ROOT_NAME, 1) == spec.root_path[0])).alias("root_fits"),
         F.from_xml("document", _with_corrupt(schema), options).alias("parsed"),
     )
     node = F.struct(*[F.col("parsed").getField(name).alias(name) for name in schema.fieldNames()])
@@ -421,7 +422,7 @@ def _marked_rows(parsed: DataFrame, spec: XmlSpec, mode: str, on_repeat: str) ->
         F.struct(F.col("node").isNotNull().alias("is_record"), piece.alias("piece")).alias("_cut"),
         "node",
     )
-    return _extract_values(rows, spec, mode, on_repeat, [SOURCE, SOURCE_NAME, "_cut"])
+    return _extract_values(rows, spec, mode, on_repeat, [SOURCE, SOURCE_NAME, "_cut"], written=True)
 
 
 def _nested_rows(
@@ -603,7 +604,11 @@ def _position(block: Column, index: Column) -> Column:
     return F.struct(block.cast("long").alias("block"), index.cast("long").alias("index")).alias(POSITION)
 
 
-def _extract_values(rows: DataFrame, spec: XmlSpec, mode: str, on_repeat: str, carried: Sequence[str]) -> DataFrame:
+def _extract_values(
+    rows: DataFrame, spec: XmlSpec, mode: str, on_repeat: str, carried: Sequence[str], written: bool = False
+) -> DataFrame:
+    """``written``: the rows are written as they are. Conditions on rows that are not would otherwise be moved before the
+    values, and each of them would take the values out of the node once more."""
     if mode == "DROPMALFORMED":
         rows = rows.where(~F.col(MALFORMED))
     values = []
@@ -611,7 +616,11 @@ def _extract_values(rows: DataFrame, spec: XmlSpec, mode: str, on_repeat: str, c
         column = extract(F.col("node"), value, on_repeat)
         # An object over no node would be {}; the other kinds are NULL by themselves.
         values.append((F.when(~F.col(MALFORMED), column) if value.type.is_json else column).alias(key))
-    return rows.select(*carried, POSITION, MALFORMED, *values)
+    if written:
+        return rows.select(*carried, POSITION, MALFORMED, *values)
+    held = rows.select(*carried, POSITION, MALFORMED, F.struct(*values).alias("values"))
+    # No condition is moved before a generator that makes its columns.
+    return held.select(*carried, POSITION, MALFORMED, F.inline(F.array("values")))
 
 
 def tag_report(spark: SparkSession, path: str | Sequence[str], spec: XmlSpec, *, glob: str | None = XML_GLOB) -> DataFrame:

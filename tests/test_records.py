@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from feedloom.functions.text import SPACES, strip
 from feedloom.operators.validate import annotate, validate
 from feedloom.plans.columns import MALFORMED, REASON
 from feedloom.plans.mapping import MappingError, ValueSpec, ValueType, XmlSpec
@@ -272,6 +273,22 @@ ORDER = """<orders><order id="7" status="new"><customer><name>Ann "A" &amp; Co</
 <items><item sku="a"><qty>1</qty><price>2.5</price></item><item sku=""><qty> </qty></item></items><gone/></order></orders>"""
 
 
+def test_stripping_knows_every_space_at_both_ends(spark):
+    texts = ["", " ", "a", "a b", "\x7f", "é", "aé", "éa", "~", "!", *[t for s in SPACES for t in (s, s + "a", "a" + s, s + "é b" + s)]]
+    found = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", strip(F.col("t")).alias("stripped"))
+    assert all(row.stripped == (None if row.t is None else row.t.strip(SPACES)) for row in found.collect())
+
+
+def test_conditions_on_records_do_not_take_their_values_out_again(spark):
+    spec = XmlSpec(("log", "reading"), {"id": attr("id", required=True), "level": text("level")})
+    documents = spark.createDataFrame([("<log><reading id='1'><level>2</level></reading></log>",)], "doc string")
+    valid = validate(parse_column(documents, "doc", spec), spec)[0]
+    plan = valid._jdf.queryExecution().optimizedPlan().toString()
+    conditions = [line for line in plan.splitlines() if line.lstrip(" +-:").startswith("Filter")]
+    assert conditions and not any("node" in line for line in conditions)
+    assert [(row.id, row.level) for row in valid.collect()] == [("1", "2")]
+
+
 def test_json_values(spark, xml_file):
     item = {"sku": attr("sku"), "qty": text("qty"), "price": text("price")}
     spec = XmlSpec(
