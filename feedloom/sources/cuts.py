@@ -87,8 +87,10 @@ def known_charset(name: str | None) -> str:
 
 def depth_change(text: Column) -> Column:
     """Elements that a piece opens and leaves open, less those that it closes and did not open."""
-    markup = F.regexp_replace(text, _NO_MARKUP, "")
-    return F.regexp_count(markup, F.lit(_OPENED)) - F.regexp_count(markup, F.lit(_CLOSED))
+    other = F.contains(text, F.lit("<!")) | F.contains(text, F.lit("<?"))
+    markup = F.when(other, F.regexp_replace(text, _NO_MARKUP, "")).otherwise(text)
+    closed = (F.octet_length(markup) - F.octet_length(F.replace(markup, F.lit(_CLOSED), F.lit("")))) / len(_CLOSED)
+    return F.regexp_count(markup, F.lit(_OPENED)) - closed.cast("int")
 
 
 def _before(rows: DataFrame, value: Column, name: str) -> DataFrame:

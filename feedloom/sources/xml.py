@@ -369,8 +369,12 @@ def _cut_rows(
     tag, mark = spec.root_path[-1], _cut_mark(spec)
     first, lead, ending = _layout(spec)
     value = F.col("value")
-    body = F.regexp_replace(value, lead, "")
-    ends = value.rlike(ending)
+    # Most pieces lie between the parents' tags, and whether a name occurs in them is told without a regular expression.
+    parents = spec.root_path[:-1]
+    outer = F.contains(value, F.lit(parents[0])) if parents else F.lit(True)
+    inner = F.contains(value, F.lit(parents[-1])) if parents else F.lit(True)
+    body = F.when(outer | inner, F.regexp_replace(value, lead, "")).otherwise(value)
+    ends = outer & value.rlike(ending)
     text = F.concat(
         F.lit("<piece>"),
         F.when(ends, F.regexp_replace(body, ending, "")).otherwise(F.concat(body, F.lit(mark))),
@@ -378,7 +382,7 @@ def _cut_rows(
     )
     record = record_schema(spec, _is_case_sensitive(spark))
     schema = _with_corrupt(T.StructType([T.StructField(tag, T.ArrayType(record))]))
-    begins = value.rlike("^" + first)
+    begins = outer & value.rlike("^" + first)
     pieces = _pieces(spark, paths, wanted, glob, mark, charset or "utf-8")
     octets = F.octet_length(value).alias("octets")
     if charset is None:

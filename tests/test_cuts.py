@@ -205,3 +205,16 @@ def test_compressed_files_of_nothing_are_empty_files(spark, tmp_path, name):
     for scan in ("auto", "document"):
         rows = read_records(spark, str(tmp_path), SPEC, scan=scan)
         assert [(row.id, row._malformed) for row in rows.collect()] == [("1", False)]
+
+
+def test_change_of_depth_beside_other_markup(spark):
+    texts = {"<a><b x='>'>": 2, "<a><!-- </a> --></a>": 0, "<![CDATA[</a>]]></a>": -1, "<?p </a>?><a/>": 0, "</a></a>": -2, "": 0}
+    rows = spark.createDataFrame([(text,) for text in texts], "t string").select("t", cuts.depth_change(F.col("t")).alias("change"))
+    assert {row.t: row.change for row in rows.collect()} == texts
+
+
+def test_pieces_between_the_parents_are_told_by_a_name(spark, xml_file):
+    path = xml_file("<orders>" + "<order id='1'><name>a</name></order>" * 3 + "</orders>")
+    rows = xml._cut_rows(spark, path, SPEC, F.lit(True), None, "PERMISSIVE", "first")
+    assert "Contains(value" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert [row.exact for row in xml.cut_exactly(spark, path, SPEC).collect()] == [True]
