@@ -622,9 +622,9 @@ def _extract_values(
         values.append((F.when(~F.col(MALFORMED), column) if value.type.is_json else column).alias(key))
     if written:
         return rows.select(*carried, POSITION, MALFORMED, *values)
-    held = rows.select(*carried, POSITION, MALFORMED, F.struct(*values).alias("values"))
+    held = rows.select(*carried, POSITION, MALFORMED, F.struct(*values).alias("_values"))
     # No condition is moved before a generator that makes its columns.
-    return held.select(*carried, POSITION, MALFORMED, F.inline(F.array("values")))
+    return held.select(*carried, POSITION, MALFORMED, F.inline(F.array("_values")))
 
 
 def tag_report(spark: SparkSession, path: str | Sequence[str], spec: XmlSpec, *, glob: str | None = XML_GLOB) -> DataFrame:
