@@ -28,10 +28,10 @@ def xml_column_value(mapping: Mapping, table: TableId, name: str) -> Column | No
     return F.coalesce(*choices)
 
 
-def table_rows(valid: DataFrame, mapping: Mapping, table: TableId) -> DataFrame:
-    """Rows of one table as text columns. File name values win over XML values; a row without any value is left out."""
+def table_texts(mapping: Mapping, table: TableId) -> dict[str, Column]:
+    """The text of each column of a table, taken from a record. File name values win over XML values."""
     groups = {column: group for group, column in mapping.db[table].filename_groups_to_columns.items()}
-    columns = []
+    texts = {}
     for name in mapping.target_columns(table):
         choices = []
         if name in groups:
@@ -39,9 +39,14 @@ def table_rows(valid: DataFrame, mapping: Mapping, table: TableId) -> DataFrame:
         from_xml = xml_column_value(mapping, table, name)
         if from_xml is not None:
             choices.append(from_xml)
-        columns.append(F.coalesce(*choices).alias(name))
+        texts[name] = F.coalesce(*choices)
+    return texts
+
+
+def table_rows(valid: DataFrame, mapping: Mapping, table: TableId) -> DataFrame:
+    """Rows of one table as text columns. A row without any value is left out."""
     carried = [c for c in (SOURCE, POSITION) if c in valid.columns]
-    rows = valid.select(*carried, *columns)
+    rows = valid.select(*carried, *[text.alias(name) for name, text in table_texts(mapping, table).items()])
     return rows.where(F.coalesce(*[name_column(name) for name in mapping.target_columns(table)]).isNotNull())
 
 

@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedloom.functions.casts import annotate_casts
+from feedloom.functions.casts import cast_reason, logical_type, parse_text, resolve_null
 from feedloom.functions.text import name_column
-from feedloom.operators.dedup import dedup_first, mark_missing_key, number_rows
-from feedloom.operators.fanout import check_target, project_to_target, table_rows, target_fields
+from feedloom.operators.dedup import dedup_first, number_rows
+from feedloom.operators.fanout import check_target, table_texts, target_fields
 from feedloom.operators.reports import file_counts, run_summary, table_counts
 from feedloom.operators.validate import MALFORMED_DOCUMENT, annotate
-from feedloom.plans.columns import MALFORMED, POSITION, REASON, SOURCE
+from feedloom.plans.columns import POSITION, REASON, SOURCE
 from feedloom.plans.mapping import Mapping, MappingError, TableId, load_mappings
 from feedloom.sinks.tables import delete, directory_bytes, is_file, scratch_dir
 from feedloom.sources.archives import (
@@ -60,24 +60,62 @@ class LoadReport:
         delete(self.summary.sparkSession, self.work_dir)
 
 
-def typed_rows(rows: DataFrame, mapping: Mapping, table: TableId, target: T.StructType) -> DataFrame:
-    """Text rows of a table -> typed columns in target order, ``_text`` of the keys' rows, and a reject reason."""
-    columns, spec = mapping.target_columns(table), mapping.db[table]
-    fields = target_fields(target, columns, spec.unique_columns)
-    by_lower = {field.name.lower(): field.name for field in target.fields}
-    keys = [by_lower[key.lower()] for key in spec.unique_columns]
-    projected = mark_missing_key(project_to_target(rows, target, columns, [SOURCE, POSITION]), keys)
-    return annotate_casts(projected, fields, [SOURCE, POSITION], keep_text=True)
-
-
-def variant_texts(mapping: Mapping, table: TableId, target: T.StructType) -> Column:
-    """Whether a key of a typed row is written in another way than its value, such as 01 for 1."""
-    by_lower = {field.name.lower(): field for field in target.fields}
-    odd = F.lit(False)
-    for key in (by_lower[name.lower()] for name in mapping.db[table].unique_columns):
-        if not isinstance(key.dataType, T.StringType):
-            odd = odd | (F.col("_text").getField(key.name) != name_column(key.name).cast("string"))
-    return odd
+def checked_records(annotated: DataFrame, mapping: Mapping, targets: dict[TableId, T.StructType]) -> DataFrame:
+    """One row per record: its reject reason with its values as JSON, and for the table of number ``i`` whether it has a row
+    there (``_has<i>``), typed columns in target order (``_values<i>``), the reject reason (``_reason<i>``), whether a key is
+    written in another way than its value, such as 01 for 1 (``_odd<i>``), and the texts of rejected and of odd rows
+    (``_text<i>``). So records are read and checked once whatever the number of tables. Each projection looks at columns of
+    the one before, so that nothing is cast twice.
+    """
+    tables = list(enumerate(mapping.loaded_tables))
+    fields = {i: target_fields(targets[t], mapping.target_columns(t), mapping.db[t].unique_columns) for i, t in tables}
+    keys = {i: {key.lower() for key in mapping.db[t].unique_columns} for i, t in tables}
+    texts, values = ({i: [f"_{kind}{i}_{at}" for at in range(len(fields[i]))] for i, _ in tables} for kind in ("text", "value"))
+    all_values = F.to_json(F.struct(*map(name_column, mapping.xml.values)))
+    rows = [SOURCE, POSITION, F.col(REASON), F.when(F.col(REASON).isNotNull(), all_values).alias("_row")]
+    for i, table in tables:
+        by_lower = {name.lower(): text for name, text in table_texts(mapping, table).items()}
+        rows += [by_lower[field.name.lower()].alias(name) for field, name in zip(fields[i], texts[i], strict=True)]
+    frame = annotated.select(*rows)
+    more = {}
+    for i, _ in tables:
+        given = F.coalesce(*map(F.col, texts[i])).isNotNull()
+        more[f"_has{i}"] = F.when(F.col(REASON).isNull() & given, F.lit(True))
+        for field, text, value in zip(fields[i], texts[i], values[i], strict=True):
+            more[value] = parse_text(resolve_null(F.col(text), field), field)
+    frame, more = frame.withColumns(more), {}
+    for i, table in tables:
+        named = list(zip(fields[i], texts[i], values[i], strict=True))
+        order = {key.lower(): at for at, key in enumerate(mapping.db[table].unique_columns)}
+        of_key = sorted((n for n in named if n[0].name.lower() in keys[i]), key=lambda n: order[n[0].name.lower()])
+        reasons = [F.when(F.col(text).isNull(), F.lit(f"missing_key:{f.name}")) for f, text, _ in of_key]
+        reasons += [cast_reason(F.col(text), F.col(value), f) for f, text, value in named]
+        more[f"_reason{i}"] = F.when(F.col(f"_has{i}"), F.coalesce(*reasons))
+        written = [F.col(t) != F.col(v).cast("string") for f, t, v in of_key if not _is_as_written(f)]
+        differs = F.coalesce(reduce(lambda a, b: a | b, written, F.lit(False)), F.lit(False))
+        more[f"_odd{i}"] = F.coalesce(F.col(f"_has{i}"), F.lit(False)) & differs
+    frame = frame.withColumns(more)
+    kept = [SOURCE, POSITION, REASON, "_row"]
+    for i, _ in tables:
+        row = F.struct(*[F.col(v).alias(f.name) for f, v in zip(fields[i], values[i], strict=True)])
+        text = F.struct(*[F.col(t).alias(f.name) for f, t in zip(fields[i], texts[i], strict=True)])
+        needed = F.col(f"_reason{i}").isNotNull() | F.col(f"_odd{i}")
+        kept += [f"_has{i}", f"_reason{i}", F.when(F.col(f"_has{i}"), row).alias(f"_values{i}"), F.when(needed, text).alias(f"_text{i}")]
+    return frame.select(*kept, *[f"_odd{i}" for i, _ in tables])
+
+
+def _is_as_written(field: T.StructField) -> bool:
+    """Whether the value of a column is its text."""
+    return isinstance(field.dataType, T.StringType) and not logical_type(field)
+
+
+def typed_rows(checked: DataFrame, mapping: Mapping, table: TableId, target: T.StructType) -> DataFrame:
+    """Typed columns of a table in target order, ``_text`` and a reject reason, from written ``checked_records``."""
+    i = list(mapping.loaded_tables).index(table)
+    row = F.col(f"_values{i}")
+    columns = [row.getField(f.name).alias(f.name) for f in target_fields(target, mapping.target_columns(table))]
+    rows = checked.where(F.col(f"_has{i}"))
+    return rows.select(SOURCE, POSITION, *columns, F.col(f"_text{i}").alias("_text"), F.col(f"_reason{i}").alias(REASON))
 
 
 def unique_rows(
@@ -113,13 +151,30 @@ def unique_rows(
     if not has_variants:
         return dedup_first(rows.select(*columns, order.alias("_order")), keys, ["_order"], keep="last").drop("_order")
     key_texts = [f"_key{i}" for i in range(len(keys))]
-    texts = [F.col("_text").getField(key).alias(name) for key, name in zip(keys, key_texts, strict=True)]
+    # A key without its text is written like its value.
+    written = [F.coalesce(F.col("_text").getField(key), name_column(key).cast("string")) for key in keys]
+    texts = [text.alias(name) for text, name in zip(written, key_texts, strict=True)]
     by_text = dedup_first(
         rows.select(SOURCE, POSITION, *columns, *texts, order.alias("_order")), key_texts, ["_order"], keep="last"
     )
     return dedup_first(by_text, keys, [SOURCE, POSITION], keep="last").select(*columns)
 
 
+def repeated_keys(typed: DataFrame, keys: Sequence[str]) -> tuple[bool, bool]:
+    """Whether a key is in several rows, and whether it is in several rows of one source. Told by counts."""
+    file = F.xxhash64(SOURCE)
+    by_key = typed.groupBy(*map(name_column, keys)).agg(
+        F.count("*").alias("_n"), F.min(file).alias("_low"), F.max(file).alias("_high")
+    )
+    # Two rows are of two sources or of one; more have to be counted by source.
+    apart = (F.col("_n") == 1) | ((F.col("_n") == 2) & (F.col("_low") != F.col("_high")))
+    most, clear = by_key.agg(F.max("_n"), F.bool_and(apart)).first()
+    if (most or 0) <= 1 or clear:
+        return (most or 0) > 1, False
+    by_source = typed.groupBy(*map(name_column, keys), SOURCE).agg(F.count("*").alias("_n"))
+    return True, by_source.agg(F.max("_n")).first()[0] > 1
+
+
 def _rejected_rows(frame: DataFrame, table: str, row) -> DataFrame:
     return frame.where(F.col(REASON).isNotNull()).select(
         F.col(SOURCE).alias("source"), F.lit(table).alias("table_name"), F.col(REASON).alias("reason"), row.alias("row")
@@ -131,8 +186,7 @@ class Prepared:
     """Records of one mapping, checked and cast, before anything is loaded."""
 
     mapping: Mapping
-    annotated: DataFrame
-    rows: dict[TableId, DataFrame]
+    checked: DataFrame
     typed: dict[TableId, DataFrame]
     rejected: DataFrame
     has_variants: dict[TableId, bool]
@@ -153,7 +207,7 @@ def prepare_records(
     expected: DataFrame | None = None,
     written: Sequence[str] = (),
 ) -> Prepared:
-    """Checks and casts the records of one mapping. The rows of each table are cast once and written.
+    """Checks and casts the records of one mapping in one pass for all tables, and writes what it found.
 
     ``written`` are the folders of records that were read from Parquet; others are written here first. ``expected``
     (file_path, file_name) names the files the records are from: those that gave none are read once more, decoded with
@@ -170,30 +224,21 @@ def prepare_records(
                 # The frame reads the staged folder as it was listed before this append.
                 read_decoded(silent, mapping.xml).write.mode("append").parquet(staged)
                 records = spark.read.parquet(staged)
-    annotated = annotate(records, mapping.xml)
-    valid = annotated.where(F.col(REASON).isNull()).drop(REASON, MALFORMED)
-    rows = {table: table_rows(valid, mapping, table) for table in mapping.loaded_tables}
-    seen = {table: Observation() for table in rows}
-    typed = {}
-
-    def cast(table: TableId) -> None:
-        odd = F.bool_or(variant_texts(mapping, table, targets[table])).alias("odd")
-        frame = typed_rows(rows[table], mapping, table, targets[table]).observe(seen[table], odd)
-        frame.write.parquet(f"{work_dir}/typed/{table}")
-        typed[table] = spark.read.parquet(f"{work_dir}/typed/{table}")
-
-    _in_parallel(spark, cast, rows)
-    all_values = F.to_json(F.struct(*map(name_column, mapping.xml.values)))
-    parts = [_rejected_rows(annotated, "", all_values)]
+    tables, seen = mapping.loaded_tables, Observation()
+    found = checked_records(annotate(records, mapping.xml), mapping, targets)
+    odd = [f"_odd{i}" for i in range(len(tables))]
+    found.observe(seen, *[F.bool_or(name).alias(name) for name in odd]).drop(*odd).write.parquet(f"{work_dir}/checked")
+    checked = spark.read.parquet(f"{work_dir}/checked")
+    typed = {table: typed_rows(checked, mapping, table, targets[table]) for table in tables}
+    parts = [_rejected_rows(checked, "", F.col("_row"))]
     parts += [_rejected_rows(frame, str(table), F.to_json("_text")) for table, frame in typed.items()]
     reduce(DataFrame.unionByName, parts).write.parquet(f"{work_dir}/rejected")
     return Prepared(
         mapping,
-        annotated,
-        rows,
+        checked,
         typed,
         spark.read.parquet(f"{work_dir}/rejected"),
-        {table: bool(observation.get["odd"]) for table, observation in seen.items()},
+        {table: bool(seen.get[name]) for table, name in zip(tables, odd, strict=True)},
         sum(directory_bytes(spark, folder) for folder in written),
     )
 
@@ -221,13 +266,20 @@ def load_prepared(
         loadable = prepared.typed[table].where(F.col(REASON).isNull())
         by_lower = {field.name.lower(): field.name for field in targets[table].fields}
         keys = [by_lower[key.lower()] for key in mapping.db[table].unique_columns]
-        unique = unique_rows(loadable, mapping, table, targets[table], winner, prepared.has_variants[table])
+        repeats, within_source = repeated_keys(loadable, keys) if keys else (False, False)
+        if repeats:
+            # Where no file repeats a key, its batches need not be known.
+            by = winner if within_source else "first"
+            unique = unique_rows(loadable, mapping, table, targets[table], by, prepared.has_variants[table])
+        else:
+            fields = target_fields(targets[table], mapping.target_columns(table))
+            unique = loadable.select(*[name_column(field.name) for field in fields])
         # The rows of a table are at most as large as all records.
         store.load(table, unique, keys, token, prepared.staged_bytes)
 
     _in_parallel(spark, load, prepared.typed)
     batch_sizes = {table: mapping.db[table].batch_size for table in prepared.typed}
-    return file_counts(prepared.annotated), table_counts(prepared.typed, batch_sizes), prepared.rejected
+    return file_counts(prepared.checked), table_counts(prepared.typed, batch_sizes), prepared.rejected
 
 
 def load_records(

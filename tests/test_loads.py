@@ -588,6 +588,49 @@ def test_run_in_batch_order(spark, tmp_path):
     assert rows_of(store.read(ITEMS), "id", "QTY") == [(0, 6), (1, 7), (2, 5)]  # batches one after the other
 
 
+def test_files_that_repeat_no_key_are_not_numbered(spark, tmp_path, monkeypatch):
+    """The later file wins by its name; only rows of one file that share a key need their batches."""
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for name, qty in (("items_1.xml", 1), ("items_2.xml", 2), ("items_3.xml", 3)):
+        body = "".join(f'<item id="{i}"><qty>{qty}</qty></item>' for i in range(3 if qty == 3 else 8))
+        (feed / name).write_text(f"<root>{body}</root>")
+
+    def numbered(*_):
+        raise AssertionError("rows are numbered")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("feedloom.plans.load.number_rows", numbered)
+        store = ParquetTables(spark, str(tmp_path / "store"), TARGETS)
+        run(spark, str(feed), [MAPPING], store, TARGETS)
+        assert rows_of(store.read(ITEMS), "id", "QTY") == [(i, 3 if i < 3 else 2) for i in range(8)]
+        (feed / "items_3.xml").write_text("<root><item id='1'/><item id='01'/></root>")
+        with pytest.raises(AssertionError, match="numbered"):
+            run(spark, str(feed), [MAPPING], store, TARGETS)
+
+
+def test_records_are_read_once_for_all_tables(spark, tmp_path, monkeypatch):
+    """Records of a run are checked and cast by one job, whose result has a row for each of them."""
+    from feedloom.plans import load
+
+    write_feed(tmp_path / "feed")
+    passes, check = [], load.annotate
+    monkeypatch.setattr(load, "annotate", lambda records, spec: passes.append(records) or check(records, spec))
+    store = ParquetTables(spark, str(tmp_path / "store"), TARGETS)
+    run(spark, str(tmp_path / "feed"), [MAPPING], store, TARGETS, archives=False, work_dir=str(tmp_path / "work"), keep_work=True)
+    assert len(MAPPING.loaded_tables) == 2 and len(passes) == 1
+    assert spark.read.parquet(str(tmp_path / "work" / "mapping0" / "checked")).count() == passes[0].count()
+
+
+def test_repeated_keys_against_brute_force(spark):
+    from feedloom.plans.load import repeated_keys
+
+    for pairs in ([], [(1, "a")], [(1, "a"), (2, "a")], [(1, "a"), (1, "a")], [(1, "a"), (1, "b")],
+                  [(1, "a"), (1, "b"), (1, "c"), (2, "a")], [(1, "a"), (1, "b"), (1, "b")]):
+        rows = spark.createDataFrame(pairs, "id long, _source string")
+        assert repeated_keys(rows, ["id"]) == (len({k for k, _ in pairs}) < len(pairs), len(set(pairs)) < len(pairs)), pairs
+
+
 def test_run_stops_on_request_and_checks_first(spark, tmp_path):
     feed = tmp_path / "feed"
     write_feed(feed)
