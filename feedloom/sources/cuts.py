@@ -22,6 +22,7 @@ _WIDE = ("utf-16-le", "utf-16-be")
 _NO_MARKUP = r"<!--(?s:.*?)-->|<!\[CDATA\[(?s:.*?)\]\]>|<\?(?s:.*?)\?>"
 _OPENED = r"<(?![/!?])(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+(?<!/)>"
 _CLOSED = r"</"
+_SURROGATE = r"[\xD8-\xDF]"
 # Hexadecimal digits of UTF-16 units: one that is no surrogate, or a pair of them.
 _UNITS = {
     "utf-16-le": r"\G(?:..(?:[0-9A-CEF].|D[0-7])|..D[89AB]..D[C-F])",
@@ -67,8 +68,9 @@ def decoded(raw: Column, charset: str) -> Column:
     """Text of a piece whose bytes Spark read as a string; NULL where they are wrong."""
     data = raw.cast("binary")
     if charset in _WIDE:
-        hexed = F.hex(data)
-        whole = F.regexp_replace(hexed, _UNITS[charset], "") == ""
+        # Without a byte that could be of a surrogate all pairs of bytes are characters, and units need not be looked at.
+        plain = (F.octet_length(data) % 2 == 0) & ~F.decode(data, "ISO-8859-1").rlike(_SURROGATE)
+        whole = plain | (F.regexp_replace(F.hex(data), _UNITS[charset], "") == "")
         return F.when(whole, F.decode(data, "UTF-16LE" if charset.endswith("le") else "UTF-16BE"))
     if charset in ("utf-8", "ascii"):
         return F.when(F.is_valid_utf8(raw), raw)

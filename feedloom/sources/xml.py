@@ -327,9 +327,11 @@ def _pieces(
     """Bytes of files between the marks, as a string; a splittable scan that gives pieces of one file to many tasks."""
     name = F.col("_metadata.file_name")
     parts = []
-    for chosen, options in (
-        (~name.rlike(_COMPRESSED), {"mapreduce.input.linerecordreader.line.maxlength": str(LONGEST_PIECE)}),
-        (name.rlike(_COMPRESSED), {}),
+    # How long a file is when it is not compressed is known.
+    known, unknown = F.col("_metadata.file_size"), F.lit(None).cast("long")
+    for chosen, size, options in (
+        (~name.rlike(_COMPRESSED), known, {"mapreduce.input.linerecordreader.line.maxlength": str(LONGEST_PIECE)}),
+        (name.rlike(_COMPRESSED), unknown, {}),
     ):
         reader = spark.read.options(recursiveFileLookup="true", **cut_options(mark, charset), **options)
         if glob:
@@ -340,8 +342,7 @@ def _pieces(
             .select(
                 F.col("_metadata.file_path").alias(SOURCE),
                 source_name(name).alias(SOURCE_NAME),
-                # How long a file is when it is not compressed is known.
-                F.when(~name.rlike(_COMPRESSED), F.col("_metadata.file_size")).alias("file_size"),
+                size.alias("file_size"),
                 F.col("_metadata.file_block_start").alias("block"),
                 "value",
             )
@@ -399,7 +400,8 @@ def _cut_rows(
         "odd",
         F.when(begins, F.regexp_extract(value, "^" + first, 0)).alias("head"),
         F.when(~F.col("odd"), value).alias("value"),
-        F.from_xml(text, schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("parsed"),
+        # Pieces in another encoding are in files that are not exact, and so are parsed in that encoding only.
+        F.from_xml(F.when(~F.col("odd"), text), schema, {**_PARSER_OPTIONS, "mode": "PERMISSIVE"}).alias("parsed"),
     )
     nodes = F.col("parsed").getField(tag)
     return _marked_rows(parsed.withColumn("nodes", nodes).withColumn("marks", F.lit(1)), spec, mode, on_repeat)

@@ -218,3 +218,30 @@ def test_pieces_between_the_parents_are_told_by_a_name(spark, xml_file):
     rows = xml._cut_rows(spark, path, SPEC, F.lit(True), None, "PERMISSIVE", "first")
     assert "Contains(value" in rows._jdf.queryExecution().optimizedPlan().toString()
     assert [row.exact for row in xml.cut_exactly(spark, path, SPEC).collect()] == [True]
+
+
+def test_pieces_in_another_encoding_are_parsed_in_it_only(spark, xml_file):
+    """Nothing of a file that is no UTF-8 is given to the parser before its encoding is known."""
+    path = os.path.dirname(xml_file(_document(40, "Заказ", "windows-1251"), "a.xml", "windows-1251"))
+    xml_file(_document(40, "Заказ", "utf-8"), "b.xml")
+    xml_file(_document(40, "Заказ", "utf-16"), "c.xml", "utf-16")
+    rows = xml._cut_rows(spark, path, SPEC, F.col("_metadata.file_size") > 0, None, "PERMISSIVE", "first")
+    found = rows.where("_cut.is_record").groupBy("_source_name").count().collect()
+    assert [tuple(r) for r in found] == [("b.xml", 40)]
+    assert len(records_of(read_records(spark, path, SPEC, scan="auto"))) == 120
+
+
+@pytest.mark.parametrize("charset", ["utf-16-le", "utf-16-be"])
+def test_utf_16_with_and_without_surrogates(spark, charset):
+    units = ["0417", "00d8", "d800", "dc00", "dfff", "d8d8", "20d9", "0041"]
+    given = [bytes.fromhex(a + b) for a in units for b in units] + [b"", b"a", bytes.fromhex("d800dc00d8"), "Заказ 😀".encode(charset)]
+    if charset == "utf-16-le":
+        given += [bytes(x for i in range(0, len(g) - 1, 2) for x in (g[i + 1], g[i])) for g in given]
+    rows = spark.createDataFrame([(bytearray(g),) for g in given], "b binary")
+    raw = rows.select("b", F.col("b").cast("string").alias("s"))
+    for row in raw.select("b", cuts.decoded(F.col("s"), charset).alias("text")).collect():
+        try:
+            wanted = bytes(row.b).decode(charset)
+        except UnicodeDecodeError:
+            wanted = None
+        assert row.text == wanted, bytes(row.b).hex()
