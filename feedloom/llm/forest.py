@@ -47,8 +47,8 @@ MARGIN = 0.25
 #: Most of a node's sample that may go both ways; directions that are tried; least sample of a leaf.
 SPILL, TRIES, LEAST = 0.3, 4, 16
 SEED = 11
-#: Tasks that share the rows of one vector or one node.
-SALTS = 16
+#: Fewer keys than this, those with more than this part of all rows, are broadcast.
+HOT_KEYS = 1000
 #: A leaf that keeps more than this share of its parent's vectors is not split again.
 STUCK = 0.9
 
@@ -196,7 +196,7 @@ def _split_again(rows: DataFrame, sizes: DataFrame, threshold: float, leaf: int,
     models = written(models, "trees")
     # A leaf's rows are shared by tasks, each of which gets the leaf's tree.
     parts = F.greatest(F.ceil(F.col("n") / sample), F.lit(1)).cast("bigint")
-    salted = models.join(sizes, key, "right").select(*key, "tree", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
+    salted = models.hint("merge").join(sizes, key, "right").select(*key, "tree", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
     counted = counted.withColumn("part", F.pmod(F.xxhash64("node"), parts))
 
     def route(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -292,11 +292,19 @@ def _usable(vec: Column) -> Column:
     return vec.isNotNull() & F.forall(vec, finite) & F.exists(vec, lambda x: x != 0)
 
 
-def _spread(rows: DataFrame, facts: DataFrame, by: list[str], row: Column) -> DataFrame:
-    """A join with facts that are unique by key. Each is there once per salt, so that no key is one task's work."""
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    copies = facts.select("*", salts.alias("salt"))
-    return rows.withColumn("salt", F.pmod(F.xxhash64(row, *by), F.lit(SALTS))).join(copies, [*by, "salt"]).drop("salt")
+def _looked_up(rows: DataFrame, facts: DataFrame, by: list[str]) -> DataFrame:
+    """A join with facts that are unique by key, of which ``n`` is the number of rows.
+
+    Keys that hold more than a thousandth of all rows are less than a thousand, and are broadcast: no task has all rows
+    of one. The others are joined by sorting, whatever Spark takes their size for: none of them goes to the driver.
+    """
+    total, most = facts.agg(F.sum("n"), F.max("n")).first()
+    if (most or 0) * HOT_KEYS <= (total or 0):
+        return rows.join(facts.hint("merge"), by).drop("n")
+    hot = F.broadcast(facts.where(F.col("n") * HOT_KEYS > total))
+    others = facts.where(F.col("n") * HOT_KEYS <= total).hint("merge")
+    cold = rows.join(hot.select(*by), by, "left_anti").join(others, by)
+    return rows.join(hot, by).unionByName(cold).drop("n")
 
 
 def near_copies(embeddings: DataFrame, threshold: float = THRESHOLD, **forest) -> DataFrame:
@@ -313,13 +321,13 @@ def near_copies(embeddings: DataFrame, threshold: float = THRESHOLD, **forest) -
     ends = [F.struct(F.col("a").alias("node"), F.col("b_copies").alias("n")), F.struct(F.col("b").alias("node"), F.col("a_copies").alias("n"))]
     degrees = found.select(F.explode(F.array(*ends)).alias("e")).groupBy("e.node").agg(F.sum("e.n").alias("linked"))
     groups = components(found.select("a", "b").mapInArrow(_spanning, "a bigint, b bigint"), "a", "b")
-    named = sorts.select("h1", "h2", "copies", "least", "node").join(degrees, "node", "left").join(groups, "node", "left")
+    named = sorts.select("h1", "h2", "copies", "least", "node")
+    named = named.join(degrees.hint("merge"), "node", "left").join(groups.hint("merge"), "node", "left")
     named = written(named.withColumn("root", F.coalesce("root", "node")), "named")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    facts = _spread(named, ids, ["root"], F.col("node"))
+    ids = written(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n")), "components")
     linked = (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
-    facts = written(facts.select("h1", "h2", linked, "component_id"), "labels")
-    told = _spread(good.select("vec_id", *hashes), facts, ["h1", "h2"], F.col("vec_id"))
+    facts = _looked_up(named, ids, ["root"]).select("h1", "h2", linked, "component_id", F.col("copies").alias("n"))
+    told = _looked_up(good.select("vec_id", *hashes), written(facts, "labels"), ["h1", "h2"])
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = told.select("vec_id", "n_links", "component_id").unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -13,9 +13,11 @@ SALTS = 16
 
 def _with_least(edges: DataFrame, least: DataFrame, key: str) -> DataFrame:
     """Edges with the least neighbour of one of their ends. Least neighbours are summed per task before they are
-    shuffled, and each is there once per salt, so that a node with very many edges is no single task's work."""
+    shuffled, and each is there once per salt, so that a node with very many edges is no single task's work. They are
+    joined by sorting: Spark does not count the salts into their size, and would broadcast tables of many times its limit.
+    """
     salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
-    copies = least.select(F.col("u").alias(key), "m", salts.alias("salt"))
+    copies = least.select(F.col("u").alias(key), "m", salts.alias("salt")).hint("merge")
     return edges.withColumn("salt", F.pmod(F.xxhash64("u", "v"), F.lit(SALTS))).join(copies, [key, "salt"]).drop("salt")
 
 

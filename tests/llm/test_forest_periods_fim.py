@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feedloom.llm import fim, forest, periods
+from feedloom.llm import fim, forest, graph, periods
 from tests.llm import brute
 
 # -------------------------------------------------------------------------------------------------------------- forest
@@ -115,6 +115,32 @@ def test_results_do_not_depend_on_partitions(spark):
     assert lost <= 0.03 * len(one)  # numbers of vectors, and so the trees, differ; both find nearly all
 
 
+def test_tables_of_vectors_and_links_are_not_broadcast(spark, monkeypatch):
+    """Spark would broadcast small ones by the size of their files, and does not count what an explode makes of them."""
+    plans, limit = [], spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    for module in forest, graph:
+        monkeypatch.setattr(module, "written", lambda df, purpose, f=module.written: plans.append((purpose, plan(df))) or f(df, purpose))
+    rows = _cloud(1250, 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        found = forest.near_copies(_vectors(spark, rows))
+        plans.append(("result", plan(found)))
+        got = _answers(found)
+        many = forest.near_copies(_vectors(spark, rows + [(9000 + i, rows[0][1]) for i in range(30)]))
+        assert "BroadcastHashJoin" in plan(many)  # of the one vector that has over a thousandth of the rows
+        more = _answers(many)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    after = plans[[purpose for purpose, _ in plans].index("links") + 1 :]
+    after = after[: [purpose for purpose, _ in after].index("result") + 1]
+    assert not [purpose for purpose, text in after if "Broadcast" in text]
+    assert {"links", "named", "labels", "result"} <= {purpose for purpose, text in after if "SortMergeJoin" in text}
+    assert sum(n for n, _, _ in got.values()) > 1000
+    assert more[9000] == (got[0][0] + 30, got[0][1], False) and more[0][0] == more[9029][0]
+    assert {i: more[i] for i in range(2, 2500)} == {i: got[i] for i in range(2, 2500)}
+
+
 # ------------------------------------------------------------------------------------------------------------- periods
 
 
